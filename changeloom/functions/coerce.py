@@ -17,33 +17,43 @@ EPOCH_MICROS_BELOW = 31_536_000_000_000_000
 EPOCH_DAYS_UP_TO = 1_000_000
 
 _MAX_MILLIS = 9_223_372_036_854_775
-_SHORTEST_DATE = 8  # "2024-1-1"; year-only and year-month text is not a date
+
+# Words of a boolean column.
+TRUE_WORDS = ("true", "t", "yes", "y", "on", "1")
+FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
+
+# A safe cast that fails raises and catches an error inside the engine, which costs far more than a cast that
+# works. Text that cannot fit is therefore recognised by its shape first.
+_NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+_DIGITS = r"^\s*[+-]?\d{1,19}\s*$"
+_DATE = r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}"
+_ZONE_AFTER_MINUTES = r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})\s*$"
 
 
 def to_number(text: Column, dtype: T.DataType, number_scale: str = "declared") -> Column:
     """Text -> number. Integer types and ``number_scale="zero"`` round half up to a whole number first."""
     if isinstance(dtype, T.DecimalType) and number_scale == "declared":
-        return text.try_cast(dtype)
-    return text.try_cast(T.DecimalType(38, 0)).try_cast(dtype)
+        number = text.try_cast(dtype)
+    else:
+        number = text.try_cast(T.DecimalType(38, 0)).try_cast(dtype)
+    return F.when(text.rlike(_NUMBER), number)
 
 
 def to_boolean(text: Column) -> Column:
     word = F.lower(F.trim(text))
-    return F.when(word == "on", F.lit(True)).when(word == "off", F.lit(False)).otherwise(text.try_cast("boolean"))
+    return F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
 
 
 def to_date_mixed(text: Column) -> Column:
     """Date text, epoch days, or epoch milliseconds by magnitude."""
     number = text.try_cast(T.DecimalType(38, 0))
-    from_text = F.when(F.length(F.trim(text)) >= _SHORTEST_DATE, text.try_cast("date"))
-    from_millis = F.when(
-        F.abs(number) <= _MAX_MILLIS, F.timestamp_millis(number.cast("bigint")).cast("timestamp_ntz").cast("date")
-    )
-    return (
-        F.when(number.isNull(), from_text)
-        .when(F.abs(number) > EPOCH_DAYS_UP_TO, from_millis)
-        .otherwise(F.date_from_unix_date(number.cast("int")))
-    )
+    from_number = F.when(
+        F.abs(number) > EPOCH_DAYS_UP_TO,
+        F.when(
+            F.abs(number) <= _MAX_MILLIS, F.timestamp_millis(number.cast("bigint")).cast("timestamp_ntz").cast("date")
+        ),
+    ).otherwise(F.date_from_unix_date(number.cast("int")))
+    return F.when(text.rlike(_NUMBER), from_number).when(text.rlike(_DATE), text.try_cast("date"))
 
 
 def to_timestamp_ntz(text: Column) -> Column:
@@ -56,12 +66,12 @@ def to_timestamp_ntz(text: Column) -> Column:
         .when(number < EPOCH_MICROS_BELOW, number)
         .otherwise(F.call_function("div", number, F.lit(1_000)))
     )
-    no_seconds = F.regexp_replace(text, r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})\s*$", "$1")
-    from_text = F.when(
-        F.length(F.trim(text)) >= _SHORTEST_DATE,
-        F.coalesce(text.try_cast("timestamp_ntz"), no_seconds.try_cast("timestamp_ntz")),
+    no_zone = F.regexp_replace(text, _ZONE_AFTER_MINUTES, "$1")
+    return (
+        F.when(text.rlike(_DIGITS), F.timestamp_micros(micros).cast("timestamp_ntz"))
+        .when(text.rlike(_ZONE_AFTER_MINUTES), no_zone.try_cast("timestamp_ntz"))
+        .when(text.rlike(_DATE), text.try_cast("timestamp_ntz"))
     )
-    return F.when(number.isNotNull(), F.timestamp_micros(micros).cast("timestamp_ntz")).otherwise(from_text)
 
 
 def to_binary(text: Column) -> Column:

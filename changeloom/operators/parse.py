@@ -19,9 +19,9 @@ _ENVELOPE_SCHEMA = "array<struct<field string, fields variant>>"
 _ROW_SCHEMA = "array<struct<field string, name string>>"
 
 
-def _has(fields: Column, key: str) -> Column:
-    """Whether a key is present; a key with a null value counts."""
-    return F.coalesce(F.map_contains_key(fields, key), F.lit(False))
+def _get(v: Column, key: str) -> Column:
+    """Value of a key as a variant: SQL null when the key is absent, a variant null when its value is null."""
+    return F.try_variant_get(v, f"$.{key}", "variant")
 
 
 def _as_map(v: Column) -> Column:
@@ -39,7 +39,7 @@ def _now_millis(now_ms: int | Column | None) -> Column:
 
 
 def _decode(df: DataFrame, value: str) -> DataFrame:
-    """Add ``_root`` (variant) and ``_top`` (its top-level fields) for a text, binary, map or variant value."""
+    """Add ``_root`` (variant) for a text, binary, map or variant value."""
     kind = df.schema[value].dataType
     col = F.col(value)
     if isinstance(kind, T.VariantType):
@@ -48,15 +48,18 @@ def _decode(df: DataFrame, value: str) -> DataFrame:
         root = F.when(col.isNotNull(), F.try_parse_json(F.to_json(col)))
     else:
         root = F.try_parse_json(col.cast("string"))
-    return df.withColumn("_root", root).withColumn("_top", _as_map(F.col("_root")))
+    return df.withColumn("_root", root)
 
 
 def unwrap_payload(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``payload`` (variant): the inner object of ``{schema, payload}`` when both keys exist, else the root."""
-    out = df if "_top" in df.columns else _decode(df, value)
-    wrapped = _has(F.col("_top"), "schema") & _has(F.col("_top"), "payload")
-    out = out.withColumn("payload", F.when(wrapped, F.col("_top")["payload"]).otherwise(F.col("_root")))
-    return out if "_top" in df.columns else out.drop("_root", "_top")
+    return _unwrap(_decode(df, value)).drop("_root", "_schema")
+
+
+def _unwrap(df: DataFrame) -> DataFrame:
+    out = df.withColumn("_schema", _get(F.col("_root"), "schema"))
+    inner = F.when(F.col("_schema").isNotNull(), _get(F.col("_root"), "payload"))
+    return out.withColumn("payload", F.coalesce(inner, F.col("_root")))
 
 
 def detect_format(df: DataFrame, value: str = "value") -> DataFrame:
@@ -65,15 +68,21 @@ def detect_format(df: DataFrame, value: str = "value") -> DataFrame:
     if isinstance(kind, T.StructType):
         fmt = F.lit("envelope" if _is_envelope_struct(kind) else "flat")
         return df.withColumn("fmt", F.when(F.col(value).isNotNull(), fmt))
-    return _detect(df, value).drop("_root", "_top", "payload", "_fields")
+    is_object = _as_map(F.col("_root")).isNotNull()
+    fmt = F.when(F.col("_envelope"), F.lit("envelope")).when(is_object, F.lit("flat"))
+    return _detect(df, value).withColumn("fmt", fmt).drop(*_DECODED)
+
+
+_DECODED = ["_root", "_schema", "payload", "_op", "_before", "_after", "_envelope"]
 
 
 def _detect(df: DataFrame, value: str) -> DataFrame:
-    out = unwrap_payload(_decode(df, value), value)
-    out = out.withColumn("_fields", _as_map(F.col("payload")))
-    is_envelope = _has(F.col("_fields"), "op") & (_has(F.col("_fields"), "before") | _has(F.col("_fields"), "after"))
+    """Add the decoded parts of a JSON value and ``_envelope``: it has ``op`` and ``before`` or ``after``."""
+    out = _unwrap(_decode(df, value))
+    out = out.withColumns({f"_{key}": _get(F.col("payload"), key) for key in ("op", "before", "after")})
     return out.withColumn(
-        "fmt", F.when(F.col("_top").isNotNull(), F.when(is_envelope, F.lit("envelope")).otherwise(F.lit("flat")))
+        "_envelope",
+        F.col("_op").isNotNull() & (F.col("_before").isNotNull() | F.col("_after").isNotNull()),
     )
 
 
@@ -82,9 +91,9 @@ def row_image(op: Column, before: Column, after: Column) -> Column:
     return F.when(op == "d", before).otherwise(after)
 
 
-def logical_types_of(root: Column, op: Column) -> Column:
+def logical_types_of(schema: Column, op: Column) -> Column:
     """``MAP<STRING,STRING>`` column -> logical type, from the in-message schema of the chosen image."""
-    envelope = F.try_variant_get(root, "$.schema.fields", _ENVELOPE_SCHEMA)
+    envelope = F.try_variant_get(schema, "$.fields", _ENVELOPE_SCHEMA)
     wanted = F.when(op == "d", F.lit("before")).otherwise(F.lit("after"))
     image = F.get(F.filter(envelope, lambda x: x["field"] == wanted), F.lit(0))
     rows = F.filter(
@@ -96,9 +105,8 @@ def logical_types_of(root: Column, op: Column) -> Column:
 
 def logical_types(df: DataFrame, value: str = "value") -> DataFrame:
     """Add ``types``: the logical type of each column, as each message's own schema states it."""
-    out = _detect(df, value)
-    op = F.coalesce(F.col("_fields")["op"].cast("string"), F.lit("c"))
-    return out.withColumn("types", logical_types_of(F.col("_root"), op)).drop("_root", "_top", "payload", "_fields")
+    op = F.coalesce(F.col("_op").cast("string"), F.lit("c"))
+    return _detect(df, value).withColumn("types", logical_types_of(F.col("_schema"), op)).drop(*_DECODED)
 
 
 def parse_changes(
@@ -108,72 +116,78 @@ def parse_changes(
     logical: dict[str, str] | None = None,
     unwrap_flat: bool = False,
     timestamp_precision: str = "millis",
+    message_schemas: bool = True,
 ) -> DataFrame:
     """Change records -> parsed changes; the route follows the Spark type of the value column.
 
     Adds ``fmt, op, ts_ms, fields, missing_image, reject_reason`` and drops the value. ``reject_reason`` is one
     of ``null_value, malformed, not_object, bad_image`` or null; see ``apply_error_policy``.
+    ``message_schemas=False`` states that no message carries a schema and saves the look at it.
     """
     if isinstance(df.schema[value].dataType, T.StructType):
         return parse_struct(df, value, now_ms, logical, timestamp_precision)
+    envelope = F.col("_envelope")
+    own = F.col("payload") if unwrap_flat else F.col("_root")
     out = _detect(df, value)
-    envelope = F.col("fmt") == "envelope"
-    own = F.col("_fields") if unwrap_flat else F.col("_top")
-    out = (
-        out.withColumn("op", F.when(envelope, F.coalesce(F.col("_fields")["op"].cast("string"), F.lit("c"))).otherwise("c"))
-        .withColumn(
-            "ts_ms",
-            F.coalesce(
-                F.when(envelope, F.try_variant_get(F.col("_fields")["ts_ms"], "$", "bigint")), _now_millis(now_ms)
-            ),
-        )
-        .withColumn(
-            "_image",
-            F.when(envelope, row_image(F.col("op"), F.col("_fields")["before"], F.col("_fields")["after"])),
-        )
-        .withColumn("_row", F.when(envelope, _as_map(F.col("_image"))).otherwise(F.coalesce(own, F.col("_top"))))
-        .withColumn(
-            "_types",
-            F.when(envelope & _has(F.col("_top"), "schema"), logical_types_of(F.col("_root"), F.col("op"))),
-        )
+    out = out.withColumns(
+        {
+            "_op": F.when(envelope, F.coalesce(F.col("_op").cast("string"), F.lit("c"))).otherwise("c"),
+            "_ts_ms": F.coalesce(F.when(envelope, F.try_variant_get("payload", "$.ts_ms", "bigint")), _now_millis(now_ms)),
+        }
     )
-    no_image = F.col("_image").isNull() | F.is_variant_null(F.col("_image"))
-    reason = (
-        F.when(F.col(value).isNull(), F.lit("null_value"))
-        .when(F.col("_root").isNull(), F.lit("malformed"))
-        .when(F.col("_top").isNull(), F.lit("not_object"))
-        .when(envelope & ~no_image & F.col("_row").isNull(), F.lit("bad_image"))
+    out = out.withColumn(
+        "_image", F.when(envelope, row_image(F.col("_op"), F.col("_before"), F.col("_after"))).otherwise(own)
     )
+    out = out.withColumn("_row", _as_map(F.col("_image")))
+    no_image = F.col("_image").isNull() | F.is_variant_null(F.col("_image"))
     out = out.withColumns(
         {
-            "fields": F.coalesce(normalise_fields(F.col("_row"), F.col("_types"), timestamp_precision), _no_fields()),
-            "missing_image": F.coalesce(envelope & no_image, F.lit(False)),
-            "reject_reason": reason,
+            "_fmt": F.when(envelope, F.lit("envelope")).when(F.col("_row").isNotNull(), F.lit("flat")),
+            "_missing": F.coalesce(envelope & no_image, F.lit(False)),
+            "_reason": F.when(F.col(value).isNull(), F.lit("null_value"))
+            .when(F.col("_root").isNull(), F.lit("malformed"))
+            .when(envelope & ~no_image & F.col("_row").isNull(), F.lit("bad_image"))
+            .when(~envelope & F.col("_row").isNull(), F.lit("not_object")),
         }
     )
-    return out.drop(value, "_root", "_top", "payload", "_fields", "_image", "_row", "_types")
+    fields = F.col("_row")
+    if message_schemas:
+        types = F.when(envelope & F.col("_schema").isNotNull(), logical_types_of(F.col("_schema"), F.col("_op")))
+        out = out.withColumn("_types", types)
+        fields = normalise_fields(fields, F.col("_types"), timestamp_precision)
+    out = out.withColumn("_row", F.coalesce(fields, _no_fields()))
+    kept = [c for c in df.columns if c != value]
+    return _emit(out, kept, fmt="_fmt", op="_op", ts_ms="_ts_ms", fields="_row", missing_image="_missing", reject_reason="_reason")
+
+
+def _emit(df: DataFrame, kept: list[str], **parsed: str) -> DataFrame:
+    """Select the kept columns and the parsed ones, the latter as a one-row generator.
+
+    Filters on parsed columns stay above a generator, filters on the kept columns still go below it. With a plain
+    projection the optimizer would copy the whole parse into every such filter and run it again there.
+    """
+    row = F.struct(*[F.col(col).alias(name) for name, col in parsed.items()])
+    return df.select(*kept, F.inline_outer(F.array(row)))
 
 
 def parse_flat(df: DataFrame, value: str = "value", now_ms: int | Column | None = None) -> DataFrame:
     """Flat payloads only: all top-level keys become fields, the operation is ``c``, the time is now."""
     if isinstance(df.schema[value].dataType, T.StructType):
         return _finish_struct(df, value, F.lit("c"), _now_millis(now_ms), F.col(value), None, "millis", "flat")
-    out = _decode(df, value)
-    reason = (
-        F.when(F.col(value).isNull(), F.lit("null_value"))
-        .when(F.col("_root").isNull(), F.lit("malformed"))
-        .when(F.col("_top").isNull(), F.lit("not_object"))
-    )
-    return out.withColumns(
+    out = _decode(df, value).withColumn("_row", _as_map(F.col("_root")))
+    out = out.withColumns(
         {
-            "fmt": F.when(F.col("_top").isNotNull(), F.lit("flat")),
-            "op": F.lit("c"),
-            "ts_ms": _now_millis(now_ms),
-            "fields": F.coalesce(F.col("_top"), _no_fields()),
-            "missing_image": F.lit(False),
-            "reject_reason": reason,
+            "_fmt": F.when(F.col("_row").isNotNull(), F.lit("flat")),
+            "_op": F.lit("c"),
+            "_ts_ms": _now_millis(now_ms),
+            "_missing": F.lit(False),
+            "_reason": F.when(F.col(value).isNull(), F.lit("null_value"))
+            .when(F.col("_root").isNull(), F.lit("malformed"))
+            .when(F.col("_row").isNull(), F.lit("not_object")),
         }
-    ).drop(value, "_root", "_top")
+    ).withColumn("_row", F.coalesce(F.col("_row"), _no_fields()))
+    kept = [c for c in df.columns if c != value]
+    return _emit(out, kept, fmt="_fmt", op="_op", ts_ms="_ts_ms", fields="_row", missing_image="_missing", reject_reason="_reason")
 
 
 def parse_envelope(df: DataFrame, value: str = "value", now_ms: int | Column | None = None) -> DataFrame:
@@ -226,15 +240,14 @@ def _finish_struct(df, value, op, ts_ms, image, logical, precision, fmt) -> Data
     missing = F.col(value).isNotNull() & F.col("_image").isNull()
     out = out.withColumns(
         {
-            "fmt": F.when(F.col(value).isNotNull(), F.lit(fmt)),
-            "op": F.col("_op"),
-            "ts_ms": F.col("_ts"),
-            "fields": F.coalesce(struct_to_fields(F.col("_image"), kind, logical, precision), _no_fields()),
-            "missing_image": missing,
-            "reject_reason": F.when(F.col(value).isNull(), F.lit("null_value")),
+            "_fmt": F.when(F.col(value).isNotNull(), F.lit(fmt)),
+            "_row": F.coalesce(struct_to_fields(F.col("_image"), kind, logical, precision), _no_fields()),
+            "_missing": missing,
+            "_reason": F.when(F.col(value).isNull(), F.lit("null_value")),
         }
     )
-    return out.drop(value, "_op", "_ts", "_image")
+    kept = [c for c in df.columns if c != value]
+    return _emit(out, kept, fmt="_fmt", op="_op", ts_ms="_ts", fields="_row", missing_image="_missing", reject_reason="_reason")
 
 
 def parse_struct(

@@ -29,8 +29,8 @@ LOWER_BOUNDS = {
     "max_records": 1,
     "flush_seconds": 1,
     "max_bytes": 1,
-    "buckets": 1,
     "broadcast_bytes": 0,
+    "keep_versions": 1,
 }
 
 _CHOICES = {
@@ -71,9 +71,9 @@ class ReplicationOptions:
     columns: str = "target"
     empty_as_null: bool = False
     only_applied: bool = True
-    # Target layout: hash buckets of the key, and the largest change set joined by broadcast.
-    buckets: int = 1
+    # Largest change set joined by broadcast, and how many target versions stay readable.
     broadcast_bytes: int = 64 * 1024 * 1024
+    keep_versions: int = 5
 
     @classmethod
     def from_config(cls, config: dict[str, str], **extra) -> ReplicationOptions:

@@ -15,13 +15,20 @@ from changeloom.options import ReplicationOptions
 from changeloom.plans.schema import BLOCK, LOG_KEY, ingest_schema
 from changeloom.plans.target import TargetTable
 from changeloom.session import delete_path, path_exists
-from changeloom.sources.ingest_log import read_log, row_bytes
+from changeloom.sources.ingest_log import read_log
 
 
 def change_bytes(rows: DataFrame) -> int:
     """Estimated size of a written change set, by one aggregate over it."""
-    fields = F.try_variant_get(F.to_variant_object(F.struct(*rows.columns)), "$", "map<string,variant>")
-    return rows.agg(F.sum(row_bytes(fields))).first()[0] or 0
+    size = F.lit(16)
+    for f in rows.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = size + F.coalesce(F.length(f.name), F.lit(0)) + 8
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
+            size = size + F.coalesce(F.length(F.to_json(F.struct(f.name))), F.lit(0)) + 8
+        else:
+            size = size + 16
+    return rows.agg(F.sum(size.cast("bigint"))).first()[0] or 0
 
 
 def merge_tick(
@@ -34,7 +41,9 @@ def merge_tick(
     def rule(rows: DataFrame) -> DataFrame:
         return applied(classify_merge(rows, winners, pks, options.on_missing_update, small, winners))
 
-    return target.apply(winners, apply_id, rule)
+    done = target.apply(winners, apply_id, rule)
+    target.vacuum(options.keep_versions)
+    return done
 
 
 def apply_pending(

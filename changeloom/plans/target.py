@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.session import delete_path, path_exists
+from changeloom.session import child_names, delete_path, path_exists
 
 BUCKET = "_bucket"
 
@@ -100,7 +100,8 @@ class TargetTable:
         keyed.write.mode("overwrite").partitionBy(BUCKET).parquet(folder)
         rewritten = range(self.buckets) if buckets is None else buckets
         after = {b: v for b, v in current.items() if b not in set(rewritten)}
-        after.update({b: version for b in rewritten if path_exists(self.spark, f"{folder}/{BUCKET}={b}")})
+        written = child_names(self.spark, folder)
+        after.update({b: version for b in rewritten if f"{BUCKET}={b}" in written})
         # An empty table still records its version.
         lines = [(version, apply_id, b, v) for b, v in sorted(after.items())] or [(version, apply_id, 0, None)]
         manifest = self.spark.createDataFrame(lines, _MANIFEST).coalesce(1)

@@ -51,6 +51,15 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
 
 
+def child_names(spark: SparkSession, path: str) -> set[str]:
+    """Names directly below a folder, by one listing; empty when the folder does not exist."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(hadoop_path):
+        return set()
+    return {status.getPath().getName() for status in fs.listStatus(hadoop_path)}
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a path and everything below it, through the Hadoop file system of its scheme."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

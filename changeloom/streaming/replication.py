@@ -11,9 +11,13 @@ watermark: a change that arrives in a later batch overwrites, whatever its offse
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -23,7 +27,7 @@ from changeloom.operators.parse import apply_error_policy, parse_changes
 from changeloom.operators.retention import retention_due
 from changeloom.options import ReplicationOptions
 from changeloom.plans.pending import change_bytes, merge_tick
-from changeloom.plans.schema import BLOCK, DATETIME, OP, ingest_schema
+from changeloom.plans.schema import BLOCK, DATETIME, OFFSET, OP, PARTITION, TOPIC, ingest_schema
 from changeloom.plans.target import TargetTable
 from changeloom.session import delete_path, path_exists
 from changeloom.sources.ingest_log import (
@@ -85,6 +89,10 @@ class Paths:
     def rejects(self) -> str:
         return f"{self.root}/rejects"
 
+    @property
+    def null_keys(self) -> str:
+        return f"{self.root}/rejects-null-keys"
+
     @property
     def applied(self) -> str:
         return f"{self.root}/applied"
@@ -101,22 +109,12 @@ class Paths:
         return f"{self.root}/checkpoint-{name}"
 
 
-def _parse(batch: DataFrame, options: ReplicationOptions, paths: Paths, block_id: str, logical) -> DataFrame:
-    parsed = parse_changes(batch, logical=logical, timestamp_precision=options.timestamp_precision)
-    good, bad = apply_error_policy(parsed, options.on_error, options.tombstones)
-    if bad is not None:
-        bad.write.mode("overwrite").parquet(f"{paths.rejects}/{BLOCK}={block_id}")
-    return good
-
-
 def _without_null_keys(rows: DataFrame, options: ReplicationOptions, paths: Paths, pks, block_id: str) -> DataFrame:
     if options.null_keys != "quarantine":
         return rows
-    complete = rows.dropna(subset=list(pks))
-    rows.where(~F.forall(F.array(*[F.col(pk).isNotNull() for pk in pks]), lambda x: x)).write.mode("overwrite").parquet(
-        f"{paths.rejects}-null-keys/{BLOCK}={block_id}"
-    )
-    return complete
+    null_key = reduce(lambda a, b: a | b, [F.col(pk).isNull() for pk in pks])
+    rows.where(null_key).drop(BLOCK).write.mode("overwrite").parquet(f"{paths.null_keys}/{BLOCK}={block_id}")
+    return rows.where(~null_key)
 
 
 def ingest_batch(
@@ -133,23 +131,37 @@ def ingest_batch(
     schema = ingest_schema(target.schema)
     if path_exists(spark, f"{paths.log}/{BLOCK}={block_id}/_SUCCESS"):
         return
-    parsed = _parse(batch, options, paths, block_id, logical)
-    columns = first_record_keys(parsed) if options.columns == "first_record" else "target"
-    if land:
+    parsed = parse_changes(batch, logical=logical, timestamp_precision=options.timestamp_precision)
+    # Several passes over the same parse: keep it for the length of this micro-batch.
+    several = options.on_error == "quarantine" or options.columns == "first_record" or options.null_keys == "quarantine"
+    if several:
+        parsed = parsed.persist()
+    try:
+        good, bad = apply_error_policy(parsed, options.on_error, options.tombstones)
+        if bad is not None:
+            bad.write.mode("overwrite").parquet(f"{paths.rejects}/{BLOCK}={block_id}")
+        columns = first_record_keys(good) if options.columns == "first_record" else "target"
+        load = {"columns": columns, "number_scale": options.number_scale, "empty_as_null": options.empty_as_null}
         folder = f"{paths.landing}/{block_id}"
-        land_json_lines(parsed, folder, block_id)
-        rows = read_landed(
-            spark, folder, schema, columns=columns, number_scale=options.number_scale, empty_as_null=options.empty_as_null
-        )
-    else:
-        rows = to_ingest(
-            parsed, schema, block_id, columns, number_scale=options.number_scale, empty_as_null=options.empty_as_null
-        )
-    rows = _without_null_keys(rows, options, paths, target.pks, block_id)
-    existing = prune_to_offsets(read_log(spark, paths.log, schema), rows) if path_exists(spark, paths.log) else None
-    write_block(dedup_ingest(rows, existing), paths.log, block_id)
-    if land:
-        delete_path(spark, folder)
+        if land:
+            land_json_lines(good, folder, block_id)
+            rows = read_landed(spark, folder, schema, **load)
+        else:
+            rows = to_ingest(good, schema, block_id, **load)
+        rows = _without_null_keys(rows, options, paths, target.pks, block_id)
+        existing = None
+        if path_exists(spark, paths.log):
+            # The position columns of the source are enough to find the offsets, without parsing.
+            arrived = batch.select(
+                F.col("topic").alias(TOPIC), F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET)
+            )
+            existing = prune_to_offsets(read_log(spark, paths.log, schema), arrived)
+        write_block(dedup_ingest(rows, existing), paths.log, block_id)
+        if land:
+            delete_path(spark, folder)
+    finally:
+        if several:
+            parsed.unpersist()
 
 
 def apply_block_batch(block_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths) -> bool:
@@ -157,7 +169,9 @@ def apply_block_batch(block_id: str, target: TargetTable, options: ReplicationOp
     block = read_block(target.spark, paths.log, ingest_schema(target.schema), block_id)
     pks = list(target.pks)
     small = change_bytes(block.where(F.col(OP).isin("u", "d"))) <= options.broadcast_bytes
-    return target.apply(block, f"block:{block_id}", lambda rows: apply_block(rows, block, pks, small))
+    done = target.apply(block, f"block:{block_id}", lambda rows: apply_block(rows, block, pks, small))
+    target.vacuum(options.keep_versions)
+    return done
 
 
 def _mark_applied(batch: DataFrame, paths: Paths, apply_id: str) -> None:
@@ -300,6 +314,24 @@ def start_apply(
     )
 
 
+def with_restarts(start: Callable[[], StreamingQuery], wait_seconds: float, max_restarts: int | None = None) -> None:
+    """Run a query to its end and start it again after a failure; each restart takes the failed batch again.
+
+    For the apply query of merge mode: a failed tick is retried after the apply interval. ``max_restarts`` bounds the
+    retries; the last failure is raised. The ingest query is not restarted, its failure ends the job.
+    """
+    restarts = 0
+    while True:
+        try:
+            start().awaitTermination()
+            return
+        except StreamingQueryException:
+            if max_restarts is not None and restarts >= max_restarts:
+                raise
+            restarts += 1
+            time.sleep(wait_seconds)
+
+
 def merge_batch(
     batch: DataFrame, apply_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths
 ) -> bool:

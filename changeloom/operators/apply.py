@@ -23,6 +23,21 @@ def pk_match(pks: list[str], left: str, right: str) -> Column:
     return reduce(lambda a, b: a & b, [F.col(f"{left}.{pk}") == F.col(f"{right}.{pk}") for pk in pks])
 
 
+def join_summary(left: DataFrame, summary: DataFrame, pks: list[str], how: str, small: bool = False) -> DataFrame:
+    """Join rows ``t``, whose keys may repeat, with a summary ``s`` of one row per key.
+
+    By broadcast when the summary is known to be small. Otherwise the join gets a second key that is always 0 but
+    that the optimizer cannot fold: it makes both sides arrive by their own shuffle, which is the shape adaptive
+    execution needs to split a hot key of the left side over several tasks. A summary that came straight out of its
+    aggregate would leave such a key to a single task.
+    """
+    if small:
+        return left.alias("t").join(F.broadcast(summary).alias("s"), pk_match(pks, "t", "s"), how)
+    zero = F.pmod(F.xxhash64(*pks), F.lit(1))
+    left, summary = left.withColumn("_zero", zero).alias("t"), summary.withColumn("_zero", zero).alias("s")
+    return left.join(summary, pk_match([*pks, "_zero"], "t", "s"), how)
+
+
 def winners_of(batch: DataFrame, pks: list[str], columns: list[str]) -> DataFrame:
     """Business columns and operation of the latest change per key of one batch."""
     return latest_per_key(batch.select(*columns, OP, OFFSET, PARTITION, TOPIC), pks).select(*columns, OP)
@@ -160,9 +175,7 @@ def update_block(target: DataFrame, block: DataFrame, pks: list[str], small_bloc
     if not values:
         return target
     updates = winners_of(block.where(F.col(OP) == "u"), pks, target.columns)
-    joined = target.alias("t").join(
-        (F.broadcast(updates) if small_block else updates).alias("s"), pk_match(pks, "t", "s"), "left_outer"
-    )
+    joined = join_summary(target, updates, pks, "left_outer", small_block)
     hit = F.col(f"s.{OP}").isNotNull()
     return joined.select(
         *[
@@ -175,8 +188,7 @@ def update_block(target: DataFrame, block: DataFrame, pks: list[str], small_bloc
 def delete_block(target: DataFrame, block: DataFrame, pks: list[str], small_block: bool = False) -> DataFrame:
     """Remove every target row whose key has a delete in the block."""
     deletes = block.where(F.col(OP) == "d").select(*pks).distinct()
-    right = F.broadcast(deletes) if small_block else deletes
-    return target.alias("t").join(right.alias("s"), pk_match(pks, "t", "s"), "left_anti")
+    return join_summary(target, deletes, pks, "left_anti", small_block).select(*target.columns)
 
 
 def block_summary(block: DataFrame, pks: list[str], columns: list[str]) -> DataFrame:
@@ -202,9 +214,7 @@ def classify_block(target: DataFrame, block: DataFrame, pks: list[str], small_bl
         block.where(F.col(OP).isin(*UPSERT_OPS)).select(*columns, F.lit(INSERTED).alias(ACTION))
     )
     summary = block_summary(block, pks, columns)
-    joined = rows.alias("t").join(
-        (F.broadcast(summary) if small_block else summary).alias("s"), pk_match(pks, "t", "s"), "left_outer"
-    )
+    joined = join_summary(rows, summary, pks, "left_outer", small_block)
     hit = F.coalesce(F.col("s._new._hit"), F.lit(False)) if values else F.lit(False)
     return joined.select(
         *[

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeloom.operators.apply import pk_match
+from changeloom.operators.apply import join_summary
 from changeloom.operators.select import APPLIED_OPS, UPSERT_OPS, latest_per_key
 from changeloom.plans.schema import OFFSET, OP, PARTITION, TOPIC, non_pk_columns
 
@@ -86,8 +86,7 @@ def replay_blocks(
             F.max_by(F.struct(F.col("_block").alias("_at"), *values), F.when(is_update, order)).alias("_new"),
         )
     )
-    # One row per key on the right side; the left side may repeat a key and adaptive execution splits such groups.
-    joined = born.alias("t").join(summary.alias("s"), pk_match(pks, "t", "s"), "left_outer")
+    joined = join_summary(born, summary, pks, "left_outer")
     at = F.col("t._block")
     lives = at > F.coalesce(F.col("s._deleted"), F.lit(_NEVER))
     newer = F.coalesce(F.col("s._new._at") >= at, F.lit(False))

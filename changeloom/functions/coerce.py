@@ -26,6 +26,7 @@ FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
 # works. Text that cannot fit is therefore recognised by its shape first.
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _DIGITS = r"^\s*[+-]?\d{1,19}\s*$"
+_SHORT_DIGITS = r"^[+-]?\d{1,18}$"
 _DATE = r"^\s*[+-]?\d{4,}-\d{1,2}-\d{1,2}"
 _ZONE_AFTER_MINUTES = r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})\s*$"
 
@@ -33,10 +34,11 @@ _ZONE_AFTER_MINUTES = r"([T ]\d{1,2}:\d{2})(Z|[+-]\d{2}:?\d{2})\s*$"
 def to_number(text: Column, dtype: T.DataType, number_scale: str = "declared") -> Column:
     """Text -> number. Integer types and ``number_scale="zero"`` round half up to a whole number first."""
     if isinstance(dtype, T.DecimalType) and number_scale == "declared":
-        number = text.try_cast(dtype)
-    else:
-        number = text.try_cast(T.DecimalType(38, 0)).try_cast(dtype)
-    return F.when(text.rlike(_NUMBER), number)
+        return F.when(text.rlike(_NUMBER), text.try_cast(dtype))
+    rounded = text.try_cast(T.DecimalType(38, 0)).try_cast(dtype)
+    if isinstance(dtype, T.IntegralType):
+        return F.when(text.rlike(_SHORT_DIGITS), text.try_cast(dtype)).when(text.rlike(_NUMBER), rounded)
+    return F.when(text.rlike(_NUMBER), rounded)
 
 
 def to_boolean(text: Column) -> Column:

@@ -86,7 +86,7 @@ def _nanos_of_day(amount: Column, unit: str) -> Column:
 def iso_ts_text(ts: Column) -> Column:
     """ISO UTC text that leaves out zero seconds and zero fractions, such as ``2024-01-01T03:04Z``."""
     text = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    return F.concat(_short_time(text, ":00.000000", ".000000", "000"), F.lit("Z"))
+    return F.concat(F.regexp_replace(text, r"(:00\.000000|\.000000|000)$", ""), F.lit("Z"))
 
 
 def iso_time_text(amount: Column, unit: str) -> Column:
@@ -101,15 +101,7 @@ def iso_time_text(amount: Column, unit: str) -> Column:
         F.lit("."),
         F.lpad((nanos % 1_000_000_000).cast("string"), 9, "0"),
     )
-    return _short_time(text, ":00.000000000", ".000000000", "000000", "000")
-
-
-def _short_time(text: Column, *endings: str) -> Column:
-    """Drop the first of ``endings`` the text ends with."""
-    out = F.when(text.isNull(), F.lit(None).cast("string"))
-    for ending in endings:
-        out = out.when(text.endswith(ending), F.left(text, F.length(text) - len(ending)))
-    return out.otherwise(text)
+    return F.regexp_replace(text, r"(:00\.000000000|\.000000000|000000|000)$", "")
 
 
 def logical_text(number: Column, name: str | Column, precision: str = "millis") -> Column:
@@ -143,18 +135,29 @@ def _text_of(number: Column, kind: str, unit: str, precision: str) -> Column:
 
 def is_number(v: Column) -> Column:
     """Whether a variant holds a number (a quoted number is text, not a number)."""
-    return F.schema_of_variant(v).rlike("^(BIGINT|DECIMAL|DOUBLE|FLOAT|INT|SMALLINT|TINYINT)")
+    kind = F.schema_of_variant(v)
+    return kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
+
+
+def is_logical(v: Column, name: Column) -> Column:
+    """Whether a value is a number with a known logical type."""
+    return F.coalesce(name.isin(list(LOGICAL_TYPES)) & is_number(v), F.lit(False))
+
+
+def type_of(types: Column, column: Column | str) -> Column:
+    """Logical type of a column in ``ARRAY<STRUCT<field, name>>``, or null."""
+    return F.get(types["name"], F.array_position(types["field"], column) - 1)
 
 
 def normalise_fields(fields: Column, types: Column, precision: str = "millis") -> Column:
-    """Replace numbers by ISO text in ``MAP<STRING,VARIANT>``, by the row's own column -> logical type map."""
+    """Replace numbers by ISO text in ``MAP<STRING,VARIANT>``, by the row's own column types."""
 
     def one(key: Column, v: Column) -> Column:
-        known = types[key].isin(list(LOGICAL_TYPES)) & is_number(v)
-        text = F.when(known, logical_text(F.try_variant_get(v, "$", "bigint"), types[key], precision))
-        return F.when(text.isNotNull(), text.cast("variant")).otherwise(v)
+        name = type_of(types, key)
+        text = F.when(is_logical(v, name), logical_text(F.try_variant_get(v, "$", "bigint"), name, precision))
+        return F.coalesce(text.cast("variant"), v)
 
-    return F.when(F.coalesce(F.size(types), F.lit(0)) > 0, F.transform_values(fields, one)).otherwise(fields)
+    return F.when(types.isNotNull(), F.transform_values(fields, one)).otherwise(fields)
 
 
 def avro_logical_types(schema_json: str) -> dict[str, str]:

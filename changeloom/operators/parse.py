@@ -91,22 +91,20 @@ def row_image(op: Column, before: Column, after: Column) -> Column:
     return F.when(op == "d", before).otherwise(after)
 
 
-def logical_types_of(schema: Column, op: Column) -> Column:
-    """``MAP<STRING,STRING>`` column -> logical type, from the in-message schema of the chosen image."""
-    envelope = F.try_variant_get(schema, "$.fields", _ENVELOPE_SCHEMA)
-    wanted = F.when(op == "d", F.lit("before")).otherwise(F.lit("after"))
-    image = F.get(F.filter(envelope, lambda x: x["field"] == wanted), F.lit(0))
-    rows = F.filter(
-        F.try_variant_get(image["fields"], "$", _ROW_SCHEMA),
-        lambda x: (F.trim(x["field"]) != "") & (F.trim(x["name"]) != ""),
-    )
-    return F.map_from_entries(rows)
+def _message_types(df: DataFrame, when: Column) -> DataFrame:
+    """Add ``_types``: ``ARRAY<STRUCT<field, name>>`` of the chosen image in the message's own schema, else null."""
+    wanted = F.when(F.col("_op") == "d", F.lit("before")).otherwise(F.lit("after"))
+    out = df.withColumn("_images", F.when(when, F.try_variant_get("_schema", "$.fields", _ENVELOPE_SCHEMA)))
+    image = F.get(F.col("_images")["fields"], F.array_position(F.col("_images")["field"], wanted) - 1)
+    return out.withColumn("_types", F.when(F.col("_images").isNotNull(), F.try_variant_get(image, "$", _ROW_SCHEMA)))
 
 
 def logical_types(df: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``types``: the logical type of each column, as each message's own schema states it."""
-    op = F.coalesce(F.col("_op").cast("string"), F.lit("c"))
-    return _detect(df, value).withColumn("types", logical_types_of(F.col("_schema"), op)).drop(*_DECODED)
+    """Add ``types`` (``MAP<STRING,STRING>``): the logical type of each column, as each message's schema states it."""
+    out = _detect(df, value).withColumn("_op", F.coalesce(F.col("_op").cast("string"), F.lit("c")))
+    out = _message_types(out, F.col("_schema").isNotNull())
+    named = F.filter("_types", lambda x: (F.trim(x["field"]) != "") & (F.trim(x["name"]) != ""))
+    return out.withColumn("types", F.map_from_entries(named)).drop(*_DECODED, "_images", "_types")
 
 
 def parse_changes(
@@ -150,12 +148,10 @@ def parse_changes(
             .when(~envelope & F.col("_row").isNull(), F.lit("not_object")),
         }
     )
-    fields = F.col("_row")
     if message_schemas:
-        types = F.when(envelope & F.col("_schema").isNotNull(), logical_types_of(F.col("_schema"), F.col("_op")))
-        out = out.withColumn("_types", types)
-        fields = normalise_fields(fields, F.col("_types"), timestamp_precision)
-    out = out.withColumn("_row", F.coalesce(fields, _no_fields()))
+        out = _message_types(out, envelope & F.col("_schema").isNotNull())
+        out = out.withColumn("_row", normalise_fields(F.col("_row"), F.col("_types"), timestamp_precision))
+    out = out.withColumn("_row", F.coalesce(F.col("_row"), _no_fields()))
     kept = [c for c in df.columns if c != value]
     return _emit(out, kept, fmt="_fmt", op="_op", ts_ms="_ts_ms", fields="_row", missing_image="_missing", reject_reason="_reason")
 

@@ -115,8 +115,16 @@ ORACLE: dict[str, str] = {
     "parse_envelope_schema": f"""with {O} select o_orderkey, cast(o_orderdate as date) as o_orderdate,
         date_trunc('millisecond', o_orderdate + to_microseconds(off * 1001)) as entered, o_orderstatus,
         off as "KFK_OFFSET", op as "KFK_OP" from o""",
+    "parse_lineitem": """select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
+        l_tax, l_returnflag, l_linestatus, l_shipdate, l_orderkey * 8 + l_linenumber as "KFK_OFFSET",
+        case when l_returnflag = 'R' then 'd' when l_linestatus = 'F' then 'u' else 'c' end as "KFK_OP",
+        l_shipdate as "KFK_DATETIME" from lineitem""",
     "logical_types": f"""with {O} select off as "offset", 2 as n_types, 'io.debezium.time.Date' as date_type,
         'io.debezium.time.MicroTimestamp' as entered_type, cast(null as varchar) as status_type from o""",
+    "normalise_fields": f"""with {O}, n as (select *, strftime(date_trunc('millisecond', o_orderdate
+        + to_microseconds(off * 1001)), '%Y-%m-%dT%H:%M:%S.%f') as txt from o)
+        select off as "offset", cast(o_orderkey as varchar) as o_orderkey,
+        strftime(o_orderdate, '%Y-%m-%d') as o_orderdate, {_short("txt")} || 'Z' as entered, o_orderstatus from n""",
     "unwrap_payload": "select event_id, user_id from events",
     "parse_struct_envelope": f"""with {O} select o_orderkey, o_orderdate,
         '{{"id":' || o_custkey || ',"status":"' || o_orderstatus || '"}}' as customer,

@@ -231,6 +231,46 @@ def q_parse_envelope_schema(spark, sf_dir):
     return rows.select(*_ENTERED_SCHEMA.names, OFFSET, OP)
 
 
+L_SCHEMA = T.StructType(
+    [
+        T.StructField("l_orderkey", T.LongType()),
+        T.StructField("l_partkey", T.LongType()),
+        T.StructField("l_suppkey", T.LongType()),
+        T.StructField("l_linenumber", T.IntegerType()),
+        T.StructField("l_quantity", T.DoubleType()),
+        T.StructField("l_extendedprice", T.DoubleType()),
+        T.StructField("l_discount", T.DoubleType()),
+        T.StructField("l_tax", T.DoubleType()),
+        T.StructField("l_returnflag", T.StringType()),
+        T.StructField("l_linestatus", T.StringType()),
+        T.StructField("l_shipdate", T.TimestampNTZType()),
+    ]
+)
+
+
+def records_l(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as change records: returned lines are deletes, finished lines updates, open lines creates."""
+    row = row_text(L_SCHEMA.names)
+    op = F.when(F.col("l_returnflag") == "R", "d").when(F.col("l_linestatus") == "F", "u").otherwise("c")
+    text = F.concat(
+        F.lit('{"before":'), F.when(op == "d", row).otherwise("null"),
+        F.lit(',"after":'), F.when(op == "d", "null").otherwise(row),
+        F.lit(',"op":"'), op, F.lit('","ts_ms":'), F.unix_millis(F.col("l_shipdate").cast("timestamp")).cast("string"), F.lit("}"),
+    )
+    return table(spark, sf_dir, "lineitem").select(
+        F.lit("cdc.lineitem").alias("topic"),
+        (F.col("l_orderkey") % 8).cast("int").alias("partition"),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
+        text.alias("value"),
+    )
+
+
+def q_parse_lineitem(spark, sf_dir):
+    """Envelope text of every line item, parsed and cast to its eleven typed columns."""
+    parsed, _ = ps.apply_error_policy(ps.parse_changes(records_l(spark, sf_dir), now_ms=NOW_MS))
+    return il.to_ingest(parsed, ingest_schema(L_SCHEMA), "block-0").select(*L_SCHEMA.names, OFFSET, OP, DATETIME)
+
+
 def q_logical_types(spark, sf_dir):
     typed = ps.logical_types(_schema_records(spark, sf_dir))
     return typed.select(
@@ -242,6 +282,14 @@ def q_logical_types(spark, sf_dir):
     )
 
 
+def q_normalise_fields(spark, sf_dir):
+    """The same messages with dates and times as ISO text in the field map, as landing files carry them."""
+    parsed = ps.parse_changes(_schema_records(spark, sf_dir), now_ms=NOW_MS)
+    return parsed.select(
+        "offset", *[F.col("fields")[name].cast("string").alias(name) for name in _ENTERED_SCHEMA.names]
+    )
+
+
 def q_unwrap_payload(spark, sf_dir):
     value = F.when(
         F.col("event_type") == "view", F.concat(F.lit('{"schema":null,"payload":'), _user(), F.lit("}"))

@@ -32,13 +32,15 @@ def meta_columns(block_id: str | Column) -> dict[str, Column]:
 
 
 def field_of(fields: Column, name: str, keys: str = "ignore_case") -> Column:
-    """One business value by column name. With ``ignore_case`` the map must hold upper-cased keys."""
-    return fields[name.upper() if keys == "ignore_case" else name]
+    """One business value by column name.
 
-
-def upper_keys(fields: Column) -> Column:
-    """Field map with upper-cased keys, so that columns and JSON keys match in any case."""
-    return F.transform_keys(fields, lambda key, _: F.upper(key))
+    With ``ignore_case`` the usual spellings are looked up first; only a row that has none of them is searched.
+    """
+    if keys != "ignore_case":
+        return fields[name]
+    spellings = dict.fromkeys([name, name.lower(), name.upper()])
+    same = F.filter(F.map_keys(fields), lambda key: F.upper(key) == name.upper())
+    return F.coalesce(*[fields[spelling] for spelling in spellings], fields[F.get(same, F.lit(0))])
 
 
 def first_record_keys(parsed: DataFrame) -> list[str]:
@@ -67,8 +69,6 @@ def to_ingest(
     loaded = None if columns == "target" else {name.upper() for name in columns}
     meta = meta_columns(block_id)
     fields = F.col("fields")
-    if keys == "ignore_case":
-        parsed, fields = parsed.withColumn("_by_name", upper_keys(fields)), F.col("_by_name")
     out = []
     for f in schema.fields:
         if f.name.upper() in meta:

@@ -7,9 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom.functions.coerce import coerce
-from changeloom.plans.schema import BLOCK
 from changeloom.session import delete_path
-from changeloom.sources.ingest_log import append_ingest, meta_columns, upper_keys
+from changeloom.sources.ingest_log import append_ingest, field_of, meta_columns
 
 
 def landing_lines(parsed: DataFrame, block_id) -> DataFrame:
@@ -34,15 +33,13 @@ def load_lines(
 ) -> DataFrame:
     """Landed JSON text -> typed change-log rows. ``columns`` lists the columns to load; the others stay null."""
     loaded = None if columns == "target" else {name.upper() for name in columns}
-    rows = lines.select(
-        upper_keys(F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>")).alias("fields")
-    )
+    rows = lines.select(F.try_variant_get(F.try_parse_json("value"), "$", "map<string,variant>").alias("fields"))
     out = []
     for f in schema.fields:
         if loaded is not None and f.name.upper() not in loaded and not f.name.upper().startswith("KFK_"):
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
-            out.append(coerce(F.col("fields")[f.name.upper()], f.dataType, number_scale, empty_as_null).alias(f.name))
+            out.append(coerce(field_of(F.col("fields"), f.name), f.dataType, number_scale, empty_as_null).alias(f.name))
     return rows.select(*out)
 
 

@@ -6,15 +6,37 @@ leaves the target where it is; otherwise one shuffle join on the key does the wo
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from changeloom.operators.select import UPSERT_OPS, latest_per_key
 from changeloom.plans.schema import OFFSET, OP, PARTITION, TOPIC, business_columns, non_pk_columns
 
 ACTION = "_action"
+
+
+@dataclass(frozen=True)
+class ApplyMetrics:
+    """What one change set did to the target. ``dropped`` winners had nothing to act on (merge mode only)."""
+
+    inserted: int = 0
+    updated: int = 0
+    deleted: int = 0
+    dropped: int = 0
+
+
+def observed(counts: Observation) -> dict[str, int]:
+    """Counts of a finished observation; empty when the optimizer found that no row could pass it."""
+    try:
+        return counts.get
+    except Py4JJavaError:
+        return {}
+
+
 KEPT, INSERTED, UPDATED, DELETED, DROPPED = "kept", "inserted", "updated", "deleted", "dropped"
 
 
@@ -110,6 +132,12 @@ def applied(classified: DataFrame) -> DataFrame:
     return classified.where(~F.col(ACTION).isin(DELETED, DROPPED)).drop(ACTION)
 
 
+def observe_merge(classified: DataFrame, metrics: Observation) -> DataFrame:
+    """Count the actions of a classified merge while it is written, without another pass."""
+    counts = [F.count_if(F.col(ACTION) == name).alias(name) for name in (INSERTED, UPDATED, DELETED, DROPPED)]
+    return classified.observe(metrics, *counts)
+
+
 def merge_changes(
     target: DataFrame,
     batch: DataFrame,
@@ -227,10 +255,24 @@ def classify_block(target: DataFrame, block: DataFrame, pks: list[str], small_bl
     )
 
 
+def observe_block(classified: DataFrame, metrics: Observation) -> DataFrame:
+    """Count the affected rows of a classified block while it is written, without another pass."""
+    return classified.observe(
+        metrics,
+        F.count_if(F.col(ACTION) == INSERTED).alias(INSERTED),
+        F.count_if("_updated").alias(UPDATED),
+        F.count_if("_gone").alias(DELETED),
+    )
+
+
+def surviving(classified: DataFrame) -> DataFrame:
+    """The new target rows of a classified block."""
+    return classified.where(~F.col("_gone")).drop(ACTION, "_updated", "_gone")
+
+
 def apply_block(target: DataFrame, block: DataFrame, pks: list[str], small_block: bool = False) -> DataFrame:
     """Block mode: insert, update, delete of one block, in that order, as one plan."""
-    out = classify_block(target, block, pks, small_block)
-    return out.where(~F.col("_gone")).drop(ACTION, "_updated", "_gone")
+    return surviving(classify_block(target, block, pks, small_block))
 
 
 def block_counts(target: DataFrame, block: DataFrame, pks: list[str], small_block: bool = False) -> DataFrame:

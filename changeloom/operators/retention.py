@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeloom.operators.select import BatchBound, older_than
 from changeloom.plans.schema import BLOCK, LOG_KEY
+from changeloom.session import path_exists
 
 
 def _kept_unless(gone: Column) -> Column:
@@ -52,3 +53,15 @@ def expire_rows(
 def retention_due(last_ms: int, interval_seconds: int, now_ms: int) -> bool:
     """Whether expiry runs now: at most once per interval, always with interval 0, always the first time."""
     return interval_seconds <= 0 or now_ms - last_ms >= interval_seconds * 1000
+
+
+def last_expiry(spark: SparkSession, path: str) -> int:
+    """Time of the last expiry in epoch milliseconds, as kept next to the job; 0 before the first."""
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        return 0
+    return spark.read.parquet(path).agg(F.max("last_ms")).first()[0] or 0
+
+
+def note_expiry(spark: SparkSession, path: str, now_ms: int) -> None:
+    """Keep the time of an expiry."""
+    spark.range(1).select(F.lit(now_ms).cast("bigint").alias("last_ms")).write.mode("overwrite").parquet(path)

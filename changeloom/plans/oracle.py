@@ -112,7 +112,7 @@ ORACLE: dict[str, str] = {
     "parse_flat": f"""select {O_COLS}, 'c' as "KFK_OP", o_orderkey as "KFK_OFFSET" from orders""",
     "parse_envelope": f"""with {O} select {O_COLS}, part as "KFK_PARTITION", off as "KFK_OFFSET", op as "KFK_OP",
         o_orderdate as "KFK_DATETIME" from o""",
-    "parse_envelope_schema": f"""with {O} select o_orderkey, cast(o_orderdate as date) as o_orderdate,
+    "parse_envelope_schema": f"""with {O} select o_orderkey, strftime(o_orderdate, '%Y-%m-%d') as o_orderdate,
         date_trunc('millisecond', o_orderdate + to_microseconds(off * 1001)) as entered, o_orderstatus,
         off as "KFK_OFFSET", op as "KFK_OP" from o""",
     "parse_lineitem": """select l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount,
@@ -143,7 +143,7 @@ ORACLE: dict[str, str] = {
         case {_KIND} when 'error' then event_id else event_id + 1 end as n from events""",
     "missing_image": f"""select event_id, {_KIND} in ('view', 'click', 'error') as missing_image,
         case {_KIND} when 'signup' then 1 else 0 end as n_fields, cast(null as varchar) as reject_reason from events""",
-    "logical_date": """select o_orderkey, date '1970-01-01' + cast(o_orderkey - 5000 as int) as d from orders""",
+    "logical_date": """select o_orderkey, strftime(date '1970-01-01' + cast(o_orderkey - 5000 as int), '%Y-%m-%d') as d from orders""",
     "logical_ts_millis": f"""select event_id, {_at_ms("event_id * 86399999 - 1000000000000")} as t from events""",
     "logical_ts_micros": f"""select event_id, {_at_ms(_CUT_MS)} as t, {_at_us(_US)} as exact,
         {_short(_TS_TEXT)} || 'Z' as text from events""",
@@ -158,7 +158,7 @@ ORACLE: dict[str, str] = {
     "coerce_float": f"select event_id, case when {_KIND} <> 'error' then value end as x from events",
     "coerce_boolean": f"""select event_id, case {_KIND} when 'signup' then true when 'click' then true
         when 'view' then false when 'purchase' then false end as flag from events""",
-    "coerce_date_mixed": f"select event_id, case when {_KIND} <> 'error' then cast(ts as date) end as d from events",
+    "coerce_date_mixed": f"select event_id, case when {_KIND} <> 'error' then strftime(ts, '%Y-%m-%d') end as d from events",
     "coerce_timestamp": f"""select event_id, case {_KIND} when 'signup' then date_trunc('minute', ts)
         when 'view' then date_trunc('millisecond', ts) when 'click' then date_trunc('second', ts) else ts end as t
         from events""",

@@ -3,18 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.operators.apply import applied, classify_merge, winners_of
-from changeloom.operators.retention import expire_rows, remove_batch
+from changeloom.operators.apply import ApplyMetrics, applied, classify_merge, observe_merge, observed, winners_of
+from changeloom.operators.retention import expire_rows, last_expiry, note_expiry, remove_batch, retention_due
 from changeloom.operators.select import has_pending, take_batch
 from changeloom.options import ReplicationOptions
-from changeloom.plans.schema import BLOCK, LOG_KEY, ingest_schema
+from changeloom.plans.schema import BLOCK, ingest_schema
 from changeloom.plans.target import TargetTable
-from changeloom.session import delete_path, path_exists
+from changeloom.session import child_names, delete_path, path_exists
 from changeloom.sources.ingest_log import read_log
 
 
@@ -33,17 +34,23 @@ def change_bytes(rows: DataFrame) -> int:
 
 def merge_tick(
     target: TargetTable, winners: DataFrame, apply_id: str, options: ReplicationOptions
-) -> bool:
-    """Merge written winners into the target once. The join is a broadcast when their measured size allows it."""
+) -> ApplyMetrics | None:
+    """Merge written winners into the target once; null when they already are in it.
+
+    The join is a broadcast when the measured size of the winners allows it.
+    """
     small = change_bytes(winners) <= options.broadcast_bytes
     pks = list(target.pks)
+    counts = Observation()
 
     def rule(rows: DataFrame) -> DataFrame:
-        return applied(classify_merge(rows, winners, pks, options.on_missing_update, small, winners))
+        both = classify_merge(rows, winners, pks, options.on_missing_update, small, winners)
+        return applied(observe_merge(both, counts))
 
-    done = target.apply(winners, apply_id, rule)
+    if not target.apply(winners, apply_id, rule):
+        return None
     target.vacuum(options.keep_versions)
-    return done
+    return ApplyMetrics(**observed(counts))
 
 
 def apply_pending(
@@ -53,45 +60,65 @@ def apply_pending(
     options: ReplicationOptions,
     work_path: str,
     now: dt.datetime | None = None,
-) -> bool:
+) -> ApplyMetrics | None:
     """Merge the next batch of the log into the target and remove exactly that batch from the log.
 
     The batch is written to ``work_path`` first and used from there by both steps, so rows that arrive in between
     are neither merged nor removed. After a crash between the steps, the next call finishes the trim before it
-    takes a new batch. Returns whether a batch was merged; expiry runs either way.
+    takes a new batch. Returns what the new batch did, or null when the log was empty; expiry runs either way.
     """
     schema = ingest_schema(target.schema)
     frozen = f"{work_path}/frozen"
-    if path_exists(spark, f"{frozen}/_SUCCESS"):
-        _finish(spark, log_path, target, schema, frozen, options)
+    for name in child_names(spark, frozen):
+        if path_exists(spark, f"{frozen}/{name}/_SUCCESS"):
+            _finish(spark, log_path, target, schema, frozen, name, options)
+        else:
+            delete_path(spark, f"{frozen}/{name}")
     log = read_log(spark, log_path, schema) if path_exists(spark, log_path) else None
-    merged = log is not None and has_pending(log)
-    if merged:
-        take_batch(log, options.merge_batch_size).write.mode("overwrite").parquet(frozen)
-        _finish(spark, log_path, target, schema, frozen, options)
-    if options.retention_delay > 0 and not options.only_applied and path_exists(spark, log_path):
+    metrics = None
+    if log is not None and has_pending(log):
+        name = uuid.uuid4().hex
+        take_batch(log, options.merge_batch_size).write.parquet(f"{frozen}/{name}")
+        metrics = _finish(spark, log_path, target, schema, frozen, name, options)
+    _expire(spark, log_path, schema, options, f"{work_path}/retention", now)
+    return metrics
+
+
+def _expire(
+    spark: SparkSession, log_path: str, schema: T.StructType, options: ReplicationOptions, clock: str, now: dt.datetime | None
+) -> None:
+    """Remove old rows by age, at most once per interval. Rows here are all waiting, so only when asked to."""
+    now = now or dt.datetime.now(dt.timezone.utc)
+    now_ms = int(now.replace(tzinfo=now.tzinfo or dt.timezone.utc).timestamp() * 1000)
+    if options.only_applied or not retention_due(last_expiry(spark, clock), options.retention_interval, now_ms):
+        return
+    if options.retention_delay > 0 and path_exists(spark, log_path):
         log = read_log(spark, log_path, schema)
         _rewrite_blocks(spark, log_path, log, expire_rows(log, options.retention_delay, now))
-    return merged
+    note_expiry(spark, clock, now_ms)
 
 
 def _finish(
-    spark: SparkSession, log_path: str, target: TargetTable, schema: T.StructType, frozen: str, options: ReplicationOptions
-) -> None:
-    """Merge and trim the frozen batch; every step may run again without further effect."""
-    batch = spark.read.schema(schema).parquet(frozen)
-    bounds = batch.agg(F.min(F.struct(*LOG_KEY)), F.max(F.struct(*LOG_KEY)), F.count("*")).first()
-    apply_id = "batch:" + "/".join(str(part) for row in bounds[:2] for part in row) + f":{bounds[2]}"
-    winners_path = f"{frozen}-winners"
+    spark: SparkSession,
+    log_path: str,
+    target: TargetTable,
+    schema: T.StructType,
+    frozen: str,
+    name: str,
+    options: ReplicationOptions,
+) -> ApplyMetrics | None:
+    """Merge and trim a frozen batch; every step may run again without further effect."""
+    batch = spark.read.schema(schema).parquet(f"{frozen}/{name}")
+    folder = f"{frozen}-winners/{name}"
     winners = winners_of(batch, list(target.pks), target.schema.names)
-    winners.write.mode("overwrite").parquet(winners_path)
-    merge_tick(target, spark.read.schema(winners.schema).parquet(winners_path), apply_id, options)
-    log = read_log(spark, log_path, schema)
+    winners.write.mode("overwrite").parquet(folder)
+    metrics = merge_tick(target, spark.read.schema(winners.schema).parquet(folder), f"batch:{name}", options)
     touched = [row[0] for row in batch.select(BLOCK).distinct().collect()]
-    log = log.where(F.col(BLOCK).isin(touched))
+    log = read_log(spark, log_path, schema).where(F.col(BLOCK).isin(touched))
     _rewrite_blocks(spark, log_path, log, remove_batch(log, batch))
-    delete_path(spark, frozen)
-    delete_path(spark, winners_path)
+    delete_path(spark, f"{frozen}/{name}")
+    delete_path(spark, folder)
+    return metrics
 
 
 def _rewrite_blocks(spark: SparkSession, log_path: str, before: DataFrame, after: DataFrame) -> None:

@@ -228,7 +228,7 @@ _ENTERED_SCHEMA = T.StructType(
 def q_parse_envelope_schema(spark, sf_dir):
     parsed = ps.parse_changes(_schema_records(spark, sf_dir), now_ms=NOW_MS)
     rows = il.to_ingest(parsed, ingest_schema(_ENTERED_SCHEMA), "block-0")
-    return rows.select(*_ENTERED_SCHEMA.names, OFFSET, OP)
+    return rows.select(*_ENTERED_SCHEMA.names, OFFSET, OP).withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
 L_SCHEMA = T.StructType(
@@ -424,7 +424,7 @@ def q_missing_image(spark, sf_dir):
 
 def q_logical_date(spark, sf_dir):
     days = (F.col("o_orderkey") - 5_000).alias("days")
-    return table(spark, sf_dir, "orders").select("o_orderkey", lg.norm_date(days).alias("d"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", lg.norm_date(days).cast("string").alias("d"))
 
 
 def _micros() -> Column:
@@ -494,7 +494,7 @@ def q_coerce_date_mixed(spark, sf_dir):
         purchase=F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'"),
         error=F.lit("2024-01"),
     )
-    return table(spark, sf_dir, "events").select("event_id", to.to_date_mixed(text).alias("d"))
+    return table(spark, sf_dir, "events").select("event_id", to.to_date_mixed(text).cast("string").alias("d"))
 
 
 def q_coerce_timestamp(spark, sf_dir):

@@ -18,13 +18,14 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeloom.operators.apply import apply_block, winners_of
+from changeloom.operators.apply import ApplyMetrics, classify_block, observe_block, observed, surviving, winners_of
 from changeloom.operators.parse import apply_error_policy, parse_changes
-from changeloom.operators.retention import retention_due
+from changeloom.operators.retention import last_expiry, note_expiry, retention_due
+from changeloom.operators.select import APPLIED_OPS
 from changeloom.options import ReplicationOptions
 from changeloom.plans.pending import change_bytes, merge_tick
 from changeloom.plans.schema import BLOCK, DATETIME, OFFSET, OP, PARTITION, TOPIC, ingest_schema
@@ -48,6 +49,23 @@ def block_id_of(checkpoint: str, batch_id: int) -> str:
     return str(uuid.uuid5(uuid.NAMESPACE_URL, f"{checkpoint}#{batch_id}"))
 
 
+@dataclass(frozen=True)
+class IngestMetrics:
+    """What one micro-batch brought: usable changes, those without a row image, and operations never applied."""
+
+    changes: int = 0
+    missing_images: int = 0
+    other_ops: int = 0
+
+
+MetricsListener = Callable[[str, IngestMetrics | None, ApplyMetrics | None], None]
+
+
+def _report(listener: MetricsListener | None, name: str, arrived, changed) -> None:
+    if listener is not None:
+        listener(name, arrived, changed)
+
+
 @dataclass
 class Replication:
     """The running queries of one replication job."""
@@ -125,12 +143,15 @@ def ingest_batch(
     paths: Paths,
     logical: dict[str, str] | None = None,
     land: bool = False,
-) -> None:
-    """Parse one micro-batch and write it to the log as one block, without changes the log already holds."""
+) -> IngestMetrics | None:
+    """Parse one micro-batch and write it to the log as one block, without changes the log already holds.
+
+    Null when the block is already complete.
+    """
     spark = batch.sparkSession
     schema = ingest_schema(target.schema)
     if path_exists(spark, f"{paths.log}/{BLOCK}={block_id}/_SUCCESS"):
-        return
+        return None
     parsed = parse_changes(batch, logical=logical, timestamp_precision=options.timestamp_precision)
     # Several passes over the same parse: keep it for the length of this micro-batch.
     several = options.on_error == "quarantine" or options.columns == "first_record" or options.null_keys == "quarantine"
@@ -140,7 +161,14 @@ def ingest_batch(
         good, bad = apply_error_policy(parsed, options.on_error, options.tombstones)
         if bad is not None:
             bad.write.mode("overwrite").parquet(f"{paths.rejects}/{BLOCK}={block_id}")
+        counts = Observation()
         columns = first_record_keys(good) if options.columns == "first_record" else "target"
+        good = good.observe(
+            counts,
+            F.count("*").alias("changes"),
+            F.count_if("missing_image").alias("missing_images"),
+            F.count_if(~F.col("op").isin(*APPLIED_OPS)).alias("other_ops"),
+        )
         load = {"columns": columns, "number_scale": options.number_scale, "empty_as_null": options.empty_as_null}
         folder = f"{paths.landing}/{block_id}"
         if land:
@@ -155,23 +183,34 @@ def ingest_batch(
             arrived = batch.select(
                 F.col("topic").alias(TOPIC), F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET)
             )
-            existing = prune_to_offsets(read_log(spark, paths.log, schema), arrived)
+            # Files a crashed attempt left in this block's own folder are about to be replaced: they do not count.
+            others = read_log(spark, paths.log, schema).where(F.col(BLOCK) != block_id)
+            existing = prune_to_offsets(others, arrived)
         write_block(dedup_ingest(rows, existing), paths.log, block_id)
         if land:
             delete_path(spark, folder)
+        return IngestMetrics(**observed(counts))
     finally:
         if several:
             parsed.unpersist()
 
 
-def apply_block_batch(block_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths) -> bool:
-    """Apply one written block to the target, once."""
+def apply_block_batch(
+    block_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths
+) -> ApplyMetrics | None:
+    """Apply one written block to the target, once; null when it already is in it."""
     block = read_block(target.spark, paths.log, ingest_schema(target.schema), block_id)
     pks = list(target.pks)
     small = change_bytes(block.where(F.col(OP).isin("u", "d"))) <= options.broadcast_bytes
-    done = target.apply(block, f"block:{block_id}", lambda rows: apply_block(rows, block, pks, small))
+    counts = Observation()
+
+    def rule(rows: DataFrame) -> DataFrame:
+        return surviving(observe_block(classify_block(rows, block, pks, small), counts))
+
+    if not target.apply(block, f"block:{block_id}", rule):
+        return None
     target.vacuum(options.keep_versions)
-    return done
+    return ApplyMetrics(**observed(counts))
 
 
 def _mark_applied(batch: DataFrame, paths: Paths, apply_id: str) -> None:
@@ -190,10 +229,7 @@ def expire_blocks(
     """
     now = now or dt.datetime.now(dt.timezone.utc)
     now_ms = int(now.timestamp() * 1000)
-    last_ms = 0
-    if path_exists(spark, f"{paths.retention}/_SUCCESS"):
-        last_ms = spark.read.parquet(paths.retention).agg(F.max("last_ms")).first()[0] or 0
-    if not retention_due(last_ms, options.retention_interval, now_ms):
+    if not retention_due(last_expiry(spark, paths.retention), options.retention_interval, now_ms):
         return 0
     dropped = 0
     if options.retention_delay > 0 and path_exists(spark, paths.log):
@@ -210,7 +246,7 @@ def expire_blocks(
         for row in blocks.select(BLOCK).toLocalIterator():
             delete_path(spark, f"{paths.log}/{BLOCK}={row[BLOCK]}")
             dropped += 1
-    spark.range(1).select(F.lit(now_ms).cast("bigint").alias("last_ms")).write.mode("overwrite").parquet(paths.retention)
+    note_expiry(spark, paths.retention, now_ms)
     return dropped
 
 
@@ -226,6 +262,7 @@ def start_block_mode(
     logical: dict[str, str] | None = None,
     land: bool = True,
     available_now: bool = False,
+    on_metrics: MetricsListener | None = None,
 ) -> Replication:
     """One query: land, load, apply and clean each micro-batch."""
     paths = Paths(root)
@@ -235,8 +272,9 @@ def start_block_mode(
         if batch.isEmpty():
             return
         block_id = block_id_of(checkpoint, batch_id)
-        ingest_batch(batch, block_id, target, options, paths, logical, land)
-        apply_block_batch(block_id, target, options, paths)
+        arrived = ingest_batch(batch, block_id, target, options, paths, logical, land)
+        changed = apply_block_batch(block_id, target, options, paths)
+        _report(on_metrics, block_id, arrived, changed)
         if options.retention_delay == 0:
             delete_path(target.spark, f"{paths.log}/{BLOCK}={block_id}")
         expire_blocks(target.spark, target, options, paths)
@@ -257,6 +295,7 @@ def start_ingest(
     root: str,
     logical: dict[str, str] | None = None,
     available_now: bool = False,
+    on_metrics: MetricsListener | None = None,
 ) -> StreamingQuery:
     """Merge mode, first query: append typed changes to the log. A failure stops the query."""
     paths = Paths(root)
@@ -264,7 +303,8 @@ def start_ingest(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            ingest_batch(batch, block_id_of(checkpoint, batch_id), target, options, paths, logical)
+            block_id = block_id_of(checkpoint, batch_id)
+            _report(on_metrics, block_id, ingest_batch(batch, block_id, target, options, paths, logical), None)
 
     return (
         changes.writeStream.foreachBatch(run)
@@ -280,7 +320,8 @@ def start_apply(
     root: str,
     available_now: bool = False,
     max_files: int | None = None,
-    on_failure=None,
+    on_failure: Callable[[Exception], None] | None = None,
+    on_metrics: MetricsListener | None = None,
 ) -> StreamingQuery:
     """Merge mode, second query: merge what the log gained since the last tick.
 
@@ -293,7 +334,8 @@ def start_apply(
 
     def run(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
-            merge_batch(batch, block_id_of(checkpoint, batch_id), target, options, paths)
+            apply_id = block_id_of(checkpoint, batch_id)
+            _report(on_metrics, apply_id, None, merge_batch(batch, apply_id, target, options, paths))
         expire_blocks(target.spark, target, options, paths)
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
@@ -334,7 +376,7 @@ def with_restarts(start: Callable[[], StreamingQuery], wait_seconds: float, max_
 
 def merge_batch(
     batch: DataFrame, apply_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths
-) -> bool:
+) -> ApplyMetrics | None:
     """Merge one micro-batch of the log: its winners are written once and used from there."""
     folder = f"{paths.root}/winners/{apply_id}"
     winners = winners_of(batch, list(target.pks), target.schema.names)
@@ -352,13 +394,16 @@ def start_replication(
     root: str,
     logical: dict[str, str] | None = None,
     available_now: bool = False,
+    on_metrics: MetricsListener | None = None,
 ) -> Replication:
     """Start the queries of the configured mode. One job per target; nothing coordinates several."""
     if options.mode == "block":
-        return start_block_mode(changes, target, options, root, logical, available_now=available_now)
-    ingest = start_ingest(changes, target, options, root, logical, available_now)
+        return start_block_mode(
+            changes, target, options, root, logical, available_now=available_now, on_metrics=on_metrics
+        )
+    ingest = start_ingest(changes, target, options, root, logical, available_now, on_metrics)
     if available_now:
         ingest.awaitTermination()
     if not path_exists(target.spark, Paths(root).log):
         target.spark.createDataFrame([], ingest_schema(target.schema)).write.partitionBy(BLOCK).parquet(Paths(root).log)
-    return Replication([ingest, start_apply(target, options, root, available_now)])
+    return Replication([ingest, start_apply(target, options, root, available_now, on_metrics=on_metrics)])

@@ -95,59 +95,65 @@ def coerced(spark, json_text, ddl, **kw):
     return df.first()["x"]
 
 
-@pytest.mark.parametrize(
-    ("json_text", "ddl", "want"),
-    [
-        ("12.5", "decimal(38,0)", Decimal(13)),
-        ("-12.5", "decimal(38,0)", Decimal(-13)),
-        ("12.5", "decimal(10,2)", Decimal("12.50")),
-        ('"12.5"', "bigint", 13),
-        ('" 7 "', "int", 7),
-        ('"1e3"', "int", 1000),
-        ("99999999999", "int", None),
-        ('"abc"', "decimal(10,2)", None),
-        ("12345678901234567890.10", "decimal(30,2)", Decimal("12345678901234567890.10")),
-        ("true", "decimal(10,2)", None),
-        ("1.25", "double", 1.25),
-        ('"x"', "double", None),
-        ('"On"', "boolean", True),
-        ('"off"', "boolean", False),
-        ("true", "boolean", True),
-        ("1", "boolean", True),
-        ("5", "boolean", None),
-        ('"2024-01-02"', "date", dt.date(2024, 1, 2)),
-        ('"2024-01-02T03:04Z"', "date", dt.date(2024, 1, 2)),
-        ("19723", "date", dt.date(2024, 1, 1)),
-        ('"19723"', "date", dt.date(2024, 1, 1)),
-        ("1000001", "date", dt.date(1970, 1, 1)),
-        ("-1000001", "date", dt.date(1969, 12, 31)),
-        ("-1", "date", dt.date(1969, 12, 31)),
-        ('"2024-01"', "date", None),
-        ('"2024-13-01"', "date", None),
-        ("99999999999999999999", "date", None),
-        ('"2024-01-02T03:04Z"', "timestamp_ntz", ts("2024-01-02 03:04:00")),
-        ('"2024-01-02T03:04"', "timestamp_ntz", ts("2024-01-02 03:04:00")),
-        ('"2024-01-02T03:04:05.006Z"', "timestamp_ntz", ts("2024-01-02 03:04:05.006")),
-        ('"2024-01-02 03:04:05+02:00"', "timestamp_ntz", ts("2024-01-02 03:04:05")),
-        ('"2024-01-02"', "timestamp_ntz", ts("2024-01-02 00:00:00")),
-        ("1700000000", "timestamp_ntz", ts("2023-11-14 22:13:20")),
-        ("1700000000123", "timestamp_ntz", ts("2023-11-14 22:13:20.123")),
-        ("1700000000123456", "timestamp_ntz", ts("2023-11-14 22:13:20.123456")),
-        ("1700000000123456789", "timestamp_ntz", ts("2023-11-14 22:13:20.123456")),
-        ("-1", "timestamp_ntz", ts("1969-12-31 23:59:59")),
-        ('"soon"', "timestamp_ntz", None),
-        ('"03:04"', "time(6)", dt.time(3, 4)),
-        ('"25:04"', "time(6)", None),
-        ('"4a4B"', "binary", bytearray(b"JK")),
-        ('"zz"', "binary", None),
-        ('{"b": 1.10, "a": [1, 2]}', "string", '{"a":[1,2],"b":1.1}'),
-        ("null", "string", None),
-        ('[1, 2]', "array<int>", [1, 2]),
-        ('{"k": 1}', "map<string,int>", {"k": 1}),
-    ],
-)
-def test_coerce(spark, json_text, ddl, want):
-    assert coerced(spark, json_text, ddl) == want
+CASES = [
+    ("12.5", "decimal(38,0)", Decimal(13)),
+    ("-12.5", "decimal(38,0)", Decimal(-13)),
+    ("12.5", "decimal(10,2)", Decimal("12.50")),
+    ('"12.5"', "bigint", 13),
+    ('" 7 "', "int", 7),
+    ('"1e3"', "int", 1000),
+    ("99999999999", "int", None),
+    ('"abc"', "decimal(10,2)", None),
+    ("12345678901234567890.10", "decimal(30,2)", Decimal("12345678901234567890.10")),
+    ("true", "decimal(10,2)", None),
+    ("1.25", "double", 1.25),
+    ('"x"', "double", None),
+    ('"On"', "boolean", True),
+    ('"off"', "boolean", False),
+    ("true", "boolean", True),
+    ("1", "boolean", True),
+    ("5", "boolean", None),
+    ('"2024-01-02"', "date", dt.date(2024, 1, 2)),
+    ('"2024-01-02T03:04Z"', "date", dt.date(2024, 1, 2)),
+    ("19723", "date", dt.date(2024, 1, 1)),
+    ('"19723"', "date", dt.date(2024, 1, 1)),
+    ("1000001", "date", dt.date(1970, 1, 1)),
+    ("-1000001", "date", dt.date(1969, 12, 31)),
+    ("-1", "date", dt.date(1969, 12, 31)),
+    ('"2024-01"', "date", None),
+    ('"2024-13-01"', "date", None),
+    ("99999999999999999999", "date", None),
+    ('"2024-01-02T03:04Z"', "timestamp_ntz", ts("2024-01-02 03:04:00")),
+    ('"2024-01-02T03:04"', "timestamp_ntz", ts("2024-01-02 03:04:00")),
+    ('"2024-01-02T03:04:05.006Z"', "timestamp_ntz", ts("2024-01-02 03:04:05.006")),
+    ('"2024-01-02 03:04:05+02:00"', "timestamp_ntz", ts("2024-01-02 03:04:05")),
+    ('"2024-01-02"', "timestamp_ntz", ts("2024-01-02 00:00:00")),
+    ("1700000000", "timestamp_ntz", ts("2023-11-14 22:13:20")),
+    ("1700000000123", "timestamp_ntz", ts("2023-11-14 22:13:20.123")),
+    ("1700000000123456", "timestamp_ntz", ts("2023-11-14 22:13:20.123456")),
+    ("1700000000123456789", "timestamp_ntz", ts("2023-11-14 22:13:20.123456")),
+    ("-1", "timestamp_ntz", ts("1969-12-31 23:59:59")),
+    ('"soon"', "timestamp_ntz", None),
+    ('"03:04"', "time(6)", dt.time(3, 4)),
+    ('"25:04"', "time(6)", None),
+    ('"4a4B"', "binary", bytearray(b"JK")),
+    ('"zz"', "binary", None),
+    ('{"b": 1.10, "a": [1, 2]}', "string", '{"a":[1,2],"b":1.1}'),
+    ("null", "string", None),
+    ('[1, 2]', "array<int>", [1, 2]),
+    ('{"k": 1}', "map<string,int>", {"k": 1}),
+]
+
+
+def test_coerce(spark):
+    """All cases in one job: one row per text, one column per case."""
+    rows = spark.createDataFrame([tuple(case[0] for case in CASES)], [f"j{i}" for i in range(len(CASES))])
+    cols = [
+        co.coerce(F.try_parse_json(f"j{i}"), T._parse_datatype_string(ddl)).alias(f"x{i}")
+        for i, (_, ddl, _) in enumerate(CASES)
+    ]
+    got = rows.select(*cols).first()
+    assert {CASES[i][:2]: v for i, v in enumerate(got)} == {case[:2]: case[2] for case in CASES}
 
 
 def test_number_scale_zero_and_empty_as_null(spark):

@@ -38,7 +38,11 @@ class Job:
         return read_changes(self.spark, "parquet", path=self.topic)
 
     def run(self):
-        sr.start_replication(self.changes(), self.target, self.options, self.root, available_now=True).await_termination()
+        self.metrics = []
+        sr.start_replication(
+            self.changes(), self.target, self.options, self.root, available_now=True,
+            on_metrics=lambda *report: self.metrics.append(report),
+        ).await_termination()
 
     def state(self):
         return m.as_rows(self.target.read().collect())
@@ -61,7 +65,13 @@ def test_restart_between_batches(spark, tmp_path, mode):
         job.run()
         state = rule(state, part)
         assert job.state() == m.as_rows(state)
+        arrived = [a for _, a, _ in job.metrics if a]
+        changed = [c for _, _, c in job.metrics if c]
+        assert [a.changes for a in arrived] == [len(part)]
+        assert [a.other_ops for a in arrived] == [sum(r["KFK_OP"] == "t" for r in part)]
+        assert len(changed) == 1
     job.run()
+    assert job.metrics == []
     assert job.state() == m.as_rows(state)
     assert job.log().count() == 90
 
@@ -77,6 +87,19 @@ def test_redelivered_changes_are_dropped(spark, tmp_path):
     assert job.log().count() == len(first) + len(second)
 
 
+def test_files_of_a_crashed_attempt_do_not_hide_changes(spark, tmp_path):
+    job = Job(spark, tmp_path, "block")
+    rows = m.random_log(16, 20)
+    block_id = sr.block_id_of(job.paths.checkpoint("block"), 0)
+    left_over = spark.createDataFrame(rows[:5], m.LOG_DDL).drop("KFK_BLOCKID")
+    left_over.write.parquet(f"{job.paths.log}/KFK_BLOCKID={block_id}")
+    (tmp_path / f"job/log/KFK_BLOCKID={block_id}/_SUCCESS").unlink()
+    job.deliver(rows)
+    job.run()
+    assert job.log().count() == 20
+    assert job.state() == m.as_rows(m.block([], rows))
+
+
 @pytest.mark.parametrize("mode", ["block", "merge"])
 def test_failure_after_the_target_was_written(spark, tmp_path, mode, monkeypatch):
     """The micro-batch runs again after a restart and must not apply twice; null keys would show it."""

@@ -1,5 +1,7 @@
 """Snapshot target: buckets, replay, vacuum; batch ticks over a written log."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,12 +97,32 @@ def test_ticks_equal_sequential_merges(spark, tmp_path, broadcast_bytes):
     options = OPTIONS.with_(broadcast_bytes=broadcast_bytes)
     state, left = [], sum(len(b) for b in batches)
     for batch in batches:
-        assert pe.apply_pending(spark, log_path, target, options, f"{tmp_path}/work") is True
-        state = m.merge(state, batch)
+        metrics = pe.apply_pending(spark, log_path, target, options, f"{tmp_path}/work")
+        before, state = len(state), m.merge(state, batch)
+        assert before + metrics.inserted - metrics.deleted == len(state)
+        assert sum((metrics.inserted, metrics.updated, metrics.deleted, metrics.dropped)) <= len(m.winners(batch))
         left -= len(batch)
         assert m.as_rows(target.read().collect()) == m.as_rows(state)
         assert il.read_log(spark, log_path, schema).count() == left if left else True
-    assert pe.apply_pending(spark, log_path, target, options, f"{tmp_path}/work") is False
+    assert pe.apply_pending(spark, log_path, target, options, f"{tmp_path}/work") is None
+
+
+def test_waiting_rows_expire_by_age_only_when_asked(spark, tmp_path):
+    log_path, schema = f"{tmp_path}/log", ingest_schema(m.TARGET_SCHEMA)
+    now = dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
+    log = [{**r, "KFK_DATETIME": dt.datetime(2024, 1, 1, r["KFK_OFFSET"] % 24)} for r in m.random_log(6, 48)]
+    il.append_ingest(spark.createDataFrame(log, m.LOG_DDL), log_path)
+    options = OPTIONS.with_(merge_batch_size=1, retention_delay=12 * 3600)
+    target, work = table(spark, tmp_path), f"{tmp_path}/work"
+    pe.apply_pending(spark, log_path, target, options, work, now)
+    assert il.read_log(spark, log_path, schema).count() == 47
+    pe.apply_pending(spark, log_path, target, options.with_(only_applied=False), work, now)
+    # Two ticks took the first two positions, then the rows of the first twelve hours went.
+    waiting = sorted(log, key=lambda r: (r["KFK_PARTITION"], r["KFK_OFFSET"]))[2:]
+    left = sum(r["KFK_DATETIME"].hour > 12 for r in waiting)
+    assert il.read_log(spark, log_path, schema).count() == left
+    pe.apply_pending(spark, log_path, target, options.with_(only_applied=False, retention_delay=1), work, now)
+    assert il.read_log(spark, log_path, schema).count() == left - 1
 
 
 def test_crash_between_merge_and_trim(spark, tmp_path, monkeypatch):

@@ -112,20 +112,24 @@ class ReplicationOptions:
     def table_identifier(self) -> str:
         return ".".join(part for part in (self.database, self.schema, self.table) if part)
 
-    def source_options(self, source: str, average_row_bytes: int | None = None) -> dict[str, str]:
+    def source_options(
+        self, source: str, average_row_bytes: int | None = None, min_partitions: int | None = None
+    ) -> dict[str, str]:
         """Rate options of a streaming source, so that a micro-batch ends at the record, byte or time limit.
 
         Kafka has no byte limit: with the average row size given, the record limit is lowered to stay inside it.
+        ``min_partitions`` splits topic partitions over more tasks than the topic has partitions.
         """
         if source == "kafka":
             records = self.max_records
             if average_row_bytes:
                 records = max(1, min(records, self.max_bytes // average_row_bytes))
-            return {
+            limits = {
                 "maxOffsetsPerTrigger": str(records),
                 "minOffsetsPerTrigger": str(records),
                 "maxTriggerDelay": f"{self.flush_seconds}s",
             }
+            return {**limits, "minPartitions": str(min_partitions)} if min_partitions else limits
         return {"maxBytesPerTrigger": str(self.max_bytes)}
 
 

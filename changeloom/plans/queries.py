@@ -27,7 +27,7 @@ from changeloom.plans.target import TargetTable
 from changeloom.session import configure_session, shared_dir
 from changeloom.sources import ingest_log as il
 from changeloom.sources import landing as ld
-from changeloom.sources.changes import read_changes
+from changeloom.sources.changes import read_changes, spread_narrow
 from changeloom.streaming import replication as sr
 
 NOW_MS = 1_700_000_000_000
@@ -102,13 +102,16 @@ def target_o(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").where(F.col("o_orderstatus") != "P").select(*O_COLUMNS)
 
 
-def changes_o(spark: SparkSession, sf_dir: str) -> DataFrame:
+def changes_o(spark: SparkSession, sf_dir: str, for_parsing: bool = False) -> DataFrame:
     """Changes of log O before typing: order columns, ``op`` and position. An order gives up to three changes."""
     status, priority = F.col("o_orderstatus"), F.col("o_orderpriority")
     first = F.when(status == "P", "c").when((status == "F") & (priority == "3-MEDIUM"), "r")
     second = F.when(priority.isin("1-URGENT", "2-HIGH"), "u")
     third = F.when(priority == "5-LOW", "d")
-    orders = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders")
+    if for_parsing:
+        orders = spread_narrow(orders)
+    orders = orders.select(
         *O_COLUMNS, F.posexplode(F.array(first, second, third)).alias("seq", "op")
     )
     raised = F.when(F.col("op") == "u", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
@@ -153,7 +156,7 @@ def envelope_text(columns: list[str]) -> Column:
 
 def records_o(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log O as change records with envelope text."""
-    return changes_o(spark, sf_dir).select("topic", "partition", "offset", envelope_text(O_COLUMNS).alias("value"))
+    return changes_o(spark, sf_dir, True).select("topic", "partition", "offset", envelope_text(O_COLUMNS).alias("value"))
 
 
 def ingest_o(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,7 +192,7 @@ def _user() -> Column:
 
 
 def q_parse_flat(spark, sf_dir):
-    records = table(spark, sf_dir, "orders").select(
+    records = spread_narrow(table(spark, sf_dir, "orders")).select(
         F.lit("cdc.orders").alias("topic"), F.lit(0).alias("partition"), F.col("o_orderkey").alias("offset"),
         row_text(O_COLUMNS).alias("value"),
     )
@@ -204,7 +207,7 @@ def q_parse_envelope(spark, sf_dir):
 
 
 def _schema_records(spark, sf_dir) -> DataFrame:
-    changes = changes_o(spark, sf_dir)
+    changes = changes_o(spark, sf_dir, True)
     entered = (F.unix_micros(F.col("o_orderdate").cast("timestamp")) + F.col("offset") * 1_001).alias("entered")
     row = F.to_json(F.struct("o_orderkey", F.unix_date(F.col("o_orderdate").cast("date")).alias("o_orderdate"), entered, "o_orderstatus"))
     is_delete = F.col("op") == "d"
@@ -257,7 +260,7 @@ def records_l(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(',"after":'), F.when(op == "d", "null").otherwise(row),
         F.lit(',"op":"'), op, F.lit('","ts_ms":'), F.unix_millis(F.col("l_shipdate").cast("timestamp")).cast("string"), F.lit("}"),
     )
-    return table(spark, sf_dir, "lineitem").select(
+    return spread_narrow(table(spark, sf_dir, "lineitem")).select(
         F.lit("cdc.lineitem").alias("topic"),
         (F.col("l_orderkey") % 8).cast("int").alias("partition"),
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("offset"),
@@ -305,7 +308,7 @@ def _struct_records(spark, sf_dir) -> DataFrame:
         F.struct(F.col("o_custkey").alias("id"), F.col("o_orderstatus").alias("status")).alias("customer"),
     )
     is_delete = F.col("op") == "d"
-    return changes_o(spark, sf_dir).select(
+    return changes_o(spark, sf_dir, True).select(
         "topic", "partition", "offset",
         F.struct(
             F.when(is_delete, row).alias("before"), F.when(~is_delete, row).alias("after"), "op",

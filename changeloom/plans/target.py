@@ -122,9 +122,9 @@ class TargetTable:
 
         The last ``keep_versions`` manifests stay, and with them the names a replay is checked against.
         """
-        manifests = self._manifests()
-        if manifests is None:
+        if len(child_names(self.spark, f"{self.path}/manifest")) <= keep_versions:
             return
+        manifests = self._manifests()
         newest = manifests.agg(F.max("version")).first()[0]
         oldest = max(1, newest - keep_versions + 1)
         kept = manifests.where(F.col("version") >= oldest).select(F.col("data_version").alias("v")).distinct()

@@ -17,6 +17,23 @@ CHANGE_RECORD = T.StructType(
 )
 
 
+# Tasks one input task may be split into before parsing.
+_SPREAD = 16
+
+
+def spread_narrow(df: DataFrame) -> DataFrame:
+    """Spread a scan over the cores when it has too few tasks to use them.
+
+    Parsing costs far more than reading. A file that cannot be split, such as one gzip file or one row group, would
+    leave the whole parse to one core. A scan with enough tasks is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = df.rdd.getNumPartitions()
+    if tasks == 0 or tasks * 2 > cores:
+        return df
+    return df.repartition(min(cores, tasks * _SPREAD))
+
+
 def read_changes(
     spark: SparkSession,
     source: str,
@@ -34,7 +51,8 @@ def read_changes(
     reader = spark.readStream if streaming else spark.read
     reader = reader.format(source).options(**(options or {}))
     if source != "kafka":
-        return reader.schema(schema).load(path)
+        records = reader.schema(schema).load(path)
+        return records if streaming else spread_narrow(records)
     return decode_value(reader.load().select("topic", "partition", "offset", "timestamp", "value"), avro_schema)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from changeloom.functions.coerce import coerce
 from changeloom.session import delete_path
+from changeloom.sources.changes import spread_narrow
 from changeloom.sources.ingest_log import append_ingest, field_of, meta_columns
 
 
@@ -45,7 +46,7 @@ def load_lines(
 
 def read_landed(spark: SparkSession, path: str, schema: T.StructType, **load_options) -> DataFrame:
     """Landed files as typed change-log rows."""
-    return load_lines(spark.read.text(path), schema, **load_options)
+    return load_lines(spread_narrow(spark.read.text(path)), schema, **load_options)
 
 
 def read_landed_stream(

@@ -50,6 +50,7 @@ def test_ingestion_mode():
 def test_source_options():
     o = ReplicationOptions(table="t", max_records=100, max_bytes=5000, flush_seconds=9)
     assert o.source_options("kafka") == {"maxOffsetsPerTrigger": "100", "minOffsetsPerTrigger": "100", "maxTriggerDelay": "9s"}
+    assert o.source_options("kafka", min_partitions=64)["minPartitions"] == "64"
     assert o.source_options("kafka", 500)["maxOffsetsPerTrigger"] == "10"
     assert o.source_options("parquet") == {"maxBytesPerTrigger": "5000"}
 

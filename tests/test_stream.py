@@ -198,13 +198,14 @@ def test_by_age_only_when_asked(spark, tmp_path):
     assert sr.expire_blocks(spark, job.target, options, job.paths, NOW) == 0
 
 
-def test_continuous_job_drains_on_stop(spark, tmp_path):
-    job = Job(spark, tmp_path, "block", flush_seconds=1)
+@pytest.mark.parametrize("mode", ["block", "merge"])
+def test_continuous_job_drains_on_stop(spark, tmp_path, mode):
+    job = Job(spark, tmp_path, mode, flush_seconds=1, apply_interval=5)
     rows = m.random_log(15, 30)
     job.deliver(rows)
     running = sr.start_replication(job.changes(), job.target, job.options, job.root)
     running.stop(drain=True)
-    assert job.state() == m.as_rows(m.block([], rows))
+    assert job.state() == m.as_rows((m.block if mode == "block" else m.merge)([], rows))
     assert not any(query.isActive for query in running.queries)
 
 

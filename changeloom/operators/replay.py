@@ -40,12 +40,14 @@ def replay_merge(
     won = won.select(*columns, OP, "_batch")
     created, deleted = F.col(OP).isin(*UPSERT_OPS), F.col(OP) == "d"
 
-    keyed = won.where(~_any_null(pks))
     if initial is not None:
         first = initial.select(*columns, F.lit("c").alias(OP), F.lit(_INITIAL).cast("bigint").alias("_batch"))
-        keyed = keyed.unionByName(first.where(~_any_null(pks)))
+        won = won.unionByName(first.where(~_any_null(pks)))
     values = non_pk_columns(columns, pks)
-    state = keyed.groupBy(*pks).agg(
+    # A null key never matches: each batch whose winner creates it adds a row, and nothing removes it. Such a winner
+    # is a group of its own, so that the log is read and ranked once for all keys.
+    own = F.when(_any_null(pks), F.col("_batch")).alias("_own")
+    state = won.groupBy(*pks, own).agg(
         F.max(F.when(created, F.col("_batch"))).alias("_created"),
         F.max(F.when(deleted, F.col("_batch"))).alias("_deleted"),
         F.max(F.when(~deleted, F.col("_batch"))).alias("_written"),
@@ -54,10 +56,6 @@ def replay_merge(
     alive = "_written" if on_missing_update == "insert" else "_created"
     state = state.where(F.col(alive) > F.coalesce(F.col("_deleted"), F.lit(_NEVER)))
     out = state.select(*[F.col(c) if c in pks else F.col(f"_row.{c}").alias(c) for c in columns])
-
-    # A null key never matches: each batch whose winner creates it adds a row, and nothing removes it.
-    adds = created | (F.col(OP) == "u") if on_missing_update == "insert" else created
-    out = out.unionByName(won.where(_any_null(pks) & adds).select(*columns))
     if initial is not None:
         out = out.unionByName(initial.select(*columns).where(_any_null(pks)))
     return out

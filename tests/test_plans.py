@@ -75,8 +75,9 @@ def test_block_is_one_join(spark, no_auto_broadcast):
 def test_replay_merge_shuffles_twice_whatever_the_number_of_batches(spark, no_auto_broadcast):
     text = plan(rp.replay_merge(q.log_e(spark, SF_DIR), q.E_PK, q.E_COLUMNS, q.block_number()))
     assert "Join" not in text
-    # One ranked branch for keys, one for null keys; each shuffle follows a partial step.
-    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) <= 3
+    # One scan; each shuffle follows a step that leaves one row per group and task.
+    assert len(re.findall(r"^\(\d+\) Exchange", text, re.M)) == 2
+    assert len(re.findall(r"^\(\d+\) Scan parquet", text, re.M)) == 1
 
 
 def test_scan_gets_filters_and_columns(spark, tmp_path):

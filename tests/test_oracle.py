@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from changeloom.plans import queries as base
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
 TABLES = (
@@ -34,7 +35,7 @@ def _rows(names, rows):
     return sorted(([_norm(row[i]) for i in order] for row in rows), key=lambda r: [(v is None, str(v)) for v in r])
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(base.all_queries()))
 def test_query_matches_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     got = df.collect()

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from changeloom.llm import mixing, secrets
+from changeloom.llm import langid, mixing, quality, secrets
+from changeloom.llm.common import is_bucket, not_bucket
 from changeloom.session import configure_session
 
 
@@ -15,10 +17,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(not_bucket(F.col("doc_id"), 4, 2) & F.col("quality").isNotNull())
+    # the ids to learn from are bounded before the texts are looked at
+    chosen = labels.select("doc_id", "quality").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(quality.TRAIN_ROWS)
+    machine = quality.fit(docs.join(F.broadcast(chosen), "doc_id"))
+    held_out = is_bucket(F.col("doc_id"), 4, 2).alias("held_out")
+    return quality.score(docs, machine).select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs.where(not_bucket(F.col("doc_id"), 4, 2)))
+    held_out = is_bucket(F.col("doc_id"), 4, 2).alias("held_out")
+    return langid.predict(docs, model, keep=["doc_id"]).select("doc_id", held_out, "lang_pred", "score")
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 

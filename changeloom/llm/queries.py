@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import langid, mixing, quality, secrets
+from changeloom.llm import langid, mixing, packing, quality, secrets, warc
 from changeloom.llm.common import is_bucket, not_bucket
 from changeloom.session import configure_session
 
@@ -27,6 +28,10 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score(docs, machine).select("doc_id", held_out, "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,10 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
+
+
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {}
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import langid, mixing, packing, quality, secrets, warc
+from changeloom.llm import langid, mixing, packing, ppm, quality, secrets, topk, warc
 from changeloom.llm.common import is_bucket, not_bucket
 from changeloom.session import configure_session
 
@@ -51,8 +51,35 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).drop("url")
 
 
+def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = ppm.score(docs, not_bucket(F.col("doc_id"), 10, 0))
+    held_out = is_bucket(F.col("doc_id"), 10, 0).alias("held_out")
+    return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 #: DuckDB SQL of the queries that SQL can express.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op9_topk": """
+        with e as (
+            select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v
+            from embeddings
+            where vec_id is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        ), s as (
+            select q.vec_id as query_id, e.vec_id as vec_id, list_dot_product(q.v, e.v)::bigint as score
+            from e q join e on q.vec_id <> e.vec_id
+            where q.vec_id % 100 = 0
+        ), r as (
+            select query_id, row_number() over (partition by query_id order by score desc, vec_id) as rank, vec_id, score from s
+        )
+        select query_id, rank::int as rank, vec_id, score from r where rank <= 10
+    """,
+}
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

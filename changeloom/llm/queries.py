@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import langid, mixing, packing, ppm, quality, secrets, topk, warc
+from changeloom.llm import jaccard, langid, mixing, packing, ppm, quality, secrets, topk, warc
 from changeloom.llm.common import is_bucket, not_bucket
 from changeloom.session import configure_session
 
@@ -43,6 +43,10 @@ def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=["doc_id"]).select("doc_id", held_out, "lang_pred", "score")
 
 
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.join(table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).drop("source")
 

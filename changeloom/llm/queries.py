@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import jaccard, langid, mixing, packing, ppm, quality, secrets, topk, warc
+from changeloom.llm import embedding_dedup, jaccard, langid, mixing, packing, ppm, quality, secrets, topk, warc
 from changeloom.llm.common import is_bucket, not_bucket
 from changeloom.session import configure_session
 
@@ -36,6 +36,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(table(spark, sf_dir, "documents"))
 
 
+def op4_near_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = langid.fit(docs.where(not_bucket(F.col("doc_id"), 4, 2)))

@@ -2,13 +2,33 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from changeloom.llm import mixing, secrets
-from changeloom.llm.common import stored
+from changeloom.llm import jaccard, langid, mixing, packing, secrets
+from changeloom.llm.common import not_bucket, stored
 from changeloom.session import configure_session
 
 
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID: documents without a letter, or that no language claims with a score of a half, go."""
+    model = langid.fit(docs.where(not_bucket(F.col("doc_id"), 4, 2)))
+    # names no table has, so that a column of that name passes through
+    found = langid.predict(docs, model, lang_out="__lang_pred", score_out="__lang_score")
+    return found.where((F.col("__lang_pred") != langid.UNKNOWN) & (F.col("__lang_score") >= 0.5)).select(*docs.columns)
+
+
+def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join: five words, similarity of 0.8 or more; of each group the smallest doc_id stays.
+
+    Rows that repeat the doc_id that stays, and documents without words, which link with nothing, stay as they are.
+    """
+    found = jaccard.join(docs, words=5, percent=80)
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
+    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secret scans: every span that the scan reports is replaced by a mark, and n_chars counted anew."""
     return secrets.redacted(docs)
@@ -19,9 +39,17 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-fit packing: the pieces of all documents and their places in sequences of 2048 tokens."""
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 STAGES = [
+    ("language ID", known_language),
+    ("n-gram Jaccard join", one_of_each_group),
     ("secret scans", mask_secrets),
     ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", packed),
 ]
 
 #: Learned models and hashed permutations have no SQL form; tests hold each stage against brute force.

@@ -173,11 +173,11 @@ def fit(labelled: DataFrame, families: list[list[str]] | None = None, id_col="do
 
 
 def predict(docs: DataFrame, model: Model, text_col: str = "text", lang_out: str = "lang_pred", score_out: str = "score", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` (or its columns ``keep``) with the predicted language and a score from 0 to 1."""
+    """``docs`` (or its columns ``keep``) with the predicted language and a score from 0 to 1; columns of these names go."""
     spark = docs.sparkSession
     small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
-    kept = docs.columns if keep is None else keep
+    kept = [c for c in (docs.columns if keep is None else keep) if c not in (lang_out, score_out)]
     fields = [docs.schema[c] for c in kept]
     schema = T.StructType([*fields, T.StructField(lang_out, T.StringType()), T.StructField(score_out, T.DoubleType())])
     source = docs.select(*[F.col(c) for c in kept], F.col(text_col).alias("__text"))

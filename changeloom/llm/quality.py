@@ -91,7 +91,9 @@ class Machine:
 def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs: int = 12, batch: int = 64, rate: float = 0.15, decay: float = 1e-4) -> Machine:
     """Logistic loss by mini-batch steps scaled per weight; both labels weigh as they occur."""
     if not len(labels):
-        return Machine()
+        m = Machine()
+        m.v[:] = 0
+        return m
     p = np.clip(labels.mean(), 0.01, 0.99)
     m = Machine(float(np.log(p / (1 - p))))
     gw, gv, g0 = np.full(DIM, 1e-6), np.full((DIM, RANK), 1e-6), 1e-6

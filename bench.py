@@ -9,6 +9,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -18,7 +19,9 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from changeloom.operators import apply as ap  # noqa: E402
 from changeloom.operators import retention as rt  # noqa: E402
+from changeloom.options import ReplicationOptions  # noqa: E402
 from changeloom.plans import queries as q  # noqa: E402
+from changeloom.session import shared_dir  # noqa: E402
 
 HEADLINE = [
     "parse_flat",
@@ -52,7 +55,15 @@ def merge_share(percent: int):
         if percent < 100:
             edge = log.agg(F.percentile_approx(q.DATETIME, percent / 100)).first()[0]
             log = log.where(F.col(q.DATETIME) <= F.lit(edge))
-        return ap.merge_changes(q.target_o(spark, sf_dir), log, q.O_PK, small_batch=percent < 100)
+        target = q.target_o(spark, sf_dir)
+        winners = ap.winners_of(log, q.O_PK, target.columns)
+        small = False
+        if percent < 100:  # as a tick does it: written, measured, and broadcast only below the limit
+            folder = shared_dir(spark, "winners")
+            winners.write.parquet(folder)
+            size = sum(os.path.getsize(f.removeprefix("file:")) for f in spark.read.parquet(folder).inputFiles())
+            winners, small = spark.read.schema(winners.schema).parquet(folder), size <= ReplicationOptions("orders").broadcast_bytes
+        return ap.applied(ap.classify_merge(target, log, q.O_PK, small_batch=small, winners=winners))
 
     return run
 
@@ -71,6 +82,7 @@ def main() -> None:
         .appName("changeloom-bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.ui.enabled", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .getOrCreate()

@@ -24,6 +24,7 @@ FALSE_WORDS = ("false", "f", "no", "n", "off", "0")
 
 # A safe cast that fails raises and catches an error inside the engine, which costs far more than a cast that
 # works. Text that cannot fit is therefore recognised by its shape first.
+_NOT_FINITE = r"(?i)^\s*(nan|[+-]?inf(inity)?)\s*$"
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 _DIGITS = r"^\s*[+-]?\d{1,19}\s*$"
 _SHORT_DIGITS = r"^[+-]?\d{1,18}$"
@@ -103,7 +104,8 @@ def coerce_text(text: Column, dtype: T.DataType, number_scale: str = "declared")
     if isinstance(dtype, (T.DecimalType, T.IntegralType)):
         return to_number(text, dtype, number_scale)
     if isinstance(dtype, T.FractionalType):
-        return text.try_cast(dtype)
+        # The cast alone would also read a type suffix or a hexadecimal float.
+        return F.when(text.rlike(_NUMBER) | text.rlike(_NOT_FINITE), text.try_cast(dtype))
     if isinstance(dtype, T.BooleanType):
         return to_boolean(text)
     if isinstance(dtype, T.DateType):

@@ -90,7 +90,9 @@ def classify_merge(
     changed = op.isin(*UPSERT_OPS, "u")
 
     if not small_batch:
-        both = target.withColumn("_in_target", F.lit(True)).alias("t").join(
+        # Target rows with a null key match nothing: they pass by the join, where they would all meet in one task.
+        no_key = reduce(lambda a, b: a | b, [F.col(pk).isNull() for pk in pks])
+        both = target.where(~no_key).withColumn("_in_target", F.lit(True)).alias("t").join(
             src.alias("s"), pk_match(pks, "t", "s"), "full_outer"
         )
         in_target, in_source = F.col("t._in_target").isNotNull(), op.isNotNull()
@@ -103,7 +105,8 @@ def classify_merge(
             ).alias(c)
             for c in columns
         ]
-        return both.select(*out, action.alias(ACTION))
+        passed = target.where(no_key).select(*columns, F.lit(KEPT).alias(ACTION))
+        return both.select(*out, action.alias(ACTION)).unionByName(passed)
 
     small = F.broadcast(src)
     old = (

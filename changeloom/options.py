@@ -76,12 +76,12 @@ class ReplicationOptions:
     keep_versions: int = 5
 
     @classmethod
-    def from_config(cls, config: dict[str, str], **extra) -> ReplicationOptions:
-        """Options from string settings; unknown keys are ignored, keys may carry a dotted prefix."""
+    def from_config(cls, config: dict[str, str], prefix: str = "warehouse.", **extra) -> ReplicationOptions:
+        """Options from string settings. Keys are exactly the known ones, which may carry ``prefix``; others are ignored."""
         types = {f.name: f.type for f in fields(cls)}
         values: dict = {}
         for key, raw in config.items():
-            name = OPTION_KEYS.get(key) or OPTION_KEYS.get(key.partition(".")[2])
+            name = OPTION_KEYS.get(key.removeprefix(prefix))
             if name is None:
                 continue
             if name == "mode":
@@ -133,11 +133,20 @@ class ReplicationOptions:
         return {"maxBytesPerTrigger": str(self.max_bytes)}
 
 
+# Names of the modes.
+MODES = {
+    "BLOCK": "block",
+    "STAGE": "block",
+    "STAGE_COPY": "block",
+    "MERGE": "merge",
+    "STREAMING": "merge",
+    "PIPE_STREAMING": "merge",
+}
+
+
 def ingestion_mode(raw: str) -> str:
     """Configured ingestion mode -> ``block`` or ``merge``; names of staged modes mean block, streaming means merge."""
-    name = raw.strip().upper()
-    if name in ("BLOCK", "STAGE", "STAGE_COPY"):
-        return "block"
-    if name == "MERGE" or name.endswith("STREAMING"):
-        return "merge"
-    raise ValueError(f"unknown ingestion mode {raw!r}")
+    try:
+        return MODES[raw.strip().upper()]
+    except KeyError:
+        raise ValueError(f"unknown ingestion mode {raw!r}, known are {sorted(MODES)}") from None

@@ -319,7 +319,6 @@ def start_apply(
     options: ReplicationOptions,
     root: str,
     available_now: bool = False,
-    max_files: int | None = None,
     on_failure: Callable[[Exception], None] | None = None,
     on_metrics: MetricsListener | None = None,
 ) -> StreamingQuery:
@@ -346,9 +345,8 @@ def start_apply(
                 on_failure(error)
             raise
 
-    source = {"maxFilesPerTrigger": max_files} if max_files else {}
     return (
-        read_log_stream(target.spark, paths.log, schema, **source)
+        read_log_stream(target.spark, paths.log, schema)
         .writeStream.foreachBatch(guarded)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(options.apply_interval, available_now))
@@ -401,9 +399,10 @@ def start_replication(
         return start_block_mode(
             changes, target, options, root, logical, available_now=available_now, on_metrics=on_metrics
         )
+    # The log is there before anything writes to it, so that the second query never meets a missing or half-made folder.
+    empty = target.spark.createDataFrame([], ingest_schema(target.schema))
+    empty.write.mode("ignore").partitionBy(BLOCK).parquet(Paths(root).log)
     ingest = start_ingest(changes, target, options, root, logical, available_now, on_metrics)
     if available_now:
         ingest.awaitTermination()
-    if not path_exists(target.spark, Paths(root).log):
-        target.spark.createDataFrame([], ingest_schema(target.schema)).write.partitionBy(BLOCK).parquet(Paths(root).log)
     return Replication([ingest, start_apply(target, options, root, available_now, on_metrics=on_metrics)])

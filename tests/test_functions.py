@@ -186,3 +186,12 @@ def test_number_scale_zero_and_empty_as_null(spark):
 )
 def test_warehouse_type(name, want):
     assert co.warehouse_type(name) == want
+
+
+def test_float_text_is_a_plain_number(spark):
+    from changeloom.functions.coerce import coerce_text
+
+    rows = [("1d",), ("1.5f",), ("0x1p3",), ("2.5",), ("-1e3",), ("NaN",), ("-Infinity",), (" 7 ",), (None,), ("",)]
+    got = [r[0] for r in spark.createDataFrame(rows, "s string").select(coerce_text(F.col("s"), T.DoubleType())).collect()]
+    assert got[:3] == [None] * 3 and got[3:5] == [2.5, -1000.0] and got[5] != got[5]
+    assert got[6:] == [float("-inf"), 7.0, None, None]

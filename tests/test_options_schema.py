@@ -79,3 +79,11 @@ def test_keys(spark):
     spark.sql("alter table pk_check set tblproperties ('replication.pk' = 'ID')")
     assert sc.resolve_pks(["id", "name"], [], spark, "pk_check") == ["id"]
     spark.sql("drop table pk_check")
+
+
+def test_keys_and_modes_are_exact():
+    o = ReplicationOptions.from_config({"table": "a", "errors.table": "b", "transforms.schema": "z"})
+    assert o.table_identifier == "a"
+    for name in ("notastreaming", "merge2", ""):
+        with pytest.raises(ValueError):
+            ingestion_mode(name)

@@ -7,7 +7,6 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from changeloom.operators import apply as ap
 from changeloom.operators import parse as ps
 from changeloom.operators import replay as rp
@@ -35,9 +34,9 @@ def no_auto_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - JOBS))
+@pytest.mark.parametrize("name", sorted(set(q.all_queries()) - JOBS))
 def test_no_python_and_no_single_partition(spark, no_auto_broadcast, name):
-    text = plan(entry.queries()[name](spark, SF_DIR))
+    text = plan(q.all_queries()[name](spark, SF_DIR))
     assert not re.search(r"Python|ArrowEval|Pandas|CartesianProduct|BroadcastNestedLoop", text)
     if name not in ONE_ROW:
         assert "SinglePartition" not in text
@@ -125,3 +124,18 @@ def test_skewed_key_is_split_by_the_adaptive_join(spark, no_auto_broadcast):
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_null_keys_of_a_merge_pass_by_the_join(spark):
+    """Target rows without a key stay and are not shuffled; winners without one are inserted and meet nothing."""
+    from pyspark.sql import functions as F
+
+    from changeloom.operators.apply import classify_merge
+    from changeloom.plans.schema import OP
+
+    target = spark.range(4000).select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    winners = spark.createDataFrame([(2, 20, "u"), (None, 7, "c"), (None, 8, "d"), (9001, 9, "c")], f"k long, v long, {OP} string")
+    classified = classify_merge(target, winners, ["k"], winners=winners)
+    rows = classified.groupBy("_action").count().collect()
+    assert {r[0]: r[1] for r in rows} == {"kept": 3999, "updated": 1, "inserted": 2, "dropped": 1}
+    assert classified.where("k is null").count() == 2002

@@ -13,9 +13,10 @@ Two sets that link share at least ``t`` shingles, with ``t = ceil(threshold * si
   size band of the document (a pair of neighbouring bands meets in the lower one), which keeps the combinations of a
   document to about half its size.
 
-Sets that are equal are one node throughout. Every node is first verified against one partner, the least node of the
-buckets they share most of; only pairs whose documents these links left in different components are verified after
-that. Documents that meet in combinations are compared block by block instead, each pair of blocks in a task.
+Sets that are equal are one node throughout. A node is first verified against one partner, the least node of the buckets
+they share most of. After that, of the pairs that share a rare shingle only those are verified that these links left in
+different components, and whose prefixes do not differ by more than a link allows. Documents that meet in combinations
+are compared block by block, each pair of blocks in a task.
 
 Defined results: null text, empty text and text without a word have an empty set, size 0, and are linked with nothing; a
 document of fewer words than a shingle has its whole sequence as the one shingle; rows that repeat a doc_id are documents
@@ -31,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.llm.common import components, mix64, small_batches, stored, texts
+from changeloom.llm.common import components, forget, mix64, small_batches, stored, texts
 
 FREQUENT = 48  # documents that share a shingle beyond which it is frequent
 MOST_FREQUENT = 1 << 20  # bound on the frequent shingles sent to every task
@@ -153,7 +154,7 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _index(docs: DataFrame, words: int, rule: Rule, frequent: np.ndarray) -> DataFrame:
-    """Signatures of all nodes: sig, node, n, combo. A task gives the rows of a node once."""
+    """Signatures of all nodes: sig, node, n (its size), m (its rare prefix), pos (in it), combo. A task gives a node once."""
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
@@ -168,18 +169,21 @@ def _index(docs: DataFrame, words: int, rule: Rule, frequent: np.ndarray) -> Dat
                 singles, combos = signatures(s, shared.value, rule)
                 for sigs, combo in ((singles, False), (combos, True)):
                     if len(sigs):
-                        rows.append((sigs, node, len(s), combo))
+                        rows.append((sigs, node, len(s), len(singles), combo))
             if len(seen) > 1 << 20:
                 seen.clear()
             if rows:
                 sizes = [len(r[0]) for r in rows]
                 spread = lambda i, kind: pa.array(np.repeat(np.array([r[i] for r in rows], kind), sizes))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(np.concatenate([r[0] for r in rows]))), spread(1, np.int64), spread(2, np.int32), spread(3, bool)],
-                    ["sig", "node", "n", "combo"],
+                    [
+                        pa.array(signed(np.concatenate([r[0] for r in rows]))), spread(1, np.int64), spread(2, np.int32), spread(3, np.int32),
+                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])), spread(4, bool),
+                    ],
+                    ["sig", "node", "n", "m", "pos", "combo"],
                 )
 
-    return docs.select("text").mapInArrow(run, "sig long, node long, n int, combo boolean")
+    return docs.select("text").mapInArrow(run, "sig long, node long, n int, m int, pos int, combo boolean")
 
 
 def _sets(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
@@ -207,9 +211,9 @@ def _sets(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
                 seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "s"])
 
-    # copies of a node from several tasks carry the same bytes; the semi join drops what only the bit field let pass
+    # copies of a node from several tasks carry the same bytes; what only the bit field let pass meets no pair
     made = docs.select("text").mapInArrow(run, "node long, s binary")
-    return made.join(nodes, "node", "left_semi").groupBy("node").agg(F.first("s").alias("s"))
+    return made.groupBy("node").agg(F.first("s").alias("s"))
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
@@ -253,15 +257,18 @@ def block_links(a: list[np.ndarray], b: list[np.ndarray] | None, rule: Rule, col
     return (i[i < j], j[i < j]) if b is None else (i, j)
 
 
-def _links_by_blocks(combos: DataFrame, sets_of, rule: Rule) -> DataFrame:
-    """Links among nodes that meet in combinations: each group they form is compared block by block."""
+def _placed(combos: DataFrame) -> DataFrame:
+    """Nodes that meet in combinations: the group they form, its number of blocks and the node's own."""
     low = combos.groupBy("sig").agg(F.min("node").alias("b"), F.max("node").alias("c")).where("b < c").select("sig", "b")
     edges = combos.join(low, "sig").where("node <> b").select(F.col("node").alias("a"), "b").distinct()
     groups = components(edges)
     sizes = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    placed = groups.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    placed = stored(placed, "blocks")
-    dealt = placed.join(sets_of(placed.select("node")), "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return groups.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+
+def _links_by_blocks(placed: DataFrame, sets: DataFrame, rule: Rule) -> DataFrame:
+    """Links among nodes that meet in combinations: each group is compared block by block, in a task for each pair."""
+    dealt = placed.join(sets, "node").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "s")
 
     def run(table: pa.Table) -> pa.Table:
@@ -315,30 +322,42 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
     often = counted.where(F.col("n") > max(FREQUENT, total // MOST_FREQUENT)).select("k").toArrow().column(0).to_numpy()
     index = stored(_index(docs, words, rule, np.sort(often.view(np.uint64))), "join-index")
 
-    # Rare shingles: what shares a bucket. The bucket's least node and the sizes go along.
+    # Rare shingles: what shares a bucket, and the bucket's least node.
     bucket = Window.partitionBy("sig")
-    singles = index.where("not combo").withColumn("lo", F.min(F.struct("node", "n")).over(bucket)).withColumn("hi", F.max("node").over(bucket))
-    shared = stored(singles.where("lo.node < hi").select("sig", "node", "n", F.col("lo.node").alias("lo"), F.col("lo.n").alias("lo_n")).distinct(), "join-shared")
+    single = F.struct("node", "n", "m")
+    singles = index.where("not combo").withColumn("lo", F.min(single).over(bucket)).withColumn("hi", F.max("node").over(bucket))
+    shared = stored(singles.where("lo.node < hi").select("sig", "node", "n", "m", "pos", "lo").distinct(), "join-shared")
+    placed = stored(_placed(index.where("combo").select("sig", "node")), "join-blocks")
+    forget(index)
+
+    # First links: each node with the partner it shares most of its prefix with, where that is half or more of it.
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
-    star = shared.where((F.col("node") != F.col("lo")) & fits("n", "lo_n")).groupBy("node", "lo").agg(F.count("*").alias("c"))
-    star = star.groupBy("node").agg(F.max_by("lo", F.struct("c", "lo")).alias("b")).select(F.col("node").alias("a"), "b")
-    star = stored(star, "join-star")
-    nodes = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    links = stored(_verified(star, stored(_sets(docs, words, nodes(star)), "join-sets"), rule), "join-links")
+    star = shared.where((F.col("node") != F.col("lo.node")) & fits("n", "lo.n")).groupBy("node", "lo", "m").agg(F.count("*").alias("c"))
+    star = star.where(2 * F.col("c") >= F.least("m", "lo.m")).groupBy("node").agg(F.max_by("lo.node", F.struct("c", "lo.node")).alias("b"))
+    star = stored(star.select(F.col("node").alias("a"), "b"), "join-star")
+    nodes = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
+    sets = stored(_sets(docs, words, nodes(star).union(placed.select("node")).distinct()), "join-sets")
+    links = stored(_verified(star, sets, rule).union(_links_by_blocks(placed, sets, rule)), "join-links")
+    forget(sets)
 
     # Pairs of a bucket that these links left in different components.
     known = components(links)
-    named = shared.join(known, "node", "left").select("sig", "node", "n", F.coalesce("component", "node").alias("comp"))
+    named = shared.join(known, "node", "left").select("sig", "node", "n", "m", "pos", F.coalesce("component", "node").alias("comp"))
     open_ = named.groupBy("sig").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("sig")
     left = stored(named.join(open_, "sig"), "join-open")
-    x, y = (left.select("sig", F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("comp").alias(f"c{k}")) for k in "ab")
-    rest = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits("na", "nb")).select("a", "b").distinct()
-    rest = stored(rest.join(star.select(F.greatest("a", "b").alias("b"), F.least("a", "b").alias("a")), ["a", "b"], "left_anti"), "join-rest")
-    more = _verified(rest, stored(_sets(docs, words, nodes(rest)), "join-sets"), rule)
-
-    combos = index.where("combo")
-    by_blocks = _links_by_blocks(combos, lambda wanted: _sets(docs, words, wanted), rule)
-    final = components(stored(links.union(more).union(by_blocks), "join-links"))
+    x, y = (left.select("sig", F.col("node").alias(k), *[F.col(c).alias(c + k) for c in ("n", "m", "pos", "comp")]) for k in "ab")
+    met = x.join(y, "sig").where((F.col("a") < F.col("b")) & (F.col("compa") != F.col("compb")) & fits("na", "nb"))
+    met = met.groupBy("a", "b", "na", "nb", "ma", "mb").agg(F.count("*").alias("c"), F.max("posa").alias("i"), F.max("posb").alias("j"))
+    # Up to their last common shingle both prefixes are whole, and after it the one that ends first has none in common:
+    # what differs there must not be more than a pair that links may differ by.
+    both = F.col("na") + F.col("nb")
+    apart = both - 2 * F.ceil(percent * both / F.lit(100 + percent) - F.lit(1e-9))
+    rest = met.where(F.col("i") + F.col("j") + 2 - 2 * F.col("c") + F.least(F.col("ma") - F.col("i"), F.col("mb") - F.col("j")) - 1 <= apart)
+    tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = stored(rest.select("a", "b").join(tried, ["a", "b"], "left_anti"), "join-rest")
+    sets = stored(_sets(docs, words, nodes(rest).distinct()), "join-sets")
+    final = components(stored(links.union(_verified(rest, sets, rule)), "join-links"))
+    forget(sets, shared, left)
     smallest = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     at = smallest.join(final, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     ids = at.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -13,7 +13,10 @@ swap places; an empty table gives an empty result; other columns are never read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
 import zlib
 from collections import defaultdict
 
@@ -28,17 +31,64 @@ ROOM = 2048
 PLACES = 1024  # hashed parts in which the pieces of one length are ranked
 CACHED_WORDS = 400_000
 
-_tokenizers: dict[str, tuple] = {}
+# A fixed value of the tokenizer's file: how it cuts lower-cased text into the parts that its model sees one by one.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# The same for words of visible ASCII and of the letters of U+00C0 to U+00FF, on which every Unicode version agrees.
+_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+").findall
 
+_words: dict[str, Words] = {}
 
-def _tokenizer(path: str):
-    """A worker's tokenizer and its cache of words; the cache starts anew when it is full."""
-    if path not in _tokenizers:
+
+class Parts(dict):
+    """Little-endian ids of the parts that the model has met."""
+
+    def __init__(self, model):
+        self.model = model
+        # the model reads bytes as characters: those that are visible as themselves, the others from U+0100 on
+        seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+        self.letters = {b: 0x100 + i for i, b in enumerate(sorted(set(range(0x100)) - set(seen)))}
+
+    def __missing__(self, part: str) -> bytes:
+        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(letters)]
+        self[part] = found = struct.pack(f"<{len(ids)}I", *ids)
+        return found
+
+
+class Words(dict):
+    """Little-endian ids of the UTF-8 words that a worker has met; starts anew when it is full.
+
+    A plain word is cut into its parts here, and only parts not met before go to the tokenizer's model. All others, and
+    all words of a tokenizer with other rules, go through the whole tokenizer.
+    """
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        _tokenizers[path] = (Tokenizer.from_file(path), {})
-    return _tokenizers[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.parts = Parts(self.tokenizer.model)
+        rules = json.loads(self.tokenizer.to_str())
+        cut, *then = (rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
+        steps = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers") or []]
+        self.known = (
+            rules["model"]["type"] == "BPE" and steps == ["NFC", "Replace", "Lowercase"]
+            and cut.get("pattern") == {"Regex": SPLIT} and [t["type"] for t in then] == ["ByteLevel"]
+            and all(t["content"].startswith("<|") for t in rules["added_tokens"])
+        )
+
+    def __missing__(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if self.known and text.isascii() and text.isalpha():
+            found = self.parts[text.lower()]
+        elif self.known and _PLAIN(text) and "<|" not in text:
+            found = b"".join(map(self.parts.__getitem__, _PARTS(text.lower())))
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+            found = struct.pack(f"<{len(ids)}I", *ids)
+        self[word] = found
+        return found
 
 
 def token_bytes(found: list[bytes], path: str) -> list[bytes]:
@@ -47,15 +97,13 @@ def token_bytes(found: list[bytes], path: str) -> list[bytes]:
     The tokenizer drops white space and never joins across it, so that a text's ids are those of its words in turn,
     and a word that came before needs no second look.
     """
-    tokenizer, cache = _tokenizer(path)
-    if len(cache) > CACHED_WORDS:
-        cache.clear()
-    split = [text.split() for text in found]
-    # one call for the new words of all texts: a call costs far more than a word
-    new = [w for w in set().union(*split) if w not in cache]
-    for w, e in zip(new, tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)):
-        cache[w] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join(map(cache.__getitem__, words)) for words in split]
+    if path not in _words:
+        _words[path] = Words(path)
+    words = _words[path]
+    if len(words) > CACHED_WORDS:
+        words.clear()
+        words.parts.clear()
+    return [b"".join(map(words.__getitem__, text.split())) for text in found]
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, room: int = ROOM, closing_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import io
 import math
+import random
 import re
 import struct
 import zlib
@@ -85,6 +86,17 @@ def test_language_of_held_out_texts(spark, odd, none):
 # --- 2 packing -----------------------------------------------------------------------------------------------
 
 
+def test_words_have_the_ids_of_the_whole_tokenizer():
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    letters = "aAbBzZsStT\u00e9\u00c9\u00df\u00ff\u00d7\u00aa\u00b2'\u2019.,!?<|>019 \t\n\x85\xa0\x1c\x00\u0130\u03a3\u4e2d\u0301\u01c5_-\"\\"
+    rng = random.Random(3)
+    made = ["".join(rng.choices(letters, k=rng.randint(0, 25))) + rng.choice(["", "don't WE'LL", "<|endoftext|>"]) for _ in range(3000)]
+    want = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in made]
+    assert packing.token_bytes([t.encode() for t in made], TOKENIZER) == want
+
+
 def test_packing_holds_every_id_once(spark, odd, none):
     from tokenizers import Tokenizer
 

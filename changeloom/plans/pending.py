@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +17,7 @@ from changeloom.operators.select import has_pending, take_batch
 from changeloom.options import ReplicationOptions
 from changeloom.plans.schema import BLOCK, ingest_schema
 from changeloom.plans.target import TargetTable
-from changeloom.session import child_names, delete_path, path_exists
+from changeloom.session import child_names, delete_empty, delete_path, path_exists, write_line
 from changeloom.sources.ingest_log import read_log
 
 
@@ -69,6 +71,7 @@ def apply_pending(
     """
     schema = ingest_schema(target.schema)
     frozen = f"{work_path}/frozen"
+    _finish_trims(spark, work_path)
     for name in child_names(spark, frozen):
         if path_exists(spark, f"{frozen}/{name}/_SUCCESS"):
             _finish(spark, log_path, target, schema, frozen, name, options)
@@ -90,11 +93,12 @@ def _expire(
     """Remove old rows by age, at most once per interval. Rows here are all waiting, so only when asked to."""
     now = now or dt.datetime.now(dt.timezone.utc)
     now_ms = int(now.replace(tzinfo=now.tzinfo or dt.timezone.utc).timestamp() * 1000)
-    if options.only_applied or not retention_due(last_expiry(spark, clock), options.retention_interval, now_ms):
+    last_ms = last_expiry(spark, clock)
+    if options.only_applied or not retention_due(last_ms, options.retention_interval, now_ms):
         return
     if options.retention_delay > 0 and path_exists(spark, log_path):
         log = read_log(spark, log_path, schema)
-        _rewrite_blocks(spark, log_path, log, expire_rows(log, options.retention_delay, now))
+        _rewrite_blocks(spark, log_path, log, expire_rows(log, options.retention_delay, now), f"expiry-{last_ms}", clock.rsplit("/", 1)[0])
     note_expiry(spark, clock, now_ms)
 
 
@@ -115,25 +119,44 @@ def _finish(
     metrics = merge_tick(target, spark.read.schema(winners.schema).parquet(folder), f"batch:{name}", options)
     touched = [row[0] for row in batch.select(BLOCK).distinct().collect()]
     log = read_log(spark, log_path, schema).where(F.col(BLOCK).isin(touched))
-    _rewrite_blocks(spark, log_path, log, remove_batch(log, batch))
+    _rewrite_blocks(spark, log_path, log, remove_batch(log, batch), name, frozen.rsplit("/", 1)[0])
     delete_path(spark, f"{frozen}/{name}")
     delete_path(spark, folder)
     return metrics
 
 
-def _rewrite_blocks(spark: SparkSession, log_path: str, before: DataFrame, after: DataFrame) -> None:
-    """Replace the blocks of ``before`` by the rows of ``after``: rewrite those that lost rows, drop the empty ones."""
+def _rewrite_blocks(spark: SparkSession, log_path: str, before: DataFrame, after: DataFrame, name: str, work_path: str) -> None:
+    """Replace the rows of ``before`` by those of ``after``, in the blocks that lost rows.
+
+    What stays of a block goes to a new block, whose id follows from the old one and ``name``, so that a second run
+    writes the same one again. Then the files that ``before`` was listed with are noted, and only those are deleted:
+    files that came to an old block since are neither read nor deleted, and a crash leaves a note to go on with.
+    """
+    files = [unquote(file) for file in before.inputFiles()]
     counts = (
         before.groupBy(BLOCK)
         .agg(F.count("*").alias("had"))
         .join(after.groupBy(BLOCK).agg(F.count("*").alias("has")), BLOCK, "left_outer")
         .where(F.col("has").isNull() | (F.col("has") < F.col("had")))
     )
-    changed = counts.collect()
-    shrunk = [row[BLOCK] for row in changed if row["has"]]
-    if shrunk:
-        rows = after.where(F.col(BLOCK).isin(shrunk))
+    changed = {row[BLOCK]: row["has"] for row in counts.collect()}
+    if any(changed.values()):
+        rows = after.where(F.col(BLOCK).isin(list(changed))).withColumn(BLOCK, F.md5(F.concat_ws("#", F.lit(name), BLOCK)))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BLOCK).parquet(log_path)
-    for row in changed:
-        if not row["has"]:
-            delete_path(spark, f"{log_path}/{BLOCK}={row[BLOCK]}")
+    gone = [file for file in files if unquote(file.rsplit("/", 2)[1].partition("=")[2]) in changed]
+    if gone:
+        write_line(spark, f"{work_path}/trims/{name}.json", json.dumps({"files": gone}))
+        _finish_trims(spark, work_path)
+
+
+def _finish_trims(spark: SparkSession, work_path: str) -> None:
+    """Delete the files whose rows are in other blocks by now, as noted before the first of them is deleted."""
+    for name in child_names(spark, f"{work_path}/trims"):
+        if name.startswith("."):
+            continue
+        files = spark.read.schema("files array<string>").json(f"{work_path}/trims/{name}").first()["files"]
+        for file in files:
+            delete_path(spark, file)
+        for folder in {file.rsplit("/", 1)[0] for file in files}:
+            delete_empty(spark, folder)
+        delete_path(spark, f"{work_path}/trims/{name}")

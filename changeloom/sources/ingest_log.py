@@ -128,14 +128,13 @@ def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 def read_block(spark: SparkSession, path: str, schema: T.StructType, block_id: str) -> DataFrame:
     """One block of the log, without listing the others."""
-    folder = f"{path}/{BLOCK}={block_id}"
-    return spark.read.schema(_with_block_last(schema)).option("basePath", path).parquet(folder)
+    return read_blocks(spark, path, schema, [block_id])
 
 
-def read_log_stream(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """The log as a stream of appended files."""
-    reader = spark.readStream.schema(_with_block_last(schema))
-    return reader.options(**options).parquet(path)
+def read_blocks(spark: SparkSession, path: str, schema: T.StructType, block_ids: list[str]) -> DataFrame:
+    """Some blocks of the log, without listing the others."""
+    folders = [f"{path}/{BLOCK}={block_id}" for block_id in block_ids]
+    return spark.read.schema(_with_block_last(schema)).option("basePath", path).parquet(*folders)
 
 
 def _with_block_last(schema: T.StructType) -> T.StructType:

@@ -11,9 +11,10 @@ watermark: a change that arrives in a later batch overwrites, whatever its offse
 from __future__ import annotations
 
 import datetime as dt
+import json
 import time
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -30,14 +31,14 @@ from changeloom.options import ReplicationOptions
 from changeloom.plans.pending import change_bytes, merge_tick
 from changeloom.plans.schema import BLOCK, DATETIME, OFFSET, OP, PARTITION, TOPIC, ingest_schema
 from changeloom.plans.target import TargetTable
-from changeloom.session import delete_path, path_exists
+from changeloom.session import delete_path, make_folder, path_exists, write_line
 from changeloom.sources.ingest_log import (
     dedup_ingest,
     first_record_keys,
     prune_to_offsets,
     read_block,
+    read_blocks,
     read_log,
-    read_log_stream,
     to_ingest,
     write_block,
 )
@@ -68,9 +69,11 @@ def _report(listener: MetricsListener | None, name: str, arrived, changed) -> No
 
 @dataclass
 class Replication:
-    """The running queries of one replication job."""
+    """The running queries of one replication job; in merge mode ingest first, then apply."""
 
     queries: list[StreamingQuery] = field(default_factory=list)
+    restart_apply: Callable[[], StreamingQuery] | None = None
+    wait_seconds: float = 0
 
     def drain(self) -> None:
         """Wait until everything that has arrived is applied; ingest first, then apply."""
@@ -83,10 +86,23 @@ class Replication:
         for query in self.queries:
             query.stop()
 
-    def await_termination(self) -> None:
-        """Wait for triggers that end by themselves; raises when a query failed."""
-        for query in self.queries:
-            query.awaitTermination()
+    def await_termination(self, poll_seconds: float = 1) -> None:
+        """Wait for triggers that end by themselves, and keep the job to its rules of failure meanwhile.
+
+        A failed apply query is started again after the interval and takes the failed batch again; a failure of any
+        other query stops the whole job and is raised.
+        """
+        while any(query.isActive for query in self.queries) or any(query.exception() for query in self.queries):
+            for i, query in enumerate(self.queries):
+                try:
+                    query.awaitTermination(poll_seconds)
+                except StreamingQueryException:
+                    if i == 0 or self.restart_apply is None:
+                        self.stop(drain=False)
+                        raise
+                    # ingest is watched while apply waits
+                    self.queries[0].awaitTermination(self.wait_seconds)
+                    self.queries[i] = self.restart_apply()
 
 
 @dataclass(frozen=True)
@@ -99,6 +115,10 @@ class Paths:
     def log(self) -> str:
         return f"{self.root}/log"
 
+    @property
+    def commits(self) -> str:
+        return f"{self.root}/commits"
+
     @property
     def landing(self) -> str:
         return f"{self.root}/landing"
@@ -213,10 +233,34 @@ def apply_block_batch(
     return ApplyMetrics(**observed(counts))
 
 
-def _mark_applied(batch: DataFrame, paths: Paths, apply_id: str) -> None:
+def commit_block(target: TargetTable, paths: Paths, block_id: str, batch_id: int) -> None:
+    """Announce a complete block to the apply query: its id, its rows and its place among the blocks of the job.
+
+    Written after the block itself and under the block's name, so that a block is announced whole and once.
+    """
+    if path_exists(target.spark, f"{paths.commits}/{block_id}.json"):
+        return
+    rows = read_block(target.spark, paths.log, ingest_schema(target.schema), block_id).count()
+    line = json.dumps({"block": block_id, "seq": batch_id, "n": rows})
+    write_line(target.spark, f"{paths.commits}/{block_id}.json", line)
+
+
+def _mark_applied(spark: SparkSession, blocks: list, paths: Paths, apply_id: str) -> None:
     """Rows per block a merge has consumed; one folder per merge, so a replay rewrites the same folder."""
-    counts = batch.groupBy(BLOCK).agg(F.count("*").alias("n"))
-    counts.write.mode("overwrite").parquet(f"{paths.applied}/apply={apply_id}")
+    counts = spark.createDataFrame([(row["block"], row["n"]) for row in blocks], f"{BLOCK} string, n long")
+    counts.coalesce(1).write.mode("overwrite").parquet(f"{paths.applied}/apply={apply_id}")
+
+
+def portions(blocks: list, limit: int) -> Iterator[list]:
+    """Whole blocks in the order of their ingest, in portions of at most ``limit`` rows or one block."""
+    taken: list = []
+    for row in sorted(blocks, key=lambda row: (row["seq"], row["block"])):
+        if taken and sum(r["n"] for r in taken) + row["n"] > limit:
+            yield taken
+            taken = []
+        taken.append(row)
+    if taken:
+        yield taken
 
 
 def expire_blocks(
@@ -304,7 +348,9 @@ def start_ingest(
     def run(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             block_id = block_id_of(checkpoint, batch_id)
-            _report(on_metrics, block_id, ingest_batch(batch, block_id, target, options, paths, logical), None)
+            arrived = ingest_batch(batch, block_id, target, options, paths, logical)
+            commit_block(target, paths, block_id, batch_id)
+            _report(on_metrics, block_id, arrived, None)
 
     return (
         changes.writeStream.foreachBatch(run)
@@ -322,19 +368,22 @@ def start_apply(
     on_failure: Callable[[Exception], None] | None = None,
     on_metrics: MetricsListener | None = None,
 ) -> StreamingQuery:
-    """Merge mode, second query: merge what the log gained since the last tick.
+    """Merge mode, second query: merge the blocks that were announced since the last tick.
 
-    The checkpoint marks what is pending. A failed tick is reported to ``on_failure`` and ends the query; the next
-    start takes the same batch again.
+    Only whole blocks are seen, in the order of their ingest; each merge takes whole blocks up to ``merge_batch_size``
+    rows, at least one. The checkpoint marks what is pending, and a merge that is marked as done is skipped when a tick
+    is taken again. A failed tick is reported to ``on_failure`` and ends the query; the next start takes it again.
     """
     paths = Paths(root)
     checkpoint = paths.checkpoint("apply")
-    schema = ingest_schema(target.schema)
+    make_folder(target.spark, paths.commits)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            apply_id = block_id_of(checkpoint, batch_id)
-            _report(on_metrics, apply_id, None, merge_batch(batch, apply_id, target, options, paths))
+        # one short line per block of this tick
+        for i, blocks in enumerate(portions(batch.collect(), options.merge_batch_size)):
+            apply_id = block_id_of(checkpoint, batch_id) + (f"-{i}" if i else "")
+            if not path_exists(target.spark, f"{paths.applied}/apply={apply_id}/_SUCCESS"):
+                _report(on_metrics, apply_id, None, merge_blocks(blocks, apply_id, target, options, paths))
         expire_blocks(target.spark, target, options, paths)
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
@@ -346,7 +395,7 @@ def start_apply(
             raise
 
     return (
-        read_log_stream(target.spark, paths.log, schema)
+        target.spark.readStream.schema("block string, seq long, n long").json(paths.commits)
         .writeStream.foreachBatch(guarded)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(options.apply_interval, available_now))
@@ -372,16 +421,23 @@ def with_restarts(start: Callable[[], StreamingQuery], wait_seconds: float, max_
             time.sleep(wait_seconds)
 
 
-def merge_batch(
-    batch: DataFrame, apply_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths
+def merge_blocks(
+    blocks: list, apply_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths
 ) -> ApplyMetrics | None:
-    """Merge one micro-batch of the log: its winners are written once and used from there."""
-    folder = f"{paths.root}/winners/{apply_id}"
-    winners = winners_of(batch, list(target.pks), target.schema.names)
-    winners.write.mode("overwrite").parquet(folder)
-    done = merge_tick(target, target.spark.read.schema(winners.schema).parquet(folder), f"merge:{apply_id}", options)
-    _mark_applied(batch, paths, apply_id)
-    delete_path(target.spark, folder)
+    """Merge whole blocks of the log: their winners are written once and used from there."""
+    spark, done = target.spark, None
+    full = [row["block"] for row in blocks if row["n"]]
+    if not options.only_applied:
+        # expiry by age alone may have removed a block that was still waiting
+        full = [block for block in full if path_exists(spark, f"{paths.log}/{BLOCK}={block}")]
+    if full:
+        folder = f"{paths.root}/winners/{apply_id}"
+        batch = read_blocks(spark, paths.log, ingest_schema(target.schema), full)
+        winners = winners_of(batch, list(target.pks), target.schema.names)
+        winners.write.mode("overwrite").parquet(folder)
+        done = merge_tick(target, spark.read.schema(winners.schema).parquet(folder), f"merge:{apply_id}", options)
+        delete_path(spark, folder)
+    _mark_applied(spark, blocks, paths, apply_id)
     return done
 
 
@@ -393,8 +449,12 @@ def start_replication(
     logical: dict[str, str] | None = None,
     available_now: bool = False,
     on_metrics: MetricsListener | None = None,
+    on_failure: Callable[[Exception], None] | None = None,
 ) -> Replication:
-    """Start the queries of the configured mode. One job per target; nothing coordinates several."""
+    """Start the queries of the configured mode. One job per target; nothing coordinates several.
+
+    ``await_termination`` of the result restarts a failed apply query after the apply interval, ``on_failure`` hears of it.
+    """
     if options.mode == "block":
         return start_block_mode(
             changes, target, options, root, logical, available_now=available_now, on_metrics=on_metrics
@@ -405,4 +465,8 @@ def start_replication(
     ingest = start_ingest(changes, target, options, root, logical, available_now, on_metrics)
     if available_now:
         ingest.awaitTermination()
-    return Replication([ingest, start_apply(target, options, root, available_now, on_metrics=on_metrics)])
+
+    def apply() -> StreamingQuery:
+        return start_apply(target, options, root, available_now, on_failure, on_metrics)
+
+    return Replication([ingest, apply()], apply, options.apply_interval)

@@ -44,6 +44,12 @@ class Job:
             on_metrics=lambda *report: self.metrics.append(report),
         ).await_termination()
 
+    def ingest(self):
+        sr.start_ingest(self.changes(), self.target, self.options, self.root, available_now=True).awaitTermination()
+
+    def apply(self, **more):
+        return sr.start_apply(self.target, self.options, self.root, available_now=True, **more)
+
     def state(self):
         return m.as_rows(self.target.read().collect())
 
@@ -113,7 +119,11 @@ def test_failure_after_the_target_was_written(spark, tmp_path, mode, monkeypatch
 
     monkeypatch.setattr(sr, "expire_blocks", crash)
     with pytest.raises(StreamingQueryException):
-        job.run()
+        if mode == "block":
+            job.run()
+        else:
+            job.ingest()
+            job.apply().awaitTermination()
     monkeypatch.setattr(sr, "expire_blocks", expire)
     job.run()
     assert job.state() == m.as_rows((m.block if mode == "block" else m.merge)([], rows))
@@ -138,6 +148,63 @@ def test_apply_query_is_retried(spark, tmp_path, monkeypatch):
     assert job.state() == m.as_rows(m.merge([], rows))
 
 
+def test_a_failed_apply_is_restarted_by_the_job(spark, tmp_path, monkeypatch):
+    job = Job(spark, tmp_path, "merge", apply_interval=5)
+    rows = m.random_log(17, 30)
+    job.deliver(rows)
+    tick, failures = sr.merge_tick, []
+
+    def flaky(*args):
+        if not failures:
+            raise RuntimeError("busy")
+        return tick(*args)
+
+    monkeypatch.setattr(sr, "merge_tick", flaky)
+    sr.start_replication(
+        job.changes(), job.target, job.options, job.root, available_now=True, on_failure=failures.append
+    ).await_termination()
+    assert len(failures) == 1
+    assert job.state() == m.as_rows(m.merge([], rows))
+
+
+def test_a_failed_ingest_stops_apply(spark, tmp_path):
+    job = Job(spark, tmp_path, "merge", flush_seconds=1, apply_interval=5)
+    job.deliver([{**m.random_log(1, 1)[0], "value": "{bad"}])
+    running = sr.start_replication(job.changes(), job.target, job.options, job.root)
+    with pytest.raises(StreamingQueryException, match="malformed"):
+        running.await_termination()
+    assert not any(query.isActive for query in running.queries)
+
+
+def test_blocks_are_merged_whole_and_in_the_order_of_ingest(spark, tmp_path):
+    """Later blocks hold older offsets: arrival wins, in one tick as in several merges of few rows."""
+    for limit in (1, 25, 10_000):
+        job = Job(spark, tmp_path / str(limit), "merge", merge_batch_size=limit)
+        rows = m.random_log(18, 60)
+        parts = [rows[40:], rows[20:40], rows[:20]]
+        for part in parts:
+            job.deliver(part)
+            job.ingest()
+        job.metrics = []
+        job.apply(on_metrics=lambda *report, job=job: job.metrics.append(report)).awaitTermination()
+        state = []
+        for part in parts if limit < 60 else [rows]:
+            state = m.merge(state, part)
+        assert len(job.metrics) == (3 if limit < 60 else 1)
+        assert job.state() == m.as_rows(state)
+
+
+def test_half_a_block_is_not_seen(spark, tmp_path):
+    job = Job(spark, tmp_path, "merge")
+    rows = m.random_log(19, 20)
+    job.deliver(rows)
+    job.ingest()
+    half = spark.createDataFrame([{**r, "KFK_OFFSET": r["KFK_OFFSET"] + 100, "KFK_OP": "c"} for r in rows[:5]], m.LOG_DDL)
+    half.drop("KFK_BLOCKID").write.parquet(f"{job.paths.log}/KFK_BLOCKID=half")
+    job.apply().awaitTermination()
+    assert job.state() == m.as_rows(m.merge([], rows))
+
+
 def test_bad_record_stops_the_job_or_is_set_aside(spark, tmp_path):
     bad = {**m.random_log(1, 1)[0], "KFK_OFFSET": 999, "value": "{bad"}
     rows = m.random_log(11, 20)

@@ -125,6 +125,45 @@ def test_waiting_rows_expire_by_age_only_when_asked(spark, tmp_path):
     assert il.read_log(spark, log_path, schema).count() == left - 1
 
 
+def test_rows_that_come_during_the_trim_stay(spark, tmp_path, monkeypatch):
+    log_path, schema, batches = pending_setup(spark, tmp_path)
+    target, late = table(spark, tmp_path), []
+    listed = pe.remove_batch
+
+    def append_late(log, batch):
+        left = listed(log, batch)
+        if not late:
+            late.extend({**r, "KFK_OFFSET": r["KFK_OFFSET"] + 10_000} for r in batches[0][:5])
+            il.append_ingest(spark.createDataFrame(late, m.LOG_DDL), log_path)
+        return left
+
+    monkeypatch.setattr(pe, "remove_batch", append_late)
+    pe.apply_pending(spark, log_path, target, OPTIONS, f"{tmp_path}/work")
+    found = {(r["KFK_PARTITION"], r["KFK_OFFSET"]) for r in il.read_log(spark, log_path, schema).collect()}
+    assert found == {(r["KFK_PARTITION"], r["KFK_OFFSET"]) for r in [*batches[1], *batches[2], *late]}
+
+
+def test_crash_while_old_files_are_deleted(spark, tmp_path, monkeypatch):
+    log_path, schema, batches = pending_setup(spark, tmp_path)
+    target, calls = table(spark, tmp_path), []
+    delete = pe.delete_path
+
+    def once(spark, path):
+        if path.startswith("file:") or "/log/" in path:
+            calls.append(path)
+            if len(calls) == 2:
+                raise RuntimeError("lost")
+        delete(spark, path)
+
+    monkeypatch.setattr(pe, "delete_path", once)
+    with pytest.raises(RuntimeError):
+        pe.apply_pending(spark, log_path, target, OPTIONS, f"{tmp_path}/work")
+    monkeypatch.setattr(pe, "delete_path", delete)
+    pe.apply_pending(spark, log_path, target, OPTIONS, f"{tmp_path}/work")
+    assert m.as_rows(target.read().collect()) == m.as_rows(m.merge(m.merge([], batches[0]), batches[1]))
+    assert il.read_log(spark, log_path, schema).count() == len(batches[2])
+
+
 def test_crash_between_merge_and_trim(spark, tmp_path, monkeypatch):
     log_path, schema, batches = pending_setup(spark, tmp_path)
     target = table(spark, tmp_path)

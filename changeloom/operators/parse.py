@@ -1,8 +1,8 @@
 """Payload projection: change records -> operation, time and business fields.
 
 Every operator is a column expression over the whole frame. JSON text is parsed once per row into a variant;
-everything after that navigates the variant. ``fields`` is ``MAP<STRING,VARIANT>``: it accepts any keys and
-keeps number against string and exact decimals.
+everything after that navigates the variant. ``fields`` is ``MAP<STRING,VARIANT>`` or, for known columns, the variant
+itself: it accepts any keys and keeps number against string and exact decimals.
 """
 
 from __future__ import annotations
@@ -28,8 +28,13 @@ def _as_map(v: Column) -> Column:
     return F.try_variant_get(v, "$", FIELDS)
 
 
-def _no_fields() -> Column:
-    return F.from_json(F.lit("{}"), FIELDS)
+def _is_object(v: Column) -> Column:
+    """Whether a variant is an object, told without building its map; null or false otherwise."""
+    return F.try_variant_get(v, "$", "struct<_:variant>").isNotNull()
+
+
+def _no_fields(typed: bool = False) -> Column:
+    return F.parse_json(F.lit("{}")) if typed else F.from_json(F.lit("{}"), FIELDS)
 
 
 def _now_millis(now_ms: int | Column | None) -> Column:
@@ -115,12 +120,15 @@ def parse_changes(
     unwrap_flat: bool = False,
     timestamp_precision: str = "millis",
     message_schemas: bool = True,
+    typed: bool = False,
 ) -> DataFrame:
     """Change records -> parsed changes; the route follows the Spark type of the value column.
 
     Adds ``fmt, op, ts_ms, fields, missing_image, reject_reason`` and drops the value. ``reject_reason`` is one
     of ``null_value, malformed, not_object, bad_image`` or null; see ``apply_error_policy``.
     ``message_schemas=False`` states that no message carries a schema and saves the look at it.
+    ``typed=True`` gives ``fields`` of JSON values as one variant instead of a map of all keys: the route for rows
+    whose columns are known, since ``to_ingest`` then reads each column where it lies.
     """
     if isinstance(df.schema[value].dataType, T.StructType):
         return parse_struct(df, value, now_ms, logical, timestamp_precision)
@@ -136,7 +144,7 @@ def parse_changes(
     out = out.withColumn(
         "_image", F.when(envelope, row_image(F.col("_op"), F.col("_before"), F.col("_after"))).otherwise(own)
     )
-    out = out.withColumn("_row", _as_map(F.col("_image")))
+    out = out.withColumn("_row", F.when(_is_object(F.col("_image")), F.col("_image")) if typed else _as_map(F.col("_image")))
     no_image = F.col("_image").isNull() | F.is_variant_null(F.col("_image"))
     out = out.withColumns(
         {
@@ -150,8 +158,13 @@ def parse_changes(
     )
     if message_schemas:
         out = _message_types(out, envelope & F.col("_schema").isNotNull())
-        out = out.withColumn("_row", normalise_fields(F.col("_row"), F.col("_types"), timestamp_precision))
-    out = out.withColumn("_row", F.coalesce(F.col("_row"), _no_fields()))
+        if typed:
+            written = F.to_variant_object(normalise_fields(_as_map(F.col("_row")), F.col("_types"), timestamp_precision))
+            row = F.when(F.col("_types").isNotNull(), written).otherwise(F.col("_row"))
+        else:
+            row = normalise_fields(F.col("_row"), F.col("_types"), timestamp_precision)
+        out = out.withColumn("_row", row)
+    out = out.withColumn("_row", F.coalesce(F.col("_row"), _no_fields(typed)))
     kept = [c for c in df.columns if c != value]
     return _emit(out, kept, fmt="_fmt", op="_op", ts_ms="_ts_ms", fields="_row", missing_image="_missing", reject_reason="_reason")
 
@@ -166,11 +179,14 @@ def _emit(df: DataFrame, kept: list[str], **parsed: str) -> DataFrame:
     return df.select(*kept, F.inline_outer(F.array(row)))
 
 
-def parse_flat(df: DataFrame, value: str = "value", now_ms: int | Column | None = None) -> DataFrame:
+def parse_flat(
+    df: DataFrame, value: str = "value", now_ms: int | Column | None = None, typed: bool = False
+) -> DataFrame:
     """Flat payloads only: all top-level keys become fields, the operation is ``c``, the time is now."""
     if isinstance(df.schema[value].dataType, T.StructType):
         return _finish_struct(df, value, F.lit("c"), _now_millis(now_ms), F.col(value), None, "millis", "flat")
-    out = _decode(df, value).withColumn("_row", _as_map(F.col("_root")))
+    root = F.col("_root")
+    out = _decode(df, value).withColumn("_row", F.when(_is_object(root), root) if typed else _as_map(root))
     out = out.withColumns(
         {
             "_fmt": F.when(F.col("_row").isNotNull(), F.lit("flat")),
@@ -181,14 +197,16 @@ def parse_flat(df: DataFrame, value: str = "value", now_ms: int | Column | None
             .when(F.col("_root").isNull(), F.lit("malformed"))
             .when(F.col("_row").isNull(), F.lit("not_object")),
         }
-    ).withColumn("_row", F.coalesce(F.col("_row"), _no_fields()))
+    ).withColumn("_row", F.coalesce(F.col("_row"), _no_fields(typed)))
     kept = [c for c in df.columns if c != value]
     return _emit(out, kept, fmt="_fmt", op="_op", ts_ms="_ts_ms", fields="_row", missing_image="_missing", reject_reason="_reason")
 
 
-def parse_envelope(df: DataFrame, value: str = "value", now_ms: int | Column | None = None) -> DataFrame:
+def parse_envelope(
+    df: DataFrame, value: str = "value", now_ms: int | Column | None = None, typed: bool = False
+) -> DataFrame:
     """Envelope payloads only; a row of another shape gets the reason ``not_envelope``."""
-    out = parse_changes(df, value, now_ms)
+    out = parse_changes(df, value, now_ms, typed=typed)
     return out.withColumn(
         "reject_reason",
         F.coalesce(F.col("reject_reason"), F.when(F.col("fmt") != "envelope", F.lit("not_envelope"))),

@@ -155,7 +155,7 @@ ORACLE: dict[str, str] = {
         case when {_KIND} <> 'error' then cast(cast(round(cast(cast(value as varchar) as decimal(18,4)), 1) as decimal(12,1)) as varchar) end as one_digit,
         case when {_KIND} <> 'error' then cast(cast(round(cast(cast(value as varchar) as decimal(18,4)), 0) as decimal(12,2)) as varchar) end as scale_zero
         from events""",
-    "coerce_float": f"select event_id, case when {_KIND} <> 'error' then value end as x from events",
+    "coerce_float": f"select event_id, case when {_KIND} in ('signup', 'view') then value end as x from events",
     "coerce_boolean": f"""select event_id, case {_KIND} when 'signup' then true when 'click' then true
         when 'view' then false when 'purchase' then false end as flag from events""",
     "coerce_date_mixed": f"select event_id, case when {_KIND} <> 'error' then strftime(ts, '%Y-%m-%d') end as d from events",
@@ -195,6 +195,34 @@ ORACLE: dict[str, str] = {
         select case when t.o_orderkey is not null and op = 'd' then 'deleted'
           when t.o_orderkey is not null then 'updated' when op in ('c','r') then 'inserted' else 'dropped' end as action
         from w left join t on w.o_orderkey = t.o_orderkey) group by action""",
+    "merge_to_null": _merge(O_COLS).replace("w.o_orderpriority", "case when w.op <> 'u' then w.o_orderpriority end as o_orderpriority"),
+    "merge_null_keys": f"""with {O}, tn as (select case when o_orderkey % 5 <> 0 then o_orderkey end as o_orderkey,
+          {O_COLS.removeprefix("o_orderkey, ")} from t),
+        l as (select * exclude (o_orderkey), case when o_orderkey % 5 <> 0 then o_orderkey end as o_orderkey from o),
+        w as (select * from (select *, row_number() over (partition by o_orderkey order by off desc, part desc) as rn from l)
+          where rn = 1)
+        select {", ".join("tn." + c.strip() for c in O_COLS.split(","))} from tn
+          where not exists (select 1 from w where w.o_orderkey = tn.o_orderkey)
+        union all select {", ".join("w." + c.strip() for c in O_COLS.split(","))} from w
+          join tn on w.o_orderkey = tn.o_orderkey where w.op in ('c','r','u')
+        union all select {", ".join("w." + c.strip() for c in O_COLS.split(","))} from w where w.op in ('c','r')
+          and not exists (select 1 from tn where tn.o_orderkey = w.o_orderkey)""",
+    "merge_two_keys": """with t as (select distinct l_orderkey, l_linenumber from lineitem where l_linestatus = 'F'),
+        w as (select * from (select l_orderkey, l_linenumber, l_quantity + 1 as l_quantity,
+            case when l_returnflag = 'R' then 'd' when l_linestatus = 'F' then 'u' else 'c' end as op,
+            row_number() over (partition by l_orderkey, l_linenumber order by l_orderkey) as rn
+          from lineitem where l_linenumber > 1) where rn = 1)
+        select t.l_orderkey, t.l_linenumber, case when w.op is null then 0.0::double else w.l_quantity end as l_quantity
+          from t left join w on t.l_orderkey = w.l_orderkey and t.l_linenumber = w.l_linenumber
+          where w.op is null or w.op <> 'd'
+        union all select l_orderkey, l_linenumber, l_quantity from w where op = 'c' and not exists (
+          select 1 from t where t.l_orderkey = w.l_orderkey and t.l_linenumber = w.l_linenumber)""",
+    "block_many_updates": f"""with {E}, u as (select * from (select *, row_number() over (partition by user_id
+          order by off desc, part desc) as rn from e where op = 'u') where rn = 1)
+        select k.user_id, coalesce(u.value, 0.0) as value, coalesce(u.props, 'none') as props
+        from (select distinct user_id from events) k left join u on k.user_id = u.user_id""",
+    "parse_map": """select o_orderkey, o_orderstatus, o_totalprice, o_orderkey as "KFK_OFFSET", 'c' as "KFK_OP" from orders""",
+    "stream_out_of_order": _replay_merge(E, "e", "user_id", E_COLS, f"3 - ({QUARTER})", None),
     "merge_key_only": _merge("o_orderkey"),
     "merge_missing_update_insert": _merge(O_COLS, "('c','r','u')"),
     "block_insert": f"with {O} select {O_COLS} from t union all select {O_COLS} from o where op in ('c','r')",

@@ -161,7 +161,7 @@ def records_o(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def ingest_o(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log O parsed from text and typed."""
-    parsed, _ = ps.apply_error_policy(ps.parse_changes(records_o(spark, sf_dir), now_ms=NOW_MS))
+    parsed, _ = ps.apply_error_policy(ps.parse_changes(records_o(spark, sf_dir), now_ms=NOW_MS, typed=True))
     return il.to_ingest(parsed, ingest_schema(O_SCHEMA), "block-0")
 
 
@@ -196,12 +196,12 @@ def q_parse_flat(spark, sf_dir):
         F.lit("cdc.orders").alias("topic"), F.lit(0).alias("partition"), F.col("o_orderkey").alias("offset"),
         row_text(O_COLUMNS).alias("value"),
     )
-    rows = il.to_ingest(ps.parse_flat(records, now_ms=NOW_MS), ingest_schema(O_SCHEMA), "block-0")
+    rows = il.to_ingest(ps.parse_flat(records, now_ms=NOW_MS, typed=True), ingest_schema(O_SCHEMA), "block-0")
     return rows.select(*O_COLUMNS, OP, OFFSET)
 
 
 def q_parse_envelope(spark, sf_dir):
-    parsed, _ = ps.apply_error_policy(ps.parse_envelope(records_o(spark, sf_dir), now_ms=NOW_MS))
+    parsed, _ = ps.apply_error_policy(ps.parse_envelope(records_o(spark, sf_dir), now_ms=NOW_MS, typed=True))
     rows = il.to_ingest(parsed, ingest_schema(O_SCHEMA), "block-0")
     return rows.select(*O_COLUMNS, PARTITION, OFFSET, OP, DATETIME)
 
@@ -229,7 +229,7 @@ _ENTERED_SCHEMA = T.StructType(
 
 
 def q_parse_envelope_schema(spark, sf_dir):
-    parsed = ps.parse_changes(_schema_records(spark, sf_dir), now_ms=NOW_MS)
+    parsed = ps.parse_changes(_schema_records(spark, sf_dir), now_ms=NOW_MS, typed=True)
     rows = il.to_ingest(parsed, ingest_schema(_ENTERED_SCHEMA), "block-0")
     return rows.select(*_ENTERED_SCHEMA.names, OFFSET, OP).withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
@@ -270,7 +270,7 @@ def records_l(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_parse_lineitem(spark, sf_dir):
     """Envelope text of every line item, parsed and cast to its eleven typed columns."""
-    parsed, _ = ps.apply_error_policy(ps.parse_changes(records_l(spark, sf_dir), now_ms=NOW_MS))
+    parsed, _ = ps.apply_error_policy(ps.parse_changes(records_l(spark, sf_dir), now_ms=NOW_MS, typed=True))
     return il.to_ingest(parsed, ingest_schema(L_SCHEMA), "block-0").select(*L_SCHEMA.names, OFFSET, OP, DATETIME)
 
 
@@ -351,6 +351,18 @@ def q_parse_flat_struct(spark, sf_dir):
     return rows.select(*schema.names, OP, OFFSET)
 
 
+def q_parse_map(spark, sf_dir):
+    """Values that a connector has decoded into a map."""
+    pairs = [x for name in ("o_orderkey", "o_orderstatus", "o_totalprice") for x in (F.lit(name), F.col(name).cast("string"))]
+    records = table(spark, sf_dir, "orders").select(
+        F.lit("cdc.orders").alias("topic"), F.lit(0).alias("partition"), F.col("o_orderkey").alias("offset"),
+        F.create_map(*pairs).alias("value"),
+    )
+    schema = T.StructType([O_SCHEMA["o_orderkey"], O_SCHEMA["o_orderstatus"], O_SCHEMA["o_totalprice"]])
+    rows = il.to_ingest(ps.parse_changes(records, now_ms=NOW_MS, typed=True), ingest_schema(schema), "block-0")
+    return rows.select(*schema.names, OFFSET, OP)
+
+
 def q_detect_format(spark, sf_dir):
     value = _by_type(
         signup=_user(),
@@ -478,7 +490,11 @@ def q_coerce_number(spark, sf_dir):
 
 
 def q_coerce_float(spark, sf_dir):
-    text = F.when(F.col("event_type") == "error", "n/a").otherwise(F.col("value").cast("string"))
+    number = F.col("value").cast("string")
+    text = (
+        F.when(F.col("event_type") == "error", "n/a").when(F.col("event_type") == "click", F.concat(number, F.lit("d")))
+        .when(F.col("event_type") == "purchase", "0x1p3").otherwise(number)
+    )
     return table(spark, sf_dir, "events").select("event_id", to.coerce_text(text, T.DoubleType()).alias("x"))
 
 
@@ -655,6 +671,41 @@ def q_merge_missing_update_insert(spark, sf_dir):
     return ap.merge_changes(target_o(spark, sf_dir), log_o(spark, sf_dir), O_PK, on_missing_update="insert")
 
 
+def q_merge_to_null(spark, sf_dir):
+    """Updates carry no priority: the merge sets it to null."""
+    priority = F.when(F.col(OP) != "u", F.col("o_orderpriority")).alias("o_orderpriority")
+    log = log_o(spark, sf_dir).withColumn("o_orderpriority", priority)
+    return ap.merge_changes(target_o(spark, sf_dir), log, O_PK)
+
+
+def q_merge_null_keys(spark, sf_dir):
+    """Every fifth key is null on both sides: such target rows stay, and of the log one winner with a null key may be inserted."""
+    key = F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderkey"))
+    target = target_o(spark, sf_dir).withColumn("o_orderkey", key)
+    return ap.merge_changes(target, log_o(spark, sf_dir).withColumn("o_orderkey", key), O_PK)
+
+
+def q_merge_two_keys(spark, sf_dir):
+    """Line items by order and line number: finished lines are the target, returned ones among them go, open ones come."""
+    lines = table(spark, sf_dir, "lineitem")
+    columns = ["l_orderkey", "l_linenumber", "l_quantity"]
+    op = F.when(F.col("l_returnflag") == "R", "d").when(F.col("l_linestatus") == "F", "u").otherwise("c")
+    log = lines.select(
+        "l_orderkey", "l_linenumber", (F.col("l_quantity") + 1).alias("l_quantity"), F.lit("cdc.lineitem").alias(TOPIC),
+        (F.col("l_orderkey") % 8).cast("int").alias(PARTITION),
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias(OFFSET), op.alias(OP),
+    )
+    target = lines.where("l_linestatus = 'F'").select(*columns).dropDuplicates(["l_orderkey", "l_linenumber"])
+    return ap.merge_changes(target.withColumn("l_quantity", F.lit(0.0)), log.where(F.col("l_linenumber") > 1), columns[:2])
+
+
+def q_block_many_updates(spark, sf_dir):
+    """One block with many updates of each user: the latest one gives the values."""
+    users = table(spark, sf_dir, "events").select("user_id").distinct()
+    target = users.select("user_id", F.lit(0.0).alias("value"), F.lit("none").alias("props"))
+    return ap.update_block(target, log_e(spark, sf_dir), E_PK)
+
+
 def _block_of_o(spark, sf_dir) -> DataFrame:
     return log_o(spark, sf_dir)
 
@@ -751,7 +802,7 @@ def _event_quarter(spark, sf_dir) -> Column:
     return F.expr(f"cast(event_id * {QUARTERS} div {top} as int)")
 
 
-def _stream_events(spark, sf_dir, mode: str, redeliver: bool = False) -> TargetTable:
+def _stream_events(spark, sf_dir, mode: str, redeliver: bool = False, parts=range(QUARTERS)) -> TargetTable:
     """Replicate log E from change files that arrive in four parts, restarting the job after each part.
 
     With ``redeliver`` each part brings the previous one again, and the log is kept so that it can tell.
@@ -778,7 +829,7 @@ def _stream_events(spark, sf_dir, mode: str, redeliver: bool = False) -> TargetT
     )
     target = TargetTable(spark, f"{root}/target", E_SCHEMA, tuple(E_PK))
     options = ReplicationOptions(table="events", mode=mode, retention_delay=3_000_000_000 if redeliver else 0)
-    for part in range(QUARTERS):
+    for part in parts:
         arriving = records.where(F.col("quarter").between(part - 1 if redeliver else part, part)).drop("quarter")
         arriving.write.mode("append").parquet(f"{root}/topic")
         changes = read_changes(spark, "parquet", path=f"{root}/topic")
@@ -790,6 +841,11 @@ def q_stream_merge(spark, sf_dir):
     return _stream_events(spark, sf_dir, "merge").read()
 
 
+def q_stream_out_of_order(spark, sf_dir):
+    """The last quarter arrives first: what arrives later overwrites, whatever its offset."""
+    return _stream_events(spark, sf_dir, "merge", parts=reversed(range(QUARTERS))).read()
+
+
 def q_stream_blocks(spark, sf_dir):
     return _stream_events(spark, sf_dir, "block").read()
 

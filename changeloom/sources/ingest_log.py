@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.functions.coerce import coerce, variant_text
+from changeloom.functions.coerce import coerce, coerce_text, variant_text
 from changeloom.functions.logical import norm_ts_millis
 from changeloom.plans.schema import BLOCK, DATETIME, LOG_KEY, LOG_META, OFFSET, OP, PARTITION, TOPIC
 from changeloom.session import path_exists
@@ -43,6 +45,34 @@ def field_of(fields: Column, name: str, keys: str = "ignore_case") -> Column:
     return F.coalesce(*[fields[spelling] for spelling in spellings], fields[F.get(same, F.lit(0))])
 
 
+def _at(row: Column, name: str, kind: str) -> Column:
+    quote = '"' if "'" in name else "'"
+    return F.try_variant_get(row, f"$[{quote}{name}{quote}]", kind)
+
+
+def _looked_up(parsed: DataFrame, schema: T.StructType, keys: str) -> tuple[DataFrame, dict[str, Column]]:
+    """Rows kept as a variant -> the value of each column: text, or a variant where the type is nested.
+
+    Each column is read where it lies. Only a row that lacks one of the names is turned into a map and searched for
+    other spellings.
+    """
+    nested = (T.VariantType, T.StructType, T.ArrayType, T.MapType)
+    kinds = {f.name: "variant" if isinstance(f.dataType, nested) else "string" for f in schema.fields}
+    held = {name: f"__at_{i}" for i, name in enumerate(kinds)}
+    row = F.col("fields")
+    out = parsed.withColumns({held[name]: _at(row, name, kind) for name, kind in kinds.items()})
+    if keys != "ignore_case" or not kinds:
+        return out, {name: F.col(col) for name, col in held.items()}
+    absent = reduce(lambda a, b: a | b, [F.col(held[name]).isNull() & _at(row, name, "variant").isNull() for name in kinds])
+    out = out.withColumn("__search", F.when(absent, F.try_variant_get(row, "$", "map<string,variant>")))
+    search = F.col("__search")
+    values = {}
+    for name, kind in kinds.items():
+        found = F.when(search.isNotNull(), field_of(search, name))
+        values[held[name]] = F.coalesce(F.col(held[name]), found if kind == "variant" else variant_text(found))
+    return out.withColumns(values), {name: F.col(col) for name, col in held.items()}
+
+
 def first_record_keys(parsed: DataFrame) -> list[str]:
     """Field names of the first record by partition and offset, as one aggregate; a list of column names."""
     order = F.struct("partition", "offset", "topic")
@@ -64,17 +94,28 @@ def to_ingest(
     ``columns="target"`` loads every known column; ``"first_record"`` loads only those the first record carries
     and leaves the others null; a list names them outright. Metadata overwrites a business field of the same name.
     """
+    known = isinstance(parsed.schema["fields"].dataType, T.VariantType)
     if columns == "first_record":
+        if known:
+            raise ValueError("the columns of the first record need the field map, not typed=True")
         columns = first_record_keys(parsed)
     loaded = None if columns == "target" else {name.upper() for name in columns}
     meta = meta_columns(block_id)
     fields = F.col("fields")
+    if known:
+        wanted = [f for f in schema.fields if f.name.upper() not in meta and (loaded is None or f.name.upper() in loaded)]
+        parsed, values = _looked_up(parsed, T.StructType(wanted), keys)
     out = []
     for f in schema.fields:
         if f.name.upper() in meta:
             out.append(meta[f.name.upper()].alias(f.name))
         elif loaded is not None and f.name.upper() not in loaded:
             out.append(F.lit(None).cast(f.dataType).alias(f.name))
+        elif known and isinstance(f.dataType, (T.VariantType, T.StructType, T.ArrayType, T.MapType)):
+            out.append(coerce(values[f.name], f.dataType, number_scale, empty_as_null).alias(f.name))
+        elif known:
+            text = F.nullif(values[f.name], F.lit("")) if empty_as_null else values[f.name]
+            out.append(coerce_text(text, f.dataType, number_scale).alias(f.name))
         else:
             value = coerce(field_of(fields, f.name, keys), f.dataType, number_scale, empty_as_null)
             out.append(value.alias(f.name))

@@ -172,7 +172,9 @@ def ingest_batch(
     schema = ingest_schema(target.schema)
     if path_exists(spark, f"{paths.log}/{BLOCK}={block_id}/_SUCCESS"):
         return None
-    parsed = parse_changes(batch, logical=logical, timestamp_precision=options.timestamp_precision)
+    # Landing files carry every key, and the first record names its columns: both need the map of all fields.
+    typed = not land and options.columns == "target"
+    parsed = parse_changes(batch, logical=logical, timestamp_precision=options.timestamp_precision, typed=typed)
     # Several passes over the same parse: keep it for the length of this micro-batch.
     several = options.on_error == "quarantine" or options.columns == "first_record" or options.null_keys == "quarantine"
     if several:

@@ -227,3 +227,29 @@ def test_write_block_once(spark, tmp_path):
     assert il.write_block(rows, f"{tmp_path}/log", "7") is False
     block = il.read_block(spark, f"{tmp_path}/log", schema, "7").first()
     assert block["KFK_BLOCKID"] == "7"
+
+
+def test_typed_route_gives_what_the_map_gives(spark):
+    """Exact, lower, upper and mixed spellings, missing and null values, duplicates, exact decimals, nested values."""
+    values = [
+        '{"op":"c","after":{"Id":1,"amount":12345678901234567890.12,"tag":{"a":[1,2]},"it\'s":"q"}}',
+        '{"op":"u","after":{"id":2,"AMOUNT":"7.50","Tag":null}}',
+        '{"op":"u","after":{"ID":3,"aMount":0.1,"TAG":"x","tag":"y"}}',
+        '{"op":"c","after":{"iD":4,"amount":null,"amount":5}}',
+        '{"Id":"5","tag":""}', '{"op":"u","after":null}', '{"op":"u","after":"text"}', "[1]", "{bad", None, "{}",
+        '{"schema":{"fields":[{"field":"after","fields":[{"field":"day","name":"io.debezium.time.Date"}]}]},'
+        '"payload":{"op":"c","after":{"Id":6,"day":19000}}}',
+    ]
+    df = records(spark, *values)
+    schema = ingest_schema(T.StructType.fromDDL("Id long, amount decimal(30,2), tag string, doc variant, `it's` string, day date"))
+    for empty in (False, True):
+        made = []
+        for typed in (False, True):
+            parsed = ps.parse_changes(df, now_ms=0, typed=typed)
+            rows = il.to_ingest(parsed, schema, "b", empty_as_null=empty).withColumn("doc", F.col("doc").cast("string"))
+            reasons = parsed.select("offset", "fmt", "op", "missing_image", "reject_reason").orderBy("offset").collect()
+            made.append((rows.orderBy("KFK_OFFSET").collect(), reasons))
+        assert made[0] == made[1]
+    assert [row["Id"] for row in made[1][0]][:5] == [1, 2, 3, 4, 5]
+    assert str(made[1][0][0]["amount"]) == "12345678901234567890.12"
+    assert str(made[1][0][11]["day"]) == "2022-01-08"

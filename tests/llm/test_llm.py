@@ -405,6 +405,50 @@ def test_distributions_sum_to_one_and_follow_escape_and_exclusion():
     assert trie.score(context, symbol) == pytest.approx([trie.distribution(int(c))[s] for c, s in zip(context, symbol)], rel=1e-5)
 
 
+def predicted(train, text, depth):
+    """Partial matching a byte at a time, with the counts in dictionaries."""
+    counts = collections.defaultdict(collections.Counter)
+    pad = lambda t: b"\xff" * depth + t + b"\xff"
+    for t in map(pad, train):
+        for i in range(depth, len(t)):
+            for d in range(depth + 1):
+                counts[t[i - d : i]][t[i]] += 1
+    total, t = 0.0, pad(text)
+    for i in range(depth, len(t)):
+        left, seen = 1.0, set()
+        for d in range(depth, -1, -1):
+            here = {s: n for s, n in counts[t[i - d : i]].items() if s not in seen}
+            if not here:
+                continue
+            q, n = len(here), sum(here.values())
+            escape = 0 if q + len(seen) == 256 else q
+            if t[i] in here:
+                total += math.log10(left * here[t[i]] / (n + escape))
+                break
+            left *= escape / (n + escape)
+            seen |= set(here)
+        else:
+            total += math.log10(left / (256 - len(seen)))
+    return total
+
+
+@pytest.mark.parametrize("heavy", [1_000_000, 40, 0])
+def test_places_have_the_exact_counts_of_all_depths(spark, monkeypatch, heavy):
+    """More contexts of three bytes than any fixed number of slots would tell apart, by broadcast, by both ways and by join."""
+    monkeypatch.setattr(ppm, "HEAVY", heavy)
+    monkeypatch.setattr(ppm, "BLOCK", 500)
+    rng = random.Random(1)
+    made = ["".join(rng.choices("abcé\u4e2d\U0001f600 ", weights=(9, 9, 9, 2, 2, 2, 4), k=rng.randint(0, 60))) for _ in range(150)]
+    made += ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(80)) for _ in range(20)]
+    rows = [(i, t) for i, t in enumerate(made)] + [(900, None), (None, made[3]), (8, made[8]), (8, made[9])]
+    train = [(t or "").encode() for i, t in rows if i is not None and i % 3]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = sorted(ppm.score(docs, F.coalesce(F.col("doc_id") % 3 > 0, F.lit(False))).collect(), key=lambda r: (r.doc_id is None, r.doc_id, r.score))
+    want = sorted(((i, predicted(train, (t or "").encode(), ppm.DEPTH)) for i, t in rows), key=lambda r: (r[0] is None, *r))
+    assert [r.doc_id for r in got] == [i for i, _ in want] and ppm.DEPTH > 3
+    assert [r.score for r in got] == pytest.approx([v for _, v in want])
+
+
 # --- pipeline ------------------------------------------------------------------------------------------------
 
 

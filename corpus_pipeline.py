@@ -20,13 +20,17 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join: five words, similarity of 0.8 or more; of each group the smallest doc_id stays.
+    """N-gram Jaccard join: five words, similarity of 0.8 or more; of each group one row stays, that of the smallest doc_id.
 
-    Rows that repeat the doc_id that stays, and documents without words, which link with nothing, stay as they are.
+    Rows are told apart by a key of their own, written with them once, which also decides among rows of one doc_id; a
+    null doc_id stays only where its group has no other. Documents without words link with nothing and stay as they are.
     """
-    found = jaccard.join(docs, words=5, percent=80)
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    # names no table has, so that a column of that name passes through
+    keyed = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    found = jaccard.join(keyed.withColumn("__rank", rank), words=5, percent=80, id_col="__rank")
+    gone = found.where("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias("__row"))
+    return keyed.join(gone, "__row", "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

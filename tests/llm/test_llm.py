@@ -468,3 +468,22 @@ def test_stages_take_effect(spark, odd):
     rows = spark.createDataFrame([(i, "the cat sat", "en", "s", 1) for i in range(40)] + [(99, "...", "en", "s", 1), (98, None, "en", "s", 1)], SCHEMA)
     assert stages["language ID"](spark, rows, SF).count() == 40
     assert corpus_pipeline.run(spark, SF).count() > 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Reused ids, repeated rows and null ids: one row of every group, by (doc_id nulls last)."""
+    a, b, c, d, e = (" ".join(f"{k}{i}" for i in range(40)) for k in "abcde")
+    rows = [
+        (5, a), (7, a + " x"), (3, b), (5, b + " x"),  # the id of one group's first is another group's second
+        (11, c), (11, c), (11, c), (12, c + " x"),  # copies of the row that stays
+        (None, d), (None, d), (None, d + " x"), (None, e), (9, e), (9, e + " x"),
+        (None, None), (None, None), (20, ""), (20, ""), (None, "x x x x x"), (21, "x x"), (22, "x x"),
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], SCHEMA).repartition(5)
+    groups = collections.defaultdict(list)
+    for at, _, group in brute_join([(k, t) for k, (_, t) in enumerate(rows)], 5, 80):
+        groups[group].append(at)
+    want = collections.Counter(min((rows[k][0] is None, rows[k][0] or 0) for k in g) for g in groups.values())
+    found = [r.n_chars for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()]
+    assert collections.Counter((rows[k][0] is None, rows[k][0] or 0) for k in found) == want
+    assert all(sum(k in g for k in found) == 1 for g in groups.values())

@@ -5,8 +5,9 @@ square roots are scaled to length one. Linear support vector machines, one versu
 family those of its languages vote. Families are a parameter; where none are given they are learned: languages whose
 mean vectors are alike are joined until the stated number of families is left.
 
-The machines are fitted on the driver from a bounded sample (``TRAIN_PER_LANG`` texts a language and ``TRAIN_ROWS`` in
-all, whole texts, chosen by a hash of the id). Scoring is one pass over all documents without a shuffle.
+The machines are fitted on the driver from a bounded sample (about ``TRAIN_PER_LANG`` texts a language and ``TRAIN_ROWS``
+in all, whole texts, chosen by a hash of the id). Where the languages have more, each gets the same quota, and those with
+fewer texts than the quota give all of them, whatever the size of the others. Scoring is one pass over all documents without a shuffle.
 
 Defined results: null text, empty text and text without a letter are ``und`` with score 0; without any labelled text
 every text is ``und``; with one language every text with a letter gets it with score 1; repeated rows get equal
@@ -145,18 +146,31 @@ class Model:
         return list(names), score
 
 
+def quota(counts: list[int], per_lang: int, rows: int) -> float:
+    """Texts a language gives at most: ``per_lang``, or what makes ``rows`` in all where languages with fewer give theirs."""
+    left = rows
+    for i, n in enumerate(sorted(counts)):
+        share = left / (len(counts) - i)
+        if n > share:
+            return min(per_lang, share)
+        left -= n
+    return per_lang
+
+
 def fit(labelled: DataFrame, families: list[list[str]] | None = None, id_col="doc_id", text_col="text", lang_col="lang",
         per_lang: int = TRAIN_PER_LANG, rows: int = TRAIN_ROWS) -> Model:
     """Learn from a bounded sample of ``labelled``; its vectors are made on the executors."""
     small_batches(labelled.sparkSession)
     data = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).where("lang is not null and text is not null")
     chance = F.pmod(F.xxhash64(F.lit(11), "id"), F.lit(1 << 30)) / (1 << 30)
-    # a language is thinned to about per_lang rows by a hash, so that no language is gathered anywhere
+    # a language is thinned to about its quota by a hash, so that no language is gathered anywhere
     counts = {r[0]: r[1] for r in data.groupBy("lang").count().orderBy(F.desc("count")).limit(max(1, rows)).collect()}
     if not counts:
         return Model(np.zeros((0, DIM), np.float32), [])
-    rate = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, per_lang / n))])[F.col("lang")]
-    sample = data.where(chance < rate).orderBy(chance, "id").limit(rows).select("lang", "text")
+    most = quota(list(counts.values()), per_lang, rows)
+    rate = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, min(1.0, most / n))])[F.col("lang")]
+    # languages that give all their texts come first; what is over the limit goes from the others evenly
+    sample = data.where(chance < rate).orderBy(rate < 1, chance / rate, "id").limit(rows).select("lang", "text")
 
     def vectors(batches):
         for batch in batches:

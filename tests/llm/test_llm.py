@@ -83,6 +83,22 @@ def test_language_of_held_out_texts(spark, odd, none):
     assert {r.lang_pred for r in langid.predict(odd, langid.fit(none)).collect()} == {"und"}
 
 
+def test_every_language_keeps_its_share_of_the_sample(spark, monkeypatch):
+    """Six languages of 20,000 texts, one of 100 and one of 10: the quotas come to more than the rows that are taken."""
+    monkeypatch.setattr(langid, "Model", lambda x, langs, families=None: collections.Counter(langs))
+    sizes = [20_000] * 6 + [100, 10]
+    lang = F.lit(None).cast("string")
+    for k in range(len(sizes)):
+        lang = F.coalesce(lang, F.when(F.col("doc_id") < sum(sizes[: k + 1]), F.lit(f"l{k}")))
+    docs = spark.range(sum(sizes)).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text")).withColumn("lang", lang)
+    got = langid.fit(docs, per_lang=80, rows=400)
+    assert got["l7"] == 10 and sum(got.values()) <= 400
+    # a quota of 390 / 7, by a hash, give or take four deviations
+    assert all(26 <= got[f"l{k}"] <= 86 for k in range(7)), got
+    assert langid.quota([200_000] * 6 + [1000], 800, 4000) == pytest.approx(4000 / 7)
+    assert langid.quota([9000] * 4, 800, 4000) == 800 and langid.quota([5, 1, 10], 800, 10) == 4.5
+
+
 # --- 2 packing -----------------------------------------------------------------------------------------------
 
 

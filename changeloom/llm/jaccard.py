@@ -51,7 +51,7 @@ def shingle_sets(found: list[bytes], words: int) -> list[np.ndarray]:
     for tokens in split:
         n = len(tokens)
         h = hashes[np.fromiter(map(vocabulary.__getitem__, tokens), np.int64, n)]
-        if n > words:
+        if n >= words:
             s = h[: n - words + 1].copy()
             for k in range(1, words):
                 s = s * np.uint64(0x9E3779B97F4A7C15) + h[k : n - words + 1 + k]

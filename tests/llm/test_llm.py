@@ -263,6 +263,14 @@ def test_join_matches_brute_force(spark, monkeypatch, frequent):
     assert got == brute_join(rows, 4, 85)
 
 
+@pytest.mark.parametrize("k", [4, 5])
+def test_a_text_of_one_shingle_links_with_its_repetition(spark, k):
+    rows = [(n, " ".join(["ha"] * n)) for n in range(1, 9)] + [(20, "a b c d"), (21, "a b c d e"), (22, "A b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(docs, words=k).collect())
+    assert got == brute_join(rows, k, 85)
+
+
 def test_join_of_odd_rows(odd, none):
     rows = [(r.doc_id, r.text) for r in odd.collect()]
     got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(odd, words=5, percent=80).collect())

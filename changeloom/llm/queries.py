@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeloom.llm import embedding_dedup, jaccard, langid, mixing, packing, ppm, quality, secrets, topk, warc
+from changeloom.llm import align, collocations, embedding_dedup, jaccard, langid, linededup, mixing, packing, ppm, quality, secrets, topk, warc
 from changeloom.llm.common import is_bucket, not_bucket
 from changeloom.session import configure_session
 
@@ -70,6 +70,21 @@ def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = align.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") == 0, "").otherwise(F.sha2("groups", 256))
+    return found.withColumn("groups_sha256", digest).drop("groups")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linededup.dedup(table(spark, sf_dir, "documents")).withColumn("kept_sha256", F.sha2("text", 256)).drop("text")
+
+
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
     "op9_topk": """
@@ -87,6 +102,63 @@ SQL: dict[str, str] = {
         )
         select query_id, rank::int as rank, vec_id, score from r where rank <= 10
     """,
+    "op11_collocations": r"""
+        with d as (
+            select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as t
+            from documents
+        ), p as (
+            select lang, unnest(string_split_regex(t, '[.,;:!?\n\x0B\x0C\r]')) as piece from d
+        ), w as (
+            select lang, list_filter(string_split_regex(piece, '[ \t]'), lambda x: x <> '') as w from p
+        ), g as (
+            select lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: array_to_string(w[i:i + m - 1], ' '))) as phrase
+            from w, (values (1), (2), (3), (4)) as lengths(m)
+            where len(w) >= m
+        ), totals as (
+            select lang, count(*) as n from g where m = 1 group by lang
+        ), f as (
+            select lang, m, phrase, count(*) as f from g group by lang, m, phrase having count(*) >= 30
+        ), c as (
+            select lang, m, phrase, f as a, string_split(phrase, ' ') as w from f where m > 1
+        ), cut as (
+            select c.lang, c.phrase, c.a, k, array_to_string(c.w[1:k], ' ') as first_part, array_to_string(c.w[k + 1:m], ' ') as rest
+            from c, (values (1), (2), (3)) as cuts(k)
+            where k < m
+        ), s as (
+            select cut.lang, cut.phrase, cut.a, cut.k, x.f as l, y.f as r, (2000000::hugeint * cut.a) // (x.f + y.f) as score
+            from cut join f x on x.lang = cut.lang and x.phrase = cut.first_part join f y on y.lang = cut.lang and y.phrase = cut.rest
+            qualify row_number() over (partition by cut.lang, cut.phrase order by score, cut.k) = 1
+        ), inside as (
+            select lang, array_to_string(w[i:i + len_ - 1], ' ') as phrase, max(a) as longer
+            from c, (values (2), (3)) as lengths(len_), (values (1), (2), (3)) as starts(i)
+            where len_ < m and i + len_ - 1 <= m
+            group by all
+        ), kept as (
+            select s.* from s left join inside using (lang, phrase)
+            where longer is null or 100::hugeint * longer < 80::hugeint * a
+        ), ranked as (
+            select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from kept
+        )
+        select lang, rank::bigint as rank, phrase, a, l, r, n, score::bigint as score
+        from ranked join totals using (lang) where rank <= 2000
+    """,
+    "op13_line_dedup": r"""
+        with d as (
+            select row_number() over () as row, doc_id, string_split(coalesce(text, ''), chr(10)) as lines from documents
+        ), l as (
+            select row, doc_id, unnest(lines) as line, generate_subscripts(lines, 1) as pos from d
+        ), k as (
+            select *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+            from l
+        ), gone as (
+            select key from k where length(key) >= 1 group by key having count(distinct row) >= 10
+        )
+        select k.doc_id, count(*) as n_lines, count(gone.key) as n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) order by pos) filter (gone.key is null), '')) as kept_sha256
+        from k left join gone on gone.key = k.key
+        group by k.row, k.doc_id
+    """,
 }
 
 

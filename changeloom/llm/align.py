@@ -5,13 +5,12 @@ byte where a token ends to the token's index. The intersection of the two key se
 groups that no token of either crosses. Within a group every pair of tokens whose byte ranges overlap is a link: all
 pairs where one side has a single token, else those that two pointers find.
 
-Documents are encoded once and kept as ids in written chunks. Every chunk asks for the counts of its distinct linked
-pairs of ids; the counts of all chunks are added up, and the answers come back to the chunk, which adds them per document.
+Documents are encoded and cut once and kept as ids and cuts in written chunks, with the distinct linked pairs of ids of
+each chunk. The counts of all chunks are added up, and a chunk is told those of its own pairs, which it adds per document.
 The table of pairs is joined by its key and grows with what the corpus links; nothing is broadcast.
 
-Encoding cuts a text where neither tokenizer can join what lies on both sides, and gives each tokenizer the parts it has
-not met yet; a text that holds characters on which this is not sure, or a tokenizer that lacks these properties, is
-encoded whole. The parts remembered are bounded and belong to a task.
+A text of characters that every Unicode version sorts alike is encoded by ranks, which gives the same ids as the
+tokenizer's merges; any other text goes through the tokenizer itself.
 
 Defined results: a text that is null or empty, or whose ids of A or of B do not spell the space and the text, has no
 tokens: all numbers are 0 and the groups are an empty text. Strings of special tokens are plain text. Rows that repeat are
@@ -21,7 +20,7 @@ documents of their own; an empty table gives an empty result; other columns are
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -33,42 +32,20 @@ from pyspark.sql import functions as F
 from changeloom.llm.chunks import CHUNK, chunked, met, unpacked
 from changeloom.llm.common import stored
 
-SPACE = "▁"  # a fixed value: how pieces of B write a space
-REMEMBERED = 200_000  # parts, of at most PART characters
-PART = 48
-STEP = 1 << 20  # characters encoded at a time
+SPACE = "\u2581"  # a fixed value: how pieces of B write a space
+STEP = 1 << 18  # characters encoded and cut at a time
 
-# Runs that A sees apart. White space goes with the word after it, but for all before the last of a run.
-_A_PARTS = re.compile(r" ?\S+|\s+(?!\S)|\s").findall
-# Characters that not every library counts as white space or as none.
-_A_UNSURE = re.compile("[\x1c-\x1f\u0085\u180e]").search
-_B_PARTS = re.compile(r"\n| *[^ \n]+| +").findall
-
-
-class Remembered:
-    """Ids of a text from those of its parts; ``encode`` gives the ids of many parts at a time."""
-
-    def __init__(self, split: Callable[[str], list[str]], encode: Callable[[list[str]], list[list[int]]]):
-        self.split, self.encode, self.known = split, encode, {}
-
-    def __call__(self, full: list[str]) -> list[list[int]]:
-        parts = [self.split(text) for text in full]
-        new = list(set(chain.from_iterable(parts)).difference(self.known))
-        if len(self.known) + len(new) > REMEMBERED:
-            self.known = {}
-            new = list(set(chain.from_iterable(parts)))
-        self.known.update(zip(new, self.encode(new)))
-        found = [list(chain.from_iterable(map(self.known.__getitem__, p))) for p in parts]
-        for part in new:
-            if len(part) > PART or len(self.known) > REMEMBERED:
-                del self.known[part]
-        return found
+# A fixed value: how A cuts a text into the parts that its merges see one by one.
+PARTS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Characters beyond ASCII, Latin letters and common punctuation, and controls that not every library counts as white space.
+_UNSURE = re.compile("[^\t-\r -~\u00c0-\u017f\u2010-\u2026\u20ac]").search
 
 
 class ByteLevel:
-    """Tokenizer A: the bytes of its tokens, and the ids of texts that begin with a space."""
+    """Tokenizer A: the bytes of its tokens, and the ids of texts."""
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
@@ -77,33 +54,30 @@ class ByteLevel:
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         rest = [b for b in range(256) if b not in set(plain)]
         byte = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+        added = {i for i, token in self.model.get_added_tokens_decoder().items() if token.special}
         names = self.model.get_vocab(with_added_tokens=True)
         self.token = [b""] * (max(names.values()) + 1)
         for name, i in names.items():
-            self.token[i] = bytes(byte[c] for c in name) if all(c in byte for c in name) else name.encode()
-        self.parts = Remembered(_A_PARTS, self.whole)
-        self.apart = self.model.normalizer is None and self._splits_as_known()
-
-    def _splits_as_known(self) -> bool:
-        try:
-            seen = [part for part, _ in self.model.pre_tokenizer.pre_tokenize_str("a  b's c1\n\n d\ne!  ")]
-        except AttributeError:
-            return False
-        # the space is U+0120 and the line end U+010A in the byte-level alphabet
-        return seen == ["a", "Ġ", "Ġb", "'s", "Ġc", "1", "ĊĊ", "Ġd", "Ċ", "e", "!", "ĠĠ"]
+            self.token[i] = name.encode() if i in added else bytes(byte[c] for c in name)
+        ranks = {self.token[i]: i for i in names.values() if i not in added}
+        self.ranked = None
+        if self.model.normalizer is None and self._cuts_as_known() and len(ranks) == len(names) - len(added):
+            self.ranked = tiktoken.Encoding("ranks", pat_str=PARTS, mergeable_ranks=ranks, special_tokens={})
+
+    def _cuts_as_known(self) -> bool:
+        """Whether the tokenizer cuts by ``PARTS``; the space is U+0120 and the line end U+010A in the byte-level alphabet."""
+        seen = [part for part, _ in self.model.pre_tokenizer.pre_tokenize_str("a  b's c1\n\n d\ne!  ")]
+        return seen == ["a", "\u0120", "\u0120b", "'s", "\u0120c", "1", "\u010a\u010a", "\u0120d", "\u010a", "e", "!", "\u0120\u0120"]
 
     def whole(self, full: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.model.encode_batch_fast(full, add_special_tokens=False)] if full else []
+        return [e.ids for e in self.model.encode_batch_fast(full, add_special_tokens=False)]
 
     def ids(self, full: list[str]) -> list[list[int]]:
-        sure = [self.apart and not _A_UNSURE(text) for text in full]
-        easy = iter(self.parts([text for text, ok in zip(full, sure) if ok]))
-        hard = iter(self.whole([text for text, ok in zip(full, sure) if not ok]))
-        return [next(easy if ok else hard) for ok in sure]
+        return [self.ranked.encode_ordinary(text) if self.ranked and not _UNSURE(text) else self.whole([text])[0] for text in full]
 
 
 class Pieces:
-    """Tokenizer B: the bytes of its pieces, and the ids of texts that begin with the space it adds itself."""
+    """Tokenizer B: the bytes of its pieces, and the ids of texts, to which it adds the space itself."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -111,46 +85,20 @@ class Pieces:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.token = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(names)]
-        # no piece goes on with a space after another character or holds a line end, and texts are not rewritten
-        self.apart = (
-            not any(SPACE in p.lstrip(SPACE) or "\n" in p for p in names)
-            and self.model.normalize("  a ﬁ\n") == f"{SPACE * 3}a{SPACE}ﬁ\n"
-            and len(self.model.encode("\n")) == 2
-        )
-        self.space = [self.model.piece_to_id(SPACE)]
-        self.parts = Remembered(_B_PARTS, self._part_ids)
-
-    def whole(self, full: list[str]) -> list[list[int]]:
-        return self.model.encode([text[1:] for text in full], num_threads=1) if full else []
-
-    def _part_ids(self, parts: list[str]) -> list[list[int]]:
-        # a part without a space in front is encoded behind a line end, whose two ids go
-        ids = self.model.encode([p[1:] if p[0] == " " else "\n" + p for p in parts], num_threads=1) if parts else []
-        return [self.space if p == " " else i if p[0] == " " else i[2:] for p, i in zip(parts, ids)]
 
     def ids(self, full: list[str]) -> list[list[int]]:
-        sure = [self.apart and SPACE not in text for text in full]
-        easy = iter(self.parts([text for text, ok in zip(full, sure) if ok]))
-        hard = iter(self.whole([text for text, ok in zip(full, sure) if not ok]))
-        return [next(easy if ok else hard) for ok in sure]
+        return self.model.encode([text[1:] for text in full], num_threads=1)
 
 
 def encoded(a: ByteLevel, b: Pieces, texts: list[str | None]) -> tuple[list[list[int]], list[list[int]]]:
     """Ids of A and of B of every text; none of either where they do not spell the space and the text."""
+    full = [" " + text if text else " " for text in texts]
     ids_a, ids_b = [], []
-    at = 0
-    while at < len(texts):
-        upto, size = at, 0
-        while upto < len(texts) and (upto == at or size + len(texts[upto] or "") <= STEP):
-            size += len(texts[upto] or "")
-            upto += 1
-        full = [" " + text if text else " " for text in texts[at:upto]]
-        for text, x, y in zip(full, a.ids(full), b.ids(full)):
-            want = text.encode()
-            ok = len(want) > 1 and b"".join(map(a.token.__getitem__, x)) == want and b"".join(map(b.token.__getitem__, y)) == want
-            ids_a.append(x if ok else [])
-            ids_b.append(y if ok else [])
-        at = upto
+    for text, x, y in zip(full, a.ids(full), b.ids(full)):
+        want = text.encode()
+        ok = len(want) > 1 and b"".join(map(a.token.__getitem__, x)) == want and b"".join(map(b.token.__getitem__, y)) == want
+        ids_a.append(x if ok else [])
+        ids_b.append(y if ok else [])
     return ids_a, ids_b
 
 
@@ -190,44 +138,111 @@ def links(cut_a: np.ndarray, cut_b: np.ndarray, ends_a: np.ndarray, ends_b: np.n
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def group_text(ids_a: np.ndarray, ids_b: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
-    """The ids of the groups: ``a1,a2|b1;a3|b2,b3``."""
-    words_a, words_b = list(map(str, ids_a.tolist())), list(map(str, ids_b.tolist()))
-    upto_a, upto_b = cut_a.tolist(), cut_b.tolist()
-    spans = zip([0, *upto_a], upto_a, [0, *upto_b], upto_b)
-    return ";".join([f"{words_a[i] if j - i == 1 else ','.join(words_a[i:j])}|{words_b[k] if m - k == 1 else ','.join(words_b[k:m])}" for i, j, k, m in spans])
+def group_texts(run: Run, names_a: list[str], names_b: list[str]) -> list[str]:
+    """The ids of the groups of every document: ``a1,a2|b1;a3|b2,b3``."""
+    a, b = list(map(names_a.__getitem__, run.a.tolist())), list(map(names_b.__getitem__, run.b.tolist()))
+    upto_a, upto_b = run.cut_a.tolist(), run.cut_b.tolist()
+    made, i, k = [], 0, 0
+    for j, m in zip(upto_a, upto_b):
+        if j - i == 1 and m - k == 1:
+            made.append(f"{a[i]}|{b[k]}")
+        else:
+            made.append(f"{','.join(a[i:j])}|{','.join(b[k:m])}")
+        i, k = j, m
+    ends = np.cumsum(run.n_groups).tolist()
+    return [";".join(made[begin:end]) for begin, end in zip([0, *ends], ends)]
 
 
-class Aligned:
-    """Groups and links of one document, from its ids as they are kept."""
-
-    def __init__(self, body_a: bytes, body_b: bytes, size_a: np.ndarray, size_b: np.ndarray):
-        self.a, self.b = np.frombuffer(body_a, "<u4"), np.frombuffer(body_b, "<u4")
-        ends_a, ends_b = np.cumsum(size_a[self.a]), np.cumsum(size_b[self.b])
-        self.cut_a, self.cut_b = cuts(ends_a.tolist(), ends_b.tolist())
-        at_a, at_b = links(self.cut_a, self.cut_b, ends_a, ends_b)
-        self.pairs = self.a[at_a].astype(np.int64) << 32 | self.b[at_b].astype(np.int64)
-
-
-def _sizes(tokens: list[bytes]) -> np.ndarray:
-    return np.array([len(t) for t in tokens], np.int64)
+class Run:
+    """Documents that lie together, their ids one after the other, and the groups and links of all of them.
 
+    The bytes of a document's ids of A and of B are the same, so that each document ends at a cut.
+    """
 
-def _asked(chunks: DataFrame, size_a: np.ndarray, size_b: np.ndarray) -> DataFrame:
+    def __init__(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray, sizes: Sizes, marks: np.ndarray | None = None):
+        self.a, self.b, self.n_a, self.n_b = a, b, n_a, n_b
+        ends_a, ends_b = np.cumsum(sizes.a[a]), np.cumsum(sizes.b[b])
+        if marks is None:
+            self.cut_a, self.cut_b = cuts(ends_a.tolist(), ends_b.tolist())
+        else:
+            ends = np.flatnonzero(marks) + 1
+            self.cut_a, self.cut_b = ends[ends <= len(a)], ends[ends > len(a)] - len(a)
+        at_a, at_b = links(self.cut_a, self.cut_b, ends_a, ends_b)
+        self.pairs = a[at_a].astype(np.int64) << 32 | b[at_b].astype(np.int64)
+        # which document a token of A, and with it a group and a link, belongs to
+        owner = np.repeat(np.arange(len(n_a)), n_a)
+        self.link_owner = owner[at_a]
+        self.n_groups = np.bincount(owner[self.cut_a - 1], minlength=len(n_a))
+        self.n_links = np.bincount(self.link_owner, minlength=len(n_a))
+
+    def marks(self) -> np.ndarray:
+        """A flag per token of A and then of B: whether a group ends with it."""
+        out = np.zeros(len(self.a) + len(self.b), bool)
+        out[self.cut_a - 1] = True
+        out[len(self.a) + self.cut_b - 1] = True
+        return out
+
+
+class Sizes:
+    """Bytes of every token of A and of B."""
+
+    def __init__(self, a: ByteLevel, b: Pieces):
+        self.a, self.b = (np.array([len(t) for t in m.token], np.int64) for m in (a, b))
+
+
+def _steps(texts: list[str | None]) -> Iterator[slice]:
+    """Slices of texts of about ``STEP`` characters together."""
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        if i > begin and size + len(text or "") > STEP:
+            yield slice(begin, i)
+            begin, size = i, 0
+        size += len(text or "")
+    if begin < len(texts):
+        yield slice(begin, len(texts))
+
+
+def _made(ids: pa.Array, texts: list[str | None], a: ByteLevel, b: Pieces, sizes: Sizes) -> list[pa.Table]:
+    """What a chunk keeps: runs of documents with their ids and cuts, and its distinct linked pairs with their counts."""
+    rows, found, counts = [], [], []
+    for part in _steps(texts):
+        ids_a, ids_b = encoded(a, b, texts[part])
+        n_a, n_b = (np.array([len(x) for x in each], np.int64) for each in (ids_a, ids_b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(each), np.uint32, n.sum()) for each, n in ((ids_a, n_a), (ids_b, n_b)))
+        run = Run(flat_a, flat_b, n_a, n_b, sizes)
+        rows.append((len(n_a), flat_a.tobytes(), flat_b.tobytes(), n_a.tobytes(), n_b.tobytes(), np.packbits(run.marks()).tobytes()))
+        pair, n = np.unique(run.pairs, return_counts=True)
+        found.append(pair)
+        counts.append(n)
+    kept = pa.table([pa.array(c) for c in zip(*rows)], ["docs", "a", "b", "n_a", "n_b", "marks"])
+    pair, inverse = np.unique(np.concatenate(found), return_inverse=True)
+    n = np.bincount(inverse, np.concatenate(counts), len(pair)).astype(np.int64)
+    return [pa.table([ids], ["id"]), kept, pa.table([pa.array(pair), pa.array(n)], ["pair", "n"])]
+
+
+def _runs(body: bytes, sizes: Sizes) -> Iterator[Run]:
+    """The runs of a chunk as they were kept."""
+    for row in unpacked(body).to_pylist():
+        a, b = (np.frombuffer(row[c], np.uint32) for c in ("a", "b"))
+        n_a, n_b = (np.frombuffer(row[c], np.int64) for c in ("n_a", "n_b"))
+        marks = np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=len(a) + len(b))
+        yield Run(a, b, n_a, n_b, sizes, marks)
+
+
+def _asked(chunks: DataFrame) -> DataFrame:
     """The distinct linked pairs of every chunk, in order: chunk, pos, a, b, n."""
 
     def run(batches):
         for batch in batches:
             for chunk, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 rows = unpacked(body)
-                found = [Aligned(a, b, size_a, size_b).pairs for a, b in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist())]
-                pair, n = np.unique(np.concatenate(found), return_counts=True)
+                pair, n = rows.column(0).to_numpy(), rows.column(1).to_numpy()
                 for at in range(0, len(pair), 10_000):
                     part = pair[at : at + 10_000]
                     columns = [np.full(len(part), chunk), np.arange(at, at + len(part), dtype=np.int32), (part >> 32).astype(np.int32), part.astype(np.int32), n[at : at + 10_000]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["chunk", "pos", "a", "b", "n"])
 
-    return chunks.select("chunk", "body").mapInArrow(run, "chunk long, pos int, a int, b int, n long")
+    return chunks.select("chunk", "pairs").mapInArrow(run, "chunk long, pos int, a int, b int, n long")
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -236,26 +251,22 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     The count of a pair of ids is the number of links of the corpus that hold it. ``n_best`` of a document's links have the
     highest count of their id of B; ``count_sum`` adds the counts of all its links.
     """
-    size_a, size_b = _sizes(ByteLevel(path_a).token), _sizes(Pieces(path_b).token)
+    first, second = ByteLevel(path_a), Pieces(path_b)
+    sizes, n_names = Sizes(first, second), max(len(first.token), len(second.token))
 
     def make():
         a, b = ByteLevel(path_a), Pieces(path_b)
+        return lambda rows: _made(rows.column(0).combine_chunks(), rows.column(1).to_pylist(), a, b, sizes)
 
-        def change(rows):
-            ids_a, ids_b = encoded(a, b, rows.column(1).to_pylist())
-            bodies = [pa.array([np.array(i, "<u4").tobytes() for i in ids], pa.binary()) for ids in (ids_a, ids_b)]
-            return pa.table([rows.column(0).combine_chunks(), *bodies], ["id", "a", "b"]).combine_chunks()
-
-        return change
-
-    chunks = chunked(docs.select(F.col(id_col), F.col(text_col)), "align-chunks", make, chunk)
-    asked = stored(_asked(chunks, size_a, size_b), "align-pairs")
+    chunks = chunked(docs.select(F.col(id_col), F.col(text_col)), "align-chunks", make, chunk, ("ids", "body", "pairs"))
+    asked = _asked(chunks)
     counts = asked.groupBy("a", "b").agg(F.sum("n").alias("count"))
     # an id of B has at most as many pairs as A has ids
-    counts = counts.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy("b")))
+    counts = stored(counts.withColumn("best", F.col("count") == F.max("count").over(Window.partitionBy("b"))), "align-pairs")
     answers = asked.join(counts, ["a", "b"]).select("chunk", "pos", "count", "best")
 
     def run(batches):
+        names = list(map(str, range(n_names)))
         at, count, best = None, [], []
         for batch in batches:
             chunk_of = batch.column(0).to_numpy()
@@ -269,24 +280,26 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
                 if told.num_rows:
                     count.append(told.column(3).to_numpy())
                     best.append(told.column(4).to_numpy(zero_copy_only=False))
-                for body in here.column(5).drop_null().to_pylist():
-                    yield finished(unpacked(body), np.concatenate(count or [[]]).astype(np.int64), np.concatenate(best or [[]]).astype(bool))
-
-    def finished(rows, count, best):
-        docs_ = [Aligned(a, b, size_a, size_b) for a, b in zip(rows.column(1).to_pylist(), rows.column(2).to_pylist())]
-        pairs = np.concatenate([d.pairs for d in docs_])
-        asked_for, pos = np.unique(pairs, return_inverse=True)
-        if len(asked_for) != len(count):
-            raise ValueError("a chunk has not the counts of its pairs")
-        owner = np.repeat(np.arange(len(docs_)), [len(d.pairs) for d in docs_])
-        n_best = np.bincount(owner[best[pos]], minlength=len(docs_)) if len(pairs) else np.zeros(len(docs_), int)
-        total = np.zeros(len(docs_), np.int64)
-        np.add.at(total, owner, count[pos])
-        numbers = [[len(d.a), len(d.b), len(d.cut_a), len(d.pairs)] for d in docs_]
-        columns = [pa.array(c, pa.int64()) for c in [*zip(*numbers), n_best, total]]
-        texts = pa.array([group_text(d.a, d.b, d.cut_a, d.cut_b) for d in docs_], pa.string())
-        return pa.RecordBatch.from_arrays([rows.column(0).combine_chunks(), *columns, texts], [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
+                kept = here.filter(pc.equal(here.column(1), 1))
+                for ids, body, pairs in zip(*(kept.column(i).to_pylist() for i in (5, 6, 7))):
+                    pair = unpacked(pairs).column(0).to_numpy()
+                    known = np.concatenate(count or [[]]).astype(np.int64), np.concatenate(best or [[]]).astype(bool)
+                    if len(pair) != len(known[0]):
+                        raise ValueError("a chunk has not the counts of its pairs")
+                    yield from finished(unpacked(ids).column(0).combine_chunks(), body, pair, *known, names)
+
+    def finished(ids, body, pair, count, best, names):
+        done = 0
+        for each in _runs(body, sizes):
+            n = len(each.n_a)
+            pos = np.searchsorted(pair, each.pairs)
+            n_best = np.bincount(each.link_owner[best[pos]], minlength=n)
+            total = np.zeros(n, np.int64)
+            np.add.at(total, each.link_owner, count[pos])
+            numbers = [pa.array(c, pa.int64()) for c in (each.n_a, each.n_b, each.n_groups, each.n_links, n_best, total)]
+            texts = pa.array(group_texts(each, names, names), pa.string())
+            yield pa.RecordBatch.from_arrays([ids.slice(done, n), *numbers, texts], [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
+            done += n
 
     kind = docs.schema[id_col].dataType.simpleString()
     return met(chunks, answers, run, f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")
-

@@ -50,20 +50,24 @@ def runs(batches: Iterator[pa.RecordBatch], text: int, size: int) -> Iterator[pa
         yield pa.Table.from_batches(held)
 
 
-def chunked(docs: DataFrame, purpose: str, make: Callable[[], Callable[[pa.Table], pa.Table]] | None = None, size: int = CHUNK) -> DataFrame:
+def chunked(
+    docs: DataFrame, purpose: str, make: Callable[[], Callable[[pa.Table], list[pa.Table]]] | None = None, size: int = CHUNK, bodies: tuple[str, ...] = ("body",)
+) -> DataFrame:
     """``docs`` (two columns, the second a text) as a written table (chunk, body).
 
-    ``make`` is called in every task and gives the function that turns the rows of a chunk into those kept in its body.
+    ``make`` is called in every task and gives the function that turns the rows of a chunk into the tables kept in its
+    ``bodies``.
     """
     small_batches(docs.sparkSession, rows=1000, mb=8)
 
     def run(batches):
         change = make() if make else None
         for rows in runs(batches, 1, size):
-            body = packed(change(rows) if change else rows.combine_chunks())
-            yield pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["body"])
+            made = change(rows) if change else [rows.combine_chunks()]
+            yield pa.RecordBatch.from_arrays([pa.array([packed(table)], pa.binary()) for table in made], list(bodies))
 
-    return stored(docs.mapInArrow(run, "body binary").withColumn("chunk", F.monotonically_increasing_id()), purpose)
+    ddl = ", ".join(f"{name} binary" for name in bodies)
+    return stored(docs.mapInArrow(run, ddl).withColumn("chunk", F.monotonically_increasing_id()), purpose)
 
 
 def met(chunks: DataFrame, answers: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, key: str = "chunk") -> DataFrame:

@@ -2,14 +2,16 @@
 
 The corpus is cut into shards of whole documents. A shard is mined completely in one task, language by language and
 level by level, at a support lowered in proportion to its bytes: a phrase whose count times the bytes of all shards reaches
-the support times the bytes of this shard is locally frequent. Whatever is frequent in the corpus is so in some shard. The union of
-the locally frequent phrases is then counted in all shards exactly, and those below the support go.
+the support times the bytes of this shard is locally frequent. Whatever is frequent in the corpus is so in some shard. The
+union of the locally frequent phrases is then counted in all shards exactly, and those below the support go.
 
+Of the union only phrases are counted that can still reach the support: a shard that did not report a phrase holds at
+most its local support less one of it, so that the counts reported and these bounds say what a phrase can have at most.
 Candidates reach the counting tasks as a bit table of their hashes, of a size that is bounded however many they are. A
 phrase that only shares its bits with a candidate is counted as well, exactly, and it cannot reach the support, since
 whatever does is a candidate. So the counts need no join with the candidates and the table's size never changes a result.
-Nor does the number of shards: where there are more shards than the support, every phrase of a small shard is
-a candidate, and the second pass counts what its words and its parts leave.
+Nor does the number of shards. Where there are more shards than the support, every phrase of a shard is locally frequent;
+then the union's counts are already whole, and only phrases that reach the support are counted again.
 
 Defined results: null text is empty, a null language is ``und``; texts without words give nothing; rows that repeat are
 documents of their own; languages with no phrase that often have no row; an empty table gives an empty result; other
@@ -46,6 +48,17 @@ def tokens(text: bytes) -> list[bytes]:
     return [word for word in text.lower().translate(_BREAKS).replace(b".", b" . ").split(b" ") if word]
 
 
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values, the number of each given value among them, and how often each comes."""
+    order = np.argsort(values)
+    values = values[order]
+    first = np.concatenate(([True], values[1:] != values[:-1])) if len(values) else np.zeros(0, bool)
+    numbers = np.empty(len(values), np.int32)
+    numbers[order] = np.cumsum(first, dtype=np.int32) - np.int32(1)
+    begin = np.flatnonzero(first)
+    return values[begin], numbers, np.diff(np.append(begin, len(values)))
+
+
 class Shard:
     """Documents of one language as word numbers; the end of a piece is number 0."""
 
@@ -65,43 +78,50 @@ class Shard:
         ``keep(counts, hashes)`` tells which phrases stay. A phrase is looked at only if both its parts, without the last
         and without the first word, stayed.
         """
-        ids = self.ids
-        start = np.flatnonzero(ids).astype(np.int32)  # where phrases of this length begin
-        code = ids[start]  # which phrase of this length
-        phrases, hashes = np.arange(len(self.words), dtype=np.int32)[:, None], self.hashes
+        start = np.flatnonzero(self.ids).astype(np.int32)  # where phrases of this length begin
+        code = self.ids[start]  # which phrase of this length
+        n, hashes = np.bincount(code, minlength=len(self.words)), self.hashes
+        phrases = np.arange(len(self.words), dtype=np.int32)[:, None]
+        stay = (n > 0) & keep(n, hashes)
+        phrases, n, hashes = phrases[stay], n[stay], hashes[stay]
         for length in range(1, LONGEST + 1):
-            n = np.bincount(code, minlength=len(phrases))
-            stay = (n > 0) & keep(n, hashes)
-            yield phrases[stay], n[stay], hashes[stay]
-            if length == LONGEST:
+            yield phrases, n, hashes
+            if length == LONGEST or not len(phrases):
                 return
-            renamed = np.cumsum(stay, dtype=np.int64) - 1
+            renamed = np.cumsum(stay, dtype=np.int32) - np.int32(1)
             here = stay[code]
             start, code = start[here], renamed[code[here]]
-            phrases, hashes = phrases[stay], hashes[stay]
             # a phrase and the one that begins a word later make one that is a word longer
             follows = np.flatnonzero(np.diff(start) == 1)
-            pair = code[follows] * np.int64(len(phrases)) + code[follows + 1]
+            pair = code[follows].astype(np.int64) * len(phrases) + code[follows + 1]
             start = start[follows]
-            distinct, code = np.unique(pair, return_inverse=True)
-            left, right = (distinct // max(1, len(phrases))).astype(np.int64), distinct % max(1, len(phrases))
-            last = phrases[right, -1]
-            phrases = np.concatenate([phrases[left], last[:, None]], axis=1)
+            pair, code, n = _numbered(pair)
+            left, last = (pair // len(phrases)).astype(np.int32), phrases[(pair % len(phrases)).astype(np.int32), -1]
             with np.errstate(over="ignore"):
                 hashes = mix64(hashes[left] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[last])
+            stay = keep(n, hashes)
+            phrases = np.concatenate([phrases[left[stay]], last[stay][:, None]], axis=1)
+            n, hashes = n[stay], hashes[stay]
 
     def texts(self, phrases: np.ndarray) -> list[bytes]:
         words = self.words
         return [b" ".join([words[i] for i in row]) for row in phrases.tolist()]
 
 
-def _shards(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[str, int, Shard]]:
-    """Of each shard and language in it: the language, the bytes of the whole shard, and the language's documents."""
-    for rows in runs(batches, 1, size):
-        langs = rows.column(0)
-        here = pc.sum(pc.binary_length(rows.column(1))).as_py()
-        for lang in pc.unique(langs).to_pylist():
-            yield lang, here, Shard(iter(texts(rows.filter(pc.equal(langs, lang)).column(1))))
+def _local_support(support: int, here: int, total: int) -> int:
+    """The least whole count whose part of the support is that of the shard's bytes."""
+    return max(1, -(-support * here // max(1, total)))
+
+
+def _bytes(rows: pa.Table) -> int:
+    return pc.sum(pc.binary_length(rows.column(1))).as_py()
+
+
+def _languages(rows: pa.Table) -> Iterator[tuple[str, Shard]]:
+    """The documents of each language in a shard."""
+    langs = rows.column(0)
+    for lang in pc.unique(langs).to_pylist():
+        yield lang, Shard(iter(texts(rows.filter(pc.equal(langs, lang)).column(1))))
 
 
 def _wide(texts_: DataFrame, size: int) -> tuple[DataFrame, int]:
@@ -112,42 +132,54 @@ def _wide(texts_: DataFrame, size: int) -> tuple[DataFrame, int]:
     return (texts_.coalesce(wanted) if texts_.rdd.getNumPartitions() > wanted else texts_), total
 
 
-def locally_frequent(texts_: DataFrame, total: int, support: int, size: int) -> DataFrame:
-    """Hashes of the phrases that are frequent in a shard at its part of the support: lang, hash."""
+def _unreported(texts_: DataFrame, total: int, support: int, size: int) -> int:
+    """How often a phrase can be in the corpus that no shard reports: the local supports less one, added up."""
 
     def run(batches):
-        for lang, here, shard in _shards(batches, size):
-            # in whole numbers: count / support >= bytes of the shard / bytes of all
-            least = max(1, -(-support * here // max(1, total)))
-            for _, _, hashes in shard.levels(lambda n, h, least=least: n >= least):
-                for at in range(0, len(hashes), EMIT):
-                    part = hashes[at : at + EMIT].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part), pa.string()), pa.array(part)], ["lang", "hash"])
+        for rows in runs(batches, 1, size):
+            yield pa.RecordBatch.from_arrays([pa.array([_local_support(support, _bytes(rows), total) - 1], pa.int64())], ["n"])
 
-    return texts_.mapInArrow(run, "lang string, hash long").distinct()
+    return texts_.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def table_place(lang: str, hashes: np.ndarray, bits: int) -> np.ndarray:
+def of_language(lang: str, hashes: np.ndarray) -> np.ndarray:
+    """Hashes of phrases of a language."""
     with np.errstate(over="ignore"):
-        return (mix64(hashes + np.uint64(xxhash.xxh3_64_intdigest(lang))) & np.uint64(bits - 1)).astype(np.int64)
+        return mix64(hashes + np.uint64(xxhash.xxh3_64_intdigest(lang)))
+
+
+def candidates(texts_: DataFrame, total: int, support: int, size: int) -> DataFrame:
+    """Hashes of the phrases that are frequent in a shard at its part of the support, and can be in the corpus: hash."""
+
+    def run(batches):
+        for rows in runs(batches, 1, size):
+            # in whole numbers: count / support >= bytes of the shard / bytes of all
+            least = _local_support(support, _bytes(rows), total)
+            for lang, shard in _languages(rows):
+                for _, n, hashes in shard.levels(lambda n, h, least=least: n >= least):
+                    own = of_language(lang, hashes).view(np.int64)
+                    for at in range(0, len(own), EMIT):
+                        part = slice(at, at + EMIT)
+                        yield pa.RecordBatch.from_arrays([pa.array(own[part]), pa.array(n[part] - (least - 1))], ["hash", "beyond"])
+
+    # reported counts, with what the shards that did not report the phrase can have at most
+    found = texts_.mapInArrow(run, "hash long, beyond long").groupBy("hash").agg(F.sum("beyond").alias("beyond"))
+    return found.where(F.col("beyond") >= support - _unreported(texts_, total, support, size)).select("hash")
+
+
+def table_place(hashes: np.ndarray, bits: int) -> np.ndarray:
+    return (hashes & np.uint64(bits - 1)).astype(np.int64)
 
 
 def candidate_table(found: DataFrame, most: int = TABLE) -> np.ndarray:
     """One bit per candidate's hash, as words of 64 bits; at most ``most`` bits, about sixteen per candidate below that."""
     n = found.count()
     bits = min(most, max(1 << 12, 1 << (16 * n).bit_length()))
-
-    def run(batches):
-        for batch in batches:
-            langs, hashes = batch.column(0), batch.column(1).to_numpy().view(np.uint64)
-            for lang in pc.unique(langs).to_pylist():
-                mine = hashes[pc.equal(langs, lang).to_numpy(zero_copy_only=False)]
-                place = table_place(lang, mine, bits)
-                value = (np.uint64(1) << (place & 63).astype(np.uint64)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array((place >> 6).astype(np.int32)), pa.array(value)], ["word", "value"])
-
+    place = F.col("hash").bitwiseAND(F.lit(bits - 1))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), place.bitwiseAND(F.lit(63)).cast("int"))
+    words = found.select(F.call_function("shiftright", place, F.lit(6)).cast("int").alias("word"), one.alias("value"))
     # the driver gets the words of the table, at most an eighth of ``most`` bytes
-    words = found.mapInArrow(run, "word int, value long").groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
+    words = words.groupBy("word").agg(F.bit_or("value").alias("value")).toArrow()
     table = np.zeros(bits // 64, np.uint64)
     table[words.column(0).to_numpy()] = words.column(1).to_numpy().view(np.uint64)
     return table
@@ -159,15 +191,17 @@ def counted(texts_: DataFrame, table: np.ndarray, size: int) -> DataFrame:
 
     def run(batches):
         bits = shared.value
-        for lang, _, shard in _shards(batches, size):
-            def keep(n, hashes, lang=lang):
-                place = table_place(lang, hashes, len(bits) * 64)
-                return (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+        for rows in runs(batches, 1, size):
+            for lang, shard in _languages(rows):
+
+                def keep(n, hashes, lang=lang):
+                    place = table_place(of_language(lang, hashes), len(bits) * 64)
+                    return (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
 
-            yield made(lang, [None], 0, [int(np.count_nonzero(shard.ids))])
-            for phrases, n, _ in shard.levels(keep):
-                for at in range(0, len(n), EMIT):
-                    yield made(lang, shard.texts(phrases[at : at + EMIT]), phrases.shape[1], n[at : at + EMIT])
+                yield made(lang, [None], 0, [int(np.count_nonzero(shard.ids))])
+                for phrases, n, _ in shard.levels(keep):
+                    for at in range(0, len(n), EMIT):
+                        yield made(lang, shard.texts(phrases[at : at + EMIT]), phrases.shape[1], n[at : at + EMIT])
 
     def made(lang, phrases, length, n):
         columns = [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array([length] * len(phrases), pa.int32()), pa.array(n, pa.int64())]
@@ -182,7 +216,7 @@ def frequencies(docs: DataFrame, support: int = 30, text_col: str = "text", lang
     small_batches(docs.sparkSession, rows=1000, mb=8)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows, total = _wide(rows, shard)
-    found = stored(locally_frequent(rows, total, support, shard), "phrase-candidates")
+    found = stored(candidates(rows, total, support, shard), "phrase-candidates")
     all_counts = stored(counted(rows, candidate_table(found, table), shard).where(F.col("phrase").isNull() | (F.col("f") >= support)), "phrase-counts")
     return all_counts.where(F.col("phrase").isNotNull()), all_counts.where(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
 

@@ -128,11 +128,14 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
 
         def counts():
             if held:
-                k, n = np.unique(np.concatenate(held), return_counts=True)
-                k, n = k[n > 1], n[n > 1]
+                every = np.concatenate(held)
                 held.clear()
                 seen.clear()
-                yield batch(pa.nulls(len(k), kind_of_id), 1, pa.array(signed(k)), n)
+                every.sort()
+                # where a run of equal shingles that is longer than one begins and ends
+                same = np.concatenate(([False], every[1:] == every[:-1], [False]))
+                begin, end = np.flatnonzero(same[1:] & ~same[:-1]), np.flatnonzero(same[:-1] & ~same[1:])
+                yield batch(pa.nulls(len(begin), kind_of_id), 1, pa.array(signed(every[begin])), end - begin + 1)
 
         kind_of_id = pa.int64()
         for got in batches:
@@ -311,7 +314,7 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the smallest doc_id reachable by links."""
     spark = docs.sparkSession
-    small_batches(spark, rows=2000)
+    small_batches(spark, rows=500, mb=4)
     rule = Rule(percent)
     docs = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     described = stored(_described(docs, words), "join-docs")

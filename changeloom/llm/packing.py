@@ -29,7 +29,7 @@ from changeloom.llm.common import small_batches, stored, texts
 
 ROOM = 2048
 PLACES = 1024  # hashed parts in which the pieces of one length are ranked
-CACHED_WORDS = 400_000
+CACHED_BYTES = 24 << 20  # of words and ids that a task remembers, about
 
 # A fixed value of the tokenizer's file: how it cuts lower-cased text into the parts that its model sees one by one.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -37,9 +37,6 @@ SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
 _PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+").findall
 
-_words: dict[str, Words] = {}
-
-
 class Parts(dict):
     """Little-endian ids of the parts that the model has met."""
 
@@ -57,7 +54,7 @@ class Parts(dict):
 
 
 class Words(dict):
-    """Little-endian ids of the UTF-8 words that a worker has met; starts anew when it is full.
+    """Little-endian ids of the UTF-8 words that a task has met; starts anew when it is full, and goes with the task.
 
     A plain word is cut into its parts here, and only parts not met before go to the tokenizer's model. All others, and
     all words of a tokenizer with other rules, go through the whole tokenizer.
@@ -69,6 +66,7 @@ class Words(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = Parts(self.tokenizer.model)
+        self.held = 0
         rules = json.loads(self.tokenizer.to_str())
         cut, *then = (rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
         steps = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers") or []]
@@ -87,48 +85,55 @@ class Words(dict):
         else:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             found = struct.pack(f"<{len(ids)}I", *ids)
+        self.held += len(word) + len(found) + 200  # with what both objects and their places take
         self[word] = found
         return found
 
 
-def token_bytes(found: list[bytes], path: str) -> list[bytes]:
+def token_bytes(found: list[bytes], words: Words) -> list[bytes]:
     """Little-endian 32-bit ids of whole UTF-8 texts.
 
-    The tokenizer drops white space and never joins across it, so that a text's ids are those of its words in turn,
-    and a word that came before needs no second look.
+    A tokenizer of the known rules drops white space and never joins across it, so that a text's ids are those of its words
+    in turn, and a word that came before needs no second look. Any other tokenizer is given whole texts.
     """
-    if path not in _words:
-        _words[path] = Words(path)
-    words = _words[path]
-    if len(words) > CACHED_WORDS:
-        words.clear()
-        words.parts.clear()
-    return [b"".join(map(words.__getitem__, text.split())) for text in found]
-
-
-def pieces(docs: DataFrame, tokenizer_path: str, room: int = ROOM, closing_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32 and the ids as little-endian 32-bit bytes."""
-    small_batches(docs.sparkSession)
+    if not words.known:
+        whole = [words.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids for text in found]
+        return [struct.pack(f"<{len(ids)}I", *ids) for ids in whole]
+    out = []
+    for text in found:
+        if words.held > CACHED_BYTES:
+            words.clear()
+            words.parts.clear()
+            words.held = 0
+        out.append(b"".join(map(words.__getitem__, text.split())))
+    return out
+
+
+def pieces(docs: DataFrame, tokenizer_path: str, room: int = ROOM, closing_id: int = 0, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32 and, if wanted, the ids as little-endian 32-bit bytes."""
+    small_batches(docs.sparkSession, rows=500, mb=4)
     end = np.array([closing_id], "<u4").tobytes()
 
     def run(batches):
+        words = Words(tokenizer_path)
         for batch in batches:
             rows, index = [], []
-            for i, ids in enumerate(token_bytes(texts(batch.column(1)), tokenizer_path)):
+            for i, ids in enumerate(token_bytes(texts(batch.column(1)), words)):
                 ids += end
                 for k, at in enumerate(range(0, len(ids), 4 * room)):
-                    rows.append((k, at // 4, (min(at + 4 * room, len(ids)) - at) // 4, zlib.crc32(ids[at : at + 4 * room]), ids[at : at + 4 * room]))
+                    part = ids[at : at + 4 * room]
+                    rows.append((k, at // 4, len(part) // 4, zlib.crc32(part), part if with_ids else None))
                     index.append(i)
             columns = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array(index, pa.int64())), pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:4]], pa.array(columns[4], pa.binary())],
-                ["doc_id", "piece", "start", "length", "ids_crc32", "ids"],
-            )
+            arrays = [batch.column(0).take(pa.array(index, pa.int64())), pa.array(columns[0], pa.int32()), *[pa.array(c, pa.int64()) for c in columns[1:4]]]
+            names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+            if with_ids:
+                arrays, names = [*arrays, pa.array(columns[4], pa.binary())], [*names, "ids"]
+            yield pa.RecordBatch.from_arrays(arrays, names)
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {kind}, piece int, start long, length long, ids_crc32 long, ids binary"
-    )
+    ddl = f"doc_id {kind}, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, ddl)
 
 
 def patterns(lengths: np.ndarray, room: int, waste: int = 1, steps: int = 20) -> list[tuple[int, ...]]:
@@ -264,8 +269,7 @@ class Places:
 
 def pack(docs: DataFrame, tokenizer_path: str, room: int = ROOM, closing_id: int = 0, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces with the sequence they go to and their offset in it; ``with_ids`` keeps the ids themselves."""
-    cut = pieces(docs, tokenizer_path, room, closing_id, id_col, text_col)
-    cut = stored(cut if with_ids else cut.drop("ids"), "pieces")
+    cut = stored(pieces(docs, tokenizer_path, room, closing_id, id_col, text_col, with_ids), "pieces")
     histogram = np.zeros(room + 1, np.int64)
     for r in cut.groupBy("length").count().collect():  # at most ``room`` rows
         histogram[r["length"]] = r["count"]

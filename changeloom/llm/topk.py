@@ -6,31 +6,42 @@ segments of all dimensions by descending contribution, and adds what each is at
 yet processed bounds what any vector can still gain. Processing stops only when that bound proves all but a few vectors
 out of the block's best ``k``, or when nothing is left; the possible members are then scored exactly.
 
-The queries are a stated set, cut into blocks as well; every query block meets every index block through a join on the
-index shard. A block gives at most ``k`` rows for a query, and the best ``k`` of these are kept.
-
-Defined results: vectors that are null, hold null or non-finite components or components beyond 2 ** 27 take no part,
-nor do rows without an id; vectors are compared with vectors of their own length alone; an empty vector scores 0; rows
-that repeat an id are candidates of their own, and a query is asked once, with its smallest vector; equal scores go to
-the smaller id; an empty table gives an empty result; other columns are never read.
+The queries are a stated set, cut into blocks as well. Index blocks are dealt into shards of a few, every query block goes
+to every shard of its vector length, and a task holds the index blocks of one shard while the query blocks stream by. The
+number of shards follows from the number of blocks; nothing is broadcast. A shard gives at most ``k`` rows of a block for a
+query, and the best ``k`` of all are kept.
+
+Bounds are sums of whole numbers that doubles hold exactly: components below ``LIMIT`` in size, at most 4096 of them.
+A vector or query beyond that is scored beside the index in whole numbers of any size, and a score that no long can hold is
+an error.
+
+Defined results: vectors that are null or hold null or non-finite components take no part, nor do rows without an id;
+vectors are compared with vectors of their own length alone; an empty vector scores 0; rows that repeat an id are
+candidates of their own, and a query is asked once, with the smallest of its vectors that take part; equal scores go to the
+smaller id; an empty table gives an empty result; other columns are never read.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeloom.llm.chunks import met
 from changeloom.llm.common import small_batches, stored
 
 BLOCK = 8192
 QUERY_BLOCK = 256
 SCALE = 1024
 LEVELS = 64
-LIMIT = 1 << 27
+LIMIT = 1 << 20
+WIDEST = 4096
+HELD = 4  # index blocks a task holds at a time
 TIERS = (0.1, 0.25, 0.45, 0.7, 1.0)  # shares of a query's postings after which the bound is tried
 
 
@@ -105,62 +116,104 @@ class Index:
         return possible
 
 
-def _integers(column: pa.Array, ids: pa.Array) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """Ids and integer vectors of the rows that take part, by vector length."""
-    out: dict[int, tuple[list, list]] = {}
+class Wide:
+    """Vectors with components of any size, scored one by one in whole numbers."""
+
+    def __init__(self, ids: np.ndarray, x: list[list[int]]):
+        self.ids, self.x = ids, x
+
+    def top_k(self, q: list[int], k: int, own: int) -> tuple[np.ndarray, np.ndarray]:
+        found = sorted((-sum(a * b for a, b in zip(q, x)), int(i)) for i, x in zip(self.ids, self.x) if i != own)[:k]
+        return np.array([i for _, i in found], np.int64), np.array([as_long(-score) for score, _ in found], np.int64)
+
+
+def as_long(score: int) -> int:
+    if not -(1 << 63) <= score < 1 << 63:
+        raise OverflowError(f"the score {score} does not fit a long")
+    return score
+
+
+def whole(body: Index | Wide) -> Wide:
+    """The vectors of an index or of wide ones, for a query that only whole numbers of any size can score."""
+    return body if isinstance(body, Wide) else Wide(body.ids, body.x.tolist())
+
+
+def _integers(column: pa.Array, ids: pa.Array) -> Iterator[tuple[int, bool, int, np.ndarray | list[int]]]:
+    """Length, whether it is wide, id and integer vector of the rows that take part."""
     for i, v in zip(ids.to_pylist(), column.to_pylist()):
         if i is None or v is None or None in v:
             continue
-        x = np.floor(SCALE * np.array(v, np.float64))
-        if np.isfinite(x).all() and (np.abs(x) < LIMIT).all():
-            rows = out.setdefault(len(v), ([], []))
-            rows[0].append(i)
-            rows[1].append(x.astype(np.int64))
-    return {n: (np.array(i, np.int64), np.array(x, np.int64).reshape(len(i), n)) for n, (i, x) in out.items()}
+        given = np.array(v, np.float64)
+        if not np.isfinite(given).all():
+            continue
+        with np.errstate(over="ignore"):
+            x = np.floor(SCALE * given)
+        wide = len(x) > WIDEST or bool((np.abs(x) >= LIMIT).any())
+        yield len(x), wide, i, [math.floor(c) for c in x.tolist()] if wide else x.astype(np.int64)
+
+
+def _made(rows: list[tuple[int, list[int]]], wide: bool):
+    """An index of vectors of one length, or the vectors as they are where they are wide."""
+    ids = np.array([i for i, _ in rows], np.int64)
+    x = [v for _, v in rows]
+    return Wide(ids, x) if wide else Index(ids, np.array(x, np.int64).reshape(len(rows), -1))
 
 
 def _blocks(rows: DataFrame, id_col: str, vector_col: str, size: int, make) -> DataFrame:
     """Blocks of up to ``size`` vectors of one length, made where the rows lie: width, body."""
 
     def run(batches):
-        held: dict[int, list] = {}
+        held: dict[tuple[int, bool], list] = {}
         for batch in batches:
-            for n, (ids, x) in _integers(batch.column(1), batch.column(0)).items():
-                parts = held.setdefault(n, [])
-                parts.append((ids, x))
-                if sum(len(i) for i, _ in parts) >= size:
-                    yield from out(n, held.pop(n), size)
-        for n, parts in held.items():
-            yield from out(n, parts, size)
-
-    def out(n, parts, size):
-        ids, x = np.concatenate([i for i, _ in parts]), np.concatenate([v for _, v in parts])
-        for at in range(0, len(ids), size):
-            body = pickle.dumps(make(ids[at : at + size], x[at : at + size]), protocol=5)
-            yield pa.RecordBatch.from_arrays([pa.array([n], pa.int32()), pa.array([body], pa.binary())], ["width", "body"])
+            for width, wide, i, x in _integers(batch.column(1), batch.column(0)):
+                part = held.setdefault((width, wide), [])
+                part.append((i, x))
+                if len(part) == size:
+                    yield out(width, make(held.pop((width, wide)), wide))
+        for (width, wide), part in held.items():
+            yield out(width, make(part, wide))
+
+    def out(width, made):
+        return pa.RecordBatch.from_arrays([pa.array([width], pa.int32()), pa.array([pickle.dumps(made, protocol=5)], pa.binary())], ["width", "body"])
 
     return rows.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v")).mapInArrow(run, "width int, body binary")
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, shards: int = 64) -> DataFrame:
+def takes_part(vector: Column) -> Column:
+    """Whether a vector is there and all its components are numbers that are finite."""
+    value = lambda c: c.cast("double")
+    finite = F.forall(vector, lambda c: F.coalesce(~F.isnan(value(c)) & (F.abs(value(c)) < F.lit(float("inf"))), F.lit(False)))
+    return F.coalesce(finite, F.lit(False))
+
+
+def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding", block: int = BLOCK, held: int = HELD) -> DataFrame:
     """The best ``k`` rows of every query: query_id, rank, vec_id, score."""
     spark = vectors.sparkSession
     small_batches(spark, rows=4096)
-    index = stored(_blocks(vectors, id_col, vector_col, block, Index).withColumn("shard", F.pmod(F.xxhash64("body"), F.lit(shards)).cast("int")), "topk-index")
-    asked = vectors.where(is_query).groupBy(F.col(id_col).alias("id")).agg(F.min(vector_col).alias("v"))
-    queries = stored(_blocks(asked, "id", "v", QUERY_BLOCK, lambda ids, x: (ids, x)), "topk-queries")
-    queries = queries.select("width", F.col("body").alias("asked"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    index = stored(_blocks(vectors, id_col, vector_col, block, _made), "topk-index")
+    asked = vectors.where(is_query & takes_part(F.col(vector_col))).groupBy(F.col(id_col).alias("id")).agg(F.min(vector_col).alias("v"))
+    queries = stored(_blocks(asked, "id", "v", QUERY_BLOCK, lambda rows, wide: (wide, rows)), "topk-queries")
+    shards = index.groupBy("width").agg(F.ceil(F.count("*") / held).cast("int").alias("shards"))
+    name = F.concat_ws("-", "width", "shard").alias("shard")
+    dealt = index.join(shards, "width").withColumn("shard", F.pmod(F.xxhash64("body"), F.col("shards"))).select(name, "body")
+    every = queries.join(shards, "width").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1))).select(name, "body")
 
     def run(batches):
+        shard, there = None, []
         for batch in batches:
-            for body, asked_body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                there, (ids, x) = pickle.loads(body), pickle.loads(asked_body)
-                found = [there.top_k(q, k, i) for i, q in zip(ids, x)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.repeat(ids, [len(f[0]) for f in found])), pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found]))],
-                    ["query_id", "vec_id", "score"],
-                )
-
-    met = index.join(queries, ["width", "shard"]).select("body", "asked").mapInArrow(run, "query_id long, vec_id long, score long")
+            for at, part, body in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if at != shard:
+                    shard, there = at, []
+                if part == 0:
+                    there.append(pickle.loads(body))
+                    continue
+                wide, rows = pickle.loads(body)
+                for i, q in rows:
+                    found = [whole(one).top_k(list(map(int, q)), k, i) if wide or isinstance(one, Wide) else one.top_k(q, k, i) for one in there]
+                    ids, scores = np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+                    best = np.lexsort((ids, -scores))[:k]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(best), i, np.int64)), pa.array(ids[best]), pa.array(scores[best])], ["query_id", "vec_id", "score"])
+
+    answers = met(every, dealt, run, "query_id long, vec_id long, score long", key="shard")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return met.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    return answers.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -28,12 +28,20 @@ class ApplyMetrics:
     deleted: int = 0
     dropped: int = 0
 
+    def plus(self, other: ApplyMetrics) -> ApplyMetrics:
+        return ApplyMetrics(*(getattr(self, f) + getattr(other, f) for f in self.__dataclass_fields__))
+
 
 def observed(counts: Observation) -> dict[str, int]:
-    """Counts of a finished observation; empty when the optimizer found that no row could pass it."""
+    """Counts of a finished observation; empty when the optimizer found that no row could pass it.
+
+    Such a plan ends without metrics, whose row is then not one that can be handed over; any other failure is raised.
+    """
     try:
         return counts.get
-    except Py4JJavaError:
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
         return {}
 
 
@@ -177,14 +185,23 @@ def merge_counts(
     return joined.groupBy(action.alias("action")).agg(F.count("*").alias("n"))
 
 
+def _same_key(table: str, pks: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"{table}.{pk}") == F.col(f"s.{pk}") for pk in pks])
+
+
 def merge_into(
-    table: str, batch: DataFrame, columns: list[str], pks: list[str], on_missing_update: str = "drop"
+    table: str,
+    batch: DataFrame,
+    columns: list[str],
+    pks: list[str],
+    on_missing_update: str = "drop",
+    winners: DataFrame | None = None,
 ) -> None:
     """Merge mode through the catalog's own row-level MERGE, for table formats that support it."""
-    src = winners_of(batch, pks, columns).alias("s")
+    src = (winners_of(batch, pks, columns) if winners is None else winners).alias("s")
     op = F.col(f"s.{OP}")
     values = non_pk_columns(columns, pks)
-    merge = src.mergeInto(table, reduce(lambda a, b: a & b, [F.col(f"{table}.{p}") == F.col(f"s.{p}") for p in pks]))
+    merge = src.mergeInto(table, _same_key(table, pks))
     if values:
         merge = merge.whenMatched(op.isin(*UPSERT_OPS, "u")).update({c: F.col(f"s.{c}") for c in values})
     inserts = [*UPSERT_OPS, "u"] if on_missing_update == "insert" else list(UPSERT_OPS)
@@ -192,6 +209,20 @@ def merge_into(
     merge.whenMatched(op == "d").delete().merge()
 
 
+def update_rows_of(table: str, block: DataFrame, columns: list[str], pks: list[str]) -> None:
+    """The updates of a block through the catalog's row-level MERGE."""
+    values = non_pk_columns(columns, pks)
+    if values:
+        src = winners_of(block.where(F.col(OP) == "u"), pks, columns).alias("s")
+        src.mergeInto(table, _same_key(table, pks)).whenMatched().update({c: F.col(f"s.{c}") for c in values}).merge()
+
+
+def delete_rows_of(table: str, block: DataFrame, pks: list[str]) -> None:
+    """The deletes of a block through the catalog's row-level MERGE."""
+    src = block.where(F.col(OP) == "d").select(*pks).distinct().alias("s")
+    src.mergeInto(table, _same_key(table, pks)).whenMatched().delete().merge()
+
+
 # --- block mode ------------------------------------------------------------------------------------------------
 
 

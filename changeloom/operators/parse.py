@@ -306,6 +306,21 @@ def parse_struct_envelope(
 # --- rejects ---------------------------------------------------------------------------------------------------
 
 
+def before_first_reject(parsed: DataFrame, tombstones: str = "error") -> tuple[DataFrame, DataFrame]:
+    """Usable rows before the first bad one of their source partition, and the bad rows.
+
+    Where the first bad row stands is one aggregate over the bad rows, at most one row per source partition.
+    """
+    reason = F.col("reject_reason")
+    if tombstones == "skip":
+        parsed = parsed.where(reason.isNull() | (reason != "null_value"))
+    bad = parsed.where(reason.isNotNull())
+    first = bad.groupBy("topic", "partition").agg(F.min("offset").alias("_first")).alias("f")
+    same = (F.col("p.topic") == F.col("f.topic")) & (F.col("p.partition") == F.col("f.partition"))
+    good = parsed.where(reason.isNull()).alias("p").join(first, same & (F.col("p.offset") > F.col("f._first")), "left_anti")
+    return good.drop("reject_reason"), bad
+
+
 def apply_error_policy(
     parsed: DataFrame, on_error: str = "fail", tombstones: str = "error"
 ) -> tuple[DataFrame, DataFrame | None]:

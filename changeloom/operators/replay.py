@@ -61,6 +61,36 @@ def replay_merge(
     return out
 
 
+def fold_winners(
+    log: DataFrame, pks: list[str], columns: list[str], batch: Column, on_missing_update: str = "drop"
+) -> DataFrame:
+    """What several merges in ascending ``batch`` order do to a target, as the winners of a single merge.
+
+    Per key, only the last create, delete and write of the batches' winners count: a key that is there after the last of
+    them comes as ``c`` with its last values, one that is gone as ``d``, and one that was only updated as ``u``. A null key
+    matches nothing, so that the winner of each batch that creates it is a row of its own.
+    """
+    rows = log.select(*columns, OP, OFFSET, PARTITION, TOPIC, batch.cast("bigint").alias("_batch"))
+    won = latest_per_key(rows, [*pks, "_batch"]).where(F.col(OP).isin(*APPLIED_OPS))
+    created, deleted = F.col(OP).isin(*UPSERT_OPS), F.col(OP) == "d"
+    values = non_pk_columns(columns, pks)
+    own = F.when(_any_null(pks), F.col("_batch")).alias("_own")
+    state = won.groupBy(*pks, own).agg(
+        F.max(F.when(created, F.col("_batch"))).alias("_created"),
+        F.max(F.when(deleted, F.col("_batch"))).alias("_deleted"),
+        F.max(F.when(~deleted, F.col("_batch"))).alias("_written"),
+        F.max_by(F.struct(F.lit(True).alias("_set"), *values), F.when(~deleted, F.col("_batch"))).alias("_row"),
+    )
+    gone = F.coalesce(F.col("_deleted"), F.lit(_NEVER))
+    alive = "_written" if on_missing_update == "insert" else "_created"
+    op = (
+        F.when(F.col(alive) > gone, F.lit("c"))
+        .when(F.col("_deleted").isNotNull(), F.lit("d"))
+        .otherwise(F.lit("u"))
+    )
+    return state.select(*[F.col(c) if c in pks else F.col(f"_row.{c}").alias(c) for c in columns], op.alias(OP))
+
+
 def replay_blocks(
     log: DataFrame, pks: list[str], columns: list[str], block: Column, initial: DataFrame | None = None
 ) -> DataFrame:

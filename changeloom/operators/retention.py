@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from changeloom.operators.select import BatchBound, older_than
 from changeloom.plans.schema import BLOCK, LOG_KEY
-from changeloom.session import path_exists
+from changeloom.session import child_names, delete_path, make_folder, write_line
 
 
 def _kept_unless(gone: Column) -> Column:
@@ -56,12 +56,17 @@ def retention_due(last_ms: int, interval_seconds: int, now_ms: int) -> bool:
 
 
 def last_expiry(spark: SparkSession, path: str) -> int:
-    """Time of the last expiry in epoch milliseconds, as kept next to the job; 0 before the first."""
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        return 0
-    return spark.read.parquet(path).agg(F.max("last_ms")).first()[0] or 0
+    """Time of the last expiry in epoch milliseconds, as kept next to the job; 0 before the first.
+
+    The time is the name of a file, so that asking for it is a listing of one folder and no job.
+    """
+    return max((int(name.removeprefix("at-")) for name in child_names(spark, path) if name.startswith("at-")), default=0)
 
 
 def note_expiry(spark: SparkSession, path: str, now_ms: int) -> None:
-    """Keep the time of an expiry."""
-    spark.range(1).select(F.lit(now_ms).cast("bigint").alias("last_ms")).write.mode("overwrite").parquet(path)
+    """Keep the time of an expiry in the place of the one before."""
+    make_folder(spark, path)
+    write_line(spark, f"{path}/at-{now_ms}", str(now_ms))
+    for name in child_names(spark, path):
+        if name.startswith("at-") and int(name.removeprefix("at-")) < now_ms:
+            delete_path(spark, f"{path}/{name}")

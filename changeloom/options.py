@@ -30,12 +30,11 @@ LOWER_BOUNDS = {
     "flush_seconds": 1,
     "max_bytes": 1,
     "broadcast_bytes": 0,
-    "keep_versions": 1,
 }
 
 _CHOICES = {
     "mode": ("block", "merge"),
-    "on_error": ("fail", "quarantine"),
+    "on_error": ("fail", "quarantine", "prefix"),
     "tombstones": ("error", "skip"),
     "null_keys": ("insert", "quarantine"),
     "on_missing_update": ("drop", "insert"),
@@ -71,9 +70,11 @@ class ReplicationOptions:
     columns: str = "target"
     empty_as_null: bool = False
     only_applied: bool = True
-    # Largest change set joined by broadcast, and how many target versions stay readable.
+    # Whether a micro-batch is cut into blocks of at most ``max_records`` and ``max_bytes``, and merged blocks go at once.
+    cut_blocks: bool = False
+    drop_merged: bool = False
+    # Largest change set joined by broadcast.
     broadcast_bytes: int = 64 * 1024 * 1024
-    keep_versions: int = 5
 
     @classmethod
     def from_config(cls, config: dict[str, str], prefix: str = "warehouse.", **extra) -> ReplicationOptions:

@@ -260,4 +260,26 @@ ORACLE: dict[str, str] = {
     "stream_merge": _replay_merge(E, "e", "user_id", E_COLS, QUARTER, None),
     "stream_blocks": _replay_blocks(E, "e", "user_id", E_COLS, QUARTER, None),
     "stream_dedup": _replay_blocks(E, "e", "user_id", E_COLS, QUARTER, None),
+    "stream_merge_bounded": _replay_merge(
+        E.replace("select user_id,", "select case when event_id % 3 = 0 then 0 else user_id end as user_id,"), "e", "user_id", E_COLS, QUARTER, None
+    ),
+    "stream_cut_blocks": f"""with {E}, s as (
+          select part, off, 100 + 12 + length(cast(user_id as varchar)) + coalesce(length(props), 0) as size from e),
+        m as (select *, max(size) filter (where size <= 15000) over (partition by part) as most,
+            row_number() over (partition by part order by off) as n, sum(size) over (partition by part order by off) as b,
+            coalesce(count(*) filter (where size > 15000) over (partition by part order by off
+              rows between unbounded preceding and 1 preceding), 0) as o from s)
+        select part as "KFK_PARTITION", off as "KFK_OFFSET",
+          concat_ws('-', part, (n - 1) // 100, cast((b - 1) // (15000 - most + 1) as bigint), o) as block from m""",
+    "reject_prefix": """select cast(event_id % 4 as int) as "partition", event_id as "offset" from events e
+        where event_id < coalesce((select min(event_id) from events b
+          where b.event_id % 4 = e.event_id % 4 and b.event_id % 977 = 600), 9223372036854775807)""",
+    "stream_retention": f"""with {E} select part as "KFK_PARTITION", off as "KFK_OFFSET", op as "KFK_OP" from e
+        where not date_trunc('milliseconds', ts) <= {NOW} - {DELAY}""",
+    "expire_idle": f"""with {E} select part as "KFK_PARTITION", off as "KFK_OFFSET", op as "KFK_OP" from e
+        where not date_trunc('milliseconds', ts) <= {NOW} - {DELAY}""",
+    "job_from_catalog": _replay_merge(
+        E.replace("select user_id, value, props,", f"select user_id, value, case when {QUARTER.replace('off', 'event_id')} >= 2 then props end as props,"),
+        "e", "user_id", E_COLS, QUARTER, None,
+    ),
 }

@@ -3,62 +3,28 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.operators.apply import ApplyMetrics, applied, classify_merge, observe_merge, observed, winners_of
+from changeloom.operators.apply import ApplyMetrics, winners_of
 from changeloom.operators.retention import expire_rows, last_expiry, note_expiry, remove_batch, retention_due
 from changeloom.operators.select import has_pending, take_batch
 from changeloom.options import ReplicationOptions
 from changeloom.plans.schema import BLOCK, ingest_schema
-from changeloom.plans.target import TargetTable
-from changeloom.session import child_names, delete_empty, delete_path, path_exists, write_line
+from changeloom.plans.tables import CatalogTarget, RowLevelTarget
+from changeloom.session import child_names, delete_path, path_exists
 from changeloom.sources.ingest_log import read_log
 
-
-def change_bytes(rows: DataFrame) -> int:
-    """Estimated size of a written change set, by one aggregate over it."""
-    size = F.lit(16)
-    for f in rows.schema.fields:
-        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
-            size = size + F.coalesce(F.length(f.name), F.lit(0)) + 8
-        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)):
-            size = size + F.coalesce(F.length(F.to_json(F.struct(f.name))), F.lit(0)) + 8
-        else:
-            size = size + 16
-    return rows.agg(F.sum(size.cast("bigint"))).first()[0] or 0
-
-
-def merge_tick(
-    target: TargetTable, winners: DataFrame, apply_id: str, options: ReplicationOptions
-) -> ApplyMetrics | None:
-    """Merge written winners into the target once; null when they already are in it.
-
-    The join is a broadcast when the measured size of the winners allows it.
-    """
-    small = change_bytes(winners) <= options.broadcast_bytes
-    pks = list(target.pks)
-    counts = Observation()
-
-    def rule(rows: DataFrame) -> DataFrame:
-        both = classify_merge(rows, winners, pks, options.on_missing_update, small, winners)
-        return applied(observe_merge(both, counts))
-
-    if not target.apply(winners, apply_id, rule):
-        return None
-    target.vacuum(options.keep_versions)
-    return ApplyMetrics(**observed(counts))
+Target = CatalogTarget | RowLevelTarget
 
 
 def apply_pending(
     spark: SparkSession,
     log_path: str,
-    target: TargetTable,
+    target: Target,
     options: ReplicationOptions,
     work_path: str,
     now: dt.datetime | None = None,
@@ -71,7 +37,6 @@ def apply_pending(
     """
     schema = ingest_schema(target.schema)
     frozen = f"{work_path}/frozen"
-    _finish_trims(spark, work_path)
     for name in child_names(spark, frozen):
         if path_exists(spark, f"{frozen}/{name}/_SUCCESS"):
             _finish(spark, log_path, target, schema, frozen, name, options)
@@ -98,14 +63,14 @@ def _expire(
         return
     if options.retention_delay > 0 and path_exists(spark, log_path):
         log = read_log(spark, log_path, schema)
-        _rewrite_blocks(spark, log_path, log, expire_rows(log, options.retention_delay, now), f"expiry-{last_ms}", clock.rsplit("/", 1)[0])
+        rewrite_blocks(spark, log_path, log, expire_rows(log, options.retention_delay, now))
     note_expiry(spark, clock, now_ms)
 
 
 def _finish(
     spark: SparkSession,
     log_path: str,
-    target: TargetTable,
+    target: Target,
     schema: T.StructType,
     frozen: str,
     name: str,
@@ -116,23 +81,22 @@ def _finish(
     folder = f"{frozen}-winners/{name}"
     winners = winners_of(batch, list(target.pks), target.schema.names)
     winners.write.mode("overwrite").parquet(folder)
-    metrics = merge_tick(target, spark.read.schema(winners.schema).parquet(folder), f"batch:{name}", options)
+    metrics = target.apply_winners(spark.read.schema(winners.schema).parquet(folder), f"batch:{name}", options)
     touched = [row[0] for row in batch.select(BLOCK).distinct().collect()]
     log = read_log(spark, log_path, schema).where(F.col(BLOCK).isin(touched))
-    _rewrite_blocks(spark, log_path, log, remove_batch(log, batch), name, frozen.rsplit("/", 1)[0])
+    rewrite_blocks(spark, log_path, log, remove_batch(log, batch))
     delete_path(spark, f"{frozen}/{name}")
     delete_path(spark, folder)
     return metrics
 
 
-def _rewrite_blocks(spark: SparkSession, log_path: str, before: DataFrame, after: DataFrame, name: str, work_path: str) -> None:
+def rewrite_blocks(spark: SparkSession, log_path: str, before: DataFrame, after: DataFrame) -> None:
     """Replace the rows of ``before`` by those of ``after``, in the blocks that lost rows.
 
-    What stays of a block goes to a new block, whose id follows from the old one and ``name``, so that a second run
-    writes the same one again. Then the files that ``before`` was listed with are noted, and only those are deleted:
-    files that came to an old block since are neither read nor deleted, and a crash leaves a note to go on with.
+    One dynamic partition overwrite gives each such block its rows, which are moved in when all are written; blocks
+    without any are deleted by their names. A block is written by one writer, once, so that nothing is added to it
+    meanwhile; new rows come in blocks of their own, which are left alone.
     """
-    files = [unquote(file) for file in before.inputFiles()]
     counts = (
         before.groupBy(BLOCK)
         .agg(F.count("*").alias("had"))
@@ -140,23 +104,10 @@ def _rewrite_blocks(spark: SparkSession, log_path: str, before: DataFrame, after
         .where(F.col("has").isNull() | (F.col("has") < F.col("had")))
     )
     changed = {row[BLOCK]: row["has"] for row in counts.collect()}
-    if any(changed.values()):
-        rows = after.where(F.col(BLOCK).isin(list(changed))).withColumn(BLOCK, F.md5(F.concat_ws("#", F.lit(name), BLOCK)))
+    kept = [block for block, has in changed.items() if has]
+    if kept:
+        rows = after.where(F.col(BLOCK).isin(kept))
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BLOCK).parquet(log_path)
-    gone = [file for file in files if unquote(file.rsplit("/", 2)[1].partition("=")[2]) in changed]
-    if gone:
-        write_line(spark, f"{work_path}/trims/{name}.json", json.dumps({"files": gone}))
-        _finish_trims(spark, work_path)
-
-
-def _finish_trims(spark: SparkSession, work_path: str) -> None:
-    """Delete the files whose rows are in other blocks by now, as noted before the first of them is deleted."""
-    for name in child_names(spark, f"{work_path}/trims"):
-        if name.startswith("."):
-            continue
-        files = spark.read.schema("files array<string>").json(f"{work_path}/trims/{name}").first()["files"]
-        for file in files:
-            delete_path(spark, file)
-        for folder in {file.rsplit("/", 1)[0] for file in files}:
-            delete_empty(spark, folder)
-        delete_path(spark, f"{work_path}/trims/{name}")
+    for block in changed:
+        if not changed[block]:
+            delete_path(spark, f"{log_path}/{BLOCK}={block}")

@@ -21,9 +21,9 @@ from changeloom.operators import replay as rp
 from changeloom.operators import retention as rt
 from changeloom.operators import select as se
 from changeloom.options import ReplicationOptions
-from changeloom.plans.pending import apply_pending, merge_tick
+from changeloom.plans.pending import apply_pending
 from changeloom.plans.schema import BLOCK, DATETIME, LOG_KEY, OFFSET, OP, PARTITION, TOPIC, ingest_schema
-from changeloom.plans.target import TargetTable
+from changeloom.plans.tables import CatalogTarget
 from changeloom.session import configure_session, shared_dir
 from changeloom.sources import ingest_log as il
 from changeloom.sources import landing as ld
@@ -651,11 +651,11 @@ def q_merge_broadcast(spark, sf_dir):
     """The same merge with the winners written and measured first, as a tick does it."""
     configure_session(spark)
     winners = ap.winners_of(log_o(spark, sf_dir), O_PK, O_COLUMNS)
-    target = TargetTable(spark, shared_dir(spark, "target"), O_SCHEMA, tuple(O_PK), buckets=4)
-    target.publish(target_o(spark, sf_dir), "initial")
+    target = new_target(spark, O_SCHEMA, O_PK, buckets=4)
+    target.replace(target_o(spark, sf_dir), "initial")
     folder = shared_dir(spark, "winners")
     winners.write.parquet(folder)
-    merge_tick(target, spark.read.schema(winners.schema).parquet(folder), "tick-1", ReplicationOptions(table="orders"))
+    target.apply_winners(spark.read.schema(winners.schema).parquet(folder), "tick-1", ReplicationOptions(table="orders"))
     return target.read()
 
 
@@ -783,7 +783,7 @@ def q_apply_pending(spark, sf_dir):
     configure_session(spark)
     log_path, work = shared_dir(spark, "log"), shared_dir(spark, "work")
     il.append_ingest(log_e(spark, sf_dir), log_path)
-    target = TargetTable(spark, shared_dir(spark, "target"), E_SCHEMA, tuple(E_PK))
+    target = new_target(spark, E_SCHEMA, E_PK)
     options = ReplicationOptions(table="events", mode="merge", merge_batch_size=137)
     apply_pending(spark, log_path, target, options, work)
     left = il.read_log(spark, log_path, ingest_schema(E_SCHEMA))
@@ -793,6 +793,12 @@ def q_apply_pending(spark, sf_dir):
     )
 
 
+def new_target(spark: SparkSession, schema: T.StructType, pks: list[str], buckets: int = 1) -> CatalogTarget:
+    """A new catalog table below the shared folder, under a name of its own."""
+    folder = shared_dir(spark, "target")
+    return CatalogTarget.create(spark, folder.rsplit("/", 1)[1].replace("-", "_"), schema, tuple(pks), buckets, folder)
+
+
 QUARTERS = 4
 
 
@@ -802,24 +808,22 @@ def _event_quarter(spark, sf_dir) -> Column:
     return F.expr(f"cast(event_id * {QUARTERS} div {top} as int)")
 
 
-def _stream_events(spark, sf_dir, mode: str, redeliver: bool = False, parts=range(QUARTERS)) -> TargetTable:
-    """Replicate log E from change files that arrive in four parts, restarting the job after each part.
-
-    With ``redeliver`` each part brings the previous one again, and the log is kept so that it can tell.
-    """
-    configure_session(spark)
-    root = shared_dir(spark, f"stream-{mode}")
+def _event_changes(spark, sf_dir, user: Column | None = None, columns: list[str] = E_COLUMNS) -> DataFrame:
+    """Log E as change records with envelope text, and the quarter each belongs to."""
     quarter = _event_quarter(spark, sf_dir)
     op = (
         F.when(F.col("event_type") == "signup", "c").when(F.col("event_type") == "view", "r")
         .when(F.col("event_type") == "error", "d").otherwise("u")
     )
-    row = F.to_json(F.struct(*E_COLUMNS))
+    events = table(spark, sf_dir, "events").withColumn("quarter", quarter)
+    if user is not None:
+        events = events.withColumn("user_id", user)
+    row = F.to_json(F.struct(*columns))
     text = F.concat(
         F.lit('{"before":'), row, F.lit(',"after":'), row, F.lit(',"op":"'), op,
         F.lit('","ts_ms":'), F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit("}"),
     )
-    records = table(spark, sf_dir, "events").withColumn("quarter", quarter).select(
+    return events.select(
         "quarter",
         F.lit("cdc.events").alias("topic"),
         (F.col("event_id") % 4).cast("int").alias("partition"),
@@ -827,12 +831,27 @@ def _stream_events(spark, sf_dir, mode: str, redeliver: bool = False, parts=rang
         F.col("ts").cast("timestamp").alias("timestamp"),
         text.alias("value"),
     )
-    target = TargetTable(spark, f"{root}/target", E_SCHEMA, tuple(E_PK))
+
+
+def _deliver(records: DataFrame, topic: str, first: int, last: int) -> DataFrame:
+    """Add the change files of some quarters to the topic's folder, and open the topic as a stream."""
+    arriving = records.where(F.col("quarter").between(first, last)).drop("quarter")
+    arriving.write.mode("append").parquet(topic)
+    return read_changes(records.sparkSession, "parquet", path=topic)
+
+
+def _stream_events(spark, sf_dir, mode: str, redeliver: bool = False, parts=range(QUARTERS)) -> CatalogTarget:
+    """Replicate log E from change files that arrive in four parts, restarting the job after each part.
+
+    With ``redeliver`` each part brings the previous one again, and the log is kept so that it can tell.
+    """
+    configure_session(spark)
+    root = shared_dir(spark, f"stream-{mode}")
+    records = _event_changes(spark, sf_dir)
+    target = new_target(spark, E_SCHEMA, E_PK)
     options = ReplicationOptions(table="events", mode=mode, retention_delay=3_000_000_000 if redeliver else 0)
     for part in parts:
-        arriving = records.where(F.col("quarter").between(part - 1 if redeliver else part, part)).drop("quarter")
-        arriving.write.mode("append").parquet(f"{root}/topic")
-        changes = read_changes(spark, "parquet", path=f"{root}/topic")
+        changes = _deliver(records, f"{root}/topic", part - 1 if redeliver else part, part)
         sr.start_replication(changes, target, options, root, available_now=True).await_termination()
     return target
 
@@ -855,6 +874,80 @@ def q_stream_dedup(spark, sf_dir):
     return _stream_events(spark, sf_dir, "block", redeliver=True).read()
 
 
+def q_stream_merge_bounded(spark, sf_dir):
+    """All quarters wait when apply starts: each is a portion of its own, folded into one write; a third are of one user."""
+    configure_session(spark)
+    root = shared_dir(spark, "stream-bounded")
+    records = _event_changes(spark, sf_dir, F.when(F.col("event_id") % 3 == 0, F.lit(0)).otherwise(F.col("user_id")))
+    target = new_target(spark, E_SCHEMA, E_PK, buckets=8)
+    options = ReplicationOptions(table="events", mode="merge", merge_batch_size=1, drop_merged=True)
+    for part in range(QUARTERS):
+        changes = _deliver(records, f"{root}/topic", part, part)
+        sr.start_ingest(changes, target, options, root, available_now=True).awaitTermination()
+    sr.start_apply(target, options, root, available_now=True).awaitTermination()
+    return target.read()
+
+
+def q_stream_cut_blocks(spark, sf_dir):
+    """Blocks of log E of at most 100 changes and 15,000 bytes."""
+    log = log_e(spark, sf_dir)
+    schema = ingest_schema(T.StructType([f for f in E_SCHEMA.fields if f.name != "value"]))
+    cut = il.cut_blocks(log, il.log_row_bytes(schema), 100, 15_000)
+    return cut.select(PARTITION, OFFSET, F.col("_cut").alias("block"))
+
+
+def q_reject_prefix(spark, sf_dir):
+    """Every 977th payload is cut short: of each source partition the changes before the first of them stay."""
+    whole = F.to_json(F.struct("user_id", "event_type"))
+    records = event_records(spark, sf_dir, F.when(F.col("event_id") % 977 == 600, F.substring(whole, 1, 9)).otherwise(whole))
+    good, _ = ps.before_first_reject(ps.parse_changes(records, now_ms=NOW_MS))
+    return good.select("partition", "offset")
+
+
+def _stream_log(spark, sf_dir, mode: str, idle: bool) -> DataFrame:
+    """The log of a merge job after expiry at ``NOW``; with ``idle`` the job that expires finds no new change."""
+    configure_session(spark)
+    root = shared_dir(spark, "stream-retention")
+    records = _event_changes(spark, sf_dir)
+    target = new_target(spark, E_SCHEMA, E_PK)
+    kept = ReplicationOptions(table="events", mode=mode, retention_delay=3_000_000_000, retention_interval=0)
+    short = kept.with_(retention_delay=DELAY)
+    topic = f"{root}/topic"
+    clock = lambda: NOW
+    for part in range(QUARTERS):
+        last = part == QUARTERS - 1 and not idle
+        changes = _deliver(records, topic, part, part)
+        sr.start_replication(changes, target, short if last else kept, root, available_now=True, clock=clock).await_termination()
+    if idle:
+        changes = read_changes(spark, "parquet", path=topic)
+        sr.start_replication(changes, target, short, root, available_now=True, clock=clock).await_termination()
+    return il.read_log(spark, f"{root}/log", ingest_schema(E_SCHEMA)).select(PARTITION, OFFSET, OP)
+
+
+def q_stream_retention(spark, sf_dir):
+    return _stream_log(spark, sf_dir, "block", idle=False)
+
+
+def q_expire_idle(spark, sf_dir):
+    return _stream_log(spark, sf_dir, "merge", idle=True)
+
+
+def q_job_from_catalog(spark, sf_dir):
+    """A job that knows its table by name only; after two of four parts the table gets the column ``props``."""
+    configure_session(spark)
+    root = shared_dir(spark, "stream-catalog")
+    records = _event_changes(spark, sf_dir)
+    narrow = T.StructType([f for f in E_SCHEMA.fields if f.name != "props"])
+    target = new_target(spark, narrow, E_PK, buckets=4)
+    options = ReplicationOptions(table=target.table, mode="merge")
+    for part in range(QUARTERS):
+        if part == 2:
+            spark.sql(f"ALTER TABLE {target.table} ADD COLUMNS (props STRING)")
+        changes = _deliver(records, f"{root}/topic", part, part)
+        sr.start_replication(changes, None, options, root, available_now=True).await_termination()
+    return sr.open_target(spark, options).read()
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name -> function, for every ``q_`` function of this module."""
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}

@@ -61,6 +61,13 @@ def child_names(spark: SparkSession, path: str) -> set[str]:
     return {status.getPath().getName() for status in fs.listStatus(hadoop_path)}
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a glob pattern."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(hadoop_path)
+    return sorted(status.getPath().toString() for status in found or [])
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Delete a path and everything below it, through the Hadoop file system of its scheme."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeloom.functions.coerce import coerce, coerce_text, variant_text
 from changeloom.functions.logical import norm_ts_millis
-from changeloom.plans.schema import BLOCK, DATETIME, LOG_KEY, LOG_META, OFFSET, OP, PARTITION, TOPIC
-from changeloom.session import path_exists
+from changeloom.plans.schema import BLOCK, DATETIME, LOG_KEY, LOG_META, OFFSET, OP, PARTITION, TOPIC, business_columns
+from changeloom.session import delete_path, matching, path_exists
 
 
 def row_bytes(fields: Column) -> Column:
@@ -21,6 +21,17 @@ def row_bytes(fields: Column) -> Column:
     return (F.lit(100) + F.length(names) + F.length(values)).cast("bigint")
 
 
+def log_row_bytes(schema: T.StructType) -> Column:
+    """The same estimate of a typed row of the log: 100 + the lengths of all names and of all values as text."""
+    nested = (T.StructType, T.ArrayType, T.MapType, T.VariantType)
+    size = F.lit(100)
+    for f in schema.fields:
+        if f.name in business_columns(schema):
+            text = F.to_json(F.struct(f.name)) if isinstance(f.dataType, nested) else F.col(f.name).cast("string")
+            size = size + len(f.name) + F.coalesce(F.length(text), F.lit(0))
+    return size.cast("bigint")
+
+
 def meta_columns(block_id: str | Column) -> dict[str, Column]:
     """The six metadata columns of a parsed change."""
     return {
@@ -122,6 +133,43 @@ def to_ingest(
     return parsed.select(*out)
 
 
+def cut_blocks(rows: DataFrame, size: Column, max_records: int, max_bytes: int) -> DataFrame:
+    """Change rows with the block each belongs to, ``_cut``: at most ``max_records`` rows and ``max_bytes`` bytes of ``size``.
+
+    Blocks follow the offsets of one source partition. Where a row stands in it is a prefix sum, taken in two steps: rows
+    and bytes of up to 4096 ranges of offsets, then within a range, so that no task sorts a whole source partition. A block
+    is a window of the running counts; the window of bytes is shorter by the largest row, so that the row it begins
+    with fits as well. A row that is larger than the limit is a block of its own.
+    """
+    source = [TOPIC, PARTITION]
+    rows = rows.withColumn("_size", size.cast("bigint"))
+    fits = F.col("_size") <= max_bytes
+    hull = rows.groupBy(*source).agg(
+        F.min(OFFSET).alias("_lo"), F.max(OFFSET).alias("_hi"), F.coalesce(F.max(F.when(fits, F.col("_size"))), F.lit(1)).alias("_most")
+    )
+    width = F.ceil((F.col("_hi") - F.col("_lo") + 1) / 4096).cast("bigint")
+    placed = rows.join(hull, source).withColumn("_range", F.call_function("div", F.col(OFFSET) - F.col("_lo"), width))
+    sums = placed.groupBy(*source, "_range").agg(
+        F.count("*").alias("_n"), F.sum("_size").alias("_b"), F.count_if(~fits).alias("_o")
+    )
+    earlier = Window.partitionBy(*source).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sums.select(*source, "_range", *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}0") for c in ("_n", "_b", "_o")])
+    within = Window.partitionBy(*source, "_range").orderBy(OFFSET)
+    upto, before = within.rowsBetween(Window.unboundedPreceding, 0), within.rowsBetween(Window.unboundedPreceding, -1)
+    stood = placed.withColumns(
+        {
+            "_n": F.count("*").over(upto),
+            "_b": F.sum("_size").over(upto),
+            "_o": F.count_if(~fits).over(before),
+        }
+    ).join(starts, [*source, "_range"])
+    records = F.call_function("div", F.col("_n") + F.col("_n0") - 1, F.lit(max_records))
+    volume = F.call_function("div", F.col("_b") + F.col("_b0") - 1, F.lit(max_bytes) - F.col("_most") + 1)
+    name = F.concat_ws("-", PARTITION, records, volume, F.col("_o") + F.col("_o0"))
+    kept = [c for c in rows.columns if c != "_size"]
+    return stood.select(*kept, name.alias("_cut"))
+
+
 def prune_to_offsets(existing: DataFrame, new: DataFrame, max_partitions: int = 1000) -> DataFrame:
     """Keep only the log rows that can hold an offset of ``new``, so that the scan skips the rest by statistics.
 
@@ -162,6 +210,21 @@ def write_block(rows: DataFrame, path: str, block_id: str) -> bool:
     return True
 
 
+def write_blocks(rows: DataFrame, path: str, name: str) -> None:
+    """Write the blocks of a micro-batch, whose ids begin with ``name``; what an attempt left there before is replaced."""
+    spark = rows.sparkSession
+    for folder in matching(spark, f"{path}/{BLOCK}={name}-*"):
+        delete_path(spark, folder)
+    delete_path(spark, f"{path}/{BLOCK}={name}")
+    rows.write.mode("append").partitionBy(BLOCK).parquet(path)
+
+
+def read_written(spark: SparkSession, path: str, schema: T.StructType, name: str) -> DataFrame:
+    """The blocks of a micro-batch, whose ids are ``name`` or begin with it, without listing the others."""
+    folders = [*matching(spark, f"{path}/{BLOCK}={name}"), *matching(spark, f"{path}/{BLOCK}={name}-*")]
+    return _read(spark, path, schema, folders)
+
+
 def read_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The whole log; a filter on the block column prunes folders."""
     return spark.read.schema(_with_block_last(schema)).option("basePath", path).parquet(path)
@@ -174,7 +237,12 @@ def read_block(spark: SparkSession, path: str, schema: T.StructType, block_id: s
 
 def read_blocks(spark: SparkSession, path: str, schema: T.StructType, block_ids: list[str]) -> DataFrame:
     """Some blocks of the log, without listing the others."""
-    folders = [f"{path}/{BLOCK}={block_id}" for block_id in block_ids]
+    return _read(spark, path, schema, [f"{path}/{BLOCK}={block_id}" for block_id in block_ids])
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType, folders: list[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], _with_block_last(schema))
     return spark.read.schema(_with_block_last(schema)).option("basePath", path).parquet(*folders)
 
 

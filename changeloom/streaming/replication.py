@@ -4,8 +4,9 @@ Block mode: one query; each micro-batch is landed, loaded, applied and cleaned b
 Merge mode: an ingest query appends typed changes to the log and an apply query merges them into the target.
 
 Both are at-least-once deliveries made exact: block ids depend only on the checkpoint and the batch number, a
-complete block is never written twice, and a change set that is already in the target is skipped. There is no
-watermark: a change that arrives in a later batch overwrites, whatever its offset.
+complete block is never written twice, and a change set that is already in the target is skipped. Offsets the log has had
+are kept as intervals, so that ingest never reads the log. There is no watermark: a change that arrives in a later batch
+overwrites, whatever its offset.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import datetime as dt
 import json
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -23,26 +24,33 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeloom.operators.apply import ApplyMetrics, classify_block, observe_block, observed, surviving, winners_of
-from changeloom.operators.parse import apply_error_policy, parse_changes
-from changeloom.operators.retention import last_expiry, note_expiry, retention_due
+from changeloom.operators.apply import ApplyMetrics, observed, winners_of
+from changeloom.operators.parse import apply_error_policy, before_first_reject, parse_changes
+from changeloom.operators.replay import fold_winners
+from changeloom.operators.retention import expire_rows, last_expiry, note_expiry, retention_due
 from changeloom.operators.select import APPLIED_OPS
 from changeloom.options import ReplicationOptions
-from changeloom.plans.pending import change_bytes, merge_tick
-from changeloom.plans.schema import BLOCK, DATETIME, OFFSET, OP, PARTITION, TOPIC, ingest_schema
-from changeloom.plans.target import TargetTable
-from changeloom.session import delete_path, make_folder, path_exists, write_line
+from changeloom.plans.schema import BLOCK, DATETIME, LOG_KEY, OFFSET, PARTITION, TOPIC, ingest_schema
+from changeloom.plans.tables import CatalogTarget, RowLevelTarget
+from changeloom.session import child_names, delete_path, make_folder, matching, path_exists, write_line
 from changeloom.sources.ingest_log import (
+    cut_blocks,
     dedup_ingest,
     first_record_keys,
-    prune_to_offsets,
-    read_block,
+    log_row_bytes,
     read_blocks,
-    read_log,
+    read_written,
     to_ingest,
-    write_block,
+    write_blocks,
 )
 from changeloom.sources.landing import land_json_lines, read_landed
+from changeloom.sources.offsets import known_offsets, note_offsets, without_known
+
+Target = CatalogTarget | RowLevelTarget
+
+# Announcements one tick of the apply query takes; the others wait for the next.
+ANNOUNCED = 1000
+NOTE = "block string, seq long, part int, n long, lo long, hi long"
 
 
 def block_id_of(checkpoint: str, batch_id: int) -> str:
@@ -60,6 +68,11 @@ class IngestMetrics:
 
 
 MetricsListener = Callable[[str, IngestMetrics | None, ApplyMetrics | None], None]
+Clock = Callable[[], dt.datetime]
+
+
+def utc_now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc)
 
 
 def _report(listener: MetricsListener | None, name: str, arrived, changed) -> None:
@@ -74,6 +87,9 @@ class Replication:
     queries: list[StreamingQuery] = field(default_factory=list)
     restart_apply: Callable[[], StreamingQuery] | None = None
     wait_seconds: float = 0
+    #: Removes old rows of the log when it is time to; a job without new changes has no micro-batch that does it.
+    expire: Callable[[], int] | None = None
+    expire_seconds: float = 0
 
     def drain(self) -> None:
         """Wait until everything that has arrived is applied; ingest first, then apply."""
@@ -87,11 +103,12 @@ class Replication:
             query.stop()
 
     def await_termination(self, poll_seconds: float = 1) -> None:
-        """Wait for triggers that end by themselves, and keep the job to its rules of failure meanwhile.
+        """Wait for triggers that end by themselves, and keep the job to its rules of failure and retention meanwhile.
 
         A failed apply query is started again after the interval and takes the failed batch again; a failure of any
         other query stops the whole job and is raised.
         """
+        due = time.monotonic() + self.expire_seconds
         while any(query.isActive for query in self.queries) or any(query.exception() for query in self.queries):
             for i, query in enumerate(self.queries):
                 try:
@@ -103,6 +120,11 @@ class Replication:
                     # ingest is watched while apply waits
                     self.queries[0].awaitTermination(self.wait_seconds)
                     self.queries[i] = self.restart_apply()
+            if self.expire is not None and time.monotonic() >= due:
+                self.expire()
+                due = time.monotonic() + max(poll_seconds, self.expire_seconds)
+        if self.expire is not None:
+            self.expire()
 
 
 @dataclass(frozen=True)
@@ -119,6 +141,10 @@ class Paths:
     def commits(self) -> str:
         return f"{self.root}/commits"
 
+    @property
+    def offsets(self) -> str:
+        return f"{self.root}/offsets"
+
     @property
     def landing(self) -> str:
         return f"{self.root}/landing"
@@ -155,33 +181,60 @@ def _without_null_keys(rows: DataFrame, options: ReplicationOptions, paths: Path
     return rows.where(~null_key)
 
 
+class RejectedRecord(ValueError):
+    """A bad record; the changes before it are in the log, announced under ``name``."""
+
+    def __init__(self, row, name: str):
+        super().__init__(f"bad change record: {row['reject_reason']} topic={row['topic']} partition={row['partition']} offset={row['offset']}")
+        self.name = name
+
+
+# Versions of the known offsets that one micro-batch may leave: one for each attempt that a bad record ends, and the last.
+_ATTEMPTS = 10_000
+
+
 def ingest_batch(
     batch: DataFrame,
     block_id: str,
-    target: TargetTable,
+    seq: int,
+    target: Target,
     options: ReplicationOptions,
     paths: Paths,
     logical: dict[str, str] | None = None,
     land: bool = False,
 ) -> IngestMetrics | None:
-    """Parse one micro-batch and write it to the log as one block, without changes the log already holds.
+    """Parse micro-batch number ``seq``, write its new changes to the log, and announce the blocks.
 
-    Null when the block is already complete.
+    The micro-batch is one block, or with ``cut_blocks`` several, each within the limits of records and bytes. With
+    ``on_error="prefix"`` the changes before the first bad one of each source partition are written and announced before
+    the bad one is raised; their offsets are known then, so that the next attempt goes on behind them. Null when the
+    micro-batch is announced already.
     """
     spark = batch.sparkSession
     schema = ingest_schema(target.schema)
-    if path_exists(spark, f"{paths.log}/{BLOCK}={block_id}/_SUCCESS"):
+    last = (seq + 1) * _ATTEMPTS - 1
+    if path_exists(spark, f"{paths.commits}/{block_id}.json"):
+        if not path_exists(spark, f"{paths.offsets}/batch={last}/_SUCCESS"):
+            note_offsets(spark, paths.offsets, last, read_written(spark, paths.log, schema, block_id).select(*LOG_KEY))
         return None
+    attempt = _finish_attempts(spark, paths, schema, block_id, seq) if options.on_error == "prefix" else 0
     # Landing files carry every key, and the first record names its columns: both need the map of all fields.
     typed = not land and options.columns == "target"
     parsed = parse_changes(batch, logical=logical, timestamp_precision=options.timestamp_precision, typed=typed)
     # Several passes over the same parse: keep it for the length of this micro-batch.
-    several = options.on_error == "quarantine" or options.columns == "first_record" or options.null_keys == "quarantine"
+    several = options.on_error != "fail" or options.columns == "first_record" or options.null_keys == "quarantine"
     if several:
         parsed = parsed.persist()
+    first_bad, name = None, block_id
     try:
-        good, bad = apply_error_policy(parsed, options.on_error, options.tombstones)
-        if bad is not None:
+        if options.on_error == "prefix":
+            good, bad = before_first_reject(parsed, options.tombstones)
+            first_bad = bad.orderBy("partition", "offset", "topic").first()
+        else:
+            good, bad = apply_error_policy(parsed, options.on_error, options.tombstones)
+        if first_bad is not None:
+            name = f"{block_id}-before{attempt}"
+        elif options.on_error == "quarantine":
             bad.write.mode("overwrite").parquet(f"{paths.rejects}/{BLOCK}={block_id}")
         counts = Observation()
         columns = first_record_keys(good) if options.columns == "first_record" else "target"
@@ -192,59 +245,90 @@ def ingest_batch(
             F.count_if(~F.col("op").isin(*APPLIED_OPS)).alias("other_ops"),
         )
         load = {"columns": columns, "number_scale": options.number_scale, "empty_as_null": options.empty_as_null}
-        folder = f"{paths.landing}/{block_id}"
+        folder = f"{paths.landing}/{name}"
         if land:
-            land_json_lines(good, folder, block_id)
+            land_json_lines(good, folder, name)
             rows = read_landed(spark, folder, schema, **load)
         else:
-            rows = to_ingest(good, schema, block_id, **load)
-        rows = _without_null_keys(rows, options, paths, target.pks, block_id)
-        existing = None
-        if path_exists(spark, paths.log):
-            # The position columns of the source are enough to find the offsets, without parsing.
-            arrived = batch.select(
-                F.col("topic").alias(TOPIC), F.col("partition").alias(PARTITION), F.col("offset").alias(OFFSET)
-            )
-            # Files a crashed attempt left in this block's own folder are about to be replaced: they do not count.
-            others = read_log(spark, paths.log, schema).where(F.col(BLOCK) != block_id)
-            existing = prune_to_offsets(others, arrived)
-        write_block(dedup_ingest(rows, existing), paths.log, block_id)
+            rows = to_ingest(good, schema, name, **load)
+        rows = _without_null_keys(rows, options, paths, target.pks, name)
+        number = last if first_bad is None else seq * _ATTEMPTS + attempt
+        known = known_offsets(spark, paths.offsets, number)
+        if known is not None:
+            # the position columns of the source show whether any interval is met, without parsing
+            arrived = [F.col(c).alias(k) for c, k in (("topic", TOPIC), ("partition", PARTITION), ("offset", OFFSET))]
+            rows = without_known(rows, known, batch.select(*arrived))
+        _write(dedup_ingest(rows), name, schema, options, paths)
+        written = read_written(spark, paths.log, schema, name)
+        announce(spark, paths, name, seq, written)
+        note_offsets(spark, paths.offsets, number, written.select(*LOG_KEY))
         if land:
             delete_path(spark, folder)
+        if first_bad is not None:
+            raise RejectedRecord(first_bad, name)
         return IngestMetrics(**observed(counts))
     finally:
         if several:
             parsed.unpersist()
 
 
-def apply_block_batch(
-    block_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths
-) -> ApplyMetrics | None:
-    """Apply one written block to the target, once; null when it already is in it."""
-    block = read_block(target.spark, paths.log, ingest_schema(target.schema), block_id)
-    pks = list(target.pks)
-    small = change_bytes(block.where(F.col(OP).isin("u", "d"))) <= options.broadcast_bytes
-    counts = Observation()
+def _finish_attempts(spark: SparkSession, paths: Paths, schema, block_id: str, seq: int) -> int:
+    """How many attempts at a micro-batch a bad record has ended; what the last of them announced is known from here on."""
+    done = len(matching(spark, f"{paths.commits}/{block_id}-before*.json"))
+    number = seq * _ATTEMPTS + done - 1
+    if done and not path_exists(spark, f"{paths.offsets}/batch={number}/_SUCCESS"):
+        written = read_written(spark, paths.log, schema, f"{block_id}-before{done - 1}")
+        note_offsets(spark, paths.offsets, number, written.select(*LOG_KEY))
+    return done
 
-    def rule(rows: DataFrame) -> DataFrame:
-        return surviving(observe_block(classify_block(rows, block, pks, small), counts))
 
-    if not target.apply(block, f"block:{block_id}", rule):
-        return None
-    target.vacuum(options.keep_versions)
-    return ApplyMetrics(**observed(counts))
+def _write(rows: DataFrame, name: str, schema, options: ReplicationOptions, paths: Paths) -> None:
+    """Write the changes of a micro-batch as one block, or cut into blocks within the limits."""
+    if not options.cut_blocks:
+        write_blocks(rows.withColumn(BLOCK, F.lit(name)), paths.log, name)
+        return
+    # cutting reads the rows several times: they are parsed and written once before
+    folder = f"{paths.root}/uncut/{name}"
+    rows.write.mode("overwrite").parquet(folder)
+    whole = rows.sparkSession.read.schema(rows.schema).parquet(folder)
+    cut = cut_blocks(whole, log_row_bytes(schema), options.max_records, options.max_bytes)
+    write_blocks(cut.withColumn(BLOCK, F.concat_ws("-", F.lit(name), "_cut")).drop("_cut"), paths.log, name)
+    delete_path(rows.sparkSession, folder)
 
 
-def commit_block(target: TargetTable, paths: Paths, block_id: str, batch_id: int) -> None:
-    """Announce a complete block to the apply query: its id, its rows and its place among the blocks of the job.
+def announce(spark: SparkSession, paths: Paths, name: str, seq: int, written: DataFrame) -> None:
+    """Announce the complete blocks of a micro-batch: id, place in the job, rows, and the range of their change times.
 
-    Written after the block itself and under the block's name, so that a block is announced whole and once.
+    Blocks of one source partition stand in the order of their offsets.
+    Written after the blocks, in one piece and under the micro-batch's name, so that each block is announced whole and once.
     """
-    if path_exists(target.spark, f"{paths.commits}/{block_id}.json"):
-        return
-    rows = read_block(target.spark, paths.log, ingest_schema(target.schema), block_id).count()
-    line = json.dumps({"block": block_id, "seq": batch_id, "n": rows})
-    write_line(target.spark, f"{paths.commits}/{block_id}.json", line)
+    millis = F.unix_millis(F.col(DATETIME).cast("timestamp"))
+    first = F.min(F.struct(PARTITION, OFFSET)).alias("first")
+    found = written.groupBy(BLOCK).agg(F.count("*").alias("n"), F.min(millis).alias("lo"), F.max(millis).alias("hi"), first).collect()
+    order = sorted(found, key=lambda r: r["first"])
+    lines = [{"block": r[BLOCK], "seq": seq, "part": i, "n": r["n"], "lo": r["lo"], "hi": r["hi"]} for i, r in enumerate(order)]
+    lines = lines or [{"block": name, "seq": seq, "part": 0, "n": 0, "lo": None, "hi": None}]
+    write_line(spark, f"{paths.commits}/{name}.json", "\n".join(map(json.dumps, lines)))
+
+
+def announced(spark: SparkSession, paths: Paths, name: str) -> list:
+    """The blocks of a micro-batch in their order."""
+    return spark.read.schema(NOTE).json(f"{paths.commits}/{name}.json").orderBy("seq", "part").collect()
+
+
+def apply_blocks(name: str, target: Target, options: ReplicationOptions, paths: Paths) -> ApplyMetrics | None:
+    """Apply the announced blocks of a micro-batch in their order, each once; null when all of them already were."""
+    spark, total = target.spark, None
+    for row in announced(spark, paths, name):
+        if not path_exists(spark, f"{paths.log}/{BLOCK}={row['block']}"):
+            continue  # without rows, or applied and deleted before
+        block = read_blocks(spark, paths.log, ingest_schema(target.schema), [row["block"]])
+        done = target.apply_block(block, f"block:{row['block']}", options)
+        if done is not None:
+            total = done if total is None else total.plus(done)
+        if options.retention_delay == 0:
+            drop_blocks(spark, paths, [row["block"]])
+    return total
 
 
 def _mark_applied(spark: SparkSession, blocks: list, paths: Paths, apply_id: str) -> None:
@@ -253,47 +337,86 @@ def _mark_applied(spark: SparkSession, blocks: list, paths: Paths, apply_id: str
     counts.coalesce(1).write.mode("overwrite").parquet(f"{paths.applied}/apply={apply_id}")
 
 
-def portions(blocks: list, limit: int) -> Iterator[list]:
-    """Whole blocks in the order of their ingest, in portions of at most ``limit`` rows or one block."""
-    taken: list = []
-    for row in sorted(blocks, key=lambda row: (row["seq"], row["block"])):
-        if taken and sum(r["n"] for r in taken) + row["n"] > limit:
-            yield taken
-            taken = []
-        taken.append(row)
-    if taken:
-        yield taken
+def portions(blocks: list, limit: int) -> list[int]:
+    """The portion each announced block belongs to: whole blocks in the order of their ingest, at most ``limit`` rows each.
+
+    A block that is larger is a portion of its own.
+    """
+    numbers, rows = [], 0
+    for row in blocks:
+        if not numbers or rows + row["n"] > limit:
+            numbers.append(numbers[-1] + 1 if numbers else 0)
+            rows = row["n"]
+        else:
+            numbers.append(numbers[-1])
+            rows += row["n"]
+    return numbers
+
+
+def drop_blocks(spark: SparkSession, paths: Paths, names: list[str]) -> None:
+    """Delete blocks of the log by their names."""
+    for name in names:
+        delete_path(spark, f"{paths.log}/{BLOCK}={name}")
 
 
 def expire_blocks(
-    spark: SparkSession, target: TargetTable, options: ReplicationOptions, paths: Paths, now: dt.datetime | None = None
+    spark: SparkSession, target: Target, options: ReplicationOptions, paths: Paths, now: dt.datetime | None = None
 ) -> int:
-    """Delete whole blocks of the log that are older than the delay and, unless told otherwise, applied.
+    """Remove rows of the log that are older than the delay and, unless told otherwise, applied; returns the blocks touched.
 
-    Runs at most once per retention interval; the time of the last run is kept next to the job. Blocks are folders,
-    so expiry deletes folders and never rewrites files under a reading stream.
+    Runs at most once per retention interval; the time of the last run is kept next to the job. The announcements say
+    which times a block covers: a block that is wholly old is deleted by its name, one that is partly old is
+    overwritten with the rows that stay, and no other is read. Ingest does not read the log and apply only reads blocks
+    that wait, so that neither meets a file that goes.
     """
-    now = now or dt.datetime.now(dt.timezone.utc)
+    now = now or utc_now()
+    now = now.replace(tzinfo=now.tzinfo or dt.timezone.utc)
     now_ms = int(now.timestamp() * 1000)
     if not retention_due(last_expiry(spark, paths.retention), options.retention_interval, now_ms):
         return 0
-    dropped = 0
-    if options.retention_delay > 0 and path_exists(spark, paths.log):
-        cutoff = (now - dt.timedelta(seconds=options.retention_delay)).astimezone(dt.timezone.utc).replace(tzinfo=None)
-        log = read_log(spark, paths.log, ingest_schema(target.schema))
-        blocks = log.groupBy(BLOCK).agg(F.max(DATETIME).alias("latest"), F.count("*").alias("rows"))
-        blocks = blocks.where(F.col("latest") <= F.lit(cutoff.isoformat(sep=" ")).cast("timestamp_ntz"))
+    touched = 0
+    if options.retention_delay > 0 and path_exists(spark, paths.commits):
+        cutoff_ms = now_ms - options.retention_delay * 1000
+        blocks = spark.read.schema(NOTE).json(paths.commits).where((F.col("n") > 0) & (F.col("lo") <= cutoff_ms))
         if options.mode == "merge" and options.only_applied:
-            if not path_exists(spark, paths.applied):
-                blocks = blocks.limit(0)
+            if path_exists(spark, paths.applied):
+                done = spark.read.parquet(paths.applied).select(F.col(BLOCK).alias("block")).distinct()
+                blocks = blocks.join(done, "block", "left_semi")
             else:
-                done = spark.read.parquet(paths.applied).groupBy(BLOCK).agg(F.sum("n").alias("done"))
-                blocks = blocks.join(done, BLOCK).where(F.col("done") >= F.col("rows"))
-        for row in blocks.select(BLOCK).toLocalIterator():
-            delete_path(spark, f"{paths.log}/{BLOCK}={row[BLOCK]}")
-            dropped += 1
+                blocks = blocks.limit(0)
+        for row in blocks.toLocalIterator():
+            folder = f"{paths.log}/{BLOCK}={row['block']}"
+            if not path_exists(spark, folder):
+                continue
+            if row["hi"] <= cutoff_ms:
+                delete_path(spark, folder)
+            elif not _trimmed(spark, target, paths, row["block"], options.retention_delay, now):
+                continue
+            touched += 1
+        _forget_applied(spark, paths)
     note_expiry(spark, paths.retention, now_ms)
-    return dropped
+    return touched
+
+
+def _trimmed(spark: SparkSession, target: Target, paths: Paths, block: str, delay: int, now: dt.datetime) -> bool:
+    """Overwrite a block with its rows that are not old yet; false when it had none that are."""
+    rows = read_blocks(spark, paths.log, ingest_schema(target.schema), [block])
+    left = expire_rows(rows, delay, now)
+    if rows.count() == left.count():
+        return False
+    left.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BLOCK).parquet(paths.log)
+    return True
+
+
+def _forget_applied(spark: SparkSession, paths: Paths) -> None:
+    """Delete the notes of merges all of whose blocks are gone, but for the latest one."""
+    if not path_exists(spark, paths.applied):
+        return
+    there = child_names(spark, paths.log)
+    notes = spark.read.parquet(paths.applied).groupBy("apply").agg(F.collect_set(BLOCK).alias("blocks"))
+    for row in notes.toLocalIterator():
+        if not any(f"{BLOCK}={name}" in there for name in row["blocks"]):
+            delete_path(spark, f"{paths.applied}/apply={row['apply']}")
 
 
 def _trigger(seconds: int, available_now: bool) -> dict:
@@ -302,13 +425,14 @@ def _trigger(seconds: int, available_now: bool) -> dict:
 
 def start_block_mode(
     changes: DataFrame,
-    target: TargetTable,
+    target: Target,
     options: ReplicationOptions,
     root: str,
     logical: dict[str, str] | None = None,
     land: bool = True,
     available_now: bool = False,
     on_metrics: MetricsListener | None = None,
+    clock: Clock = utc_now,
 ) -> Replication:
     """One query: land, load, apply and clean each micro-batch."""
     paths = Paths(root)
@@ -317,13 +441,15 @@ def start_block_mode(
     def run(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        block_id = block_id_of(checkpoint, batch_id)
-        arrived = ingest_batch(batch, block_id, target, options, paths, logical, land)
-        changed = apply_block_batch(block_id, target, options, paths)
+        block_id, now = block_id_of(checkpoint, batch_id), target.refreshed()
+        try:
+            arrived = ingest_batch(batch, block_id, batch_id, now, options, paths, logical, land)
+        except RejectedRecord as bad:
+            apply_blocks(bad.name, now, options, paths)
+            raise
+        changed = apply_blocks(block_id, now, options, paths)
         _report(on_metrics, block_id, arrived, changed)
-        if options.retention_delay == 0:
-            delete_path(target.spark, f"{paths.log}/{BLOCK}={block_id}")
-        expire_blocks(target.spark, target, options, paths)
+        expire_blocks(target.spark, now, options, paths, clock())
 
     query = (
         changes.writeStream.foreachBatch(run)
@@ -331,12 +457,16 @@ def start_block_mode(
         .trigger(**_trigger(options.flush_seconds, available_now))
         .start()
     )
-    return Replication([query])
+
+    def expire() -> int:
+        return expire_blocks(target.spark, target.refreshed(), options, paths, clock())
+
+    return Replication([query], expire=expire, expire_seconds=options.retention_interval)
 
 
 def start_ingest(
     changes: DataFrame,
-    target: TargetTable,
+    target: Target,
     options: ReplicationOptions,
     root: str,
     logical: dict[str, str] | None = None,
@@ -350,8 +480,7 @@ def start_ingest(
     def run(batch: DataFrame, batch_id: int) -> None:
         if not batch.isEmpty():
             block_id = block_id_of(checkpoint, batch_id)
-            arrived = ingest_batch(batch, block_id, target, options, paths, logical)
-            commit_block(target, paths, block_id, batch_id)
+            arrived = ingest_batch(batch, block_id, batch_id, target.refreshed(), options, paths, logical)
             _report(on_metrics, block_id, arrived, None)
 
     return (
@@ -363,30 +492,34 @@ def start_ingest(
 
 
 def start_apply(
-    target: TargetTable,
+    target: Target,
     options: ReplicationOptions,
     root: str,
     available_now: bool = False,
     on_failure: Callable[[Exception], None] | None = None,
     on_metrics: MetricsListener | None = None,
+    clock: Clock = utc_now,
 ) -> StreamingQuery:
-    """Merge mode, second query: merge the blocks that were announced since the last tick.
+    """Merge mode, second query: merge the blocks that were announced since the last tick, in one write of the target.
 
-    Only whole blocks are seen, in the order of their ingest; each merge takes whole blocks up to ``merge_batch_size``
-    rows, at least one. The checkpoint marks what is pending, and a merge that is marked as done is skipped when a tick
-    is taken again. A failed tick is reported to ``on_failure`` and ends the query; the next start takes it again.
+    Only whole blocks are seen, in the order of their ingest, of at most ``ANNOUNCED`` micro-batches a tick. They form
+    portions of whole blocks up to ``merge_batch_size`` rows, at least one; what merging one portion after the other would
+    do is folded into a single merge. The checkpoint marks what is pending, and a merge that is marked as done is skipped
+    when a tick is taken again. A failed tick is reported to ``on_failure`` and ends the query; the next start takes it
+    again.
     """
     paths = Paths(root)
     checkpoint = paths.checkpoint("apply")
     make_folder(target.spark, paths.commits)
 
     def run(batch: DataFrame, batch_id: int) -> None:
+        apply_id = block_id_of(checkpoint, batch_id)
         # one short line per block of this tick
-        for i, blocks in enumerate(portions(batch.collect(), options.merge_batch_size)):
-            apply_id = block_id_of(checkpoint, batch_id) + (f"-{i}" if i else "")
-            if not path_exists(target.spark, f"{paths.applied}/apply={apply_id}/_SUCCESS"):
-                _report(on_metrics, apply_id, None, merge_blocks(blocks, apply_id, target, options, paths))
-        expire_blocks(target.spark, target, options, paths)
+        blocks = batch.orderBy("seq", "part", "block").collect()
+        now = target.refreshed()
+        if blocks and not path_exists(target.spark, f"{paths.applied}/apply={apply_id}/_SUCCESS"):
+            _report(on_metrics, apply_id, None, merge_blocks(blocks, apply_id, now, options, paths))
+        expire_blocks(target.spark, now, options, paths, clock())
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
         try:
@@ -397,7 +530,7 @@ def start_apply(
             raise
 
     return (
-        target.spark.readStream.schema("block string, seq long, n long").json(paths.commits)
+        target.spark.readStream.schema(NOTE).option("maxFilesPerTrigger", ANNOUNCED).json(paths.commits)
         .writeStream.foreachBatch(guarded)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(options.apply_interval, available_now))
@@ -424,51 +557,69 @@ def with_restarts(start: Callable[[], StreamingQuery], wait_seconds: float, max_
 
 
 def merge_blocks(
-    blocks: list, apply_id: str, target: TargetTable, options: ReplicationOptions, paths: Paths
+    blocks: list, apply_id: str, target: Target, options: ReplicationOptions, paths: Paths
 ) -> ApplyMetrics | None:
-    """Merge whole blocks of the log: their winners are written once and used from there."""
+    """Merge whole blocks of the log, given in their order: their winners are written once and used from there."""
     spark, done = target.spark, None
-    full = [row["block"] for row in blocks if row["n"]]
-    if not options.only_applied:
-        # expiry by age alone may have removed a block that was still waiting
-        full = [block for block in full if path_exists(spark, f"{paths.log}/{BLOCK}={block}")]
+    full = [row for row in blocks if row["n"]]
+    if not options.only_applied or options.drop_merged:
+        # expiry by age alone, or this tick cut off before, may have removed a block that was still waiting
+        full = [row for row in full if path_exists(spark, f"{paths.log}/{BLOCK}={row['block']}")]
     if full:
         folder = f"{paths.root}/winners/{apply_id}"
-        batch = read_blocks(spark, paths.log, ingest_schema(target.schema), full)
-        winners = winners_of(batch, list(target.pks), target.schema.names)
+        pks, columns = list(target.pks), target.schema.names
+        batch = read_blocks(spark, paths.log, ingest_schema(target.schema), [row["block"] for row in full])
+        numbers = portions(full, options.merge_batch_size)
+        if numbers[-1] == 0:
+            winners = winners_of(batch, pks, columns)
+        else:
+            names = spark.createDataFrame([(row["block"], n) for row, n in zip(full, numbers)], f"{BLOCK} string, _portion int")
+            numbered = batch.join(F.broadcast(names), BLOCK)  # a line per block of the tick
+            winners = fold_winners(numbered, pks, columns, F.col("_portion"), options.on_missing_update)
         winners.write.mode("overwrite").parquet(folder)
-        done = merge_tick(target, spark.read.schema(winners.schema).parquet(folder), f"merge:{apply_id}", options)
+        done = target.apply_winners(spark.read.schema(winners.schema).parquet(folder), f"merge:{apply_id}", options)
         delete_path(spark, folder)
     _mark_applied(spark, blocks, paths, apply_id)
+    if options.drop_merged:
+        drop_blocks(spark, paths, [row["block"] for row in blocks])
     return done
 
 
+def open_target(spark: SparkSession, options: ReplicationOptions) -> CatalogTarget:
+    """The target that the options name, as the catalog describes it: columns, types, keys and buckets."""
+    return CatalogTarget.open(spark, options.table_identifier, options.pk_fields)
+
+
 def start_replication(
     changes: DataFrame,
-    target: TargetTable,
+    target: Target | None,
     options: ReplicationOptions,
     root: str,
     logical: dict[str, str] | None = None,
     available_now: bool = False,
     on_metrics: MetricsListener | None = None,
     on_failure: Callable[[Exception], None] | None = None,
+    clock: Clock = utc_now,
 ) -> Replication:
     """Start the queries of the configured mode. One job per target; nothing coordinates several.
 
-    ``await_termination`` of the result restarts a failed apply query after the apply interval, ``on_failure`` hears of it.
+    Without a ``target`` the table is the one that ``options`` name. Columns that are added to it while the job runs are
+    taken over by the next micro-batch; older blocks have nulls there. ``await_termination`` of the result restarts a
+    failed apply query after the apply interval, ``on_failure`` hears of it.
     """
+    target = open_target(changes.sparkSession, options) if target is None else target
     if options.mode == "block":
         return start_block_mode(
-            changes, target, options, root, logical, available_now=available_now, on_metrics=on_metrics
+            changes, target, options, root, logical, available_now=available_now, on_metrics=on_metrics, clock=clock
         )
-    # The log is there before anything writes to it, so that the second query never meets a missing or half-made folder.
-    empty = target.spark.createDataFrame([], ingest_schema(target.schema))
-    empty.write.mode("ignore").partitionBy(BLOCK).parquet(Paths(root).log)
     ingest = start_ingest(changes, target, options, root, logical, available_now, on_metrics)
     if available_now:
         ingest.awaitTermination()
 
     def apply() -> StreamingQuery:
-        return start_apply(target, options, root, available_now, on_failure, on_metrics)
+        return start_apply(target, options, root, available_now, on_failure, on_metrics, clock)
+
+    def expire() -> int:
+        return expire_blocks(target.spark, target.refreshed(), options, Paths(root), clock())
 
-    return Replication([ingest, apply()], apply, options.apply_interval)
+    return Replication([ingest, apply()], apply, options.apply_interval, expire, options.retention_interval)

@@ -6,6 +6,7 @@ import json
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Logical type name -> (kind, unit).
 LOGICAL_TYPES = {
@@ -160,6 +161,36 @@ def normalise_fields(fields: Column, types: Column, precision: str = "millis") -
     return F.when(types.isNotNull(), F.transform_values(fields, one)).otherwise(fields)
 
 
+# Metadata keys of a field that carry its logical type, the first that is there counts.
+CARRIED = ("connect.name", "logicalType")
+
+
+def logical_name(metadata: dict) -> str | None:
+    """The logical type that a field's metadata carries."""
+    return next((metadata[key] for key in CARRIED if metadata.get(key)), None)
+
+
+def with_logical_types(kind: T.StructType, schema_json: str) -> T.StructType:
+    """A decoded struct type whose row images carry the logical types of their Avro schema as metadata of the fields."""
+    names = avro_logical_types(schema_json)
+    images = [n for n in ("before", "after") if n in kind.names] if "op" in kind.names else []
+
+    def marked(struct: T.StructType, prefix: str) -> T.StructType:
+        fields = []
+        for f in struct.fields:
+            path = prefix + f.name
+            inner = marked(f.dataType, path + ".") if isinstance(f.dataType, T.StructType) else f.dataType
+            carried = {CARRIED[0]: names[path]} if path in names else {}
+            fields.append(T.StructField(f.name, inner, f.nullable, {**f.metadata, **carried}))
+        return T.StructType(fields)
+
+    if not images:
+        return marked(kind, "")
+    return T.StructType(
+        [T.StructField(f.name, marked(f.dataType, "") if f.name in images else f.dataType, f.nullable, f.metadata) for f in kind.fields]
+    )
+
+
 def avro_logical_types(schema_json: str) -> dict[str, str]:
     """Column path -> logical type name of the row images in an Avro envelope schema.
 

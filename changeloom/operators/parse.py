@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from changeloom.functions.logical import LOGICAL_TYPES, iso_ts_text, logical_text, normalise_fields
+from changeloom.functions.logical import LOGICAL_TYPES, iso_ts_text, logical_name, logical_text, normalise_fields
 
 FIELDS = "map<string,variant>"
 
@@ -221,20 +221,26 @@ def _is_envelope_struct(kind: T.StructType) -> bool:
     return "op" in kind.names and ("before" in kind.names or "after" in kind.names)
 
 
-def _normalise_struct(col: Column, kind: T.DataType, path: str, plan: dict[str, str], precision: str) -> Column:
-    """Rewrite the logical-typed leaves of a struct as ISO text, recursively; the plan is fixed before the job runs."""
+def _normalise_struct(
+    col: Column, kind: T.DataType, path: str, plan: dict[str, str], precision: str, carried: str | None = None
+) -> Column:
+    """Rewrite the logical-typed leaves of a struct as ISO text, recursively; all is settled when the plan is built.
+
+    A column's logical type is the one the job names for its path, else the one its field carries as metadata.
+    """
     if isinstance(kind, T.StructType):
         inner = F.struct(
             *[
-                _normalise_struct(col[f.name], f.dataType, f"{path}.{f.name}" if path else f.name, plan, precision).alias(
-                    f.name
-                )
+                _normalise_struct(
+                    col[f.name], f.dataType, f"{path}.{f.name}" if path else f.name, plan, precision, logical_name(f.metadata)
+                ).alias(f.name)
                 for f in kind.fields
             ]
         )
         return F.when(col.isNotNull(), inner)
-    if isinstance(kind, T.NumericType) and plan.get(path) in LOGICAL_TYPES:
-        return F.coalesce(logical_text(col.cast("bigint"), plan[path], precision), col.cast("string"))
+    name = plan.get(path) or carried
+    if isinstance(kind, T.NumericType) and name in LOGICAL_TYPES:
+        return F.coalesce(logical_text(col.cast("bigint"), name, precision), col.cast("string"))
     if isinstance(kind, T.TimestampType):
         return iso_ts_text(col if precision == "micros" else F.date_trunc("millisecond", col))
     return col

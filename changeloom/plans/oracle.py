@@ -282,4 +282,9 @@ ORACLE: dict[str, str] = {
         E.replace("select user_id, value, props,", f"select user_id, value, case when {QUARTER.replace('off', 'event_id')} >= 2 then props end as props,"),
         "e", "user_id", E_COLS, QUARTER, None,
     ),
+    "struct_logical_types": """select o_orderkey, cast(o_orderdate as date) as o_orderdate,
+        o_orderdate + to_hours(o_orderkey % 24) + to_milliseconds(1) as entered, o_orderstatus from orders""",
+    "stream_copy_into": f"""with {E} select user_id, value, props, part as "KFK_PARTITION", off as "KFK_OFFSET", op as "KFK_OP",
+        'part-' || ({QUARTER}) as "KFK_BLOCKID" from e""",
+    "stream_continuous": _replay_merge(E, "e", "user_id", E_COLS, QUARTER, None),
 }

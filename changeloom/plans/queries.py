@@ -27,7 +27,7 @@ from changeloom.plans.tables import CatalogTarget
 from changeloom.session import configure_session, shared_dir
 from changeloom.sources import ingest_log as il
 from changeloom.sources import landing as ld
-from changeloom.sources.changes import read_changes, spread_narrow
+from changeloom.sources.changes import carry_logical_types, read_changes, spread_narrow
 from changeloom.streaming import replication as sr
 
 NOW_MS = 1_700_000_000_000
@@ -948,6 +948,78 @@ def q_job_from_catalog(spark, sf_dir):
     return sr.open_target(spark, options).read()
 
 
+_TYPED = T.StructType(
+    [
+        T.StructField("o_orderkey", T.LongType()),
+        T.StructField("o_orderdate", T.DateType()),
+        T.StructField("entered", T.TimestampNTZType()),
+        T.StructField("o_orderstatus", T.StringType()),
+    ]
+)
+# An Avro schema of log O: the date carries two logical types, the status one that its type cannot have.
+_AVRO_IMAGE = (
+    '{"type":"record","name":"Row","fields":[{"name":"o_orderkey","type":"long"},'
+    '{"name":"o_orderdate","type":["null",{"type":"int","connect.name":"io.debezium.time.Date","logicalType":"time-millis"}]},'
+    '{"name":"entered","type":["null",{"type":"long","logicalType":"timestamp-micros"}]},'
+    '{"name":"o_orderstatus","type":["null",{"type":"string","logicalType":"date"}]}]}'
+)
+AVRO_ENVELOPE = (
+    '{"type":"record","name":"Envelope","fields":[{"name":"before","type":["null",' + _AVRO_IMAGE + ']},'
+    '{"name":"after","type":["null","Row"]},{"name":"op","type":"string"},{"name":"ts_ms","type":"long"}]}'
+)
+
+
+def q_struct_logical_types(spark, sf_dir):
+    """Decoded orders through a job: dates and times are numbers whose fields carry their logical types as metadata."""
+    configure_session(spark)
+    root = shared_dir(spark, "stream-struct")
+    days = F.datediff("o_orderdate", F.lit("1970-01-01").cast("date"))
+    micros = F.unix_micros((F.col("o_orderdate") + F.make_dt_interval(hours=F.col("o_orderkey") % 24)).cast("timestamp")) + 1234
+    image = F.struct("o_orderkey", days.alias("o_orderdate"), micros.alias("entered"), "o_orderstatus")
+    value = F.struct(F.lit(None).cast("struct<o_orderkey:bigint,o_orderdate:int,entered:bigint,o_orderstatus:string>").alias("before"), image.alias("after"), F.lit("c").alias("op"), F.lit(NOW_MS).cast("long").alias("ts_ms"))
+    records = table(spark, sf_dir, "orders").select(
+        F.lit("cdc.orders").alias("topic"), (F.col("o_orderkey") % 8).cast("int").alias("partition"), F.col("o_orderkey").alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"), value.alias("value"),
+    )
+    records.write.parquet(f"{root}/topic")
+    changes = carry_logical_types(read_changes(spark, "parquet", path=f"{root}/topic", schema=records.schema), AVRO_ENVELOPE)
+    target = new_target(spark, _TYPED, O_PK, buckets=4)
+    sr.start_replication(changes, target, ReplicationOptions(table="orders", mode="merge"), root, available_now=True).await_termination()
+    return target.read()
+
+
+def q_stream_copy_into(spark, sf_dir):
+    """Log E landed as gzip JSON lines, a folder per quarter, and loaded by a query of its own, two folders before a restart."""
+    configure_session(spark)
+    root = shared_dir(spark, "stream-copy")
+    records = _event_changes(spark, sf_dir)
+    schema = ingest_schema(E_SCHEMA)
+    for part in range(QUARTERS):
+        parsed, _ = ps.apply_error_policy(ps.parse_changes(records.where(F.col("quarter") == part).drop("quarter"), now_ms=NOW_MS))
+        ld.land_json_lines(parsed, f"{root}/landing/part-{part}", f"part-{part}")
+        if part % 2:
+            load = ld.start_copy_into(spark, f"{root}/landing/*", f"{root}/log", schema, f"{root}/checkpoint", max_files=3, available_now=True)
+            load.awaitTermination()
+    return il.read_log(spark, f"{root}/log", schema).select(*E_COLUMNS, PARTITION, OFFSET, OP, BLOCK)
+
+
+def q_stream_continuous(spark, sf_dir):
+    """A running job: each quarter arrives and is drained, and the job is stopped at the end."""
+    configure_session(spark)
+    root = shared_dir(spark, "stream-continuous")
+    records = _event_changes(spark, sf_dir)
+    target = new_target(spark, E_SCHEMA, E_PK, buckets=4)
+    options = ReplicationOptions(table="events", mode="merge", flush_seconds=1, apply_interval=5)
+    job = None
+    for part in range(QUARTERS):
+        changes = _deliver(records, f"{root}/topic", part, part)
+        job = job or sr.start_replication(changes, target, options, root)
+        job.drain()
+    if not job.stop(drain=True, timeout=600):
+        raise RuntimeError("the job was not drained")
+    return target.read()
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     """Query name -> function, for every ``q_`` function of this module."""
     return {name[2:]: fn for name, fn in globals().items() if name.startswith("q_")}

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from changeloom.functions.logical import with_logical_types
+
 CHANGE_RECORD = T.StructType(
     [
         T.StructField("topic", T.StringType()),
@@ -62,4 +64,10 @@ def decode_value(records: DataFrame, avro_schema: str | None = None) -> DataFram
         return records.withColumn("value", F.col("value").cast("string"))
     from pyspark.sql.avro.functions import from_avro
 
-    return records.withColumn("value", from_avro(F.col("value"), avro_schema, {"mode": "FAILFAST"}))
+    return carry_logical_types(records.withColumn("value", from_avro(F.col("value"), avro_schema, {"mode": "FAILFAST"})), avro_schema)
+
+
+def carry_logical_types(records: DataFrame, avro_schema: str) -> DataFrame:
+    """Decoded records whose value's fields carry the logical types of the Avro schema, for every plan built on them."""
+    kind = with_logical_types(records.schema["value"].dataType, avro_schema)
+    return records.withColumn("value", F.col("value").cast(kind))

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from changeloom.functions.coerce import coerce
+from changeloom.plans.schema import BLOCK
 from changeloom.session import delete_path
 from changeloom.sources.changes import spread_narrow
 from changeloom.sources.ingest_log import append_ingest, field_of, meta_columns
@@ -61,6 +63,28 @@ def read_landed_stream(
     return load_lines(reader.text(path), schema, **load_options)
 
 
+def start_copy_into(
+    spark: SparkSession,
+    path: str,
+    log_path: str,
+    schema: T.StructType,
+    checkpoint: str,
+    purge: bool = True,
+    max_files: int | None = None,
+    available_now: bool = False,
+    **load_options,
+) -> StreamingQuery:
+    """The load as a query of its own, between landing and a log that only it writes.
+
+    The file sink writes every landed row once, whatever is tried again. A landed file goes after the batch that loaded it
+    is committed, at the latest when the query is started the next time.
+    """
+    rows = read_landed_stream(spark, path, schema, purge, max_files, **load_options)
+    trigger = {"availableNow": True} if available_now else {"processingTime": "10 seconds"}
+    writer = rows.writeStream.format("parquet").partitionBy(BLOCK).option("checkpointLocation", checkpoint)
+    return writer.trigger(**trigger).start(log_path)
+
+
 def copy_into(
     spark: SparkSession, path: str, log_path: str, schema: T.StructType, purge: bool = True, **load_options
 ) -> None:

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import threading
 import time
 import uuid
 from collections.abc import Callable
@@ -22,7 +23,7 @@ from functools import reduce
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from changeloom.operators.apply import ApplyMetrics, observed, winners_of
 from changeloom.operators.parse import apply_error_policy, before_first_reject, parse_changes
@@ -80,6 +81,62 @@ def _report(listener: MetricsListener | None, name: str, arrived, changed) -> No
         listener(name, arrived, changed)
 
 
+# How long a stopping job waits for what has arrived.
+DRAIN_SECONDS = 30.0
+
+
+def _all_available(query: StreamingQuery, failures: list[Exception]) -> None:
+    try:
+        query.processAllAvailable()
+    except Exception as error:
+        failures.append(error)
+
+
+class Watcher(StreamingQueryListener):
+    """Keeps a running job to its rules of failure, whoever waits for it.
+
+    An apply query that fails is started again after the interval; when ingest fails, apply is stopped. Rows read per
+    query are added up as the queries report them.
+    """
+
+    def __init__(self, job: Replication):
+        self.job, self.rows = job, {}
+        self.ids = [str(query.id) for query in job.queries]
+        self.closed = False
+
+    def close(self) -> None:
+        if not self.closed:
+            self.closed = True
+            self.job.queries[0].sparkSession.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        name = str(event.progress.id)
+        if name in self.ids:
+            self.rows[name] = self.rows.get(name, 0) + (event.progress.numInputRows or 0)
+
+    def onQueryTerminated(self, event) -> None:
+        if self.closed or event.exception is None or str(event.id) not in self.ids:
+            return
+        if self.ids.index(str(event.id)) == 0:
+            for query in self.job.queries[1:]:
+                threading.Thread(target=query.stop, daemon=True).start()
+        elif self.job.restart_apply is not None:
+            timer = threading.Timer(self.job.wait_seconds, self._restart)
+            timer.daemon = True
+            timer.start()
+
+    def _restart(self) -> None:
+        # the id of a query is that of its checkpoint, so that the new one goes by the same
+        if not self.closed and self.job.queries[0].isActive and not self.job.queries[1].isActive:
+            self.job.queries[1] = self.job.restart_apply()
+
+
 @dataclass
 class Replication:
     """The running queries of one replication job; in merge mode ingest first, then apply."""
@@ -90,17 +147,42 @@ class Replication:
     #: Removes old rows of the log when it is time to; a job without new changes has no micro-batch that does it.
     expire: Callable[[], int] | None = None
     expire_seconds: float = 0
+    watcher: Watcher | None = None
 
-    def drain(self) -> None:
-        """Wait until everything that has arrived is applied; ingest first, then apply."""
-        for query in self.queries:
-            query.processAllAvailable()
+    def watched(self) -> Replication:
+        """The job with a listener that restarts apply and stops after a failed ingest, also while nobody waits."""
+        self.watcher = Watcher(self)
+        self.queries[0].sparkSession.streams.addListener(self.watcher)
+        return self
 
-    def stop(self, drain: bool = True) -> None:
-        if drain:
-            self.drain()
+    def drain(self, timeout: float | None = None) -> bool:
+        """Wait until everything that has arrived is applied, ingest first, then apply; false when time is up before."""
+        end = None if timeout is None else time.monotonic() + timeout
+        for query in self.queries:
+            if end is None:
+                query.processAllAvailable()
+                continue
+            failures: list[Exception] = []
+            waiter = threading.Thread(target=_all_available, args=(query, failures), daemon=True)
+            waiter.start()
+            waiter.join(max(0.0, end - time.monotonic()))
+            if waiter.is_alive():
+                return False
+            if failures:
+                raise failures[0]
+        return True
+
+    def stop(self, drain: bool = True, timeout: float | None = DRAIN_SECONDS) -> bool:
+        """Stop the queries, after a drain that takes at most ``timeout`` seconds; tells whether all was applied.
+
+        What a drain that was cut off has not applied stays in the log or at the source, and the next start goes on with it.
+        """
+        drained = self.drain(timeout) if drain else False
+        if self.watcher is not None:
+            self.watcher.close()
         for query in self.queries:
             query.stop()
+        return drained
 
     def await_termination(self, poll_seconds: float = 1) -> None:
         """Wait for triggers that end by themselves, and keep the job to its rules of failure and retention meanwhile.
@@ -114,6 +196,8 @@ class Replication:
                 try:
                     query.awaitTermination(poll_seconds)
                 except StreamingQueryException:
+                    if i and self.watcher is not None and self.queries[0].isActive:
+                        continue  # the watcher starts it again
                     if i == 0 or self.restart_apply is None:
                         self.stop(drain=False)
                         raise
@@ -622,4 +706,6 @@ def start_replication(
     def expire() -> int:
         return expire_blocks(target.spark, target.refreshed(), options, Paths(root), clock())
 
-    return Replication([ingest, apply()], apply, options.apply_interval, expire, options.retention_interval)
+    job = Replication([ingest, apply()], apply, options.apply_interval, expire, options.retention_interval)
+    # a job that ends by itself is kept to its rules by ``await_termination``
+    return job if available_now else job.watched()

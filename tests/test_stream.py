@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 import random
+import threading
+import time
 import uuid
 
 import pytest
@@ -10,11 +12,13 @@ from pyspark.errors import StreamingQueryException
 
 import model as m
 from changeloom.operators import apply as ap
+from changeloom.operators import parse as ps
 from changeloom.operators import replay as rp
 from changeloom.options import ReplicationOptions
 from changeloom.plans.schema import ingest_schema
 from changeloom.plans.tables import CatalogTarget
 from changeloom.sources import ingest_log as il
+from changeloom.sources import landing as ld
 from changeloom.sources import offsets as of
 from changeloom.sources.changes import CHANGE_RECORD, decode_value, read_changes
 from changeloom.streaming import replication as sr
@@ -422,6 +426,70 @@ def test_columns_that_come_while_the_job_runs(spark, tmp_path):
     assert [(r["k"], r["v"], r["extra"]) for r in found] == [(1, 5, None), (2, 6, "y")]
 
 
+def test_a_failed_apply_is_started_again_while_nobody_waits(spark, tmp_path, monkeypatch):
+    job = Job(spark, tmp_path, "merge", flush_seconds=1, apply_interval=5)
+    rows = m.random_log(25, 20)
+    job.deliver(rows)
+    tick, failures = CatalogTarget.apply_winners, []
+
+    def flaky(*args):
+        if not failures:
+            raise RuntimeError("busy")
+        return tick(*args)
+
+    monkeypatch.setattr(CatalogTarget, "apply_winners", flaky)
+    running = sr.start_replication(job.changes(), job.target, job.options, job.root, on_failure=failures.append)
+    end = time.monotonic() + 90
+    while time.monotonic() < end and not job.state():
+        time.sleep(1)
+    assert len(failures) == 1 and job.state() == m.as_rows(m.merge([], rows))
+    assert sum(running.watcher.rows.values()) > 0
+    running.stop(drain=False)
+
+
+def test_a_drain_ends_at_its_deadline(spark, tmp_path, monkeypatch):
+    job = Job(spark, tmp_path, "merge", flush_seconds=1, apply_interval=5)
+    rows = m.random_log(26, 20)
+    job.deliver(rows)
+    tick = CatalogTarget.apply_winners
+    release = threading.Event()
+
+    def slow(*args):
+        release.wait(120)
+        return tick(*args)
+
+    monkeypatch.setattr(CatalogTarget, "apply_winners", slow)
+    running = sr.start_replication(job.changes(), job.target, job.options, job.root)
+    begin = time.monotonic()
+    assert running.drain(timeout=8) is False and time.monotonic() - begin < 20
+    release.set()
+    assert running.stop(drain=True, timeout=120) is True
+    assert job.state() == m.as_rows(m.merge([], rows))
+
+
+def test_landed_files_go_after_their_batch_and_none_is_lost(spark, tmp_path):
+    schema = ingest_schema(m.TARGET_SCHEMA)
+    rows = m.random_log(27, 30)
+    start = lambda log: ld.start_copy_into(spark, f"{tmp_path}/landing/*", log, schema, f"{tmp_path}/cp", max_files=1, available_now=True)
+    for i, part in enumerate(parts_of(rows)):
+        data = [("t", r["KFK_PARTITION"], r["KFK_OFFSET"], None, payload(r)) for r in part]
+        parsed, _ = ps.apply_error_policy(ps.parse_changes(spark.createDataFrame(data, CHANGE_RECORD).coalesce(1)))
+        ld.land_json_lines(parsed, f"{tmp_path}/landing/part-{i}", f"part-{i}")
+    # a run that fails while it writes: the log's place is taken by a file
+    (tmp_path / "taken").write_text("x")
+    with pytest.raises(Exception):
+        start(f"{tmp_path}/taken").awaitTermination()
+    left = list((tmp_path / "landing").glob("*/*.gz"))
+    assert len(left) == 3
+    for _ in range(2):
+        start(f"{tmp_path}/log").awaitTermination()
+    found = il.read_log(spark, f"{tmp_path}/log", schema)
+    assert sorted((r["KFK_PARTITION"], r["KFK_OFFSET"], r["KFK_BLOCKID"]) for r in found.collect()) == sorted(
+        (r["KFK_PARTITION"], r["KFK_OFFSET"], f"part-{i}") for i, part in enumerate(parts_of(rows)) for r in part
+    )
+    assert len(list((tmp_path / "landing").glob("*/*.gz"))) < 3
+
+
 def test_block_ids_repeat_after_restart():
     assert sr.block_id_of("cp", 3) == sr.block_id_of("cp", 3)
     assert sr.block_id_of("cp", 3) != sr.block_id_of("cp", 4)

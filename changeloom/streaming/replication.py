@@ -51,6 +51,7 @@ Target = CatalogTarget | RowLevelTarget
 
 # Announcements one tick of the apply query takes; the others wait for the next.
 ANNOUNCED = 1000
+APPLIED = f"{BLOCK} string, n long, apply string"
 NOTE = "block string, seq long, part int, n long, lo long, hi long"
 
 
@@ -99,15 +100,15 @@ class Watcher(StreamingQueryListener):
     query are added up as the queries report them.
     """
 
-    def __init__(self, job: Replication):
-        self.job, self.rows = job, {}
+    def __init__(self, spark: SparkSession, job: Replication):
+        self.spark, self.job, self.rows = spark, job, {}
         self.ids = [str(query.id) for query in job.queries]
         self.closed = False
 
     def close(self) -> None:
         if not self.closed:
             self.closed = True
-            self.job.queries[0].sparkSession.streams.removeListener(self)
+            self.spark.streams.removeListener(self)
 
     def onQueryStarted(self, event) -> None:
         pass
@@ -149,10 +150,10 @@ class Replication:
     expire_seconds: float = 0
     watcher: Watcher | None = None
 
-    def watched(self) -> Replication:
+    def watched(self, spark: SparkSession) -> Replication:
         """The job with a listener that restarts apply and stops after a failed ingest, also while nobody waits."""
-        self.watcher = Watcher(self)
-        self.queries[0].sparkSession.streams.addListener(self.watcher)
+        self.watcher = Watcher(spark, self)
+        spark.streams.addListener(self.watcher)
         return self
 
     def drain(self, timeout: float | None = None) -> bool:
@@ -461,10 +462,11 @@ def expire_blocks(
     touched = 0
     if options.retention_delay > 0 and path_exists(spark, paths.commits):
         cutoff_ms = now_ms - options.retention_delay * 1000
+        _forget_applied(spark, paths)
         blocks = spark.read.schema(NOTE).json(paths.commits).where((F.col("n") > 0) & (F.col("lo") <= cutoff_ms))
         if options.mode == "merge" and options.only_applied:
             if path_exists(spark, paths.applied):
-                done = spark.read.parquet(paths.applied).select(F.col(BLOCK).alias("block")).distinct()
+                done = spark.read.schema(APPLIED).parquet(paths.applied).select(F.col(BLOCK).alias("block")).distinct()
                 blocks = blocks.join(done, "block", "left_semi")
             else:
                 blocks = blocks.limit(0)
@@ -477,7 +479,6 @@ def expire_blocks(
             elif not _trimmed(spark, target, paths, row["block"], options.retention_delay, now):
                 continue
             touched += 1
-        _forget_applied(spark, paths)
     note_expiry(spark, paths.retention, now_ms)
     return touched
 
@@ -493,11 +494,14 @@ def _trimmed(spark: SparkSession, target: Target, paths: Paths, block: str, dela
 
 
 def _forget_applied(spark: SparkSession, paths: Paths) -> None:
-    """Delete the notes of merges all of whose blocks are gone, but for the latest one."""
+    """Delete the notes of merges all of whose blocks are gone since an earlier expiry.
+
+    Those of blocks that go now stay, for the tick that is running may be taken again.
+    """
     if not path_exists(spark, paths.applied):
         return
     there = child_names(spark, paths.log)
-    notes = spark.read.parquet(paths.applied).groupBy("apply").agg(F.collect_set(BLOCK).alias("blocks"))
+    notes = spark.read.schema(APPLIED).parquet(paths.applied).groupBy("apply").agg(F.collect_set(BLOCK).alias("blocks"))
     for row in notes.toLocalIterator():
         if not any(f"{BLOCK}={name}" in there for name in row["blocks"]):
             delete_path(spark, f"{paths.applied}/apply={row['apply']}")
@@ -708,4 +712,4 @@ def start_replication(
 
     job = Replication([ingest, apply()], apply, options.apply_interval, expire, options.retention_interval)
     # a job that ends by itself is kept to its rules by ``await_termination``
-    return job if available_now else job.watched()
+    return job if available_now else job.watched(target.spark)

@@ -72,8 +72,10 @@ class ByteLevel:
     def whole(self, full: list[str]) -> list[list[int]]:
         return [e.ids for e in self.model.encode_batch_fast(full, add_special_tokens=False)]
 
-    def ids(self, full: list[str]) -> list[list[int]]:
-        return [self.ranked.encode_ordinary(text) if self.ranked and not _UNSURE(text) else self.whole([text])[0] for text in full]
+    def ids(self, full: list[str]) -> list[tuple[list[int], bool]]:
+        """Ids of every text, and whether they are sure to spell it, as ids by ranks always do."""
+        ranked = [self.ranked is not None and not _UNSURE(text) for text in full]
+        return [(self.ranked.encode_ordinary(text) if sure else self.whole([text])[0], sure) for text, sure in zip(full, ranked)]
 
 
 class Pieces:
@@ -94,9 +96,10 @@ def encoded(a: ByteLevel, b: Pieces, texts: list[str | None]) -> tuple[list[list
     """Ids of A and of B of every text; none of either where they do not spell the space and the text."""
     full = [" " + text if text else " " for text in texts]
     ids_a, ids_b = [], []
-    for text, x, y in zip(full, a.ids(full), b.ids(full)):
+    for text, (x, sure), y in zip(full, a.ids(full), b.ids(full)):
         want = text.encode()
-        ok = len(want) > 1 and b"".join(map(a.token.__getitem__, x)) == want and b"".join(map(b.token.__getitem__, y)) == want
+        ok = len(want) > 1 and b"".join(map(b.token.__getitem__, y)) == want
+        ok = ok and (sure or b"".join(map(a.token.__getitem__, x)) == want)
         ids_a.append(x if ok else [])
         ids_b.append(y if ok else [])
     return ids_a, ids_b
@@ -114,14 +117,15 @@ def links(cut_a: np.ndarray, cut_b: np.ndarray, ends_a: np.ndarray, ends_b: np.n
     """Indexes of the tokens of A and of B whose bytes overlap, group by group."""
     from_a, from_b = np.concatenate([[0], cut_a[:-1]]), np.concatenate([[0], cut_b[:-1]])
     n_a, n_b = cut_a - from_a, cut_b - from_b
+    both = (n_a == 1) & (n_b == 1)
     # one token on either side: linked with all of the other side
-    one = (n_a == 1) | (n_b == 1)
+    one = ((n_a == 1) | (n_b == 1)) & ~both
     many = n_a[one] * n_b[one]
     step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-    out_a = [np.repeat(from_a[one], many) + np.where(np.repeat(n_a[one] > 1, many), step, 0)]
-    out_b = [np.repeat(from_b[one], many) + np.where(np.repeat(n_b[one] > 1, many), step, 0)]
+    out_a = [from_a[both], np.repeat(from_a[one], many) + np.where(np.repeat(n_a[one] > 1, many), step, 0)]
+    out_b = [from_b[both], np.repeat(from_b[one], many) + np.where(np.repeat(n_b[one] > 1, many), step, 0)]
     more_a, more_b = [], []
-    for g in np.flatnonzero(~one).tolist():
+    for g in np.flatnonzero(~one & ~both).tolist():
         i, j = int(from_a[g]), int(from_b[g])
         while i < cut_a[g] and j < cut_b[g]:
             more_a.append(i)
@@ -138,19 +142,15 @@ def links(cut_a: np.ndarray, cut_b: np.ndarray, ends_a: np.ndarray, ends_b: np.n
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
-def group_texts(run: Run, names_a: list[str], names_b: list[str]) -> list[str]:
+def group_texts(run: Run, names: pa.Array) -> pa.Array:
     """The ids of the groups of every document: ``a1,a2|b1;a3|b2,b3``."""
-    a, b = list(map(names_a.__getitem__, run.a.tolist())), list(map(names_b.__getitem__, run.b.tolist()))
-    upto_a, upto_b = run.cut_a.tolist(), run.cut_b.tolist()
-    made, i, k = [], 0, 0
-    for j, m in zip(upto_a, upto_b):
-        if j - i == 1 and m - k == 1:
-            made.append(f"{a[i]}|{b[k]}")
-        else:
-            made.append(f"{','.join(a[i:j])}|{','.join(b[k:m])}")
-        i, k = j, m
-    ends = np.cumsum(run.n_groups).tolist()
-    return [";".join(made[begin:end]) for begin, end in zip([0, *ends], ends)]
+
+    def lists(ends: np.ndarray, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), values)
+
+    sides = [pc.binary_join(lists(cut, names.take(pa.array(ids))), ",") for cut, ids in ((run.cut_a, run.a), (run.cut_b, run.b))]
+    groups = pc.binary_join_element_wise(*sides, "|")
+    return pc.binary_join(lists(np.cumsum(run.n_groups), groups), ";")
 
 
 class Run:
@@ -211,9 +211,9 @@ def _made(ids: pa.Array, texts: list[str | None], a: ByteLevel, b: Pieces, sizes
         flat_a, flat_b = (np.fromiter(chain.from_iterable(each), np.uint32, n.sum()) for each, n in ((ids_a, n_a), (ids_b, n_b)))
         run = Run(flat_a, flat_b, n_a, n_b, sizes)
         rows.append((len(n_a), flat_a.tobytes(), flat_b.tobytes(), n_a.tobytes(), n_b.tobytes(), np.packbits(run.marks()).tobytes()))
-        pair, n = np.unique(run.pairs, return_counts=True)
-        found.append(pair)
-        counts.append(n)
+        each = pc.value_counts(pa.array(run.pairs))
+        found.append(each.field(0).to_numpy())
+        counts.append(each.field(1).to_numpy())
     kept = pa.table([pa.array(c) for c in zip(*rows)], ["docs", "a", "b", "n_a", "n_b", "marks"])
     pair, inverse = np.unique(np.concatenate(found), return_inverse=True)
     n = np.bincount(inverse, np.concatenate(counts), len(pair)).astype(np.int64)
@@ -266,7 +266,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
     answers = asked.join(counts, ["a", "b"]).select("chunk", "pos", "count", "best")
 
     def run(batches):
-        names = list(map(str, range(n_names)))
+        names = pa.array(map(str, range(n_names)), pa.string())
         at, count, best = None, [], []
         for batch in batches:
             chunk_of = batch.column(0).to_numpy()
@@ -297,8 +297,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
             total = np.zeros(n, np.int64)
             np.add.at(total, each.link_owner, count[pos])
             numbers = [pa.array(c, pa.int64()) for c in (each.n_a, each.n_b, each.n_groups, each.n_links, n_best, total)]
-            texts = pa.array(group_texts(each, names, names), pa.string())
-            yield pa.RecordBatch.from_arrays([ids.slice(done, n), *numbers, texts], [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
+            yield pa.RecordBatch.from_arrays([ids.slice(done, n), *numbers, group_texts(each, names)], [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
             done += n
 
     kind = docs.schema[id_col].dataType.simpleString()

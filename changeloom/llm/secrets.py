@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from changeloom.llm.common import stored
+
 # The patterns of the scan, in the order in which kinds are listed.
 ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]+"
@@ -65,8 +67,9 @@ def parts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
 
 def document_key(id_col: str, text_col: str) -> Column:
-    """A key of a document row: rows with the same id and text share it."""
-    return F.xxhash64(F.col(id_col).cast("string"), F.length(text_col), text_col)
+    """A key of a document row, two hashes of 64 bits: rows with the same id and text share it."""
+    doc, text = F.col(id_col).cast("string"), F.col(text_col)
+    return F.struct(F.xxhash64(doc, F.length(text), text).alias("a"), F.xxhash64(F.lit(1), text, doc).alias("b"))
 
 
 def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
@@ -101,7 +104,9 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
 
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """One row per document with spans: key and ``spans``, an array of (start, kind number, end) in that order."""
-    return linked(parts(docs, id_col, text_col), scope).groupBy("key").agg(
+    # few rows, which the three sides of the interval join read instead of the texts
+    found = stored(parts(docs, id_col, text_col), "secret-parts")
+    return linked(found, scope).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans")
     )
 

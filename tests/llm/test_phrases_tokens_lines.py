@@ -156,7 +156,8 @@ def test_ranks_give_the_ids_of_the_tokenizer(spark, odd):
     full = [" " + text for text in texts]
     model = align.ByteLevel(A)
     assert model.ranked and sum(not align._UNSURE(text) for text in full) > 3_500
-    assert model.ids(full) == model.whole(full)
+    assert [ids for ids, _ in model.ids(full)] == model.whole(full)
+    assert all(b''.join(model.token[i] for i in ids).decode() == text for text, (ids, sure) in zip(full, model.ids(full)) if sure)
 
 
 def test_alignment_of_empty_and_very_long(odd, none):

@@ -77,8 +77,13 @@ class ReplicationOptions:
     broadcast_bytes: int = 64 * 1024 * 1024
 
     @classmethod
-    def from_config(cls, config: dict[str, str], prefix: str = "warehouse.", **extra) -> ReplicationOptions:
-        """Options from string settings. Keys are exactly the known ones, which may carry ``prefix``; others are ignored."""
+    def from_config(
+        cls, config: dict[str, str], prefix: str = "warehouse.", modes: dict[str, str] | None = None, **extra
+    ) -> ReplicationOptions:
+        """Options from string settings. Keys are exactly the known ones, which may carry ``prefix``; others are ignored.
+
+        ``modes`` names further values of the ingestion mode.
+        """
         types = {f.name: f.type for f in fields(cls)}
         values: dict = {}
         for key, raw in config.items():
@@ -86,7 +91,7 @@ class ReplicationOptions:
             if name is None:
                 continue
             if name == "mode":
-                values[name] = ingestion_mode(raw)
+                values[name] = ingestion_mode(raw, modes)
             elif name == "pk_fields":
                 values[name] = tuple(part.strip() for part in raw.split(",") if part.strip())
             elif types[name] == "int":
@@ -141,13 +146,13 @@ MODES = {
     "STAGE_COPY": "block",
     "MERGE": "merge",
     "STREAMING": "merge",
-    "PIPE_STREAMING": "merge",
 }
 
 
-def ingestion_mode(raw: str) -> str:
-    """Configured ingestion mode -> ``block`` or ``merge``; names of staged modes mean block, streaming means merge."""
+def ingestion_mode(raw: str, names: dict[str, str] | None = None) -> str:
+    """Configured ingestion mode -> ``block`` or ``merge``; ``names`` adds further names of either."""
+    known = MODES | {name.upper(): mode for name, mode in (names or {}).items()}
     try:
-        return MODES[raw.strip().upper()]
+        return known[raw.strip().upper()]
     except KeyError:
-        raise ValueError(f"unknown ingestion mode {raw!r}, known are {sorted(MODES)}") from None
+        raise ValueError(f"unknown ingestion mode {raw!r}, known are {sorted(known)}") from None

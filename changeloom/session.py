@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings every operator assumes.
@@ -74,23 +73,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-def delete_empty(spark: SparkSession, path: str) -> bool:
-    """Delete a folder that holds nothing but marks of finished writes; a folder with anything else stays."""
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if any(not name.startswith(("_SUCCESS", "._SUCCESS")) for name in child_names(spark, path)):
-        return False
-    for name in child_names(spark, path):
-        delete_path(spark, f"{path}/{name}")
-    # not recursive: a file that came in between makes the file system refuse
-    try:
-        return fs.delete(hadoop_path, False)
-    except Py4JJavaError as error:
-        if "IOException" not in error.java_exception.getClass().getName() and "NotEmpty" not in str(error):
-            raise
-        return False
-
-
 def make_folder(spark: SparkSession, path: str) -> None:
     """Make a folder and those above it; one that is there is left alone."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)

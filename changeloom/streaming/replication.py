@@ -34,6 +34,7 @@ from changeloom.options import ReplicationOptions
 from changeloom.plans.schema import BLOCK, DATETIME, LOG_KEY, OFFSET, PARTITION, TOPIC, ingest_schema
 from changeloom.plans.tables import CatalogTarget, RowLevelTarget
 from changeloom.session import child_names, delete_path, make_folder, matching, path_exists, write_line
+from changeloom.sources.changes import read_changes
 from changeloom.sources.ingest_log import (
     cut_blocks,
     dedup_ingest,
@@ -52,7 +53,7 @@ Target = CatalogTarget | RowLevelTarget
 # Announcements one tick of the apply query takes; the others wait for the next.
 ANNOUNCED = 1000
 APPLIED = f"{BLOCK} string, n long, apply string"
-NOTE = "block string, seq long, part int, n long, lo long, hi long"
+NOTE = "block string, seq long, part int, n long, bytes long, lo long, hi long"
 
 
 def block_id_of(checkpoint: str, batch_id: int) -> str:
@@ -382,17 +383,18 @@ def _write(rows: DataFrame, name: str, schema, options: ReplicationOptions, path
 
 
 def announce(spark: SparkSession, paths: Paths, name: str, seq: int, written: DataFrame) -> None:
-    """Announce the complete blocks of a micro-batch: id, place in the job, rows, and the range of their change times.
+    """Announce the complete blocks of a micro-batch: id, place in the job, rows, bytes, and the range of their change times.
 
     Blocks of one source partition stand in the order of their offsets.
     Written after the blocks, in one piece and under the micro-batch's name, so that each block is announced whole and once.
     """
     millis = F.unix_millis(F.col(DATETIME).cast("timestamp"))
     first = F.min(F.struct(PARTITION, OFFSET)).alias("first")
-    found = written.groupBy(BLOCK).agg(F.count("*").alias("n"), F.min(millis).alias("lo"), F.max(millis).alias("hi"), first).collect()
+    size = F.sum(log_row_bytes(written.schema)).alias("bytes")
+    found = written.groupBy(BLOCK).agg(F.count("*").alias("n"), size, F.min(millis).alias("lo"), F.max(millis).alias("hi"), first).collect()
     order = sorted(found, key=lambda r: r["first"])
-    lines = [{"block": r[BLOCK], "seq": seq, "part": i, "n": r["n"], "lo": r["lo"], "hi": r["hi"]} for i, r in enumerate(order)]
-    lines = lines or [{"block": name, "seq": seq, "part": 0, "n": 0, "lo": None, "hi": None}]
+    lines = [{"block": r[BLOCK], "seq": seq, "part": i, "n": r["n"], "bytes": r["bytes"], "lo": r["lo"], "hi": r["hi"]} for i, r in enumerate(order)]
+    lines = lines or [{"block": name, "seq": seq, "part": 0, "n": 0, "bytes": 0, "lo": None, "hi": None}]
     write_line(spark, f"{paths.commits}/{name}.json", "\n".join(map(json.dumps, lines)))
 
 
@@ -673,6 +675,26 @@ def merge_blocks(
     return done
 
 
+def observed_row_bytes(spark: SparkSession, root: str) -> int | None:
+    """Average size of a change of this job, from what it announced; null before its first block."""
+    paths = Paths(root)
+    if not path_exists(spark, paths.commits):
+        return None
+    seen = spark.read.schema(NOTE).json(paths.commits).agg(F.sum("bytes").alias("bytes"), F.sum("n").alias("n")).first()
+    return max(1, seen["bytes"] // seen["n"]) if seen["n"] else None
+
+
+def open_changes(
+    spark: SparkSession, source: str, options: ReplicationOptions, root: str, reader: dict[str, str] | None = None, **read
+) -> DataFrame:
+    """The changes of a job, read at the rate its options set; ``reader`` holds the source's own options.
+
+    A source without a limit of bytes is held to them by the size of the changes that the job has seen before.
+    """
+    rate = options.source_options(source, observed_row_bytes(spark, root))
+    return read_changes(spark, source, {**rate, **(reader or {})}, **read)
+
+
 def open_target(spark: SparkSession, options: ReplicationOptions) -> CatalogTarget:
     """The target that the options name, as the catalog describes it: columns, types, keys and buckets."""
     return CatalogTarget.open(spark, options.table_identifier, options.pk_fields)

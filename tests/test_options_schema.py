@@ -33,7 +33,7 @@ def test_from_config():
     "bad",
     [
         {"table": " "}, {"apply_interval": 4}, {"merge_batch_size": 0}, {"retention_delay": -1}, {"max_records": 0},
-        {"flush_seconds": 0}, {"max_bytes": 0}, {"mode": "other"}, {"on_error": "skip"}, {"keep_versions": 0},
+        {"flush_seconds": 0}, {"max_bytes": 0}, {"mode": "other"}, {"on_error": "skip"}, {"broadcast_bytes": -1},
     ],
 )
 def test_bounds(bad):
@@ -42,9 +42,11 @@ def test_bounds(bad):
 
 
 def test_ingestion_mode():
-    assert [ingestion_mode(n) for n in ("STAGE", "stage_copy", "merge", "PIPE_STREAMING")] == ["block", "block", "merge", "merge"]
+    assert [ingestion_mode(n) for n in ("STAGE", "stage_copy", "merge", "streaming")] == ["block", "block", "merge", "merge"]
     with pytest.raises(ValueError):
         ingestion_mode("other")
+    assert ingestion_mode("Other", {"other": "merge"}) == "merge"
+    assert ReplicationOptions.from_config({"table": "t", "ingestion.mode": "own"}, modes={"own": "merge"}).mode == "merge"
 
 
 def test_source_options():

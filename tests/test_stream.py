@@ -490,6 +490,22 @@ def test_landed_files_go_after_their_batch_and_none_is_lost(spark, tmp_path):
     assert len(list((tmp_path / "landing").glob("*/*.gz"))) < 3
 
 
+def test_a_source_is_read_at_the_rate_of_the_options(spark, tmp_path):
+    job = Job(spark, tmp_path, "block")
+    assert sr.observed_row_bytes(spark, job.root) is None
+    rows = m.random_log(28, 40)
+    for part in parts_of(rows, 4):
+        job.deliver(part)
+    limited = job.options.with_(max_bytes=1)
+    changes = sr.open_changes(spark, "parquet", limited, job.root, path=job.topic)
+    sr.start_replication(changes, job.target, limited, job.root, available_now=True).await_termination()
+    # a file a micro-batch, the least that a source of files gives
+    assert len(list((tmp_path / "job/commits").glob("*.json"))) == 4
+    assert job.log().count() == 40
+    seen = sr.observed_row_bytes(spark, job.root)
+    assert 100 < seen < 130 and limited.with_(max_bytes=seen * 7).source_options("kafka", seen)["maxOffsetsPerTrigger"] == "7"
+
+
 def test_block_ids_repeat_after_restart():
     assert sr.block_id_of("cp", 3) == sr.block_id_of("cp", 3)
     assert sr.block_id_of("cp", 3) != sr.block_id_of("cp", 4)

@@ -1,17 +1,18 @@
 """Phrase collocations by SON partitioning: phrases of two to four words that come together more often than apart.
 
-The corpus is cut into shards of whole documents. A shard is mined completely in one task, language by language and
-level by level, at a support lowered in proportion to its bytes: a phrase whose count times the bytes of all shards reaches
-the support times the bytes of this shard is locally frequent. Whatever is frequent in the corpus is so in some shard. The
-union of the locally frequent phrases is then counted in all shards exactly, and those below the support go.
-
-Of the union only phrases are counted that can still reach the support: a shard that did not report a phrase holds at
-most its local support less one of it, so that the counts reported and these bounds say what a phrase can have at most.
-Candidates reach the counting tasks as a bit table of their hashes, of a size that is bounded however many they are. A
-phrase that only shares its bits with a candidate is counted as well, exactly, and it cannot reach the support, since
-whatever does is a candidate. So the counts need no join with the candidates and the table's size never changes a result.
-Nor does the number of shards. Where there are more shards than the support, every phrase of a shard is locally frequent;
-then the union's counts are already whole, and only phrases that reach the support are counted again.
+The corpus is cut into shards of whole documents, each a written chunk of word numbers. A shard is mined completely in one
+task, language by language, at a support lowered in proportion to its bytes: a phrase whose count times the bytes of all
+shards reaches the support times the bytes of this shard is locally frequent. Whatever is frequent in the corpus is so in
+some shard. The union of the locally frequent phrases is then counted in all shards exactly, and those below the support
+go.
+
+Lengths are mined one after the other, and a shard looks only at phrases whose two parts, without the last and without the
+first word, can be frequent in the corpus. A phrase can be if what the shards reported of it, and the local support less
+one of every shard that did not report it, add up to the support. The phrases that can be reach the tasks as a bit table of
+their hashes, of a size that is bounded however many they are. A phrase that only shares its bits with a candidate is
+looked at as well, and counted exactly at the end, where it cannot reach the support. So no join is needed, and neither the
+table's size nor the number of shards ever changes a result. With more shards than the support, every phrase of a shard is
+locally frequent: the support of thirty is a number of occurrences, whatever the size of the corpus.
 
 Defined results: null text is empty, a null language is ``und``; texts without words give nothing; rows that repeat are
 documents of their own; languages with no phrase that often have no row; an empty table gives an empty result; other
@@ -30,11 +31,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from changeloom.llm.chunks import runs
-from changeloom.llm.common import mix64, small_batches, stored, texts
+from changeloom.llm.chunks import chunked, unpacked
+from changeloom.llm.common import forget, mix64, stored, texts
 
 LONGEST = 4
-SHARD = 48 << 20  # bytes of text after which a shard ends
+SHARD = 4 << 20  # bytes of text after which a shard ends
 TABLE = 1 << 26  # bits of the candidates' table, at most
 EMIT = 10_000
 
@@ -62,31 +63,24 @@ def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 class Shard:
     """Documents of one language as word numbers; the end of a piece is number 0."""
 
-    def __init__(self, documents: Iterator[bytes]):
-        number = count(1)
-        known: dict[bytes, int] = {b".": 0}
-        held = []
-        for text in documents:
-            held.append(np.array([known[w] if w in known else known.setdefault(w, next(number)) for w in tokens(text)] + [0], np.int32))
-        self.ids = np.concatenate(held)
-        self.words = list(known)
-        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), np.uint64, len(self.words))
+    def __init__(self, words: list[bytes], ids: np.ndarray):
+        self.words, self.ids = words, ids
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
 
-    def levels(self, keep) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Of each length: the word numbers of the phrases kept, how often they occur, and their hashes.
+    def levels(self, upto: int, keep) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Of each length up to ``upto``: the word numbers of the phrases kept, how often they occur, and their hashes.
 
-        ``keep(counts, hashes)`` tells which phrases stay. A phrase is looked at only if both its parts, without the last
-        and without the first word, stayed.
+        ``keep(length, counts, hashes)`` tells which phrases stay. A phrase is looked at only if both its parts stayed.
         """
         start = np.flatnonzero(self.ids).astype(np.int32)  # where phrases of this length begin
         code = self.ids[start]  # which phrase of this length
         n, hashes = np.bincount(code, minlength=len(self.words)), self.hashes
         phrases = np.arange(len(self.words), dtype=np.int32)[:, None]
-        stay = (n > 0) & keep(n, hashes)
+        stay = (n > 0) & keep(1, n, hashes)
         phrases, n, hashes = phrases[stay], n[stay], hashes[stay]
-        for length in range(1, LONGEST + 1):
+        for length in range(1, upto + 1):
             yield phrases, n, hashes
-            if length == LONGEST or not len(phrases):
+            if length == upto or not len(phrases):
                 return
             renamed = np.cumsum(stay, dtype=np.int32) - np.int32(1)
             here = stay[code]
@@ -99,7 +93,7 @@ class Shard:
             left, last = (pair // len(phrases)).astype(np.int32), phrases[(pair % len(phrases)).astype(np.int32), -1]
             with np.errstate(over="ignore"):
                 hashes = mix64(hashes[left] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[last])
-            stay = keep(n, hashes)
+            stay = keep(length + 1, n, hashes)
             phrases = np.concatenate([phrases[left[stay]], last[stay][:, None]], axis=1)
             n, hashes = n[stay], hashes[stay]
 
@@ -108,38 +102,43 @@ class Shard:
         return [b" ".join([words[i] for i in row]) for row in phrases.tolist()]
 
 
-def _local_support(support: int, here: int, total: int) -> int:
-    """The least whole count whose part of the support is that of the shard's bytes."""
-    return max(1, -(-support * here // max(1, total)))
-
-
-def _bytes(rows: pa.Table) -> int:
-    return pc.sum(pc.binary_length(rows.column(1))).as_py()
+def _numbers(rows: pa.Table) -> list[pa.Table]:
+    """What a shard keeps of each language: its words, the documents as word numbers, and the bytes of the whole shard."""
+    langs, kept = rows.column(0), []
+    size = pc.sum(pc.binary_length(rows.column(1))).as_py()
+    for lang in pc.unique(langs).to_pylist():
+        number = count(1)
+        known: dict[bytes, int] = {b".": 0}
+        held = []
+        for text in texts(rows.filter(pc.equal(langs, lang)).column(1)):
+            held.append(np.array([known[w] if w in known else known.setdefault(w, next(number)) for w in tokens(text)] + [0], np.int32))
+        kept.append((lang, b" ".join(known), np.concatenate(held).tobytes(), size))
+    names = ["lang", "words", "ids", "bytes"]
+    return [pa.table([pa.array(c) for c in zip(*kept)], names)]
 
 
-def _languages(rows: pa.Table) -> Iterator[tuple[str, Shard]]:
-    """The documents of each language in a shard."""
-    langs = rows.column(0)
-    for lang in pc.unique(langs).to_pylist():
-        yield lang, Shard(iter(texts(rows.filter(pc.equal(langs, lang)).column(1))))
+def _languages(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, str, Shard]]:
+    """Of each shard and language: the bytes of the shard, the language, and its documents."""
+    for batch in batches:
+        for body in batch.column(0).to_pylist():
+            for row in unpacked(body).to_pylist():
+                yield row["bytes"], row["lang"], Shard(row["words"].split(b" "), np.frombuffer(row["ids"], np.int32))
 
 
-def _wide(texts_: DataFrame, size: int) -> tuple[DataFrame, int]:
-    """The texts in tasks that read about a shard each, and the bytes of all."""
-    total = texts_.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    wanted = max(texts_.sparkSession.sparkContext.defaultParallelism, -(-total // size))
-    # neighbouring splits go to one task, without a shuffle
-    return (texts_.coalesce(wanted) if texts_.rdd.getNumPartitions() > wanted else texts_), total
+def _local_support(support: int, here: int, total: int) -> int:
+    """The least whole count whose part of the support is that of the shard's bytes."""
+    return max(1, -(-support * here // max(1, total)))
 
 
-def _unreported(texts_: DataFrame, total: int, support: int, size: int) -> int:
+def _unreported(shards: DataFrame, total: int, support: int) -> int:
     """How often a phrase can be in the corpus that no shard reports: the local supports less one, added up."""
 
     def run(batches):
-        for rows in runs(batches, 1, size):
-            yield pa.RecordBatch.from_arrays([pa.array([_local_support(support, _bytes(rows), total) - 1], pa.int64())], ["n"])
+        for batch in batches:
+            sizes = [unpacked(body).column(3)[0].as_py() for body in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([_local_support(support, size, total) - 1 for size in sizes], pa.int64())], ["n"])
 
-    return texts_.mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
+    return shards.select("body").mapInArrow(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def of_language(lang: str, hashes: np.ndarray) -> np.ndarray:
@@ -148,23 +147,35 @@ def of_language(lang: str, hashes: np.ndarray) -> np.ndarray:
         return mix64(hashes + np.uint64(xxhash.xxh3_64_intdigest(lang)))
 
 
-def candidates(texts_: DataFrame, total: int, support: int, size: int) -> DataFrame:
-    """Hashes of the phrases that are frequent in a shard at its part of the support, and can be in the corpus: hash."""
+def there(tables: list[np.ndarray], lang: str, length: int, hashes: np.ndarray) -> np.ndarray:
+    """Which phrases of a length have their bits in its table."""
+    bits = tables[length - 1]
+    place = table_place(of_language(lang, hashes), len(bits) * 64)
+    return (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def candidates(shards: DataFrame, total: int, support: int, tables: list[np.ndarray]) -> DataFrame:
+    """Hashes of the phrases, a word longer than those in ``tables``, that can be frequent in the corpus: hash."""
+    length = len(tables) + 1
+    shared = shards.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches):
-        for rows in runs(batches, 1, size):
+        for size, lang, shard in _languages(batches):
             # in whole numbers: count / support >= bytes of the shard / bytes of all
-            least = _local_support(support, _bytes(rows), total)
-            for lang, shard in _languages(rows):
-                for _, n, hashes in shard.levels(lambda n, h, least=least: n >= least):
-                    own = of_language(lang, hashes).view(np.int64)
-                    for at in range(0, len(own), EMIT):
-                        part = slice(at, at + EMIT)
-                        yield pa.RecordBatch.from_arrays([pa.array(own[part]), pa.array(n[part] - (least - 1))], ["hash", "beyond"])
+            least = _local_support(support, size, total)
+
+            def keep(k, n, hashes, lang=lang, least=least):
+                return n >= least if k == length else there(shared.value, lang, k, hashes)
+
+            found = list(shard.levels(length, keep))
+            if len(found) == length:
+                own, n = of_language(lang, found[-1][2]).view(np.int64), found[-1][1] - (least - 1)
+                for at in range(0, len(own), EMIT):
+                    yield pa.RecordBatch.from_arrays([pa.array(own[at : at + EMIT]), pa.array(n[at : at + EMIT])], ["hash", "beyond"])
 
-    # reported counts, with what the shards that did not report the phrase can have at most
-    found = texts_.mapInArrow(run, "hash long, beyond long").groupBy("hash").agg(F.sum("beyond").alias("beyond"))
-    return found.where(F.col("beyond") >= support - _unreported(texts_, total, support, size)).select("hash")
+    # reported counts, less what a shard that does not report the phrase can have at most
+    found = shards.select("body").mapInArrow(run, "hash long, beyond long").groupBy("hash").agg(F.sum("beyond").alias("beyond"))
+    return found.where(F.col("beyond") >= support - _unreported(shards, total, support)).select("hash")
 
 
 def table_place(hashes: np.ndarray, bits: int) -> np.ndarray:
@@ -185,39 +196,41 @@ def candidate_table(found: DataFrame, most: int = TABLE) -> np.ndarray:
     return table
 
 
-def counted(texts_: DataFrame, table: np.ndarray, size: int) -> DataFrame:
-    """Exact counts of all that is in the table: lang, phrase, words, f; and a row without a phrase for all words."""
-    shared = texts_.sparkSession.sparkContext.broadcast(table)
+def counted(shards: DataFrame, tables: list[np.ndarray]) -> DataFrame:
+    """Exact counts of all that is in the tables: lang, phrase, words, f; and a row without a phrase for all words."""
+    shared = shards.sparkSession.sparkContext.broadcast(tables)
 
     def run(batches):
-        bits = shared.value
-        for rows in runs(batches, 1, size):
-            for lang, shard in _languages(rows):
+        for _, lang, shard in _languages(batches):
 
-                def keep(n, hashes, lang=lang):
-                    place = table_place(of_language(lang, hashes), len(bits) * 64)
-                    return (bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1) == 1
+            def keep(k, n, hashes, lang=lang):
+                return there(shared.value, lang, k, hashes)
 
-                yield made(lang, [None], 0, [int(np.count_nonzero(shard.ids))])
-                for phrases, n, _ in shard.levels(keep):
-                    for at in range(0, len(n), EMIT):
-                        yield made(lang, shard.texts(phrases[at : at + EMIT]), phrases.shape[1], n[at : at + EMIT])
+            yield made(lang, [None], 0, [int(np.count_nonzero(shard.ids))])
+            for phrases, n, _ in shard.levels(LONGEST, keep):
+                for at in range(0, len(n), EMIT):
+                    yield made(lang, shard.texts(phrases[at : at + EMIT]), phrases.shape[1], n[at : at + EMIT])
 
     def made(lang, phrases, length, n):
         columns = [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array([length] * len(phrases), pa.int32()), pa.array(n, pa.int64())]
         return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "f"])
 
-    each = texts_.mapInArrow(run, "lang string, phrase string, words int, f long")
+    each = shards.select("body").mapInArrow(run, "lang string, phrase string, words int, f long")
     return each.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f"))
 
 
 def frequencies(docs: DataFrame, support: int = 30, text_col: str = "text", lang_col: str = "lang", shard: int = SHARD, table: int = TABLE) -> tuple[DataFrame, DataFrame]:
     """Phrases of one to four words found ``support`` times or more (lang, phrase, words, f), and lang, n of all words."""
-    small_batches(docs.sparkSession, rows=1000, mb=8)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows, total = _wide(rows, shard)
-    found = stored(candidates(rows, total, support, shard), "phrase-candidates")
-    all_counts = stored(counted(rows, candidate_table(found, table), shard).where(F.col("phrase").isNull() | (F.col("f") >= support)), "phrase-counts")
+    total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    shards = chunked(rows, "phrase-shards", lambda: _numbers, shard)
+    tables: list[np.ndarray] = []
+    for _ in range(LONGEST):
+        found = stored(candidates(shards, total, support, tables), "phrase-candidates")
+        tables = [*tables, candidate_table(found, table)]
+        forget(found)
+    all_counts = stored(counted(shards, tables).where(F.col("phrase").isNull() | (F.col("f") >= support)), "phrase-counts")
+    forget(shards)
     return all_counts.where(F.col("phrase").isNotNull()), all_counts.where(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
 
 

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import components, forget, mix64, small_batches, stored, texts
 
 FREQUENT = 48  # documents that share a shingle beyond which it is frequent
+CROWDED = 16  # times as many documents as make a shingle frequent, in a bucket of one that no task met often enough
 MOST_FREQUENT = 1 << 20  # bound on the frequent shingles sent to every task
 COUNTED = 6_000_000  # shingles a task counts at a time
 FILTER_BITS = 24
@@ -323,13 +324,21 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
     counted = described.where("kind = 1").groupBy("k").agg(F.sum("n").alias("n"))
     total = described.where("kind = 1").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     often = counted.where(F.col("n") > max(FREQUENT, total // MOST_FREQUENT)).select("k").toArrow().column(0).to_numpy()
-    index = stored(_index(docs, words, rule, np.sort(often.view(np.uint64))), "join-index")
-
-    # Rare shingles: what shares a bucket, and the bucket's least node.
-    bucket = Window.partitionBy("sig")
-    single = F.struct("node", "n", "m")
-    singles = index.where("not combo").withColumn("lo", F.min(single).over(bucket)).withColumn("hi", F.max("node").over(bucket))
-    shared = stored(singles.where("lo.node < hi").select("sig", "node", "n", "m", "pos", "lo").distinct(), "join-shared")
+    frequent = np.sort(often.view(np.uint64))
+    crowded = CROWDED * max(FREQUENT, total // MOST_FREQUENT)
+    while True:
+        index = stored(_index(docs, words, rule, frequent), "join-index")
+        # Rare shingles: what shares a bucket, and the bucket's least node.
+        bucket = Window.partitionBy("sig")
+        single = F.struct("node", "n", "m")
+        singles = index.where("not combo").withColumn("lo", F.min(single).over(bucket)).withColumn("hi", F.max("node").over(bucket))
+        shared = stored(singles.where("lo.node < hi").select("sig", "node", "n", "m", "pos", "lo").distinct(), "join-shared")
+        # A shingle spread over so many tasks that none met it twice is counted here, exactly, and is frequent from now on.
+        missed = shared.groupBy("sig").count().where(F.col("count") > crowded).select("sig").toArrow().column(0).to_numpy()
+        if not len(missed):
+            break
+        frequent = np.union1d(frequent, missed.view(np.uint64))
+        forget(index, shared)
     placed = stored(_placed(index.where("combo").select("sig", "node")), "join-blocks")
     forget(index)
 

@@ -1,17 +1,20 @@
 """Quality classifier: a factorisation machine over hashed words, structure statistics and metadata.
 
 A text becomes a sparse vector: its distinct words hashed to ``WORDS`` indexes with damped counts, and statistics of its
-structure (shares of bytes by kind, repetition, word and line lengths, length of the text), each as a step among ``STEPS``
-levels, so that pairs of features can interact. The score is
+structure (shares of bytes by kind, repetition, word and line lengths, length of the text) and of its metadata (the number
+of characters that its row states, and how far that is from the text's own), each as a step among ``STEPS`` levels, so that
+pairs of features can interact. The score is
 
     w0 + sum w_i x_i + 1/2 sum_f ((sum_i v_if x_i)^2 - sum_i (v_if x_i)^2),
 
 the sum-of-squares form of all pairwise interactions, linear in the number of features of a text.
 
 The machine is fitted on the driver by mini-batch steps from a bounded sample (``TRAIN_ROWS`` labelled documents, whole
-texts, chosen by a hash of the id). Scoring is one pass over all documents without a shuffle.
+texts, chosen by a hash of the id); only their vectors leave the executors. Scoring is one pass over all documents without
+a shuffle.
 
-Defined results: null text counts as empty and both are scored; without labels every score is 0.5; repeated rows get
+Defined results: null text counts as empty and both are scored; a number of characters that is null, or a column that is
+not there, is a level of its own; without labels every score is 0.5; repeated rows get
 equal scores; a null id or null label is never learned from; other columns pass by.
 """
 
@@ -40,12 +43,13 @@ for _b in range(256):
 STATS = (
     "space", "line", "digit", "upper", "punctuation", "symbol", "beyond", "distinct", "top_word", "top_pair", "word_length",
     "long_words", "symbol_words", "upper_words", "same_lines", "line_length", "words", "bytes", "first_letter",
+    "stated", "stated_apart",
 )
 DIM = WORDS + STEPS * len(STATS)
 
 
-def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Indexes and values of a whole UTF-8 text."""
+def features(text: bytes, stated: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Indexes and values of a whole UTF-8 text, and of the number of characters that its row states."""
     words = text.lower().split()
     n, size = len(words), len(text)
     counts = Counter(words)
@@ -61,6 +65,9 @@ def features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         sum(not w[-1:].isalnum() and w[-1] < 128 for w in sample) / max(n, 1), sum(w.isupper() for w in sample) / max(n, 1),
         1 - len(set(lines)) / len(lines), np.log1p(size / len(lines)) / 10, np.log1p(n) / 10, np.log1p(size) / 14,
         float(text[:1].isupper()),
+        # level 0 is kept for rows that state nothing
+        0.0 if stated is None else 0.05 + np.log1p(max(stated, 0)) / 15,
+        0.0 if stated is None else 0.05 + abs(stated - len(text.decode("utf-8", "replace"))) / (abs(stated) + size + 1),
     )
     level = np.clip((np.array(stats) * STEPS).astype(int), 0, STEPS - 1)
     hashed = np.fromiter((zlib.crc32(w) & (WORDS - 1) for w in counts), np.int64, len(counts))
@@ -120,28 +127,39 @@ def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, epochs:
     return m
 
 
-def fit(labelled: DataFrame, id_col="doc_id", text_col="text", label_col="quality", rows: int = TRAIN_ROWS) -> Machine:
-    """Learn from the ``rows`` rows of ``labelled`` with the smallest hash of their id; features are made on the executors."""
+def _read(docs: DataFrame, id_col: str, text_col: str, chars_col: str, *more) -> DataFrame:
+    stated = F.col(chars_col).cast("long") if chars_col in docs.columns else F.lit(None).cast("long")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), stated.alias("stated"), *more)
+
+
+def fit(labelled: DataFrame, id_col="doc_id", text_col="text", label_col="quality", rows: int = TRAIN_ROWS, chars_col="n_chars") -> Machine:
+    """Learn from the ``rows`` rows of ``labelled`` with the smallest hash of their id; features are made on the executors.
+
+    The hash below which they lie is found from the ids alone, so that no text moves.
+    """
     small_batches(labelled.sparkSession)
-    data = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(label_col).cast("double").alias("label")).where("label is not null")
-    sample = data.orderBy(F.xxhash64(F.lit(5), "id"), "id").limit(rows).select("label", "text")
+    order = F.xxhash64(F.lit(5), id_col)
+    data = _read(labelled, id_col, text_col, chars_col, F.col(label_col).cast("double").alias("label"), order.alias("h")).where("label is not null")
+    last = data.select("h").orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    sample = data.where(F.col("h") <= (last if last is not None else 0)).select("label", "text", "stated", "h")
 
     def made(batches):
         for batch in batches:
-            found = [features(t) for t in texts(batch.column(1))]
+            found = [features(t, n) for t, n in zip(texts(batch.column(1)), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([a.astype(np.int32).tobytes() for a, _ in found], pa.binary()), pa.array([x.astype(np.float32).tobytes() for _, x in found], pa.binary())],
-                ["label", "at", "x"],
+                [batch.column(0), pa.array([a.astype(np.int32).tobytes() for a, _ in found], pa.binary()), pa.array([x.astype(np.float32).tobytes() for _, x in found], pa.binary()), batch.column(3)],
+                ["label", "at", "x", "h"],
             )
 
-    got = sample.mapInArrow(made, "label double, at binary, x binary").collect()
+    # rows that repeat an id share its hash: the limit holds for them as well
+    got = sorted(sample.mapInArrow(made, "label double, at binary, x binary, h long").limit(rows).collect(), key=lambda r: (r.h, r.label, bytes(r["at"])))
     return train(
-        [(np.frombuffer(r.at, np.int32).astype(np.int64), np.frombuffer(r.x, np.float32).astype(np.float64)) for r in got],
+        [(np.frombuffer(r["at"], np.int32).astype(np.int64), np.frombuffer(r["x"], np.float32).astype(np.float64)) for r in got],
         np.array([r.label for r in got], float),
     )
 
 
-def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: str = "text", chars_col: str = "n_chars") -> DataFrame:
     """Per document: doc_id and its score from 0 to 1."""
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(machine)
@@ -149,13 +167,12 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     def run(batches):
         m = shared.value
         for batch in batches:
-            found = [features(t) for t in texts(batch.column(1))]
+            found = [features(t, n) for t, n in zip(texts(batch.column(1)), batch.column(2).to_pylist())]
             scores = np.zeros(0)
             if found:
                 begins = np.concatenate(([0], np.cumsum([len(a) for a, _ in found])[:-1]))
                 scores = m.score(np.concatenate([a for a, _ in found]), np.concatenate([x for _, x in found]), begins)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
-        run, f"doc_id {docs.schema[id_col].dataType.simpleString()}, score double"
-    )
+    kind = docs.schema[id_col].dataType.simpleString()
+    return _read(docs, id_col, text_col, chars_col).mapInArrow(run, f"doc_id {kind}, score double")

@@ -19,7 +19,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     labels = table(spark, sf_dir, "labels").where(not_bucket(F.col("doc_id"), 4, 2) & F.col("quality").isNotNull())
     # the ids to learn from are bounded before the texts are looked at
     chosen = labels.select("doc_id", "quality").orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(quality.TRAIN_ROWS)
@@ -87,6 +87,28 @@ def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
+    "op6_ngram_join": r"""
+        with recursive d as (
+            select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[ \t\n\x0B\x0C\r]+'), lambda x: x <> '') as w
+            from documents
+        ), s as (
+            select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+                else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as s
+            from d
+        ), g as (
+            select doc_id, len(s) as n, unnest(s) as shingle from s
+        ), links as (
+            select a.doc_id as a, b.doc_id as b from g a join g b on a.shingle = b.shingle and a.doc_id < b.doc_id
+            group by a.doc_id, b.doc_id, a.n, b.n having 100 * count(*) >= 85 * (a.n + b.n - count(*))
+        ), edges as (
+            select a as x, b as y from links union all select b, a from links
+        ), reach(doc_id, low) as (
+            select doc_id, doc_id from s
+            union select y, low from reach join edges on x = doc_id where low < y
+        )
+        select s.doc_id, len(s.s) as n_shingles, (select min(low) from reach r where r.doc_id = s.doc_id) as component_id from s
+    """,
     "op9_topk": """
         with e as (
             select vec_id, list_transform(embedding, lambda x: floor(1024 * x::double)) as v

@@ -62,6 +62,37 @@ def test_quality_learns_and_scores_every_row(spark, odd, none):
     assert quality.score(odd, machine).count() == odd.count() and quality.score(none, machine).count() == 0
 
 
+def test_a_step_of_training_is_the_plain_one(monkeypatch):
+    """One mini-batch against gradients by differences of the loss."""
+    rows = [quality.features(t, n) for t, n in ((b"good plain words", 16), (b"BAD!!! $$$ bad bad", None), (b"", 0))]
+    labels = np.array([1.0, 0.0, 1.0])
+    start = quality.Machine(float(np.log(2)))
+
+    def loss(m):
+        total = 0.0
+        for (at, x), y in zip(rows, labels):
+            raw = m.raw(at, x, np.array([0]))[0][0]
+            total += np.log1p(np.exp(-raw if y else raw)) / len(labels)
+        return total
+
+    done = quality.train(rows, labels, epochs=1, batch=3, rate=1e-3, decay=0.0)
+    for i in rows[0][0][:3]:
+        eps = 1e-5
+        start.w[i] += eps
+        up = loss(start)
+        start.w[i] -= 2 * eps
+        slope = (up - loss(start)) / (2 * eps)
+        start.w[i] += eps
+        # a scaled step goes down the slope by the rate
+        assert done.w[i] == pytest.approx(-1e-3 * slope / np.sqrt(1e-6 + slope**2), rel=1e-3)
+
+
+def test_metadata_is_read(spark):
+    stated, unstated = quality.features(b"some text", 9)[0], quality.features(b"some text")[0]
+    assert (stated[-2:] != unstated[-2:]).all() and (stated[:-2] == unstated[:-2]).all()
+    assert quality.features(b"some text", 900)[0][-1] != stated[-1]
+
+
 def test_sum_of_squares_is_the_sum_over_pairs():
     m = quality.Machine(0.1)
     m.w = np.random.default_rng(0).normal(size=quality.DIM)
@@ -263,6 +294,22 @@ def test_join_matches_brute_force(spark, monkeypatch, frequent):
     assert got == brute_join(rows, 4, 85)
 
 
+def test_a_shingle_that_no_task_meets_twice_is_found(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "FREQUENT", 5)
+    monkeypatch.setattr(jaccard, "CROWDED", 2)
+    rng = np.random.default_rng(0)
+    common = "all of these words come again"
+    rows = [(i, f"{common} " + " ".join(f"w{rng.integers(0, 10**6)}" for _ in range(6))) for i in range(60)]
+    rows += [(100 + i, rows[i][1] + f" tail{i}") for i in range(0, 60, 7)] + [(200 + i, common) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(len(rows), "doc_id")
+    seen = []
+    index = jaccard._index
+    monkeypatch.setattr(jaccard, "_index", lambda d, w, r, frequent: seen.append(len(frequent)) or index(d, w, r, frequent))
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(docs).collect())
+    assert got == brute_join(rows, 4, 85)
+    assert len(seen) > 1 and seen[-1] > seen[0]
+
+
 @pytest.mark.parametrize("k", [4, 5])
 def test_a_text_of_one_shingle_links_with_its_repetition(spark, k):
     rows = [(n, " ".join(["ha"] * n)) for n in range(1, 9)] + [(20, "a b c d"), (21, "a b c d e"), (22, "A b c d")]

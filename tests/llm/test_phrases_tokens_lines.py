@@ -95,12 +95,15 @@ def test_collocations_of_empty_tables(odd, none):
 
 
 def test_shards_lower_the_support_in_proportion(spark):
-    rows = [(i, "left right", "en", "a", 1) for i in range(40)] + [(100 + i, f"only{i} once{i}", "en", "a", 1) for i in range(400)]
-    texts = spark.createDataFrame(rows, SCHEMA).select("lang", "text").coalesce(1)
-    total = sum(len(row[1]) for row in rows)
-    found = collocations.candidates(texts, total, 30, total // 5)
+    rows = [("left right", "en")] * 40 + [(f"only{i} once{i}", "en") for i in range(400)]
+    docs = spark.createDataFrame(rows, "text string, lang string").select("lang", "text").coalesce(1)
+    total = sum(len(row[0]) for row in rows)
+    shards = collocations.chunked(docs, "t", lambda: collocations._numbers, total // 5)
     # a fifth of the bytes: five or six times in a shard make a candidate, which only the phrase and its two words reach
-    assert found.count() == 3
+    words = collocations.candidates(shards, total, 30, [])
+    assert words.count() == 2
+    tables = [collocations.candidate_table(words)]
+    assert collocations.candidates(shards, total, 30, tables).count() == 1
 
 
 # --- 12 alignment ---------------------------------------------------------------------------------------------

@@ -21,7 +21,8 @@ from changeloom.llm.common import WORD, stored
 PLACES = 1024  # parts into which the documents of one source are dealt for the running sum, for every PER_PLACES rows
 PER_PLACES = 1 << 26
 CELLS = 1024  # parts of the cumulative targets in which a draw looks for its source
-GROUP = 4096  # shards whose draws one task makes, and over which running sums go in one step
+GROUP = 64  # shards whose draws one task makes, and over which running sums go in one step
+DRAWS = 1 << 18  # draws a task makes, about
 ROUNDS = 4  # of an index permutation
 
 
@@ -50,9 +51,12 @@ def _permuted(j: Column, n: Column, salt: Column) -> Column:
     ``sqrt(n) + 1`` numbers lie there, and where so many steps are too many to take, not to come back is an error.
     """
     first = _rounds(j, n, salt)
-    back = F.aggregate(F.sequence(F.lit(1), F.lit(256)), first, lambda x, _: F.when(x < n, x).otherwise(_rounds(x, n, salt)))
     lost = F.raise_error(F.lit("a permuted index did not come back")).cast("long")
-    return F.when(first < n, first).otherwise(F.when(back < n, back).otherwise(lost))
+    back = F.aggregate(
+        F.sequence(F.lit(1), F.lit(256)), first, lambda x, _: F.when(x < n, x).otherwise(_rounds(x, n, salt)),
+        lambda x: F.when(x < n, x).otherwise(lost),
+    )
+    return F.when(first < n, first).otherwise(back)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: float = 3.0) -> DataFrame:
@@ -104,6 +108,8 @@ def _planned(docs: DataFrame, block_words: int, weights, cap, id_col, text_col,
     places = PLACES * max(1, -(-kept.count() // PER_PLACES))
     placed = placed.withColumn("place", F.pmod(F.xxhash64("doc_id", "size"), F.lit(places)))
     parts = placed.groupBy("sk", "place").agg(F.first("source").alias("source"), F.sum(F.col("size") * F.col("copies")).alias("part_size"))
+    # what is asked again and again is written: sums of parts, and the row of each source
+    parts = stored(parts, "mix-parts")
     earlier = Window.partitionBy("sk").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     begins = parts.select("sk", "place", F.coalesce(F.sum("part_size").over(earlier), F.lit(0)).alias("begin"))
     targets = source_targets(
@@ -119,7 +125,7 @@ def _planned(docs: DataFrame, block_words: int, weights, cap, id_col, text_col,
         .withColumn("slot_begin", F.col("slot_end") - F.col("slots"))
         .withColumn("all_slots", F.sum("slots").over(Window.partitionBy()))
     )
-    return placed, begins, sources
+    return placed, begins, stored(sources, "mix-sources")
 
 
 def _offsets(placed: DataFrame, begins: DataFrame) -> DataFrame:
@@ -131,6 +137,12 @@ def _offsets(placed: DataFrame, begins: DataFrame) -> DataFrame:
     return found.withColumn("offset", offset).drop("within", "begin", "place", "copies", "_copy")
 
 
+def _tasks(sources: DataFrame) -> int:
+    """Tasks that make all draws."""
+    first = sources.agg(F.max("all_slots")).first()[0] or 0
+    return max(sources.sparkSession.sparkContext.defaultParallelism, -(-first // DRAWS))
+
+
 def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     """How many slots of each output shard draw each source: shard, sk, n, a multinomial draw per shard.
 
@@ -146,7 +158,7 @@ def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     shards = F.ceil(total / shard_slots).cast("long")
     groups = drawn.select("all_slots").distinct().withColumn("group", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((shards - 1) / GROUP))))
     first = F.col("group") * GROUP
-    every = groups.repartition("group").withColumn("shard", F.explode(F.sequence(first, F.least(first + GROUP, shards) - 1)))
+    every = groups.repartition(_tasks(sources), "group").withColumn("shard", F.explode(F.sequence(first, F.least(first + GROUP, shards) - 1)))
     left = F.least(F.lit(shard_slots).cast("long"), total - F.col("shard") * shard_slots)
     slots = every.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), left - 1)))
     draws = slots.select("shard", F.pmod(F.xxhash64(F.lit(seed), "shard", "slot"), total).alias("u"), "all_slots")
@@ -176,11 +188,11 @@ def _stretched(counts: DataFrame, sources: DataFrame, shard_slots: int) -> DataF
 
 def _slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     """One row per output slot: shard, slot in it, source key, the pass over the source, and the block it takes."""
-    drawn = _stretched(shard_counts(sources, shard_slots, seed), sources, shard_slots)
+    drawn = stored(_stretched(stored(shard_counts(sources, shard_slots, seed), "mix-counts"), sources, shard_slots), "mix-draws")
     inside, upto = Window.partitionBy("shard"), Window.partitionBy("shard").orderBy("sk").rowsBetween(Window.unboundedPreceding, -1)
     size = F.col("end") - F.col("begin")
     placed = drawn.withColumn("first", F.coalesce(F.sum(size).over(upto), F.lit(0))).withColumn("all", F.sum(size).over(inside))
-    draws = placed.withColumn("j", F.explode(F.sequence(F.col("begin"), F.col("end") - 1)))
+    draws = placed.repartition(_tasks(sources), "shard", "sk").withColumn("j", F.explode(F.sequence(F.col("begin"), F.col("end") - 1)))
     draws = draws.join(sources.select("sk", "blocks"), "sk")
     turn = F.call_function("div", F.col("j"), F.col("blocks"))
     slot = _permuted(F.col("first") + F.col("j") - F.col("begin"), F.col("all"), F.xxhash64(F.lit(seed), F.col("shard")))
@@ -249,7 +261,7 @@ def mixed_documents(docs: DataFrame, seed: int = 7, **options) -> DataFrame:
     copies = F.when(F.col("_r.size") > 0, F.floor(rate) + (chance < rate - F.floor(rate)).cast("long")).otherwise(1)
     rows = docs.select(F.struct("*").alias("_d"), size.alias("_size"))
     joined = rows.join(
-        rates.alias("_r"),
+        rates.hint("merge").alias("_r"),
         F.col(f"_d.{id_col}").eqNullSafe(F.col("_r.doc_id")) & F.col(f"_d.{source_col}").eqNullSafe(F.col("_r.source")) & (F.col("_size") == F.col("_r.size")),
     )
     return joined.select("_d", F.explode(F.when(copies >= 1, F.sequence(F.lit(1), copies.cast("int"))))).select("_d.*")

@@ -281,7 +281,7 @@ def test_continuous_job_drains_on_stop(spark, tmp_path, mode):
     rows = m.random_log(15, 30)
     job.deliver(rows)
     running = sr.start_replication(job.changes(), job.target, job.options, job.root)
-    running.stop(drain=True)
+    assert running.stop(drain=True, timeout=300)
     assert job.state() == m.as_rows((m.block if mode == "block" else m.merge)([], rows))
     assert not any(query.isActive for query in running.queries)
 
@@ -421,7 +421,7 @@ def test_columns_that_come_while_the_job_runs(spark, tmp_path):
     running.drain()
     spark.sql(f"ALTER TABLE {job.target.table} ADD COLUMNS (extra STRING)")
     job.deliver([{**row, "KFK_OFFSET": 1, "value": '{"k":2,"k2":"a","v":6,"extra":"y"}'}])
-    running.stop(drain=True)
+    assert running.stop(drain=True, timeout=300)
     found = sr.open_target(spark, options).read().orderBy("k").collect()
     assert [(r["k"], r["v"], r["extra"]) for r in found] == [(1, 5, None), (2, 6, "y")]
 

@@ -19,6 +19,8 @@ import re
 import struct
 import zlib
 from collections import defaultdict
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,64 +32,118 @@ from changeloom.llm.common import small_batches, stored, texts
 ROOM = 2048
 PLACES = 1024  # hashed parts in which the pieces of one length are ranked
 CACHED_BYTES = 24 << 20  # of words and ids that a task remembers, about
+STEP = 1 << 19  # bytes of text whose words are looked up at a time
 
 # A fixed value of the tokenizer's file: how it cuts lower-cased text into the parts that its model sees one by one.
 SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # The same for words of visible ASCII and of the letters of U+00C0 to U+00FF, on which every Unicode version agrees.
 _PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+").fullmatch
-_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9]+").findall
+_PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u00ff]+|[0-9]|\x01|[^a-z\u00df-\u00f6\u00f8-\u00ff0-9\x01]+").findall
+LONGEST = 256  # bytes of a word that is encoded by ranks
 
-class Parts(dict):
-    """Little-endian ids of the parts that the model has met."""
 
-    def __init__(self, model):
-        self.model = model
-        # the model reads bytes as characters: those that are visible as themselves, the others from U+0100 on
-        seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-        self.letters = {b: 0x100 + i for i, b in enumerate(sorted(set(range(0x100)) - set(seen)))}
+def word_ranks(path: str) -> dict[bytes, int] | None:
+    """The ids of a tokenizer of the known rules by the bytes of their tokens, a 0 byte for the end of a part; else None.
 
-    def __missing__(self, part: str) -> bytes:
-        letters = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(letters)]
-        self[part] = found = struct.pack(f"<{len(ids)}I", *ids)
-        return found
+    Merging the pair whose bytes have the lowest id does what the merges do if each merge makes one token, in the order of
+    the ids, and the bytes of every token are merged to that token.
+    """
+    from tokenizers import Tokenizer
+
+    rules = json.loads(Tokenizer.from_file(path).to_str())
+    model, pre = rules["model"], rules["pre_tokenizer"] or {}
+    cut, *then = pre.get("pretokenizers") or [{}]
+    steps = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers") or []]
+    known = (
+        model["type"] == "BPE" and steps == ["NFC", "Replace", "Lowercase"] and model["end_of_word_suffix"]
+        and not any(model[k] for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        and cut.get("pattern") == {"Regex": SPLIT} and [t["type"] for t in then] == ["ByteLevel"]
+        and all(t["content"].startswith("<|") for t in rules["added_tokens"])
+    )
+    if not known:
+        return None
+    # the model reads bytes as characters: those that are visible as themselves, the others from U+0100 on
+    seen = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    byte = {chr(b): b for b in seen} | {chr(0x100 + i): b for i, b in enumerate(sorted(set(range(0x100)) - set(seen)))}
+    end = model["end_of_word_suffix"]
+
+    def spelled(name: str) -> bytes:
+        last = len(name) > len(end) and name.endswith(end)
+        return bytes(byte[c] for c in (name.removesuffix(end) if last else name)) + b"\0" * last
+
+    ranks = {spelled(name): i for name, i in model["vocab"].items() if not name.startswith("<|")}
+    single = [bytes([b]) for b in range(256)]
+    pairs = {}
+    for k, merge in enumerate(model["merges"]):
+        a, b = map(spelled, merge)
+        if 0 in a or 0 in b[:-1] or b == b"\0" or ranks.get(a + b) != 512 + k:
+            return None
+        pairs[a, b] = k
+    if {ranks.get(b, 512) >> 8 for b in single} != {0} or {ranks.get(b + b"\0", 0) >> 8 for b in single} != {1} or len(ranks) != 512 + len(pairs):
+        return None
+    return ranks if all(_merged(token, pairs) == [token] for token in ranks if len(token) > 2) else None
+
+
+def _merged(token: bytes, pairs: dict[tuple[bytes, bytes], int]) -> list[bytes]:
+    """The tokens that the merges make of a part."""
+    parts = [bytes([b]) for b in token.removesuffix(b"\0")]
+    parts[-1] += b"\0" * token.endswith(b"\0")
+    while len(parts) > 1:
+        rank, i = min((pairs.get((a, b), len(pairs)), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+        if rank == len(pairs):
+            break
+        parts[i : i + 2] = [parts[i] + parts[i + 1]]
+    return parts
 
 
-class Words(dict):
+class Words:
     """Little-endian ids of the UTF-8 words that a task has met; starts anew when it is full, and goes with the task.
 
-    A plain word is cut into its parts here, and only parts not met before go to the tokenizer's model. All others, and
-    all words of a tokenizer with other rules, go through the whole tokenizer.
+    Plain words not met before are cut into their parts here and encoded by ranks, many at a time. All others, and all
+    words of a tokenizer with other rules, go through the whole tokenizer.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, ranks: dict[bytes, int] | None = None):
+        import tiktoken
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        self.path = path
+        self.ranks = word_ranks(path) if ranks is None else ranks
+        self.known = bool(self.ranks)
+        self.ranked = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=self.ranks, special_tokens={}) if self.known else None
+        self.ids: dict[bytes, bytes] = {}
+        self.held = 0
+
+    @cached_property
+    def tokenizer(self):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.parts = Parts(self.tokenizer.model)
-        self.held = 0
-        rules = json.loads(self.tokenizer.to_str())
-        cut, *then = (rules["pre_tokenizer"] or {}).get("pretokenizers") or [{}]
-        steps = [n["type"] for n in (rules["normalizer"] or {}).get("normalizers") or []]
-        self.known = (
-            rules["model"]["type"] == "BPE" and steps == ["NFC", "Replace", "Lowercase"]
-            and cut.get("pattern") == {"Regex": SPLIT} and [t["type"] for t in then] == ["ByteLevel"]
-            and all(t["content"].startswith("<|") for t in rules["added_tokens"])
-        )
-
-    def __missing__(self, word: bytes) -> bytes:
-        text = word.decode("utf-8", "replace")
-        if self.known and text.isascii() and text.isalpha():
-            found = self.parts[text.lower()]
-        elif self.known and _PLAIN(text) and "<|" not in text:
-            found = b"".join(map(self.parts.__getitem__, _PARTS(text.lower())))
-        else:
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            found = struct.pack(f"<{len(ids)}I", *ids)
-        self.held += len(word) + len(found) + 200  # with what both objects and their places take
-        self[word] = found
-        return found
+        return Tokenizer.from_file(self.path)
+
+    def whole(self, found: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e.ids)}I", *e.ids) for e in self.tokenizer.encode_batch_fast(found, add_special_tokens=False)]
+
+    def by_rank(self, plain: list[str]) -> list[bytes]:
+        """Ids of plain words: a part of its own after each word tells them apart."""
+        parts = _PARTS("\x01".join([*plain, ""]).lower())
+        ids = np.array(self.ranked.encode_ordinary("\0".join([*parts, ""])), "<u4")
+        ends = (np.flatnonzero(ids == self.ranks[b"\x01\0"]) * 4).tolist()
+        body = ids.tobytes()
+        return [body[begin:end] for begin, end in zip([0, *[end + 4 for end in ends]], ends)]
+
+    def learn(self, new: list[bytes]) -> None:
+        """Remembers words that are not known yet."""
+        plain, other = ([], []), ([], [])
+        for word, text in zip(new, b"\n".join(new).decode("utf-8", "replace").split("\n")):
+            words, found = plain if len(word) <= LONGEST and _PLAIN(text) and "<|" not in text else other
+            words.append(word)
+            found.append(text)
+        for (words, found), ids_of in ((plain, self.by_rank), (other, self.whole)):
+            if words:
+                ids = ids_of(found)
+                self.ids.update(zip(words, ids))
+                # with what both objects and their places take
+                self.held += sum(map(len, words)) + sum(map(len, ids)) + 200 * len(words)
 
 
 def token_bytes(found: list[bytes], words: Words) -> list[bytes]:
@@ -97,15 +153,19 @@ def token_bytes(found: list[bytes], words: Words) -> list[bytes]:
     in turn, and a word that came before needs no second look. Any other tokenizer is given whole texts.
     """
     if not words.known:
-        whole = [words.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids for text in found]
-        return [struct.pack(f"<{len(ids)}I", *ids) for ids in whole]
-    out = []
-    for text in found:
+        return words.whole([text.decode("utf-8", "replace") for text in found])
+    out, begin, size = [], 0, 0
+    for i, text in enumerate(found):
+        size += len(text)
+        if size < STEP and i + 1 < len(found):
+            continue
         if words.held > CACHED_BYTES:
-            words.clear()
-            words.parts.clear()
+            words.ids.clear()
             words.held = 0
-        out.append(b"".join(map(words.__getitem__, text.split())))
+        split = [text.split() for text in found[begin : i + 1]]
+        words.learn([word for word in set(chain.from_iterable(split)) if word not in words.ids])
+        out.extend(b"".join(map(words.ids.__getitem__, each)) for each in split)
+        begin, size = i + 1, 0
     return out
 
 
@@ -113,9 +173,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, room: int = ROOM, closing_id: i
     """One row per piece: doc_id, piece, start, length, ids_crc32 and, if wanted, the ids as little-endian 32-bit bytes."""
     small_batches(docs.sparkSession, rows=500, mb=4)
     end = np.array([closing_id], "<u4").tobytes()
+    ranks = word_ranks(tokenizer_path) or {}
 
     def run(batches):
-        words = Words(tokenizer_path)
+        words = Words(tokenizer_path, ranks)
         for batch in batches:
             rows, index = [], []
             for i, ids in enumerate(token_bytes(texts(batch.column(1)), words)):

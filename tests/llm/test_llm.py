@@ -144,6 +144,36 @@ def test_words_have_the_ids_of_the_whole_tokenizer():
     assert packing.token_bytes([t.encode() for t in made], packing.Words(TOKENIZER)) == want
 
 
+def test_ranks_are_for_merges_that_they_stand_for(tmp_path):
+    import json
+
+    rules = json.load(open(TOKENIZER))
+    assert len(packing.word_ranks(TOKENIZER)) == len(rules["model"]["vocab"])
+    # two merges in the other order: the ids no longer say which comes first
+    merges = rules["model"]["merges"]
+    merges[0], merges[1] = merges[1], merges[0]
+    other = tmp_path / "other.json"
+    other.write_text(json.dumps(rules))
+    assert packing.word_ranks(str(other)) is None
+    words = packing.Words(str(other))
+    assert packing.token_bytes([b"thin things in", b""], words) == words.whole(["thin things in", ""])
+
+
+def test_words_not_met_before_are_encoded_together(monkeypatch):
+    words = packing.Words(TOKENIZER)
+    calls, by_rank = [], words.by_rank
+    words.by_rank = lambda found: calls.append(len(found)) or by_rank(found)
+    long = "ab" * 200
+    texts_ = [f"Word{i} word{i // 2}'s {long}".encode() for i in range(500)]
+    got = packing.token_bytes(texts_, words)
+    assert calls == [750]
+    assert got == words.whole([t.decode() for t in texts_])
+    # a word forgotten in between has the same ids
+    monkeypatch.setattr(packing, "CACHED_BYTES", 1000)
+    monkeypatch.setattr(packing, "STEP", 100)
+    assert packing.token_bytes(texts_, words) == got
+
+
 def test_packing_holds_every_id_once(spark, odd, none):
     from tokenizers import Tokenizer
 

@@ -207,6 +207,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec
                 if part == 0:
                     there.append(pickle.loads(body))
                     continue
+                if not there:  # no index block was dealt to this shard
+                    continue
                 wide, rows = pickle.loads(body)
                 for i, q in rows:
                     found = [whole(one).top_k(list(map(int, q)), k, i) if wide or isinstance(one, Wide) else one.top_k(q, k, i) for one in there]

@@ -527,6 +527,17 @@ def test_vectors_of_any_size_are_scored_in_whole_numbers(spark):
         topk.search(big, F.col("vec_id") % 100 == 0).collect()
 
 
+def test_top_k_with_shards_that_no_block_fell_into(spark):
+    rows = [(i, [float(i % 7), float(-i)]) for i in range(1, 101)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(2)
+    got = sorted(map(tuple, topk.search(df, F.col("vec_id") % 50 == 0, k=3, block=1, held=1).collect()))
+    want = []
+    for q, (x, y) in ((50, rows[49][1]), (100, rows[99][1])):
+        best = sorted((-int(1024 * 1024 * (x * u + y * v)), i) for i, (u, v) in rows if i != q)[:3]
+        want += [(q, k + 1, i, -score) for k, (score, i) in enumerate(best)]
+    assert got == want
+
+
 def test_top_k_broadcasts_nothing_of_the_vectors(spark):
     df = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(300)], "vec_id long, embedding array<double>")
     plan = topk.search(df, F.col("vec_id") % 100 == 0, block=16)._jdf.queryExecution().executedPlan().toString()

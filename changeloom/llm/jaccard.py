@@ -119,10 +119,10 @@ def signatures(s: np.ndarray, frequent: np.ndarray, rule: Rule) -> tuple[np.ndar
 
 
 def _described(docs: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: a document (its id, node and size), and a shingle with how often a task met it."""
+    """Rows of two kinds: a document (its id, node, size and the hash of its text), and a shingle with how often a task met it."""
 
-    def batch(ids, kind, k, n):
-        return pa.RecordBatch.from_arrays([ids, pa.array(np.full(len(n), kind, np.int32)), k, pa.array(np.asarray(n, np.int64))], ["doc_id", "kind", "k", "n"])
+    def batch(ids, kind, k, n, t):
+        return pa.RecordBatch.from_arrays([ids, pa.array(np.full(len(n), kind, np.int32)), k, pa.array(np.asarray(n, np.int64)), t], ["doc_id", "kind", "k", "n", "t"])
 
     def run(batches):
         held, size, seen = [], 0, set()
@@ -136,14 +136,14 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
                 # where a run of equal shingles that is longer than one begins and ends
                 same = np.concatenate(([False], every[1:] == every[:-1], [False]))
                 begin, end = np.flatnonzero(same[1:] & ~same[:-1]), np.flatnonzero(same[:-1] & ~same[1:])
-                yield batch(pa.nulls(len(begin), kind_of_id), 1, pa.array(signed(every[begin])), end - begin + 1)
+                yield batch(pa.nulls(len(begin), kind_of_id), 1, pa.array(signed(every[begin])), end - begin + 1, pa.nulls(len(begin), pa.int64()))
 
         kind_of_id = pa.int64()
         for got in batches:
             kind_of_id = got.column(0).type
             sets = shingle_sets(texts(got.column(1)), words)
             nodes = [node_of(s) for s in sets]
-            yield batch(got.column(0), 0, pa.array(nodes, pa.int64()), [len(s) for s in sets])
+            yield batch(got.column(0), 0, pa.array(nodes, pa.int64()), [len(s) for s in sets], got.column(2))
             for node, s in zip(nodes, sets):
                 if node is not None and node not in seen:
                     seen.add(node)
@@ -154,7 +154,8 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
                 size = 0
         yield from counts()
 
-    return docs.mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, kind int, k long, n long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.withColumn("t", F.xxhash64("text")).mapInArrow(run, f"doc_id {kind}, kind int, k long, n long, t long")
 
 
 def _index(docs: DataFrame, words: int, rule: Rule, frequent: np.ndarray) -> DataFrame:
@@ -190,10 +191,15 @@ def _index(docs: DataFrame, words: int, rule: Rule, frequent: np.ndarray) -> Dat
     return docs.select("text").mapInArrow(run, "sig long, node long, n int, m int, pos int, combo boolean")
 
 
-def _sets(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
-    """Sets (node, s) of the wanted nodes, once each. A bit field of fixed size keeps most others from being shuffled."""
-    bit = F.pmod("node", F.lit(1 << FILTER_BITS))
-    field = nodes.select(F.floor(bit / 64).cast("long").alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("bits"))
+def _sets(docs: DataFrame, words: int, nodes: DataFrame, described: DataFrame) -> DataFrame:
+    """Sets (node, s) of the wanted nodes, once each.
+
+    A text of each node gives its set; a bit field of fixed size over the hashes of these texts keeps most others from
+    being shingled, and their sets from being shuffled.
+    """
+    one = described.where("kind = 0").groupBy("k").agg(F.min("t").alias("t")).join(nodes, F.col("k") == F.col("node"), "left_semi")
+    bit = F.pmod("t", F.lit(1 << FILTER_BITS))
+    field = one.select(F.floor(bit / 64).cast("long").alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), (bit % 64).cast("int")).alias("bits"))
     got = field.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()  # at most 2 ** 18 rows
     bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
     bits[got.column(0).to_numpy()] = got.column(1).to_numpy().view(np.uint64)
@@ -202,13 +208,12 @@ def _sets(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
     def run(batches):
         seen: set[int] = set()
         for got in batches:
+            at = got.column(1).to_numpy() & ((1 << FILTER_BITS) - 1)
+            wanted = (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
             rows = []
-            for s in shingle_sets(texts(got.column(0)), words):
+            for s in shingle_sets(texts(got.column(0).filter(pa.array(wanted.astype(bool)))), words):
                 node = node_of(s)
-                if node is None or node in seen:
-                    continue
-                at = node % (1 << FILTER_BITS)
-                if int(shared.value[at >> 6]) >> (at & 63) & 1:
+                if node is not None and node not in seen:
                     seen.add(node)
                     rows.append((node, s.tobytes()))
             if len(seen) > 1 << 20:
@@ -216,7 +221,7 @@ def _sets(docs: DataFrame, words: int, nodes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["node", "s"])
 
     # copies of a node from several tasks carry the same bytes; what only the bit field let pass meets no pair
-    made = docs.select("text").mapInArrow(run, "node long, s binary")
+    made = docs.select("text", F.xxhash64("text").alias("t")).mapInArrow(run, "node long, s binary")
     return made.groupBy("node").agg(F.first("s").alias("s"))
 
 
@@ -348,7 +353,7 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
     star = star.where(2 * F.col("c") >= F.least("m", "lo.m")).groupBy("node").agg(F.max_by("lo.node", F.struct("c", "lo.node")).alias("b"))
     star = stored(star.select(F.col("node").alias("a"), "b"), "join-star")
     nodes = lambda pairs: pairs.select(F.col("a").alias("node")).union(pairs.select("b"))
-    sets = stored(_sets(docs, words, nodes(star).union(placed.select("node")).distinct()), "join-sets")
+    sets = stored(_sets(docs, words, nodes(star).union(placed.select("node")).distinct(), described), "join-sets")
     links = stored(_verified(star, sets, rule).union(_links_by_blocks(placed, sets, rule)), "join-links")
     forget(sets)
 
@@ -367,7 +372,7 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
     rest = met.where(F.col("i") + F.col("j") + 2 - 2 * F.col("c") + F.least(F.col("ma") - F.col("i"), F.col("mb") - F.col("j")) - 1 <= apart)
     tried = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = stored(rest.select("a", "b").join(tried, ["a", "b"], "left_anti"), "join-rest")
-    sets = stored(_sets(docs, words, nodes(rest).distinct()), "join-sets")
+    sets = stored(_sets(docs, words, nodes(rest).distinct(), described), "join-sets")
     final = components(stored(links.union(_verified(rest, sets, rule)), "join-links"))
     forget(sets, shared, left)
     smallest = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))

@@ -355,6 +355,20 @@ def test_join_of_odd_rows(odd, none):
     assert jaccard.join(none).count() == 0
 
 
+def test_only_the_texts_of_wanted_nodes_are_shingled(spark):
+    rows = [(1, "a b c d e"), (2, "a b c d e"), (3, "A  b c d e"), (4, "f g h i j k"), (5, None), (6, "l m")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    described = jaccard._described(docs, 4)
+    node = {r.doc_id: r.k for r in described.where("kind = 0").collect()}
+    assert node[1] == node[2] == node[3] and node[5] is None
+    wanted = spark.createDataFrame([(node[1],), (node[4],)], "node long")
+    sets = {r.node: len(np.frombuffer(r.s, np.uint64)) for r in jaccard._sets(docs, 4, wanted, described).collect()}
+    assert sets == {node[1]: 2, node[4]: 3}
+    # a node whose text is not told has no set: no other text is looked at
+    few = jaccard._sets(docs, 4, wanted, described.where("doc_id is null or doc_id <> 4")).collect()
+    assert [r.node for r in few] == [node[1]]
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(300).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b")).union(spark.createDataFrame([(1000, 2000)], "a long, b long"))
     got = {r.node: r.component for r in components(edges).collect()}

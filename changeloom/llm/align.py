@@ -1,9 +1,9 @@
 """Alignment of two tokenizers' ids over the same text, by the places where tokens of both end.
 
-Tokenizer A is a byte-level BPE, B a sentence-piece BPE; both see a space and the text. Each keeps a dictionary from the
-byte where a token ends to the token's index. The intersection of the two key sets, sorted, cuts both id lists into the
-groups that no token of either crosses. Within a group every pair of tokens whose byte ranges overlap is a link: all
-pairs where one side has a single token, else those that two pointers find.
+Tokenizer A is a byte-level BPE, B a sentence-piece BPE; both see a space and the text. The bytes where tokens of one end
+are a hash set, and those of the other that are in it, the intersection, cut both id lists into the groups that no token of
+either crosses. Within a group every pair of tokens whose byte ranges overlap is a link: all pairs where one side has a
+single token, else those that both sides' ends in one order find.
 
 Documents are encoded and cut once and kept as ids and cuts in written chunks, with the distinct linked pairs of ids of
 each chunk. The counts of all chunks are added up, and a chunk is told those of its own pairs, which it adds per document.
@@ -105,12 +105,12 @@ def encoded(a: ByteLevel, b: Pieces, texts: list[str | None]) -> tuple[list[list
     return ids_a, ids_b
 
 
-def cuts(ends_a: list[int], ends_b: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def cuts(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of A and of B lie before each place where both have a token end."""
-    at_a, at_b = dict(zip(ends_a, range(1, len(ends_a) + 1))), dict(zip(ends_b, range(1, len(ends_b) + 1)))
-    common = sorted(at_a.keys() & at_b.keys())
-    n = len(common)
-    return np.fromiter(map(at_a.__getitem__, common), np.int64, n), np.fromiter(map(at_b.__getitem__, common), np.int64, n)
+    shorter, longer = sorted((np.asarray(ends_a), np.asarray(ends_b)), key=len)
+    # ends ascend, so that those which the hash set of the others has come out in order
+    common = np.fromiter(filter(set(shorter.tolist()).__contains__, longer.tolist()), np.int64)
+    return np.searchsorted(ends_a, common, "right"), np.searchsorted(ends_b, common, "right")
 
 
 def links(cut_a: np.ndarray, cut_b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -124,21 +124,12 @@ def links(cut_a: np.ndarray, cut_b: np.ndarray, ends_a: np.ndarray, ends_b: np.n
     step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
     out_a = [from_a[both], np.repeat(from_a[one], many) + np.where(np.repeat(n_a[one] > 1, many), step, 0)]
     out_b = [from_b[both], np.repeat(from_b[one], many) + np.where(np.repeat(n_b[one] > 1, many), step, 0)]
-    more_a, more_b = [], []
-    for g in np.flatnonzero(~one & ~both).tolist():
-        i, j = int(from_a[g]), int(from_b[g])
-        while i < cut_a[g] and j < cut_b[g]:
-            more_a.append(i)
-            more_b.append(j)
-            # no end is common before the last, where both are done
-            if ends_a[i] < ends_b[j]:
-                i += 1
-            elif ends_a[i] > ends_b[j]:
-                j += 1
-            else:
-                break
-    out_a.append(np.array(more_a, np.int64))
-    out_b.append(np.array(more_b, np.int64))
+    # several on both sides: each end, of either, ends a link of the first tokens of A and of B that reach it
+    rest = ~one & ~both
+    in_a, in_b = (np.arange(n[rest].sum()) + np.repeat(start[rest] - np.cumsum(n[rest]) + n[rest], n[rest]) for start, n in ((from_a, n_a), (from_b, n_b)))
+    ends = np.union1d(ends_a[in_a], ends_b[in_b])
+    out_a.append(in_a[np.searchsorted(ends_a[in_a], ends)])
+    out_b.append(in_b[np.searchsorted(ends_b[in_b], ends)])
     return np.concatenate(out_a), np.concatenate(out_b)
 
 
@@ -163,7 +154,7 @@ class Run:
         self.a, self.b, self.n_a, self.n_b = a, b, n_a, n_b
         ends_a, ends_b = np.cumsum(sizes.a[a]), np.cumsum(sizes.b[b])
         if marks is None:
-            self.cut_a, self.cut_b = cuts(ends_a.tolist(), ends_b.tolist())
+            self.cut_a, self.cut_b = cuts(ends_a, ends_b)
         else:
             ends = np.flatnonzero(marks) + 1
             self.cut_a, self.cut_b = ends[ends <= len(a)], ends[ends > len(a)] - len(a)

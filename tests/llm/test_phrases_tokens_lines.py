@@ -242,3 +242,15 @@ def test_alignment_digest(spark):
     found = {row.doc_id: row for row in align.align(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"), A, B).collect()}
     for row in rows:
         assert row.groups_sha256 == (hashlib.sha256(found[row.doc_id].groups.encode()).hexdigest() if row.n_a else "")
+
+
+def test_cuts_and_links_of_many_tokens_at_once():
+    rng = np.random.default_rng(5)
+    for _ in range(50):
+        size = int(rng.integers(1, 60))
+        ends_a, ends_b = (np.union1d(rng.integers(1, size + 1, int(rng.integers(1, 40))), [size]) for _ in "ab")
+        cut_a, cut_b = align.cuts(ends_a, ends_b)
+        assert ends_a[cut_a - 1].tolist() == ends_b[cut_b - 1].tolist() == sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
+        from_a, from_b = np.concatenate([[0], ends_a[:-1]]), np.concatenate([[0], ends_b[:-1]])
+        want = [(i, j) for i in range(len(ends_a)) for j in range(len(ends_b)) if from_a[i] < ends_b[j] and from_b[j] < ends_a[i]]
+        assert sorted(zip(*(x.tolist() for x in align.links(cut_a, cut_b, ends_a, ends_b)))) == want

@@ -105,7 +105,9 @@ def linked(found: DataFrame, scope: int = SCOPE) -> DataFrame:
 def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """One row per document with spans: key and ``spans``, an array of (start, kind number, end) in that order."""
     # few rows, which the three sides of the interval join read instead of the texts
-    found = stored(parts(docs, id_col, text_col), "secret-parts")
+    found = parts(docs, id_col, text_col)
+    # a file for each core at most, since a file takes Hadoop's local file system several processes started by the executor
+    found = stored(found.coalesce(docs.sparkSession.sparkContext.defaultParallelism), "secret-parts")
     return linked(found, scope).groupBy("key").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans")
     )

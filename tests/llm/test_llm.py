@@ -250,6 +250,20 @@ def test_secret_spans_and_links(spark, odd, none):
     assert clean[1].n_chars == 1 and list(clean[1].asDict()) == odd.columns
 
 
+def test_parts_are_written_in_a_file_for_each_core_at_most(spark):
+    docs = spark.createDataFrame([(i, f"password = hunter{i}hunter2 and more") for i in range(300)], "doc_id long, text string")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "60")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        found = secrets.spans(docs)
+        assert found.count() == 300
+        assert len(found.inputFiles()) <= spark.sparkContext.defaultParallelism
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
 # --- 4 embeddings --------------------------------------------------------------------------------------------
 
 

@@ -159,7 +159,10 @@ def _described(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _index(docs: DataFrame, words: int, rule: Rule, frequent: np.ndarray) -> DataFrame:
-    """Signatures of all nodes: sig, node, n (its size), m (its rare prefix), pos (in it), combo. A task gives a node once."""
+    """Signatures of all nodes: sig, node, n (its size), m (its rare prefix), pos (in it), own. A task gives a node once.
+
+    ``own`` is the node for a combination, null for a rare shingle.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches):
@@ -183,12 +186,13 @@ def _index(docs: DataFrame, words: int, rule: Rule, frequent: np.ndarray) -> Dat
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(signed(np.concatenate([r[0] for r in rows]))), spread(1, np.int64), spread(2, np.int32), spread(3, np.int32),
-                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])), spread(4, bool),
+                        pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in sizes])),
+                        pa.array(np.repeat(np.array([r[1] for r in rows], np.int64), sizes), mask=np.repeat(np.array([not r[4] for r in rows]), sizes)),
                     ],
-                    ["sig", "node", "n", "m", "pos", "combo"],
+                    ["sig", "node", "n", "m", "pos", "own"],
                 )
 
-    return docs.select("text").mapInArrow(run, "sig long, node long, n int, m int, pos int, combo boolean")
+    return docs.select("text").mapInArrow(run, "sig long, node long, n int, m int, pos int, own long")
 
 
 def _sets(docs: DataFrame, words: int, nodes: DataFrame, described: DataFrame) -> DataFrame:
@@ -332,20 +336,21 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
     frequent = np.sort(often.view(np.uint64))
     crowded = CROWDED * max(FREQUENT, total // MOST_FREQUENT)
     while True:
-        index = stored(_index(docs, words, rule, frequent), "join-index")
-        # Rare shingles: what shares a bucket, and the bucket's least node.
-        bucket = Window.partitionBy("sig")
+        # Rare shingles: what shares a bucket, and the bucket's least node. The others, most of them, are never written;
+        # each combination has a bucket of its own here, and stays.
+        bucket = Window.partitionBy("sig", "own")
         single = F.struct("node", "n", "m")
-        singles = index.where("not combo").withColumn("lo", F.min(single).over(bucket)).withColumn("hi", F.max("node").over(bucket))
-        shared = stored(singles.where("lo.node < hi").select("sig", "node", "n", "m", "pos", "lo").distinct(), "join-shared")
+        index = _index(docs, words, rule, frequent).withColumn("lo", F.min(single).over(bucket)).withColumn("hi", F.max("node").over(bucket))
+        index = index.where("own is not null or lo.node < hi").select("sig", "node", "n", "m", "pos", "own", "lo")
+        index = stored(index.distinct(), "join-index")
+        shared = index.where("own is null").drop("own")
         # A shingle spread over so many tasks that none met it twice is counted here, exactly, and is frequent from now on.
         missed = shared.groupBy("sig").count().where(F.col("count") > crowded).select("sig").toArrow().column(0).to_numpy()
         if not len(missed):
             break
         frequent = np.union1d(frequent, missed.view(np.uint64))
-        forget(index, shared)
-    placed = stored(_placed(index.where("combo").select("sig", "node")), "join-blocks")
-    forget(index)
+        forget(index)
+    placed = stored(_placed(index.where("own is not null").select("sig", "node")), "join-blocks")
 
     # First links: each node with the partner it shares most of its prefix with, where that is half or more of it.
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
@@ -374,7 +379,7 @@ def join(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_
     rest = stored(rest.select("a", "b").join(tried, ["a", "b"], "left_anti"), "join-rest")
     sets = stored(_sets(docs, words, nodes(rest).distinct(), described), "join-sets")
     final = components(stored(links.union(_verified(rest, sets, rule)), "join-links"))
-    forget(sets, shared, left)
+    forget(sets, index, left)
     smallest = rows.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
     at = smallest.join(final, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
     ids = at.groupBy("component").agg(F.min("doc_id").alias("component_id"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,18 +20,35 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return found.where((F.col("__lang_pred") != langid.UNKNOWN) & (F.col("__lang_score") >= 0.5)).select(*docs.columns)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own: the hash of their file's path, and their place in it.
+
+    Rows that are read from files have this key already, and no copy of their texts is made. Others, and rows that share
+    such a key, are written with a number first, so that each has the same one whenever it is read.
+    """
+    # names no table has, so that a column of that name passes through
+    try:
+        place = docs.metadataColumn("_metadata")
+        keyed = docs.select("*", F.xxhash64(place["file_path"]).alias("__file"), place["row_index"].alias("__row"))
+        if keyed.groupBy("__file", "__row").count().where("count > 1").isEmpty():
+            return keyed
+    except AnalysisException:
+        pass  # not read from files
+    return stored(docs.select("*", F.lit(0).cast("long").alias("__file"), F.monotonically_increasing_id().alias("__row")), "pipeline-rows")
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: five words, similarity of 0.8 or more; of each group one row stays, that of the smallest doc_id.
 
-    Rows are told apart by a key of their own, written with them once, which also decides among rows of one doc_id; a
-    null doc_id stays only where its group has no other. Documents without words link with nothing and stay as they are.
+    Rows are told apart by a key of their own, which also decides among rows of one doc_id; a null doc_id stays only where
+    its group has no other. Documents without words link with nothing and stay as they are.
     """
-    # names no table has, so that a column of that name passes through
-    keyed = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__row").alias("row"))
+    keyed = with_row_key(docs)
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("__file").alias("file"), F.col("__row").alias("row"))
     found = jaccard.join(keyed.withColumn("__rank", rank), words=5, percent=80, id_col="__rank")
-    gone = found.where("doc_id.row <> component_id.row").select(F.col("doc_id.row").alias("__row"))
-    return keyed.join(gone, "__row", "left_anti").select(*docs.columns)
+    other = (F.col("doc_id.file") != F.col("component_id.file")) | (F.col("doc_id.row") != F.col("component_id.row"))
+    gone = found.where(other).select(F.col("doc_id.file").alias("__file"), F.col("doc_id.row").alias("__row"))
+    return keyed.join(gone, ["__file", "__row"], "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

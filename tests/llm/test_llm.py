@@ -354,6 +354,19 @@ def test_a_shingle_that_no_task_meets_twice_is_found(spark, monkeypatch):
     assert len(seen) > 1 and seen[-1] > seen[0]
 
 
+def test_a_rare_shingle_of_one_node_is_not_written(spark, monkeypatch):
+    written, keep = {}, jaccard.stored
+    monkeypatch.setattr(jaccard, "stored", lambda df, purpose: written.setdefault(purpose, keep(df, purpose)))
+    monkeypatch.setattr(jaccard, "forget", lambda *frames: None)
+    rows = [(i, " ".join(f"{k}{n}" for n in range(60))) for i, k in enumerate("abcdef")]
+    rows += [(10, rows[0][1] + " x"), (11, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.join(docs).collect())
+    assert got == brute_join(rows, 4, 85)
+    nodes = written["join-index"].groupBy("sig").agg(F.countDistinct("node").alias("n")).agg(F.min("n")).first()[0]
+    assert nodes == 2
+
+
 @pytest.mark.parametrize("k", [4, 5])
 def test_a_text_of_one_shingle_links_with_its_repetition(spark, k):
     rows = [(n, " ".join(["ha"] * n)) for n in range(1, 9)] + [(20, "a b c d"), (21, "a b c d e"), (22, "A b c d")]
@@ -709,3 +722,19 @@ def test_one_row_of_each_group_stays(spark):
     found = [r.n_chars for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()]
     assert collections.Counter((rows[k][0] is None, rows[k][0] or 0) for k in found) == want
     assert all(sum(k in g for k in found) == 1 for g in groups.values())
+
+
+def test_texts_that_lie_in_files_are_not_written_again_for_a_key(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(corpus_pipeline, "stored", lambda df, purpose: written.append(purpose) or df.localCheckpoint())
+    a, b = (" ".join(f"{k}{i}" for i in range(40)) for k in "ab")
+    rows = [(1, a), (1, a), (2, a + " x"), (3, b), (None, b), (None, None)]
+    spark.createDataFrame([(i, t, "en", "s", k) for k, (i, t) in enumerate(rows)], SCHEMA).repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    assert sorted(r.doc_id or 0 for r in corpus_pipeline.one_of_each_group(spark, docs, SF).collect()) == [0, 1, 3]
+    assert written == []
+    # rows that come twice from one place of a file are told apart as well
+    twice = docs.crossJoin(spark.range(2).select(F.col("id").alias("again")))
+    kept = corpus_pipeline.one_of_each_group(spark, twice, SF).collect()
+    assert sorted(r.doc_id or 0 for r in kept) == [0, 0, 1, 3] and set(written) <= {"pipeline-rows"}
+    assert corpus_pipeline.with_row_key(twice).select("__file", "__row").distinct().count() == 2 * len(rows)

@@ -36,6 +36,19 @@ def spread_narrow(df: DataFrame) -> DataFrame:
     return df.repartition(min(cores, tasks * _SPREAD))
 
 
+def spread_rows(df: DataFrame) -> DataFrame:
+    """Spread the rows of a micro-batch over the cores when a few of its tasks hold them.
+
+    The number of tasks does not tell: files without rows, and files that cannot be split, leave the whole parse to the
+    others. A batch none of whose tasks has more than twice its share is returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    held = [row["count"] for row in df.groupBy(F.spark_partition_id()).count().collect()]  # a number per task
+    if not held or max(held) * cores <= 2 * sum(held):
+        return df
+    return df.repartition(min(cores, sum(held)))
+
+
 def read_changes(
     spark: SparkSession,
     source: str,

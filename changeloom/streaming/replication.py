@@ -34,7 +34,7 @@ from changeloom.options import ReplicationOptions
 from changeloom.plans.schema import BLOCK, DATETIME, LOG_KEY, OFFSET, PARTITION, TOPIC, ingest_schema
 from changeloom.plans.tables import CatalogTarget, RowLevelTarget
 from changeloom.session import child_names, delete_path, make_folder, matching, path_exists, write_line
-from changeloom.sources.changes import read_changes
+from changeloom.sources.changes import read_changes, spread_rows
 from changeloom.sources.ingest_log import (
     cut_blocks,
     dedup_ingest,
@@ -306,7 +306,7 @@ def ingest_batch(
     attempt = _finish_attempts(spark, paths, schema, block_id, seq) if options.on_error == "prefix" else 0
     # Landing files carry every key, and the first record names its columns: both need the map of all fields.
     typed = not land and options.columns == "target"
-    parsed = parse_changes(batch, logical=logical, timestamp_precision=options.timestamp_precision, typed=typed)
+    parsed = parse_changes(spread_rows(batch), logical=logical, timestamp_precision=options.timestamp_precision, typed=typed)
     # Several passes over the same parse: keep it for the length of this micro-batch.
     several = options.on_error != "fail" or options.columns == "first_record" or options.null_keys == "quarantine"
     if several:

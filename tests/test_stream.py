@@ -528,3 +528,31 @@ def test_connector_sources_need_their_packages(spark):
 def test_binary_values_become_text(spark):
     df = spark.createDataFrame([(bytearray(b"{}"),)], "value binary")
     assert decode_value(df).first()["value"] == "{}"
+
+
+def test_a_micro_batch_that_few_tasks_hold_is_spread_before_it_is_parsed(spark, tmp_path, monkeypatch):
+    from types import SimpleNamespace
+
+    from pyspark.sql import functions as F
+
+    from changeloom.options import ReplicationOptions
+    from changeloom.sources.changes import spread_rows
+    from changeloom.streaming import replication
+
+    class Parsed(Exception):
+        pass
+
+    def parse(batch, **options):
+        raise Parsed(batch)
+
+    monkeypatch.setattr(replication, "parse_changes", parse)
+    target = SimpleNamespace(schema=spark.range(1).schema, pks=("id",))
+    batch = spark.range(0, 16_000, 1, 16).where("id < 900 or id = 9000")  # two of sixteen tasks hold rows
+    with pytest.raises(Parsed) as found:
+        replication.ingest_batch(batch, "b", 0, target, ReplicationOptions(table="t"), replication.Paths(str(tmp_path)), land=True)
+    spread = found.value.args[0]
+    held = [r["count"] for r in spread.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(held) == 901 and max(held) * spark.sparkContext.defaultParallelism <= 2 * sum(held)
+    assert sorted(r.id for r in spread.collect()) == [*range(900), 9000]
+    even = spark.range(0, 16_000, 1, 16)
+    assert spread_rows(even) is even and spread_rows(even.limit(0)).count() == 0

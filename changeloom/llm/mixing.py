@@ -24,6 +24,7 @@ CELLS = 1024  # parts of the cumulative targets in which a draw looks for its so
 GROUP = 64  # shards whose draws one task makes, and over which running sums go in one step
 DRAWS = 1 << 18  # draws a task makes, about
 ROUNDS = 4  # of an index permutation
+TOLD_BYTES = 1 << 20  # of sources' rows that are broadcast to the draws; larger ones meet them in a merge join
 
 
 def _source_key(source: Column) -> Column:
@@ -137,6 +138,13 @@ def _offsets(placed: DataFrame, begins: DataFrame) -> DataFrame:
     return found.withColumn("offset", offset).drop("within", "begin", "place", "copies", "_copy")
 
 
+def _told(draws: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """``draws`` joined with ``rows`` of the sources. What an explode made is planned with the size of what it was made
+    from, so that the draws, which grow with the corpus, would be taken for the smaller side and be broadcast."""
+    size = rows.agg(F.sum(F.octet_length("sk") + 40)).first()[0] or 0
+    return draws.join(F.broadcast(rows) if size <= TOLD_BYTES else rows.hint("merge"), key)
+
+
 def _tasks(sources: DataFrame) -> int:
     """Tasks that make all draws."""
     first = sources.agg(F.max("all_slots")).first()[0] or 0
@@ -162,7 +170,7 @@ def shard_counts(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     left = F.least(F.lit(shard_slots).cast("long"), total - F.col("shard") * shard_slots)
     slots = every.withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), left - 1)))
     draws = slots.select("shard", F.pmod(F.xxhash64(F.lit(seed), "shard", "slot"), total).alias("u"), "all_slots")
-    met = draws.withColumn("cell", cell(F.col("u"))).join(guide, "cell").where("u >= slot_begin and u < slot_end")
+    met = _told(draws.withColumn("cell", cell(F.col("u"))), guide, "cell").where("u >= slot_begin and u < slot_end")
     return met.groupBy("shard", "sk").agg(F.count("*").alias("n"))
 
 
@@ -193,7 +201,7 @@ def _slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
     size = F.col("end") - F.col("begin")
     placed = drawn.withColumn("first", F.coalesce(F.sum(size).over(upto), F.lit(0))).withColumn("all", F.sum(size).over(inside))
     draws = placed.repartition(_tasks(sources), "shard", "sk").withColumn("j", F.explode(F.sequence(F.col("begin"), F.col("end") - 1)))
-    draws = draws.join(sources.select("sk", "blocks"), "sk")
+    draws = _told(draws, sources.select("sk", "blocks"), "sk")
     turn = F.call_function("div", F.col("j"), F.col("blocks"))
     slot = _permuted(F.col("first") + F.col("j") - F.col("begin"), F.col("all"), F.xxhash64(F.lit(seed), F.col("shard")))
     block = _permuted(F.col("j") % F.col("blocks"), F.col("blocks"), F.xxhash64(F.lit(seed), F.col("sk"), turn))

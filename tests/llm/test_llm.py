@@ -483,6 +483,21 @@ def test_shard_counts_are_a_multinomial_draw(spark):
     assert {r.sk: r.n for r in stretched} == slots
 
 
+def test_draws_are_never_broadcast(spark, monkeypatch):
+    rows = [(i, "one two three four five six seven", f"source {i % 5}") for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    *_, sources = mixing._planned(docs, 4, (1, 2, 3), 3.0, "doc_id", "text", "source")
+    found = []
+    for most in (mixing.TOLD_BYTES, 0):
+        monkeypatch.setattr(mixing, "TOLD_BYTES", most)
+        drawn = [mixing.shard_counts(sources, 50, 7), mixing._slots(sources, 50, 7)]
+        for frame in drawn:
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "BuildLeft" not in plan and ("BroadcastHashJoin" in plan) == bool(most) and ("SortMergeJoin" in plan) != bool(most)
+        found.append([sorted(map(tuple, frame.collect())) for frame in drawn])
+    assert found[0] == found[1] and len(found[0][1]) == sum(r.slots for r in sources.collect())
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 64, 65, 1000, 4097])
 def test_indexes_are_permuted(spark, n):
     moved = spark.range(n).select(mixing._permuted(F.col("id"), F.lit(n).cast("long"), F.lit(5).cast("long")).alias("x"))

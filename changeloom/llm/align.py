@@ -5,8 +5,8 @@ are a hash set, and those of the other that are in it, the intersection, cut bot
 either crosses. Within a group every pair of tokens whose byte ranges overlap is a link: all pairs where one side has a
 single token, else those that both sides' ends in one order find.
 
-Documents are encoded and cut once and kept as ids and cuts in written chunks, with the distinct linked pairs of ids of
-each chunk. The counts of all chunks are added up, and a chunk is told those of its own pairs, which it adds per document.
+Documents are encoded and cut once and kept as ids and cuts in written chunks, a row for each run of documents, with the
+distinct linked pairs of ids of each chunk in its first row. The counts of all chunks are added up, and a chunk is told those of its own pairs, which it adds per document.
 The table of pairs is joined by its key and grows with what the corpus links; nothing is broadcast.
 
 A text of characters that every Unicode version sorts alike is encoded by ranks, which gives the same ids as the
@@ -175,10 +175,11 @@ class Run:
 
 
 class Sizes:
-    """Bytes of every token of A and of B."""
+    """Bytes of every token of A and of B, and the narrowest type that holds their ids."""
 
     def __init__(self, a: ByteLevel, b: Pieces):
         self.a, self.b = (np.array([len(t) for t in m.token], np.int64) for m in (a, b))
+        self.kind = np.uint16 if max(len(self.a), len(self.b)) <= 1 << 16 else np.uint32
 
 
 def _steps(texts: list[str | None]) -> Iterator[slice]:
@@ -193,31 +194,33 @@ def _steps(texts: list[str | None]) -> Iterator[slice]:
         yield slice(begin, len(texts))
 
 
-def _made(ids: pa.Array, texts: list[str | None], a: ByteLevel, b: Pieces, sizes: Sizes) -> list[pa.Table]:
-    """What a chunk keeps: runs of documents with their ids and cuts, and its distinct linked pairs with their counts."""
+def _made(ids: pa.Array, texts: list[str | None], a: ByteLevel, b: Pieces, sizes: Sizes) -> list[list[pa.Table | None]]:
+    """What a chunk keeps: runs of documents with their ids and cuts, and with the first run the chunk's distinct linked pairs
+    with their counts."""
     rows, found, counts = [], [], []
     for part in _steps(texts):
         ids_a, ids_b = encoded(a, b, texts[part])
         n_a, n_b = (np.array([len(x) for x in each], np.int64) for each in (ids_a, ids_b))
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(each), np.uint32, n.sum()) for each, n in ((ids_a, n_a), (ids_b, n_b)))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(each), sizes.kind, n.sum()) for each, n in ((ids_a, n_a), (ids_b, n_b)))
         run = Run(flat_a, flat_b, n_a, n_b, sizes)
-        rows.append((len(n_a), flat_a.tobytes(), flat_b.tobytes(), n_a.tobytes(), n_b.tobytes(), np.packbits(run.marks()).tobytes()))
+        body = (flat_a.tobytes(), flat_b.tobytes(), n_a.tobytes(), n_b.tobytes(), np.packbits(run.marks()).tobytes())
+        rows.append([pa.table([ids[part]], ["id"]), pa.table([pa.array([c]) for c in body], ["a", "b", "n_a", "n_b", "marks"]), None])
         each = pc.value_counts(pa.array(run.pairs))
         found.append(each.field(0).to_numpy())
         counts.append(each.field(1).to_numpy())
-    kept = pa.table([pa.array(c) for c in zip(*rows)], ["docs", "a", "b", "n_a", "n_b", "marks"])
     pair, inverse = np.unique(np.concatenate(found), return_inverse=True)
     n = np.bincount(inverse, np.concatenate(counts), len(pair)).astype(np.int64)
-    return [pa.table([ids], ["id"]), kept, pa.table([pa.array(pair), pa.array(n)], ["pair", "n"])]
+    rows[0][2] = pa.table([pa.array(pair), pa.array(n)], ["pair", "n"])
+    return rows
 
 
-def _runs(body: bytes, sizes: Sizes) -> Iterator[Run]:
-    """The runs of a chunk as they were kept."""
-    for row in unpacked(body).to_pylist():
-        a, b = (np.frombuffer(row[c], np.uint32) for c in ("a", "b"))
-        n_a, n_b = (np.frombuffer(row[c], np.int64) for c in ("n_a", "n_b"))
-        marks = np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=len(a) + len(b))
-        yield Run(a, b, n_a, n_b, sizes, marks)
+def _kept_run(body: bytes, sizes: Sizes) -> Run:
+    """A run as it was kept."""
+    row = unpacked(body).to_pylist()[0]
+    a, b = (np.frombuffer(row[c], sizes.kind) for c in ("a", "b"))
+    n_a, n_b = (np.frombuffer(row[c], np.int64) for c in ("n_a", "n_b"))
+    marks = np.unpackbits(np.frombuffer(row["marks"], np.uint8), count=len(a) + len(b))
+    return Run(a, b, n_a, n_b, sizes, marks)
 
 
 def _asked(chunks: DataFrame) -> DataFrame:
@@ -233,7 +236,7 @@ def _asked(chunks: DataFrame) -> DataFrame:
                     columns = [np.full(len(part), chunk), np.arange(at, at + len(part), dtype=np.int32), (part >> 32).astype(np.int32), part.astype(np.int32), n[at : at + 10_000]]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["chunk", "pos", "a", "b", "n"])
 
-    return chunks.select("chunk", "pairs").mapInArrow(run, "chunk long, pos int, a int, b int, n long")
+    return chunks.where("pairs is not null").select("chunk", "pairs").mapInArrow(run, "chunk long, pos int, a int, b int, n long")
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK) -> DataFrame:
@@ -249,7 +252,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
         a, b = ByteLevel(path_a), Pieces(path_b)
         return lambda rows: _made(rows.column(0).combine_chunks(), rows.column(1).to_pylist(), a, b, sizes)
 
-    chunks = chunked(docs.select(F.col(id_col), F.col(text_col)), "align-chunks", make, chunk, ("ids", "body", "pairs"))
+    chunks = chunked(docs.select(F.col(id_col), F.col(text_col)), "align-chunks", make, chunk, ("ids", "body", "pairs"), step="pos")
     asked = _asked(chunks)
     counts = asked.groupBy("a", "b").agg(F.sum("n").alias("count"))
     # an id of B has at most as many pairs as A has ids
@@ -258,38 +261,38 @@ def align(docs: DataFrame, path_a: str, path_b: str, id_col: str = "doc_id", tex
 
     def run(batches):
         names = pa.array(map(str, range(n_names)), pa.string())
-        at, count, best = None, [], []
+        at, count, best, pair, known = None, [], [], None, None
         for batch in batches:
             chunk_of = batch.column(0).to_numpy()
             for rows in np.split(np.arange(len(chunk_of)), np.flatnonzero(np.diff(chunk_of)) + 1):
                 if not len(rows):
                     continue
                 if chunk_of[rows[0]] != at:
-                    at, count, best = chunk_of[rows[0]], [], []
+                    at, count, best, pair, known = chunk_of[rows[0]], [], [], None, None
                 here = batch.slice(rows[0], len(rows))
                 told = here.filter(pc.equal(here.column(1), 0))
                 if told.num_rows:
                     count.append(told.column(3).to_numpy())
                     best.append(told.column(4).to_numpy(zero_copy_only=False))
                 kept = here.filter(pc.equal(here.column(1), 1))
-                for ids, body, pairs in zip(*(kept.column(i).to_pylist() for i in (5, 6, 7))):
-                    pair = unpacked(pairs).column(0).to_numpy()
-                    known = np.concatenate(count or [[]]).astype(np.int64), np.concatenate(best or [[]]).astype(bool)
-                    if len(pair) != len(known[0]):
-                        raise ValueError("a chunk has not the counts of its pairs")
-                    yield from finished(unpacked(ids).column(0).combine_chunks(), body, pair, *known, names)
+                for row in range(kept.num_rows):
+                    ids, body, pairs = (kept.column(i)[row].as_buffer() for i in (5, 6, 7))
+                    if pairs is not None:
+                        pair = unpacked(pairs).column(0).to_numpy()
+                        known = np.concatenate(count or [[]]).astype(np.int64), np.concatenate(best or [[]]).astype(bool)
+                        if len(pair) != len(known[0]):
+                            raise ValueError("a chunk has not the counts of its pairs")
+                    yield finished(unpacked(ids).column(0).combine_chunks(), body, pair, *known, names)
 
     def finished(ids, body, pair, count, best, names):
-        done = 0
-        for each in _runs(body, sizes):
-            n = len(each.n_a)
-            pos = np.searchsorted(pair, each.pairs)
-            n_best = np.bincount(each.link_owner[best[pos]], minlength=n)
-            total = np.zeros(n, np.int64)
-            np.add.at(total, each.link_owner, count[pos])
-            numbers = [pa.array(c, pa.int64()) for c in (each.n_a, each.n_b, each.n_groups, each.n_links, n_best, total)]
-            yield pa.RecordBatch.from_arrays([ids.slice(done, n), *numbers, group_texts(each, names)], [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
-            done += n
+        each = _kept_run(body, sizes)
+        n = len(each.n_a)
+        pos = np.searchsorted(pair, each.pairs)
+        n_best = np.bincount(each.link_owner[best[pos]], minlength=n)
+        total = np.zeros(n, np.int64)
+        np.add.at(total, each.link_owner, count[pos])
+        numbers = [pa.array(c, pa.int64()) for c in (each.n_a, each.n_b, each.n_groups, each.n_links, n_best, total)]
+        return pa.RecordBatch.from_arrays([ids, *numbers, group_texts(each, names)], [id_col, "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return met(chunks, answers, run, f"`{id_col}` {kind}, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups string")

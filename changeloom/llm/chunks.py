@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from changeloom.llm.common import small_batches, stored
 
 CHUNK = 4 << 20  # bytes of text after which a chunk ends; a longer document is a chunk of its own
+# Options of Parquet for rows that are large and compressed: the size of a row group is looked at after each row.
+SMALL_GROUPS = {"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 1, "parquet.page.size.row.check.max": 1, "compression": "uncompressed"}
 
 
 def packed(batch: pa.RecordBatch | pa.Table) -> bytes:
@@ -51,12 +53,13 @@ def runs(batches: Iterator[pa.RecordBatch], text: int, size: int) -> Iterator[pa
 
 
 def chunked(
-    docs: DataFrame, purpose: str, make: Callable[[], Callable[[pa.Table], list[pa.Table]]] | None = None, size: int = CHUNK, bodies: tuple[str, ...] = ("body",)
+    docs: DataFrame, purpose: str, make: Callable[[], Callable[[pa.Table], list]] | None = None, size: int = CHUNK, bodies: tuple[str, ...] = ("body",), step: str | None = None
 ) -> DataFrame:
     """``docs`` (two columns, the second a text) as a written table (chunk, body).
 
     ``make`` is called in every task and gives the function that turns the rows of a chunk into the tables kept in its
-    ``bodies``.
+    ``bodies``. With ``step`` a chunk has several rows, numbered from 0 in a column of that name: the function gives a list
+    of tables, or None, for each. Such a table is written in small row groups, since a reader holds a row group's bodies.
     """
     small_batches(docs.sparkSession, rows=1000, mb=8)
 
@@ -64,10 +67,19 @@ def chunked(
         change = make() if make else None
         for rows in runs(batches, 1, size):
             made = change(rows) if change else [rows.combine_chunks()]
-            yield pa.RecordBatch.from_arrays([pa.array([packed(table)], pa.binary()) for table in made], list(bodies))
+            for at, tables in enumerate(made if step else [made]):
+                columns = [pa.array([None if table is None else packed(table)], pa.binary()) for table in tables]
+                names = list(bodies)
+                if step:
+                    columns, names = [*columns, pa.array([at], pa.int32())], [*names, step]
+                yield pa.RecordBatch.from_arrays(columns, names)
 
     ddl = ", ".join(f"{name} binary" for name in bodies)
-    return stored(docs.mapInArrow(run, ddl).withColumn("chunk", F.monotonically_increasing_id()), purpose)
+    if not step:
+        return stored(docs.mapInArrow(run, ddl).withColumn("chunk", F.monotonically_increasing_id()), purpose)
+    # rows of a task are numbered in order, so that the first of a chunk gives it its number
+    number = F.monotonically_increasing_id() - F.col(step)
+    return stored(docs.mapInArrow(run, f"{ddl}, {step} int").withColumn("chunk", number), purpose, **SMALL_GROUPS)
 
 
 def met(chunks: DataFrame, answers: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str, key: str = "chunk") -> DataFrame:

@@ -15,10 +15,10 @@ from changeloom.session import delete_path, shared_dir
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, purpose: str, **options) -> DataFrame:
     """Write a result to a new folder of the shared checkpoint folder and read it back, which cuts its lineage."""
     path = shared_dir(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -8,12 +8,13 @@ import re
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from changeloom.llm import align, collocations, linededup, queries
+from changeloom.llm import align, chunks, collocations, linededup, queries
 
 A, B = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -151,6 +152,24 @@ def test_alignment_matches_brute_force(odd, chunk, monkeypatch):
     assert spread > 50 and got.where("n_a = 0 and groups = ''").count() >= 3
 
 
+def test_alignment_keeps_a_row_for_each_run(spark, monkeypatch):
+    rnd = random.Random(3)
+    texts = [" ".join("".join(rnd.choices("abcdefgh", k=rnd.randint(1, 9))) for _ in range(500)) for _ in range(800)]
+    rows = spark.createDataFrame([(i, text) for i, text in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    kept, real = [], chunks.stored
+    monkeypatch.setattr(chunks, "stored", lambda df, purpose, **options: kept.append(real(df, purpose, **options)) or kept[-1])
+    got = plain(align.align(rows, A, B), "doc_id", "n_a", "n_links", "n_best", "count_sum", "groups")
+    assert got == plain(align.align(rows, A, B, chunk=1000), "doc_id", "n_a", "n_links", "n_best", "count_sum", "groups")
+    # one chunk, in runs of STEP characters; a run has fewer compressed bytes than characters
+    runs = sorted(map(tuple, kept[0].select("chunk", "pos", F.length("body"), F.col("pairs").isNotNull()).collect()))
+    size = sum(map(len, texts))
+    assert len({chunk for chunk, *_ in runs}) == 1 and len(runs) >= size // align.STEP > 5
+    assert [(pos, first) for _, pos, _, first in runs] == [(i, i == 0) for i in range(len(runs))]
+    assert all(n < 2 * align.STEP for _, _, n, _ in runs)
+    files = [pq.ParquetFile(name.removeprefix("file://").removeprefix("file:")).metadata for name in kept[0].inputFiles()]
+    assert all(m.row_group(i).total_byte_size < 6 << 20 for m in files for i in range(m.num_row_groups))
+
+
 def test_ranks_give_the_ids_of_the_tokenizer(spark, odd):
     texts = [r.text for r in odd.collect() if r.text] + [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
     rnd = random.Random(5)
